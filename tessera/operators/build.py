@@ -188,7 +188,7 @@ def number_docs(df: DataFrame, shard_by=None, num_shards: int | None = None, ord
     * no ``shard_by`` and no ``order_by``: shard = input partition, doc =
       insertion order (no shuffle);
     * ``shard_by`` (a Column with values in ``[0, num_shards)``) and/or
-      ``order_by`` (columns or sort orders): one range shuffle, balanced
+      ``order_by`` (column names, ascending): one shuffle, balanced
       even when one shard holds most rows.
     Returns the numbered frame and an upper bound on the shard count.
     """
@@ -208,6 +208,8 @@ def number_docs(df: DataFrame, shard_by=None, num_shards: int | None = None, ord
         order = ["_ins"]
     else:
         order = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
+        if not all(isinstance(c, str) for c in order):
+            raise TypeError("order_by takes column names (ascending); add computed keys with withColumn first")
     out = number_within(df, "shard", order, "doc", num_partitions=num_partitions, group_bound=bound)
     return out.drop("_ins") if order_by is None else out, bound
 

@@ -1,11 +1,14 @@
 """Dense numbering inside groups that stays balanced when a group is hot.
 
 ``row_number().over(Window.partitionBy(g).orderBy(k))`` sends a whole group to
-one task.  When one shard holds a third of the rows that task holds a third of
-the data.  Here the rows are range-partitioned on ``(g, k)`` instead, so a hot
-group is split over many tasks; each task numbers its slice locally and a
-small table of per-slice offsets (at most ``partitions + groups`` rows) turns
-the local numbers into group-wide ones.
+one task.  When one shard holds a third of the rows, that task holds a third
+of the data.  Here the rows are cut into *slices*, ranges of ``(g, k)``
+with about equal row counts.  The cuts come from one small sample and become
+literals in the plan, so a row's slice is a pure function of its key: every
+branch of a plan and every recomputation after a lost executor gets the same
+answer.  Each ``(slice, group)`` block is numbered with ``row_number`` and a
+small table of block offsets (at most ``slices + groups`` rows, broadcast)
+turns local numbers into group-wide ones.
 """
 
 from __future__ import annotations
@@ -16,51 +19,86 @@ from pyspark.sql import functions as F
 from ..plans.broadcast import bounded_broadcast
 
 _LOW_BITS = (1 << 33) - 1
+_SAMPLE_PER_SLICE = 20
+_SAMPLE_SEED = 7
 
 
-def _sort_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _slice_of(key: Column, bounds: list[Column]) -> Column:
+    """Index of the slice holding ``key``; ``bounds`` are sorted cut points.
+    A balanced tree of comparisons: depth log2(slices)."""
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key < bounds[mid - 1], build(lo, mid - 1)).otherwise(build(mid, hi))
+
+    return build(0, len(bounds))
+
+
+def _cut_points(df: DataFrame, cols: list[str], slices: int) -> list[Column]:
+    """Sorted cut points of ``struct(cols)``: at most ``slices - 1`` literals.
+
+    Runs a count and a sample of about ``20 x slices`` keys (bounded, whatever
+    the input size); only the cut points reach the driver.
+    """
+    if slices <= 1:
+        return []
+    total = df.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, _SAMPLE_PER_SLICE * slices / total)
+    key = F.struct(*[F.col(c) for c in cols]).alias("_k")
+    picked = (
+        df.select(key).sample(withReplacement=False, fraction=fraction, seed=_SAMPLE_SEED)
+        .withColumn("_i", F.row_number().over(Window.orderBy("_k")))
+    )
+    n = picked.count()
+    step = max(1, -(-n // slices))
+    rows = picked.where((F.col("_i") % step) == 0).orderBy("_i").select("_k").collect()
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out, last = [], None
+    for r in rows[: slices - 1]:
+        values = tuple(r[0])
+        if values == last:
+            continue
+        last = values
+        out.append(F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, values)]))
+    return out
 
 
 def number_within(
     df: DataFrame,
     group: str,
-    order: list,
+    order: list[str],
     out: str,
     num_partitions: int | None = None,
     group_bound: int | None = None,
 ) -> DataFrame:
-    """Add ``out``: 0-based position of each row inside its ``group`` by ``order``.
+    """Add ``out``: 0-based position of each row inside its ``group``,
+    ascending by the ``order`` columns (non-null; unique for repeatable ids).
 
-    ``order`` is a list of column names or sort-order Columns (``F.desc(...)``).
-    With unique ordering keys the result is deterministic, so recomputation
-    after a lost executor gives the same numbers.  ``group_bound`` is a proven
-    upper bound on the number of groups; it sizes the broadcast of offsets.
+    ``group_bound`` is a proven upper bound on the number of groups; it sizes
+    the broadcast of block offsets.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    orders = [_sort_col(c) for c in order]
-    tagged = (
-        df.repartitionByRange(n, F.col(group), *orders)
-        .sortWithinPartitions(F.col(group), *orders)
-        .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_mono", F.monotonically_increasing_id())
-    )
-    blocks = tagged.groupBy("_slice", group).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_mono").alias("_first")
-    )
+    slices = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [group, *order]
+    bounds = _cut_points(df, cols, slices)
+    key = F.struct(*[F.col(c) for c in cols])
+    sliced = df.withColumn("_slice", _slice_of(key, bounds))
+    local = Window.partitionBy("_slice", group).orderBy(*[F.col(c) for c in order])
+    numbered = sliced.withColumn("_local", F.row_number().over(local) - 1)
+
+    blocks = sliced.groupBy("_slice", group).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        "_slice", group, "_first",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
-    )
-    # Range slices are contiguous in (group, order), so there are at most
-    # n + groups - 1 (slice, group) blocks.
-    bound = n + (group_bound if group_bound is not None else 10 ** 12)
+    offsets = blocks.select("_slice", group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    # Slices are contiguous in (group, order): at most slices + groups - 1 blocks.
+    bound = len(bounds) + 1 + (group_bound if group_bound is not None else 10 ** 12)
     return (
-        tagged.join(bounded_broadcast(offsets, bound), ["_slice", group])
-        .withColumn(out, (F.col("_offset") + F.col("_mono") - F.col("_first")).cast("bigint"))
-        .drop("_slice", "_mono", "_first", "_offset")
+        numbered.join(bounded_broadcast(offsets, bound), ["_slice", group])
+        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
+        .drop("_slice", "_local", "_offset")
     )
 
 

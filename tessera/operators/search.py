@@ -87,8 +87,12 @@ def _classify(index: Index, leaves: list[Query]) -> list[_Leaf]:
     return out
 
 
-_NULL = F.lit(None).cast("double")
-_FALSE = F.lit(False)
+def _null() -> Column:
+    return F.lit(None).cast("double")
+
+
+def _false() -> Column:
+    return F.lit(False)
 
 
 @dataclass
@@ -108,10 +112,10 @@ def _compile_tree(q: Query, leaves: list[_Leaf], counter: list[int]) -> _Compile
             return _Compiled(F.when(leaf.pred, F.lit(1.0)), False, leaf.pred)
         if leaf.kind == "all":
             return _Compiled(F.lit(1.0), False, None)
-        return _Compiled(_NULL, True, _FALSE)
+        return _Compiled(_null(), True, _false())
     children = [_compile_tree(c, leaves, counter) for c in q.clauses]
     if not children:
-        return _Compiled(_NULL, True, _FALSE)
+        return _Compiled(_null(), True, _false())
     if isinstance(q, Must):
         # SQL '+' is NULL as soon as one child is NULL: exactly "all must match".
         score = reduce(lambda a, b: a + b, [c.score for c in children])
@@ -220,8 +224,8 @@ class Search:
         score = compiled.score
         if compiled.bounded and candidates is None:
             # Nothing can match (empty bool, unknown field, type mismatch).
-            frame = docs.select("shard", "doc", *keep).where(_FALSE)
-            return frame.select("shard", "doc", _NULL.alias("score"), *keep), True
+            frame = docs.select("shard", "doc", *keep).where(_false())
+            return frame.select("shard", "doc", _null().alias("score"), *keep), True
         if compiled.bounded and not nums:
             frame = candidates
             from_docs = False
@@ -280,10 +284,8 @@ class Search:
         spread over many tasks."""
         from .numbering import number_within
 
-        scored = self.scored()
-        idx = self.index
-        out = number_within(scored, "shard", [F.desc("score"), F.asc("doc")], "_pos",
-                            group_bound=idx.num_shards)
+        scored = self.scored().withColumn("_neg", -F.col("score"))
+        out = number_within(scored, "shard", ["_neg", "doc"], "_pos", group_bound=self.index.num_shards)
         return out.select("shard", "doc", "score", (F.col("_pos") + 1).cast("bigint").alias("rank"))
 
     def top_k_per_shard(self, k: int, fetch: bool = True) -> DataFrame:
