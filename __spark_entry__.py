@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import (
-    IndexSpec, build_index, compact, ensure_local_dirs, match_all, must, open_index, save,
+    IndexSpec, build_index, compact, ensure_local_dirs, index_stream, match_all, must, open_index, save,
     search_many, should, term,
 )
 
@@ -253,6 +253,18 @@ def q_w5b_overwrite(spark, sf):
     return open_index(spark, t).docs.select("shard", "doc", "doc_id")
 
 
+def q_w5a_stream_append(spark, sf):
+    """Documents arrive as a file stream; each micro-batch is appended."""
+    ensure_local_dirs(spark)
+    t = _table("stream")
+    schema = _read(spark, sf, "documents").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/documents*.parquet")
+    q = index_stream(stream, t, DOC_SPEC, shard_by=F.pmod(F.col("doc_id"), F.lit(3)), num_shards=3,
+                     order_by=["doc_id"], trigger={"availableNow": True})
+    q.awaitTermination()
+    return open_index(spark, t).docs.select("shard", "doc", "doc_id")
+
+
 def q_w6_row_count(spark, sf):
     ensure_local_dirs(spark)
     spec = IndexSpec(keyword=["l_returnflag", "l_linestatus"], numeric=["l_quantity"],
@@ -441,6 +453,7 @@ UNION ALL SELECT shard, doc, 'source' FROM hits WHERE source IS NOT NULL""",
         "w4_doc_ids": f"WITH {_docs_cte()} SELECT doc_id, shard, doc FROM d",
         "w5a_append": f"WITH {_docs_cte()} SELECT shard, doc, doc_id FROM d",
         "w5b_overwrite": f"WITH {_docs_cte('WHERE ' + _SECOND)} SELECT shard, doc, doc_id FROM d",
+        "w5a_stream_append": f"WITH {_docs_cte()} SELECT shard, doc, doc_id FROM d",
         "w6_row_count": "SELECT count(*) AS rows FROM lineitem",
         "w7_compact": f"{the} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits",
         "w8_postings": f"""WITH {_docs_cte()}, {_POSTINGS}

@@ -13,11 +13,12 @@ from .operators.build import Index, build_index, postings_of, stats_of
 from .operators.search import Search
 from .operators.spec import IndexSpec
 from .sources.store import compact, open_index, read_manifest, save
+from .streaming.sink import index_stream
 
 __all__ = [
     "BASE_DIR_KEY", "base_dir", "ensure_local_dirs", "table_path",
     "MatchAll", "Must", "Query", "Should", "Term", "match_all", "must", "should", "term",
     "TOKEN_PATTERN", "tokens",
     "search_many", "Index", "build_index", "postings_of", "stats_of", "Search", "IndexSpec",
-    "compact", "open_index", "read_manifest", "save",
+    "compact", "open_index", "read_manifest", "save", "index_stream",
 ]

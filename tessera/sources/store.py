@@ -38,6 +38,8 @@ _MANIFEST_SCHEMA = (
 
 def read_manifest(spark: SparkSession, path: str) -> list[dict]:
     """Published generations, oldest first (one small row per write)."""
+    if not _exists(spark, f"{path}/_manifest"):
+        return []
     try:
         rows = spark.read.parquet(f"{path}/_manifest").collect()
     except AnalysisException:
@@ -46,6 +48,20 @@ def read_manifest(spark: SparkSession, path: str) -> list[dict]:
     return sorted(out, key=lambda r: r["gen"])
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _next_gen(spark: SparkSession, path: str, manifest: list[dict]) -> int:
+    """First generation number not used by a published or a failed write."""
+    gen = (manifest[-1]["gen"] + 1) if manifest else 0
+    while any(_exists(spark, f"{path}/{d}/gen={gen}") for d in ("docs", "postings", "stats", "_manifest")):
+        gen += 1
+    return gen
+
+
 def _live(manifest: list[dict]) -> list[dict]:
     """Generations from the newest base onwards."""
     start = 0
@@ -101,7 +117,7 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     manifest = read_manifest(spark, path)
     if manifest and mode in ("errorifexists", "error"):
         raise ValueError(f"table {table} exists; use mode='append' or 'overwrite'")
-    gen = (manifest[-1]["gen"] + 1) if manifest else 0
+    gen = _next_gen(spark, path, manifest)
     docs = index.docs
     kind = "base"
     if manifest and mode == "append":
@@ -169,8 +185,7 @@ def compact(spark: SparkSession, table: str) -> Index:
     """Rewrite all live generations as one base generation; hits unchanged."""
     current = open_index(spark, table)
     path = table_path(spark, table)
-    manifest = read_manifest(spark, path)
-    gen = manifest[-1]["gen"] + 1
+    gen = _next_gen(spark, path, read_manifest(spark, path))
     obs = Observation(f"tessera_compact_{table}_{gen}")
     (current.docs.repartitionByRange("shard", "doc")
      .sortWithinPartitions("shard", "doc")
