@@ -93,11 +93,18 @@ def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
 
+def _read_gens(spark: SparkSession, path: str, dataset: str, gens: list[int]) -> DataFrame:
+    """One dataset over the given generations only: nothing else is listed,
+    and unpublished directories never take part in schema inference."""
+    base = f"{path}/{dataset}"
+    return spark.read.option("basePath", base).parquet(*[f"{base}/gen={g}" for g in gens])
+
+
 def _shard_offsets(spark: SparkSession, path: str, live: list[dict]) -> DataFrame:
     """Next free doc id of every shard over the live generations."""
     gens = [m["gen"] for m in live]
     return (
-        spark.read.parquet(f"{path}/stats").where(F.col("gen").isin(gens) & F.col("field").isNull())
+        _read_gens(spark, path, "stats", gens).where(F.col("field").isNull())
         .groupBy("shard").agg(F.sum("n_docs").cast("bigint").alias("_offset"))
     )
 
@@ -162,10 +169,10 @@ def open_index(spark: SparkSession, table: str) -> Index:
     gens = [m["gen"] for m in live]
     spec = IndexSpec.from_dict(json.loads(live[-1]["spec"]))
     num_buckets = live[-1]["num_buckets"]
-    docs = spark.read.parquet(f"{path}/docs").where(F.col("gen").isin(gens)).drop("gen")
-    postings = (spark.read.parquet(f"{path}/postings").where(F.col("gen").isin(gens))
+    docs = _read_gens(spark, path, "docs", gens).drop("gen")
+    postings = (_read_gens(spark, path, "postings", gens)
                 .select("shard", "doc", "field", "term", "tf", "dl", "bucket"))
-    stats = (spark.read.parquet(f"{path}/stats").where(F.col("gen").isin(gens))
+    stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
              .agg(F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl")))
     return Index(

@@ -1,0 +1,108 @@
+"""Saved tables: round trips, append, overwrite, compaction, snapshots, streams."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF
+from tessera import (IndexSpec, build_index, compact, index_stream, must, open_index, read_manifest, save,
+                     should, table_path, term)
+
+SPEC = IndexSpec(text=["text"], keyword=["lang", "source"], numeric=["n_chars"], stored=["doc_id", "lang", "source"])
+Q = [term("text", "the"), must(term("lang", "en"), term("text", "the")),
+     should(term("source", "src1"), term("text", "de")), term("n_chars", 1172),
+     must(term("text", "the"), should(term("lang", "de"), term("source", "src3")))]
+
+
+def _docs(spark, where=None):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    if where is not None:
+        d = d.where(where)
+    return build_index(d, SPEC, shard_by=F.pmod("doc_id", F.lit(3)), num_shards=3, order_by=["doc_id"])
+
+
+def _rows(search):
+    return sorted((r["shard"], r["doc"], r["doc_id"], round(r["score"], 9)) for r in search.hits().collect())
+
+
+def _name():
+    return "t_" + uuid.uuid4().hex[:8]
+
+
+def test_saved_equals_in_memory(spark):
+    mem = _docs(spark)
+    t = _name()
+    assert save(mem, t) == 200
+    disk = open_index(spark, t)
+    for q in Q:
+        assert _rows(disk.search(q)) == _rows(mem.search(q)), str(q)
+    def stats(idx):
+        return sorted((r["shard"], r["field"] or "", r["n_docs"], r["sum_dl"] or 0) for r in idx.stats.collect())
+
+    assert stats(disk) == stats(mem)
+    with pytest.raises(ValueError):
+        save(mem, t)
+
+
+def test_cached_equals_uncached(spark):
+    mem = _docs(spark)
+    cached = _docs(spark).cache()
+    for q in Q[:3]:
+        assert _rows(cached.search(q)) == _rows(mem.search(q))
+    cached.unpersist()
+
+
+def test_append_compact_snapshot(spark):
+    t = _name()
+    save(_docs(spark, F.col("doc_id") < 100), t)
+    before = open_index(spark, t)
+    save(_docs(spark, F.col("doc_id") >= 100), t, mode="append")
+    after = open_index(spark, t)
+    whole = _docs(spark)
+    for q in Q:
+        assert _rows(after.search(q)) == _rows(whole.search(q)), str(q)
+    # The reader opened before the append keeps its snapshot.
+    assert before.docs.count() == 100
+    assert _rows(before.search(Q[0])) == _rows(_docs(spark, F.col("doc_id") < 100).search(Q[0]))
+    compacted = compact(spark, t)
+    for q in Q:
+        assert _rows(compacted.search(q)) == _rows(whole.search(q)), str(q)
+    assert [m["kind"] for m in read_manifest(spark, table_path(spark, t))] == ["base", "append", "base"]
+
+
+def test_overwrite_and_spec_mismatch(spark):
+    t = _name()
+    save(_docs(spark, F.col("doc_id") < 100), t)
+    save(_docs(spark, F.col("doc_id") >= 100), t, mode="overwrite")
+    got = open_index(spark, t).docs.agg(F.min("doc_id"), F.count(F.lit(1))).first()
+    assert (got[0], got[1]) == (100, 100)
+    other = build_index(spark.read.parquet(f"{SF}/documents.parquet"), IndexSpec(keyword=["lang"]))
+    with pytest.raises(ValueError):
+        save(other, t, mode="append")
+    with pytest.raises(ValueError):
+        open_index(spark, _name())
+
+
+def test_failed_generation_is_skipped(spark):
+    t = _name()
+    path = table_path(spark, t)
+    # Leftover of a write that died before publishing its manifest row.
+    spark.range(3).write.parquet(f"{path}/docs/gen=0")
+    save(_docs(spark, F.col("doc_id") < 50), t)
+    idx = open_index(spark, t)
+    assert idx.generations == (1,)
+    assert idx.docs.count() == 50
+
+
+def test_stream_append_is_idempotent(spark, tmp_path):
+    t = _name()
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{SF}/documents*.parquet")
+    kw = dict(shard_by=F.pmod(F.col("doc_id"), F.lit(3)), num_shards=3, order_by=["doc_id"],
+              checkpoint_location=str(tmp_path / "cp"), trigger={"availableNow": True})
+    index_stream(stream, t, SPEC, **kw).awaitTermination()
+    assert _rows(open_index(spark, t).search(Q[0])) == _rows(_docs(spark).search(Q[0]))
+    # A replayed epoch is skipped.
+    assert save(_docs(spark), t, mode="append", epoch=0) == 0
+    assert open_index(spark, t).docs.count() == 200
