@@ -39,8 +39,9 @@ def _slice_of(key: Column, bounds: list[Column]) -> Column:
 def _cut_points(df: DataFrame, cols: list[str], slices: int) -> list[Column]:
     """Sorted cut points of ``struct(cols)``: at most ``slices - 1`` literals.
 
-    Runs a count and a sample of about ``20 x slices`` keys (bounded, whatever
-    the input size); only the cut points reach the driver.
+    Runs a count and one sample job of about ``20 x slices`` keys, whatever
+    the input size; the sorted sample comes to the driver, which keeps
+    ``slices - 1`` evenly spaced keys.
     """
     if slices <= 1:
         return []
@@ -49,13 +50,11 @@ def _cut_points(df: DataFrame, cols: list[str], slices: int) -> list[Column]:
         return []
     fraction = min(1.0, _SAMPLE_PER_SLICE * slices / total)
     key = F.struct(*[F.col(c) for c in cols]).alias("_k")
-    picked = (
-        df.select(key).sample(withReplacement=False, fraction=fraction, seed=_SAMPLE_SEED)
-        .withColumn("_i", F.row_number().over(Window.orderBy("_k")))
-    )
-    n = picked.count()
-    step = max(1, -(-n // slices))
-    rows = picked.where((F.col("_i") % step) == 0).orderBy("_i").select("_k").collect()
+    # About 20 keys per slice (binomial around that, so bounded in practice).
+    sample = (df.select(key).sample(withReplacement=False, fraction=fraction, seed=_SAMPLE_SEED)
+              .orderBy("_k").collect())
+    step = len(sample) / slices
+    rows = [sample[int(step * i)] for i in range(1, slices)] if sample else []
     types = {f.name: f.dataType for f in df.schema.fields}
     out, last = [], None
     for r in rows[: slices - 1]:

@@ -27,6 +27,9 @@ from .build import Index, bucket_of
 K1 = 1.2
 B = 0.75
 
+# Largest top-k result fetched with pushed (shard, doc) filters.
+FETCH_PUSHDOWN_ROWS = 10_000
+
 _INT_RANGE = {T.IntegerType: (-(2 ** 31), 2 ** 31 - 1), T.LongType: (-(2 ** 63), 2 ** 63 - 1)}
 
 
@@ -250,11 +253,31 @@ class Search:
         return tuple(self.index.spec.stored)
 
     def _fetch(self, ranked: DataFrame, bound: int | None) -> DataFrame:
-        """Join ranked hits to their stored fields (late materialisation)."""
+        """Join ranked hits to their stored fields (late materialisation).
+
+        On a saved index with a small proven bound (top-k), this is a
+        two-phase fetch: the k survivors are computed first (at most
+        ``bound`` rows reach the driver), then ``docs`` is read with a pushed
+        ``shard = s AND doc IN (...)`` filter, so Parquet row-group statistics
+        skip almost every row group instead of scanning all documents.
+        """
         stored = self._stored()
         if not stored:
             return ranked
-        docs = self.index.docs.select("shard", "doc", *stored)
+        idx = self.index
+        docs = idx.docs.select("shard", "doc", *stored)
+        if idx.bucketed and bound is not None and bound <= FETCH_PUSHDOWN_ROWS:
+            spark = idx.sparkSession
+            keys = ranked.collect()
+            local = spark.createDataFrame(keys, ranked.schema)
+            if not keys:
+                return local.join(docs.where(_false()), ["shard", "doc"])
+            by_shard: dict[int, list[int]] = {}
+            for r in keys:
+                by_shard.setdefault(r["shard"], []).append(r["doc"])
+            cond = reduce(lambda a, b: a | b, [
+                (F.col("shard") == F.lit(s)) & F.col("doc").isin(sorted(ds)) for s, ds in sorted(by_shard.items())])
+            return F.broadcast(local).join(docs.where(cond), ["shard", "doc"])
         small = bounded_broadcast(ranked, bound) if bound is not None else ranked
         return small.join(docs, ["shard", "doc"])
 
