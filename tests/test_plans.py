@@ -31,10 +31,15 @@ def test_term_prunes_bucket_and_pushes_term(saved):
 
 
 def test_topk_per_shard_is_partial(saved):
-    p = plan(saved.search(term("text", "the")).top_k_per_shard(10))
+    p = plan(saved.search(term("text", "the")).top_k_per_shard(10, fetch=False))
     assert p.count("WindowGroupLimit") >= 1
 
 
+def test_late_fetch_pushes_keys(saved):
+    p = plan(saved.search(term("text", "the")).top_k_per_shard(10))
+    assert "PushedFilters: [Or(" in p and "In(doc" in p
+
+
 def test_global_topk_takes_ordered(saved):
     p = plan(saved.search(term("text", "the")).top_k(10, fetch=False))
     assert "TakeOrderedAndProject" in p
