@@ -19,6 +19,10 @@ from .build import Index, bucket_of
 from .search import _bm25
 
 
+# Lookup value lists up to this length are also pushed as literal IN filters.
+INLINE_VALUES = 1000
+
+
 def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataFrame:
     """Hits of every lookup: ``query_id, shard, doc, score`` (+ ``rank`` with
     ``k``: the k best per lookup and shard, score descending then doc)."""
@@ -30,9 +34,17 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
     n = lk.limit(limit + 1).count()
     small = n <= limit
     shards = index.num_shards if index.num_shards is not None else 10 ** 12
+    # A small lookup set is also read on the driver (bounded by the check):
+    # fields without lookups get no branch, and short value lists become
+    # literal filters that prune buckets and row groups statically.
+    values: dict[str, list[str]] | None = None
+    if small:
+        values = {}
+        for r in lk.select("field", "term").distinct().collect():
+            values.setdefault(r["field"], []).append(r["term"])
 
     parts = []
-    indexed = list(spec.indexed)
+    indexed = [f for f in spec.indexed if values is None or f in values]
     if indexed:
         lk_post = lk.where(F.col("field").isin(indexed)).withColumn("_text", F.col("field").isin(list(spec.text)))
         keys = ["field", "term"]
@@ -40,7 +52,14 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
             lk_post = lk_post.withColumn("bucket", bucket_of(F.col("term"), index.num_buckets))
             keys.append("bucket")
         side = F.broadcast(lk_post) if small else lk_post
-        rows = index.postings.join(side, keys)
+        postings = index.postings
+        terms = sorted({t for f in indexed for t in values[f] if t is not None}) if values is not None else None
+        if terms is not None and len(terms) <= INLINE_VALUES:
+            cond = F.col("term").isin(terms)
+            if index.bucketed:
+                cond = F.col("bucket").isin(*[bucket_of(F.lit(t), index.num_buckets) for t in terms]) & cond
+            postings = postings.where(cond)
+        rows = postings.join(side, keys)
         stats = index.stats.where(F.col("field").isNotNull())
         dfs = (
             rows.groupBy("query_id", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))
@@ -58,12 +77,18 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
         )
     doc_types = {f.name: f.dataType for f in index.docs.schema.fields}
     for name in spec.numeric:
+        if values is not None and name not in values:
+            continue
         dtype = doc_types[name]
         lk_num = lk.where(F.col("field") == name).select(
             "query_id", F.expr(f"try_cast(term AS {dtype.simpleString()})").alias("_v"))
         side = F.broadcast(lk_num) if small else lk_num
+        docs = index.docs.select("shard", "doc", name)
+        if values is not None and len(values[name]) <= INLINE_VALUES:
+            nums = [r["_v"] for r in lk_num.select("_v").distinct().collect() if r["_v"] is not None]
+            docs = docs.where(F.col(name).isin(nums)) if nums else docs.where(F.lit(False))
         parts.append(
-            index.docs.select("shard", "doc", name)
+            docs
             .join(side, F.col(name) == F.col("_v"))
             .select("query_id", "shard", "doc", F.lit(1.0).alias("score"))
         )
