@@ -21,6 +21,10 @@ from ..plans.broadcast import bounded_broadcast
 _LOW_BITS = (1 << 33) - 1
 _SAMPLE_PER_SLICE = 20
 _SAMPLE_SEED = 7
+# Slices: at least the shuffle parallelism, about a million rows each, and at
+# most 4096 so the slice expression (a comparison tree) stays small.
+ROWS_PER_SLICE = 1_000_000
+MAX_SLICES = 4096
 
 
 def _slice_of(key: Column, bounds: list[Column]) -> Column:
@@ -36,17 +40,14 @@ def _slice_of(key: Column, bounds: list[Column]) -> Column:
     return build(0, len(bounds))
 
 
-def _cut_points(df: DataFrame, cols: list[str], slices: int) -> list[Column]:
+def _cut_points(df: DataFrame, cols: list[str], slices: int, total: int) -> list[Column]:
     """Sorted cut points of ``struct(cols)``: at most ``slices - 1`` literals.
 
-    Runs a count and one sample job of about ``20 x slices`` keys, whatever
+    Runs one sample job of about ``20 x slices`` keys, whatever
     the input size; the sorted sample comes to the driver, which keeps
     ``slices - 1`` evenly spaced keys.
     """
-    if slices <= 1:
-        return []
-    total = df.count()
-    if total == 0:
+    if slices <= 1 or total == 0:
         return []
     fraction = min(1.0, _SAMPLE_PER_SLICE * slices / total)
     key = F.struct(*[F.col(c) for c in cols]).alias("_k")
@@ -81,9 +82,14 @@ def number_within(
     the broadcast of block offsets.
     """
     spark = df.sparkSession
-    slices = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = df.count()
+    if num_partitions:
+        slices = num_partitions
+    else:
+        parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        slices = min(MAX_SLICES, max(parallel, -(-total // ROWS_PER_SLICE)))
     cols = [group, *order]
-    bounds = _cut_points(df, cols, slices)
+    bounds = _cut_points(df, cols, slices, total)
     key = F.struct(*[F.col(c) for c in cols])
     sliced = df.withColumn("_slice", _slice_of(key, bounds))
     local = Window.partitionBy("_slice", group).orderBy(*[F.col(c) for c in order])
