@@ -71,11 +71,18 @@ def _live(manifest: list[dict]) -> list[dict]:
     return manifest[start:]
 
 
+def _write_stats(stats: DataFrame, out: str, name: str) -> int:
+    """Write the (tiny) stats and return the shard-count bound seen while
+    writing (max shard + 1), without a second job."""
+    obs = Observation(name)
+    (stats.observe(obs, F.max("shard").alias("top")).coalesce(1)
+     .write.mode("errorifexists").parquet(out))
+    top = obs.get["top"]
+    return int(top) + 1 if top is not None else 0
+
+
 def _publish(spark: SparkSession, path: str, gen: int, kind: str, spec: IndexSpec, num_buckets: int,
-             doc_rows: int, epoch: int | None) -> None:
-    # Shard count bound from this generation's stats (a few rows per shard).
-    top = spark.read.parquet(f"{path}/stats/gen={gen}").agg(F.max("shard")).first()[0]
-    num_shards = int(top) + 1 if top is not None else 0
+             num_shards: int, doc_rows: int, epoch: int | None) -> None:
     row = [(kind, json.dumps(spec.to_dict()), num_buckets, num_shards, doc_rows,
             datetime.now(timezone.utc).isoformat(), epoch)]
     (spark.createDataFrame(row, _MANIFEST_SCHEMA).coalesce(1)
@@ -153,9 +160,9 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     written = spark.read.parquet(docs_path)
     # 2. postings and 3. stats from the written documents.
     _write_postings(postings_of(written, index.spec), f"{path}/postings/gen={gen}", index.num_buckets)
-    stats_of(written, index.spec).coalesce(1).write.mode("errorifexists").parquet(f"{path}/stats/gen={gen}")
+    shards = _write_stats(stats_of(written, index.spec), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
     # 4. publish.
-    _publish(spark, path, gen, kind, index.spec, index.num_buckets, rows, epoch)
+    _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch)
     return rows
 
 
@@ -200,6 +207,6 @@ def compact(spark: SparkSession, table: str) -> Index:
      .write.mode("errorifexists").parquet(f"{path}/docs/gen={gen}"))
     rows = int(obs.get["rows"])
     _write_postings(current.postings.drop("bucket"), f"{path}/postings/gen={gen}", current.num_buckets)
-    current.stats.coalesce(1).write.mode("errorifexists").parquet(f"{path}/stats/gen={gen}")
-    _publish(spark, path, gen, "base", current.spec, current.num_buckets, rows, None)
+    shards = _write_stats(current.stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
+    _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None)
     return open_index(spark, table)
