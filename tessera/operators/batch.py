@@ -34,11 +34,12 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
     n = lk.limit(limit + 1).count()
     small = n <= limit
     shards = index.num_shards if index.num_shards is not None else 10 ** 12
-    # A small lookup set is also read on the driver (bounded by the check):
-    # fields without lookups get no branch, and short value lists become
-    # literal filters that prune buckets and row groups statically.
+    # A short lookup list (at most INLINE_VALUES rows) is also read on the
+    # driver: fields without lookups get no branch, and the values become
+    # literal filters that prune buckets and row groups statically.  Longer
+    # lists rely on the broadcast join and dynamic partition pruning.
     values: dict[str, list[str]] | None = None
-    if small:
+    if n <= INLINE_VALUES:
         values = {}
         for r in lk.select("field", "term").distinct().collect():
             values.setdefault(r["field"], []).append(r["term"])
@@ -54,7 +55,7 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
         side = F.broadcast(lk_post) if small else lk_post
         postings = index.postings
         terms = sorted({t for f in indexed for t in values[f] if t is not None}) if values is not None else None
-        if terms is not None and len(terms) <= INLINE_VALUES:
+        if terms is not None:
             cond = F.col("term").isin(terms)
             if index.bucketed:
                 cond = F.col("bucket").isin(*[bucket_of(F.lit(t), index.num_buckets) for t in terms]) & cond
@@ -84,7 +85,7 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
             "query_id", F.expr(f"try_cast(term AS {dtype.simpleString()})").alias("_v"))
         side = F.broadcast(lk_num) if small else lk_num
         docs = index.docs.select("shard", "doc", name)
-        if values is not None and len(values[name]) <= INLINE_VALUES:
+        if values is not None:
             nums = [r["_v"] for r in lk_num.select("_v").distinct().collect() if r["_v"] is not None]
             docs = docs.where(F.col(name).isin(nums)) if nums else docs.where(F.lit(False))
         parts.append(
