@@ -21,9 +21,10 @@ from ..plans.broadcast import bounded_broadcast
 _LOW_BITS = (1 << 33) - 1
 _SAMPLE_PER_SLICE = 20
 _SAMPLE_SEED = 7
-# Slices: at least the shuffle parallelism, about a million rows each, and at
-# most 4096 so the slice expression (a comparison tree) stays small.
-ROWS_PER_SLICE = 1_000_000
+# Slices: about 250,000 rows each (a small input is one slice and needs no
+# sample), and at most 4096 so the slice expression (a comparison tree)
+# stays small.
+ROWS_PER_SLICE = 250_000
 MAX_SLICES = 4096
 
 
@@ -81,13 +82,11 @@ def number_within(
     ``group_bound`` is a proven upper bound on the number of groups; it sizes
     the broadcast of block offsets.
     """
-    spark = df.sparkSession
     total = df.count()
     if num_partitions:
         slices = num_partitions
     else:
-        parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        slices = min(MAX_SLICES, max(parallel, -(-total // ROWS_PER_SLICE)))
+        slices = min(MAX_SLICES, max(1, -(-total // ROWS_PER_SLICE)))
     cols = [group, *order]
     bounds = _cut_points(df, cols, slices, total)
     key = F.struct(*[F.col(c) for c in cols])
