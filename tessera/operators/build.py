@@ -118,29 +118,73 @@ def _keyword_values(df: DataFrame, name: str) -> Column:
     return F.when(F.col(name).isNotNull(), F.array(F.col(name)))
 
 
-def postings_of(docs: DataFrame, spec: IndexSpec) -> DataFrame:
-    """Postings of every text and keyword field.
+def _bind(value: Column, fn) -> Column:
+    """``fn(v)`` with ``v`` bound to ``value`` once per row.
+
+    A lambda variable holds a value; an expression referred to inside a
+    lambda (or twice after projections are merged by the optimizer) would be
+    evaluated again at each use."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def _entry(term: Column, tf: Column, dl: Column) -> Column:
+    return F.struct(term.cast("string").alias("term"), tf.cast("bigint").alias("tf"), dl.cast("bigint").alias("dl"))
+
+
+def _text_entries(tokens_col: Column, norms: bool) -> Column:
+    """``array<struct<term, tf, dl>>`` of one text field of one document,
+    computed inside the row (no shuffle): the distinct tokens with their
+    counts, plus the norm entry (term NULL) when ``norms``.
+
+    The tokens are sorted, so equal tokens form runs; ``e`` holds the
+    0-based end of each run and a count is the distance to the previous end.
+    An empty or NULL field gives NULL (no rows).
+    """
+
+    def per_doc(s: Column) -> Column:
+        n = F.size(s)
+        ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == n - 1) | (F.get(s, i) != F.get(s, i + 1)))
+        runs = _bind(ends, lambda e: F.transform(e, lambda x, j: _entry(
+            F.get(s, x), x - F.coalesce(F.get(e, j - 1), F.lit(-1)), n)))
+        if norms:
+            runs = F.concat(F.array(_entry(F.lit(None), F.lit(None), n)), runs)
+        return F.when(n > 0, runs)
+
+    return _bind(F.sort_array(tokens_col), per_doc)
+
 
-    Text: tokens are exploded with the field length and counted per
-    ``(shard, doc, field, term)``; the aggregate combines map-side, so only
-    distinct (document, term) pairs are shuffled, and the keys include the
-    document, so a very common term does not make a hot key.
+def _keyword_entries(values: Column, norms: bool) -> Column:
+    entries = F.transform(values, lambda v: _entry(v, F.lit(1), F.lit(None)))
+    if norms:
+        entries = F.when(F.size(values) > 0, F.concat(F.array(_entry(F.lit(None), F.lit(None), F.lit(None))), entries))
+    return entries
+
+
+def index_rows(docs: DataFrame, spec: IndexSpec, norms: bool = False) -> DataFrame:
+    """Postings of every text and keyword field:
+    ``shard, doc, field, term, tf, dl``.
+
+    Text: term counts are computed inside each document's row (sorted tokens,
+    run lengths), so no shuffle is needed and a very common term is never a
+    hot key.  Keyword: one row per distinct value, ``tf = 1``, ``dl`` NULL.
+
+    With ``norms`` the frame also holds one *norm* row per document and
+    field it has (``term`` and ``tf`` NULL, ``dl`` = field length) and one per
+    document with ``field`` NULL.  Saving writes them beside the postings in
+    the same job, and the per-shard stats are aggregated from them, so the
+    text is tokenized once per build.
     """
     parts = []
     for name in spec.text:
-        toks = (
-            docs.select("shard", "doc", _field_tokens(docs, name).alias("_t"))
-            .select("shard", "doc", F.lit(name).alias("field"),
-                    F.size("_t").cast("bigint").alias("dl"), F.explode("_t").alias("term"))
-        )
-        parts.append(
-            toks.groupBy("shard", "doc", "field", "term")
-            .agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
-        )
+        entries = _text_entries(_field_tokens(docs, name), norms)
+        parts.append(docs.select("shard", "doc", F.lit(name).alias("field"), F.inline(entries)))
     for name in spec.keyword:
-        vals = docs.select("shard", "doc", F.explode(_keyword_values(docs, name)).alias("term"))
-        parts.append(vals.select("shard", "doc", F.lit(name).alias("field"), "term",
-                                 F.lit(1).cast("bigint").alias("tf"), F.lit(None).cast("bigint").alias("dl")))
+        entries = _keyword_entries(_keyword_values(docs, name), norms)
+        parts.append(docs.select("shard", "doc", F.lit(name).alias("field"), F.inline(entries)))
+    if norms:
+        parts.append(docs.select("shard", "doc", F.lit(None).cast("string").alias("field"),
+                                 F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("tf"),
+                                 F.lit(None).cast("bigint").alias("dl")))
     if not parts:
         spark = docs.sparkSession
         return spark.createDataFrame([], "shard int, doc bigint, field string, term string, tf bigint, dl bigint")
@@ -150,6 +194,18 @@ def postings_of(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     return out
 
 
+def postings_of(docs: DataFrame, spec: IndexSpec) -> DataFrame:
+    """Postings of every text and keyword field (see :func:`index_rows`)."""
+    return index_rows(docs, spec)
+
+
+def stats_from_norms(norms: DataFrame) -> DataFrame:
+    """Per-shard stats from norm rows: one partial aggregate, shards x
+    (fields + 1) rows out."""
+    return norms.groupBy("shard", "field").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs"), F.sum("dl").cast("bigint").alias("sum_dl"))
+
+
 def stats_of(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     """Per shard and field: documents having the field and their total length.
 

@@ -5,6 +5,8 @@ Layout under ``<base>/<table>/``::
     docs/gen=<g>/...                 shard, doc, <spec columns>
     postings/gen=<g>/bucket=<b>/...  shard, doc, field, term, tf, dl
                                      (sorted by field, term, shard, doc)
+    postings/gen=<g>/bucket=-1/...   norms: one row per document and field
+                                     (term NULL, dl = field length)
     stats/gen=<g>/...                shard, field, n_docs, sum_dl
     _manifest/gen=<g>/...            one row per published generation
 
@@ -27,10 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..config import table_path
-from ..operators.build import Index, bucket_of, postings_of, stats_of
+from ..operators.build import Index, bucket_of, index_rows, stats_from_norms
 from ..operators.spec import IndexSpec
 from ..plans.broadcast import checked_broadcast
 
+# Partition of the postings directory holding the norm rows.
+NORMS_BUCKET = -1
+_POSTINGS_SCHEMA = "shard int, doc bigint, field string, term string, tf bigint, dl bigint, bucket int"
+
 _MANIFEST_SCHEMA = (
     "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint"
 )
@@ -93,8 +99,9 @@ def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
     """Cluster postings by term: rebalance on ``bucket`` (AQE splits a hot
     bucket and coalesces small ones), sort inside each task, and write one
     directory per bucket.  Lookups prune directories by bucket and row
-    groups by term."""
-    (postings.withColumn("bucket", bucket_of(F.col("term"), num_buckets))
+    groups by term.  Norm rows (term NULL) go to ``bucket=-1``."""
+    bucket = F.when(F.col("term").isNull(), F.lit(NORMS_BUCKET)).otherwise(bucket_of(F.col("term"), num_buckets))
+    (postings.withColumn("bucket", bucket)
      .hint("rebalance", "bucket")
      .sortWithinPartitions("bucket", "field", "term", "shard", "doc")
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
@@ -158,9 +165,12 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
      .write.mode("errorifexists").parquet(docs_path))
     rows = int(obs.get["rows"])
     written = spark.read.parquet(docs_path)
-    # 2. postings and 3. stats from the written documents.
-    _write_postings(postings_of(written, index.spec), f"{path}/postings/gen={gen}", index.num_buckets)
-    shards = _write_stats(stats_of(written, index.spec), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
+    # 2. postings and norms of the written documents, in one job (the text
+    #    is tokenized once); 3. stats aggregated from the norms.
+    postings_path = f"{path}/postings/gen={gen}"
+    _write_postings(index_rows(written, index.spec, norms=True), postings_path, index.num_buckets)
+    norms = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET)
+    shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
     # 4. publish.
     _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch)
     return rows
@@ -177,7 +187,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
     spec = IndexSpec.from_dict(json.loads(live[-1]["spec"]))
     num_buckets = live[-1]["num_buckets"]
     docs = _read_gens(spark, path, "docs", gens).drop("gen")
-    postings = (_read_gens(spark, path, "postings", gens)
+    postings = (_read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
                 .select("shard", "doc", "field", "term", "tf", "dl", "bucket"))
     stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
@@ -206,7 +216,11 @@ def compact(spark: SparkSession, table: str) -> Index:
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("errorifexists").parquet(f"{path}/docs/gen={gen}"))
     rows = int(obs.get["rows"])
-    _write_postings(current.postings.drop("bucket"), f"{path}/postings/gen={gen}", current.num_buckets)
+    # Postings and norms of every live generation (the norms partition is
+    # carried over as is).
+    entries = _read_gens(spark, path, "postings", list(current.generations)).select(
+        "shard", "doc", "field", "term", "tf", "dl")
+    _write_postings(entries, f"{path}/postings/gen={gen}", current.num_buckets)
     shards = _write_stats(current.stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
     _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None)
     return open_index(spark, table)
