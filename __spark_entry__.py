@@ -287,6 +287,23 @@ def q_w8_term_stats(spark, sf):
     return _docs_index(spark, sf).stats.select("shard", "field", "n_docs", "sum_dl")
 
 
+def q_w8_doc_freq(spark, sf):
+    """The term dictionary of a saved index: documents per (shard, field, term)."""
+    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "append")])
+    return open_index(spark, t).terms.groupBy("shard", "field", "term").agg(F.sum("df").cast("bigint").alias("df"))
+
+
+def q_b1_batch_saved(spark, sf):
+    t = _saved_docs(spark, sf, [(None, "errorifexists")])
+    return search_many(open_index(spark, t), _lookups(spark), k=10).select(
+        "query_id", "shard", "doc", _score(), "rank")
+
+
+def q_r5_topk_saved(spark, sf):
+    t = _saved_docs(spark, sf, [(None, "errorifexists")])
+    return open_index(spark, t).search(NESTED).top_k(10).select("shard", "doc", "doc_id", _score())
+
+
 def q_s2_shards(spark, sf):
     t = _saved_docs(spark, sf, [(None, "errorifexists")])
     return open_index(spark, t).shards()
@@ -466,6 +483,13 @@ UNION ALL SELECT shard, 'text', count(*), sum(len(toks))::BIGINT FROM d WHERE le
 UNION ALL SELECT shard, 'lang', count(*), NULL::BIGINT FROM d WHERE lang IS NOT NULL GROUP BY shard
 UNION ALL SELECT shard, 'source', count(*), NULL::BIGINT FROM d WHERE source IS NOT NULL GROUP BY shard""",
         "s2_shards": f"WITH {_docs_cte()} SELECT shard, count(*) AS n_docs FROM d GROUP BY shard",
+        "w8_doc_freq": f"""WITH {_docs_cte()}, {_POSTINGS}
+SELECT shard, 'text' AS field, term, count(*) AS df FROM post GROUP BY shard, term
+UNION ALL SELECT shard, 'lang', lang, count(*) FROM d WHERE lang IS NOT NULL GROUP BY shard, lang
+UNION ALL SELECT shard, 'source', source, count(*) FROM d WHERE source IS NOT NULL GROUP BY shard, source""",
+        "b1_batch_saved": f"""{_BATCH} SELECT query_id, shard, doc, round(s, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
+        "r5_topk_saved": f"{_NESTED} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits ORDER BY s DESC, shard, doc LIMIT 10",
         "s3_fields": """SELECT 'doc_id' AS field FROM documents WHERE doc_id IS NOT NULL
 UNION SELECT 'lang' FROM documents WHERE lang IS NOT NULL
 UNION SELECT 'source' FROM documents WHERE source IS NOT NULL""",

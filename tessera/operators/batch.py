@@ -62,8 +62,15 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
             postings = postings.where(cond)
         rows = postings.join(side, keys)
         stats = index.stats.where(F.col("field").isNotNull())
+        if index.terms is not None:
+            # Document frequencies from the term dictionary (same pruning).
+            dictionary = index.terms.where(cond) if terms is not None else index.terms
+            per_query = (dictionary.join(side, keys)
+                         .groupBy("query_id", "field", "shard").agg(F.sum("df").alias("_df")))
+        else:
+            per_query = rows.groupBy("query_id", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))
         dfs = (
-            rows.groupBy("query_id", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))
+            per_query
             .join(stats, ["shard", "field"])
             .select("query_id", "shard", "_df", F.col("n_docs").alias("_n"),
                     (F.col("sum_dl") / F.col("n_docs")).alias("_avgdl"))

@@ -10,6 +10,8 @@ the three datasets.  Shape of an index:
               field, NULL for keywords)
 ``stats``     shard int, field string, n_docs bigint, sum_dl bigint
               (field NULL: all documents of the shard; additive over appends)
+``terms``     shard int, field string, term string, df bigint (saved indexes
+              only: the term dictionary; additive over appends)
 """
 
 from __future__ import annotations
@@ -53,6 +55,10 @@ class Index:
     num_shards: int | None = None
     table: str | None = None
     generations: tuple = field(default_factory=tuple)
+    # Saved indexes: document frequency per (shard, field, term), one row per
+    # generation, partitioned by ``bucket`` like the postings (the term
+    # dictionary).  None for an in-memory index: counted from postings.
+    terms: DataFrame | None = None
 
     @property
     def sparkSession(self):
@@ -89,16 +95,19 @@ class Index:
 
     # -- caching -------------------------------------------------------------
     def cache(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Index":
-        """Keep the three datasets in executor memory across searches."""
-        for df in (self.docs, self.postings, self.stats):
+        """Keep the datasets in executor memory across searches."""
+        for df in self._frames():
             df.persist(level)
         return self
 
     def unpersist(self) -> "Index":
-        for df in (self.docs, self.postings, self.stats):
+        for df in self._frames():
             df.unpersist()
         return self
 
+    def _frames(self) -> list[DataFrame]:
+        return [df for df in (self.docs, self.postings, self.stats, self.terms) if df is not None]
+
     def with_frames(self, **kw) -> "Index":
         return replace(self, **kw)
 

@@ -2,8 +2,9 @@
 
 Plan shape (see README):
   postings scan (bucket pruning + pushed ``term IN``) -> broadcast join with
-  the query's leaves -> per-(leaf, shard) document frequency (partial
-  aggregate, broadcast back) -> BM25 per posting -> one ``groupBy(shard, doc)``
+  the query's leaves -> per-(leaf, shard) document frequency (from the term
+  dictionary of a saved index, else a partial aggregate of the matching
+  postings; broadcast back) -> BM25 per posting -> one ``groupBy(shard, doc)``
   only when the tree has more than one leaf -> tree score -> filter.
 Numeric leaves and match-all read ``docs`` (numeric filters pushed to the
 scan).  Stored fields are joined last, after ranking and limits.
@@ -185,8 +186,15 @@ class Search:
         if not with_scores:
             return rows.select("shard", "doc", "_leaf", F.lit(1.0).alias("_score"))
         stats = idx.stats.where(F.col("field").isNotNull())
+        if idx.terms is not None:
+            # Term dictionary: the same pruned lookup on a small dataset, so
+            # the matching postings are read once (for scoring) only.
+            per_leaf = (idx.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"])
+                        .groupBy("_leaf", "field", "shard").agg(F.sum("df").alias("_df")))
+        else:
+            per_leaf = rows.groupBy("_leaf", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))
         dfs = (
-            rows.groupBy("_leaf", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))
+            per_leaf
             .join(stats, ["shard", "field"])
             .select("_leaf", "shard", "_df", F.col("n_docs").alias("_n"),
                     (F.col("sum_dl") / F.col("n_docs")).alias("_avgdl"))

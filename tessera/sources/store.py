@@ -7,6 +7,8 @@ Layout under ``<base>/<table>/``::
                                      (sorted by field, term, shard, doc)
     postings/gen=<g>/bucket=-1/...   norms: one row per document and field
                                      (term NULL, dl = field length)
+    terms/gen=<g>/bucket=<b>/...     shard, field, term, df (document frequency;
+                                     sorted by field, term, shard)
     stats/gen=<g>/...                shard, field, n_docs, sum_dl
     _manifest/gen=<g>/...            one row per published generation
 
@@ -63,7 +65,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _next_gen(spark: SparkSession, path: str, manifest: list[dict]) -> int:
     """First generation number not used by a published or a failed write."""
     gen = (manifest[-1]["gen"] + 1) if manifest else 0
-    while any(_exists(spark, f"{path}/{d}/gen={gen}") for d in ("docs", "postings", "stats", "_manifest")):
+    while any(_exists(spark, f"{path}/{d}/gen={gen}") for d in ("docs", "postings", "terms", "stats", "_manifest")):
         gen += 1
     return gen
 
@@ -107,11 +109,38 @@ def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
 
+def _write_terms(spark: SparkSession, postings_path: str, out: str) -> None:
+    """The term dictionary of one generation: document frequency per
+    ``(field, term, shard)``, read from the written postings.
+
+    The aggregate combines map-side (postings files are sorted by term, so
+    each task emits about one row per term and shard), and only those rows
+    are shuffled; they are then clustered by bucket like the postings.  A
+    search looks up its terms here instead of counting matching postings
+    a second time.
+    """
+    rows = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") != NORMS_BUCKET)
+    (rows.groupBy("bucket", "field", "term", "shard").agg(F.count(F.lit(1)).alias("df"))
+     .hint("rebalance", "bucket")
+     .sortWithinPartitions("bucket", "field", "term", "shard")
+     .write.mode("errorifexists").partitionBy("bucket").parquet(out))
+
+
+_TERMS_SCHEMA = "shard int, field string, term string, df bigint, bucket int"
+_STATS_SCHEMA = "shard int, field string, n_docs bigint, sum_dl bigint"
+# Fixed schemas of the datasets whose layout does not depend on the input (a
+# generation of an empty input has no files to infer them from).
+_SCHEMAS = {"postings": _POSTINGS_SCHEMA, "terms": _TERMS_SCHEMA, "stats": _STATS_SCHEMA}
+
+
 def _read_gens(spark: SparkSession, path: str, dataset: str, gens: list[int]) -> DataFrame:
     """One dataset over the given generations only: nothing else is listed,
     and unpublished directories never take part in schema inference."""
     base = f"{path}/{dataset}"
-    return spark.read.option("basePath", base).parquet(*[f"{base}/gen={g}" for g in gens])
+    reader = spark.read.option("basePath", base)
+    if dataset in _SCHEMAS:
+        reader = reader.schema(_SCHEMAS[dataset] + ", gen int")
+    return reader.parquet(*[f"{base}/gen={g}" for g in gens])
 
 
 def _shard_offsets(spark: SparkSession, path: str, live: list[dict]) -> DataFrame:
@@ -169,6 +198,7 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     #    is tokenized once); 3. stats aggregated from the norms.
     postings_path = f"{path}/postings/gen={gen}"
     _write_postings(index_rows(written, index.spec, norms=True), postings_path, index.num_buckets)
+    _write_terms(spark, postings_path, f"{path}/terms/gen={gen}")
     norms = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET)
     shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
     # 4. publish.
@@ -189,6 +219,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
     docs = _read_gens(spark, path, "docs", gens).drop("gen")
     postings = (_read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
                 .select("shard", "doc", "field", "term", "tf", "dl", "bucket"))
+    terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", "df", "bucket")
     stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
              .agg(F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl")))
@@ -202,6 +233,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
         num_shards=max(m["num_shards"] for m in live),
         table=table,
         generations=tuple(gens),
+        terms=terms,
     )
 
 
@@ -221,6 +253,7 @@ def compact(spark: SparkSession, table: str) -> Index:
     entries = _read_gens(spark, path, "postings", list(current.generations)).select(
         "shard", "doc", "field", "term", "tf", "dl")
     _write_postings(entries, f"{path}/postings/gen={gen}", current.num_buckets)
+    _write_terms(spark, f"{path}/postings/gen={gen}", f"{path}/terms/gen={gen}")
     shards = _write_stats(current.stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
     _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None)
     return open_index(spark, table)

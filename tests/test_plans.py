@@ -62,3 +62,10 @@ def test_bool_tree_scans_postings_once_per_role(saved):
     p = plan(saved.search(q).count_frame())
     # counting needs no statistics: stats are never read
     assert "/stats/" not in p
+
+
+def test_saved_search_reads_postings_once(saved):
+    # Document frequencies come from the term dictionary, not a second scan.
+    p = plan(saved.search(must(term("text", "the"), term("lang", "en"))).scored())
+    assert len(re.findall(r"FileScan parquet [^\n]*/postings/", p)) == 1
+    assert len(re.findall(r"FileScan parquet [^\n]*/terms/", p)) == 1

@@ -106,3 +106,12 @@ def test_stream_append_is_idempotent(spark, tmp_path):
     # A replayed epoch is skipped.
     assert save(_docs(spark), t, mode="append", epoch=0) == 0
     assert open_index(spark, t).docs.count() == 200
+
+
+def test_empty_input_saves_and_opens(spark):
+    t = _name()
+    assert save(_docs(spark, F.lit(False)), t) == 0
+    idx = open_index(spark, t)
+    assert idx.search(term("text", "the")).count() == 0
+    assert idx.search().count() == 0
+    assert idx.terms.count() == 0 and idx.stats.count() == 0
