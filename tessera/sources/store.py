@@ -115,12 +115,17 @@ def _write_terms(spark: SparkSession, postings_path: str, out: str) -> None:
 
     The aggregate combines map-side (postings files are sorted by term, so
     each task emits about one row per term and shard), and only those rows
-    are shuffled; they are then clustered by bucket like the postings.  A
-    search looks up its terms here instead of counting matching postings
-    a second time.
+    are shuffled.  A search looks up its terms here instead of counting
+    matching postings a second time.
     """
     rows = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") != NORMS_BUCKET)
-    (rows.groupBy("bucket", "field", "term", "shard").agg(F.count(F.lit(1)).alias("df"))
+    _write_dictionary(rows.groupBy("bucket", "field", "term", "shard").agg(F.count(F.lit(1)).alias("df")), out)
+
+
+def _write_dictionary(terms: DataFrame, out: str) -> None:
+    """Write ``bucket, field, term, shard, df`` clustered by bucket like the
+    postings: one directory per bucket, sorted by term."""
+    (terms.select("bucket", "field", "term", "shard", F.col("df").cast("bigint").alias("df"))
      .hint("rebalance", "bucket")
      .sortWithinPartitions("bucket", "field", "term", "shard")
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
@@ -253,7 +258,9 @@ def compact(spark: SparkSession, table: str) -> Index:
     entries = _read_gens(spark, path, "postings", list(current.generations)).select(
         "shard", "doc", "field", "term", "tf", "dl")
     _write_postings(entries, f"{path}/postings/gen={gen}", current.num_buckets)
-    _write_terms(spark, f"{path}/postings/gen={gen}", f"{path}/terms/gen={gen}")
+    # Dictionaries are additive: sum the live ones (no postings scan).
+    _write_dictionary(current.terms.groupBy("bucket", "field", "term", "shard").agg(F.sum("df").alias("df")),
+                      f"{path}/terms/gen={gen}")
     shards = _write_stats(current.stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
     _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None)
     return open_index(spark, table)
