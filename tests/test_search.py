@@ -140,3 +140,19 @@ def test_multivalued(spark):
     assert ids(idx.search(term("nums", 3))) == [2]
     tf = idx.postings.where("field = 'notes' and term = 'y'").first()
     assert (tf["tf"], tf["dl"]) == (2, 3)
+
+
+def test_ranked_equals_window_rank(spark):
+    # The session has a checkpoint folder (conftest), so ranked() goes through
+    # the checkpointed path; it must equal a plain row_number per shard.
+    from pyspark.sql import Window
+
+    assert spark.sparkContext.getCheckpointDir()
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    spec = IndexSpec(text=["text"], keyword=["lang"], stored=["doc_id"])
+    s = build_index(d, spec, shard_by=F.pmod("doc_id", F.lit(3)), num_shards=3, order_by=["doc_id"]).search(
+        should(term("text", "the"), term("lang", "de")))
+    w = Window.partitionBy("shard").orderBy(F.desc("score"), "doc")
+    want = {tuple(r) for r in s.scored().select("shard", "doc", F.row_number().over(w).alias("rank")).collect()}
+    got = {tuple(r) for r in s.ranked().select("shard", "doc", "rank").collect()}
+    assert got == want and len(got) > 100
