@@ -89,3 +89,16 @@ def test_saved_postings_hide_norms(spark):
     a = {tuple(r) for r in opened.stats.select("shard", "field", "n_docs", "sum_dl").collect()}
     b = {tuple(r) for r in idx.stats.select("shard", "field", "n_docs", "sum_dl").collect()}
     assert a == b
+
+
+def test_split_tokens_equal_regex_extraction(spark):
+    # The tokenizer splits on separator runs; it must give exactly the
+    # maximal runs of letters and digits, on every document.
+    from tessera import TOKEN_PATTERN, tokens
+
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        "text", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN_PATTERN), 0).alias("want"))
+    assert d.where(~F.coalesce(tokens("text") == F.col("want"), F.lit(False))).count() == 0
+    awkward = spark.createDataFrame([(t,) for t in TEXTS if t is not None], "text string")
+    got = [r[0] for r in awkward.select(tokens("text")).collect()]
+    assert got == [_tokens(t) for t in TEXTS if t is not None]
