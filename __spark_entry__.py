@@ -29,6 +29,9 @@ DOC_SPEC = IndexSpec(text=["text"], keyword=["lang", "source"], numeric=["n_char
 PART_SPEC = IndexSpec(text=["p_name"], keyword=["p_brand", "p_type"], numeric=["p_size", "p_retailprice"],
                       stored=["p_partkey", "p_name"])
 BATCH_TERMS = ["the", "of", "de", "and", "to", "in", "zzzzqq"]
+# The int lookups of the reference's batch test (its string
+# lookups are a prefix followed by each of them).
+REF_INTS = [3, 100, 9999, 19999, 39999, 53245, 9876523]
 SPLIT = 500  # append tests write documents with doc_id < SPLIT first, then the rest
 
 
@@ -299,6 +302,19 @@ def q_b1_batch_saved(spark, sf):
         "query_id", "shard", "doc", _score(), "rank")
 
 
+def q_b1_batch_ints_strings(spark, sf):
+    """The reference's batch test shape: 7 int and 7 string lookups, top 10,
+    on a saved index (numeric field ``p_size``, keyword field ``p_brand``)."""
+    ensure_local_dirs(spark)
+    t = _table("part")
+    save(_part_index(spark, sf), t)
+    lookups = spark.createDataFrame(
+        [(i + 1, "p_size", str(v)) for i, v in enumerate(REF_INTS)]
+        + [(101 + i, "p_brand", f"Brand#{v}") for i, v in enumerate(REF_INTS)],
+        "query_id int, field string, term string")
+    return search_many(open_index(spark, t), lookups, k=10).select("query_id", "shard", "doc", _score(), "rank")
+
+
 def q_r5_topk_saved(spark, sf):
     t = _saved_docs(spark, sf, [(None, "errorifexists")])
     return open_index(spark, t).search(NESTED).top_k(10).select("shard", "doc", "doc_id", _score())
@@ -412,6 +428,20 @@ hits AS (SELECT m.query_id, m.shard, m.doc,
 
 _PART = _numbered("part", "p_partkey", "p_partkey, p_size, p_retailprice", "x")
 
+_INT_LOOKUPS = ", ".join(f"({i + 1}, {v})" for i, v in enumerate(REF_INTS))
+_BRAND_LOOKUPS = ", ".join(f"({101 + i}, 'Brand#{v}')" for i, v in enumerate(REF_INTS))
+_BATCH_PART = f"""WITH {_numbered('part', 'p_partkey', 'p_partkey, p_size, p_brand', 'x')},
+li AS (SELECT * FROM (VALUES {_INT_LOOKUPS}) v(query_id, val)),
+ls AS (SELECT * FROM (VALUES {_BRAND_LOOKUPS}) v(query_id, term)),
+bm AS (SELECT ls.query_id, x.shard, x.doc FROM x JOIN ls ON x.p_brand = ls.term),
+bq AS (SELECT query_id, shard, count(*) AS df FROM bm GROUP BY query_id, shard),
+bn AS (SELECT shard, count(*) AS n FROM x WHERE p_brand IS NOT NULL GROUP BY shard),
+hits AS (
+  SELECT li.query_id, x.shard, x.doc, 1.0::DOUBLE AS s FROM x JOIN li ON x.p_size = li.val
+  UNION ALL
+  SELECT bm.query_id, bm.shard, bm.doc, ln(1 + (bn.n - bq.df + 0.5) / (bq.df + 0.5)) AS s
+  FROM bm JOIN bq USING (query_id, shard) JOIN bn USING (shard))"""
+
 _FIRST = f"doc_id < {SPLIT}"
 _SECOND = f"doc_id >= {SPLIT}"
 
@@ -488,6 +518,8 @@ SELECT shard, 'text' AS field, term, count(*) AS df FROM post GROUP BY shard, te
 UNION ALL SELECT shard, 'lang', lang, count(*) FROM d WHERE lang IS NOT NULL GROUP BY shard, lang
 UNION ALL SELECT shard, 'source', source, count(*) FROM d WHERE source IS NOT NULL GROUP BY shard, source""",
         "b1_batch_saved": f"""{_BATCH} SELECT query_id, shard, doc, round(s, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
+        "b1_batch_ints_strings": f"""{_BATCH_PART} SELECT query_id, shard, doc, round(s, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
         "r5_topk_saved": f"{_NESTED} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits ORDER BY s DESC, shard, doc LIMIT 10",
         "s3_fields": """SELECT 'doc_id' AS field FROM documents WHERE doc_id IS NOT NULL
