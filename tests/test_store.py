@@ -115,3 +115,37 @@ def test_empty_input_saves_and_opens(spark):
     assert idx.search(term("text", "the")).count() == 0
     assert idx.search().count() == 0
     assert idx.terms.count() == 0 and idx.stats.count() == 0
+
+
+def test_large_lookup_sets_take_every_path_to_the_same_hits(spark):
+    # More than 1,000 lookups: no literal filters; the dictionary and the
+    # postings are joined through the lookups (broadcast, then, with a low
+    # broadcast limit, a shuffle join).  All must equal short lists and the
+    # in-memory index (document frequencies counted from postings).
+    from functools import reduce
+
+    from tessera import search_many
+
+    mem = _docs(spark)
+    t = _name()
+    save(mem, t)
+    idx = open_index(spark, t)
+    words = [r[0] for r in mem.postings.where(F.col("field") == "text").select("term").distinct()
+             .orderBy("term").limit(1200).collect()]
+    rows = [(i, "text", w) for i, w in enumerate(words)] + [(5000, "lang", "en"), (5001, "n_chars", "1172")]
+    lookups = spark.createDataFrame(rows, "query_id int, field string, term string")
+
+    def got(index, lk):
+        return sorted((r[0], r[1], r[2], round(r[3], 9), r[4]) for r in search_many(index, lk, k=3).collect())
+
+    big = got(idx, lookups)
+    chunks = [spark.createDataFrame(rows[i:i + 600], "query_id int, field string, term string")
+              for i in range(0, len(rows), 600)]
+    assert big == sorted(reduce(lambda a, b: a + b, [got(idx, c) for c in chunks]))
+    assert big == got(mem, lookups)
+    spark.conf.set("spark.tessera.broadcast.maxRows", "500")
+    try:
+        assert big == got(idx, lookups)
+    finally:
+        spark.conf.unset("spark.tessera.broadcast.maxRows")
+    assert len({r[0] for r in big}) > 1000
