@@ -33,8 +33,10 @@ from pyspark.sql.utils import AnalysisException
 from ..config import table_path
 from ..operators.build import Index, bucket_of, index_rows, stats_from_norms
 from ..operators.spec import IndexSpec
-from ..plans.broadcast import checked_broadcast
+from ..plans.broadcast import checked_broadcast, max_broadcast_rows
 
+# Largest stats table kept on the driver after open (rows).
+LOCAL_STATS_ROWS = 100_000
 # Partition of the postings directory holding the norm rows.
 NORMS_BUCKET = -1
 _POSTINGS_SCHEMA = "shard int, doc bigint, field string, term string, tf bigint, dl bigint, bucket int"
@@ -228,6 +230,12 @@ def open_index(spark: SparkSession, table: str) -> Index:
     stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
              .agg(F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl")))
+    num_shards = max(m["num_shards"] for m in live)
+    if num_shards * (len(spec.indexed) + 1) <= min(LOCAL_STATS_ROWS, max_broadcast_rows(spark)):
+        # Proven bound (shards x (indexed fields + 1)): sum the generations
+        # once at open and keep the snapshot's stats as a local relation, so
+        # a search does not rescan and re-aggregate them.
+        stats = spark.createDataFrame(stats.collect(), _STATS_SCHEMA)
     return Index(
         docs=docs.select("shard", "doc", *spec.columns),
         postings=postings,
@@ -235,7 +243,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
         spec=spec,
         num_buckets=num_buckets,
         bucketed=True,
-        num_shards=max(m["num_shards"] for m in live),
+        num_shards=num_shards,
         table=table,
         generations=tuple(gens),
         terms=terms,
