@@ -315,6 +315,21 @@ def q_b1_batch_ints_strings(spark, sf):
     return search_many(open_index(spark, t), lookups, k=10).select("query_id", "shard", "doc", _score(), "rank")
 
 
+def _two_generations(spark, sf):
+    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "append")])
+    return open_index(spark, t)
+
+
+def q_a1_count_saved(spark, sf):
+    """Count of a term on a saved index of two generations: answered from the
+    term dictionary (no postings scan)."""
+    return _two_generations(spark, sf).search(THE).count_frame()
+
+
+def q_a3_totals_saved(spark, sf):
+    return _two_generations(spark, sf).search(term("lang", "fr")).totals_per_shard()
+
+
 def q_r5_topk_saved(spark, sf):
     t = _saved_docs(spark, sf, [(None, "errorifexists")])
     return open_index(spark, t).search(NESTED).top_k(10).select("shard", "doc", "doc_id", _score())
@@ -521,6 +536,8 @@ UNION ALL SELECT shard, 'source', source, count(*) FROM d WHERE source IS NOT NU
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
         "b1_batch_ints_strings": f"""{_BATCH_PART} SELECT query_id, shard, doc, round(s, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
+        "a1_count_saved": f"{the} SELECT count(*) AS hits FROM hits",
+        "a3_totals_saved": f"""WITH {_docs_cte()} SELECT shard, count(*) AS hits FROM d WHERE lang = 'fr' GROUP BY shard""",
         "r5_topk_saved": f"{_NESTED} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits ORDER BY s DESC, shard, doc LIMIT 10",
         "s3_fields": """SELECT 'doc_id' AS field FROM documents WHERE doc_id IS NOT NULL
 UNION SELECT 'lang' FROM documents WHERE lang IS NOT NULL

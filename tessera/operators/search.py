@@ -300,12 +300,34 @@ class Search:
     def count(self) -> int:
         return self.count_frame().first()[0]
 
+    def _dictionary_rows(self) -> DataFrame | None:
+        """Term dictionary rows of a single text / keyword term on a saved
+        index (its hits per shard are the summed ``df``), else None."""
+        idx = self.index
+        if idx.terms is None:
+            return None
+        leaves = _classify(idx, self.current.leaves())
+        if len(leaves) != 1 or leaves[0].kind != "post":
+            return None
+        lf = leaves[0]
+        cond = ((F.col("bucket") == bucket_of(F.lit(lf.value), idx.num_buckets))
+                & (F.col("term") == F.lit(lf.value)) & (F.col("field") == F.lit(lf.field)))
+        return idx.terms.where(cond)
+
     def count_frame(self) -> DataFrame:
-        """One row, ``hits``: number of matches; never capped, no scoring."""
+        """One row, ``hits``: number of matches; never capped, no scoring.
+        A single term on a saved index reads only its dictionary rows."""
+        rows = self._dictionary_rows()
+        if rows is not None:
+            return rows.agg(F.coalesce(F.sum("df"), F.lit(0)).cast("bigint").alias("hits"))
         return self._plan(False)[0].agg(F.count(F.lit(1)).alias("hits"))
 
     def totals_per_shard(self) -> DataFrame:
-        """Total hits per shard, independent of any k."""
+        """Total hits per shard, independent of any k (dictionary only for a
+        single term on a saved index)."""
+        rows = self._dictionary_rows()
+        if rows is not None:
+            return rows.groupBy("shard").agg(F.sum("df").cast("bigint").alias("hits"))
         return self._plan(False)[0].groupBy("shard").agg(F.count(F.lit(1)).alias("hits"))
 
     def ranked(self) -> DataFrame:

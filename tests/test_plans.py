@@ -69,3 +69,13 @@ def test_saved_search_reads_postings_once(saved):
     p = plan(saved.search(must(term("text", "the"), term("lang", "en"))).scored())
     assert len(re.findall(r"FileScan parquet [^\n]*/postings/", p)) == 1
     assert len(re.findall(r"FileScan parquet [^\n]*/terms/", p)) == 1
+
+
+def test_saved_term_count_reads_dictionary_only(saved):
+    for q in (term("text", "the"), term("lang", "fr"), term("text", "zzzzqq")):
+        p = plan(saved.search(q).count_frame()) + plan(saved.search(q).totals_per_shard())
+        assert "/postings/" not in p and "/terms/" in p
+        s = saved.search(q)
+        assert s.count() == s._plan(False)[0].count()
+        want = {tuple(r) for r in s._plan(False)[0].groupBy("shard").count().collect()}
+        assert {tuple(r) for r in s.totals_per_shard().collect()} == want
