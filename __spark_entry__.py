@@ -330,6 +330,14 @@ def q_a3_totals_saved(spark, sf):
     return _two_generations(spark, sf).search(term("lang", "fr")).totals_per_shard()
 
 
+def q_d4_late_fetch_saved(spark, sf):
+    """Top 10 per shard with stored fields on a saved index of two
+    generations: the two-phase fetch (survivors first, then a pushed
+    ``(shard, doc)`` filter on ``docs``)."""
+    return _two_generations(spark, sf).search(DE).top_k_per_shard(10).select(
+        "shard", "doc", "lang", "source", _score(), "rank")
+
+
 def q_r5_topk_saved(spark, sf):
     t = _saved_docs(spark, sf, [(None, "errorifexists")])
     return open_index(spark, t).search(NESTED).top_k(10).select("shard", "doc", "doc_id", _score())
@@ -536,6 +544,8 @@ UNION ALL SELECT shard, 'source', source, count(*) FROM d WHERE source IS NOT NU
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
         "b1_batch_ints_strings": f"""{_BATCH_PART} SELECT query_id, shard, doc, round(s, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
+        "d4_late_fetch_saved": f"""{de} SELECT shard, doc, lang, source, round(s, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
         "a1_count_saved": f"{the} SELECT count(*) AS hits FROM hits",
         "a3_totals_saved": f"""WITH {_docs_cte()} SELECT shard, count(*) AS hits FROM d WHERE lang = 'fr' GROUP BY shard""",
         "r5_topk_saved": f"{_NESTED} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits ORDER BY s DESC, shard, doc LIMIT 10",
