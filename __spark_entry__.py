@@ -338,6 +338,14 @@ def q_d4_late_fetch_saved(spark, sf):
         "shard", "doc", "lang", "source", _score(), "rank")
 
 
+def q_p3_term_int_saved(spark, sf):
+    """An int term on a saved index: a filter pushed to the ``docs`` scan."""
+    ensure_local_dirs(spark)
+    t = _table("part")
+    save(_part_index(spark, sf), t)
+    return open_index(spark, t).search(term("p_size", 11)).hits().select("shard", "doc", "p_partkey", _score())
+
+
 def q_r5_topk_saved(spark, sf):
     t = _saved_docs(spark, sf, [(None, "errorifexists")])
     return open_index(spark, t).search(NESTED).top_k(10).select("shard", "doc", "doc_id", _score())
@@ -544,6 +552,7 @@ UNION ALL SELECT shard, 'source', source, count(*) FROM d WHERE source IS NOT NU
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
         "b1_batch_ints_strings": f"""{_BATCH_PART} SELECT query_id, shard, doc, round(s, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
+        "p3_term_int_saved": f"WITH {_PART} SELECT shard, doc, p_partkey, 1.0::DOUBLE AS score FROM x WHERE p_size = 11",
         "d4_late_fetch_saved": f"""{de} SELECT shard, doc, lang, source, round(s, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY shard ORDER BY s DESC, doc) AS rank FROM hits) WHERE rank <= 10""",
         "a1_count_saved": f"{the} SELECT count(*) AS hits FROM hits",
