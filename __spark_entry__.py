@@ -20,6 +20,12 @@ from tessera import (
     search_many, should, term,
 )
 
+try:  # the training-data operators are a subpackage of their own, which may be absent
+    import corpus_pipeline
+    from tessera.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 # ---------------------------------------------------------------------------
 # Spark side
 # ---------------------------------------------------------------------------
@@ -388,7 +394,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+    found = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # ---------------------------------------------------------------------------
@@ -567,4 +576,8 @@ SELECT d.shard, d.doc, d.doc_id, round(a.s, 6) AS score FROM d JOIN a USING (sha
   round(hits.s, 6) AS score FROM hits JOIN labels USING (doc_id)""",
         "i2_hits_by_lang": f"{the} SELECT lang, count(*) AS hits, round(max(s), 6) AS max_score FROM hits GROUP BY lang",
     }
+    if llm is not None:
+        o |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            o["pipeline"] = corpus_pipeline.ORACLE_SQL
     return o
