@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality, queries
+from tessera.llm import decontamination, ngram_join, pii, quality, queries
 from tessera.llm.shared import materialize
 
 
@@ -13,19 +13,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the least ``doc_id``."""
+    return ngram_join.first_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and the terms that disclose it replaced."""
+    return pii.sanitise(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     return queries.pack_documents(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
+    ("best-fit packing", best_fit_packing),
+]
 
-#: No stage but the first could be said in SQL; tests compare with brute force.
+#: Shingle links, edit distances and token ids are not for SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -40,7 +40,7 @@ from pyspark.sql import Window
 from ..plans.broadcast import checked_broadcast
 from . import textops
 from .components import components
-from .shared import materialize
+from .shared import materialize, with_facts
 
 SHINGLE = 5
 LOW = 0.4
@@ -354,12 +354,11 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the least ``doc_id``; of equal rows one, and every document without words.
+    """One document of each component, the one with the least ``doc_id``, and every document without words; columns as in ``docs``.
 
-    Columns as in ``docs``.  A component whose ``doc_id`` are all null keeps its rows.
+    Rows of the ``doc_id`` that stays are one document and all stay; where a
+    component's ``doc_id`` are all null, its rows stay.
     """
-    stay = near_duplicates(docs).where("component_id IS NULL OR doc_id = component_id").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), (F.col("n_shingles") > 0).alias("_one")).distinct()
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    kept = hashed.join(stay, hashed["doc_id"].eqNullSafe(stay["_id"]) & (hashed["_text_hash"] == stay["_hash"]))
-    return kept.select(*(hashed[c] for c in docs.columns))
+    going = near_duplicates(docs).where("component_id IS NOT NULL AND (doc_id IS NULL OR doc_id <> component_id)")
+    facts = going.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(True).alias("_going"))
+    return with_facts(docs, facts).where("_going IS NULL").select(*(docs[c] for c in docs.columns))

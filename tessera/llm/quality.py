@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import materialize
+from .shared import materialize, with_facts
 
 LINE_SHARE, LINE_DOCS = 0.02, 20
 MIN_WORDS, MIN_SHARE = 20, 0.2
@@ -132,10 +132,9 @@ def clean(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) ->
 
     ``n_chars`` follows the text where a line went.
     """
-    verdicts = judge(docs, share, least).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed").dropDuplicates(["_id", "_hash"])
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    kept = hashed.join(verdicts, (hashed["doc_id"].eqNullSafe(verdicts["_id"])) & (hashed["_text_hash"] == verdicts["_hash"]))
+    facts = judge(docs, share, least).where(~F.col("kept") | F.col("removed").isNotNull()).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"), F.col("removed").alias("_removed"))
+    kept = with_facts(docs, facts).where("_kept IS NULL OR _kept")
     names, at = docs.columns, docs.columns.index("text")
 
     def strip(batches):
@@ -154,4 +153,4 @@ def clean(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) ->
                 columns = [batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return kept.select(*(hashed[c] for c in names), "removed").mapInArrow(strip, docs.schema)
+    return kept.select(*(docs[c] for c in names), "_removed").mapInArrow(strip, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, sharding, token_files, url_filter
+from . import decontamination, ngram_join, packing, pii, quality, secrets, sharding, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY = 1, 4096
@@ -26,6 +26,10 @@ def op1_url_filters(spark, sf):
     return url_filter.filter_urls(_read(spark, sf, "pages"), rules)
 
 
+def op2_benchmark_decontamination(spark, sf):
+    return decontamination.leaks(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+
+
 def op3_token_files(spark, sf):
     store = token_files.write_tokens(_read(spark, sf, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
     return token_files.read_tokens(spark, store).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -46,6 +50,30 @@ def op5_hash_tree_shards(spark, sf):
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_ngram_jaccard_join(spark, sf):
+    return ngram_join.near_duplicates(_read(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op7_toxicity(spark, sf):
+    return toxicity.toxicity(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
+
+
+def op8_secret_scan(spark, sf):
+    found = secrets.find_secrets(_read(spark, sf, "documents"))
+    counts = [secrets.count_of(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS[:3])]
+    return found.select("doc_id", *counts, *_digests(secrets.KINDS))
+
+
+def op9_personal_data(spark, sf):
+    found = pii.find_personal(_read(spark, sf, "documents"))
+    counts = [secrets.count_of(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *counts, *_digests(pii.KINDS))
+
+
+def _digests(kinds: list[str]):
+    return (F.sha2(secrets.joined(F.col("base"), kinds), 256).alias("base_sha256"), secrets.joined(F.col("spans"), kinds).alias("spans"))
+
+
 def op10_quality_rules(spark, sf):
     return quality.judge(_read(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

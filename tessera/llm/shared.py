@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.broadcast import checked_broadcast
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -33,3 +36,20 @@ def materialize(df: DataFrame, label: str, **options) -> DataFrame:
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+MOST_FACTS = 200_000  # rows of facts sent to every task; of more, both sides are shuffled
+
+
+def with_facts(docs: DataFrame, facts: DataFrame) -> DataFrame:
+    """``docs`` and, where a row of ``facts(_id, _hash, ...)`` is about its ``doc_id`` and text, that row's columns (else null).
+
+    Facts are about few documents.  Up to ``MOST_FACTS`` of them go to the
+    documents, which are then not shuffled; the join is the same either way.
+    A name that documents have too must not be among the facts.
+    """
+    facts = materialize(facts.dropDuplicates(["_id", "_hash"]), "facts")
+    facts, _ = checked_broadcast(facts, MOST_FACTS)
+    # the hash of a null text is that of nothing, which no fact but its own has
+    about = docs["doc_id"].eqNullSafe(facts["_id"]) & (F.xxhash64(docs["text"]) == facts["_hash"])
+    return docs.join(facts, about, "left").drop("_id", "_hash")
