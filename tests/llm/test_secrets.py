@@ -1,0 +1,74 @@
+import hashlib
+import random
+import re
+
+from helpers import clashing, docs_of, words
+
+from tessera.llm import queries, secrets
+
+ASSIGN = re.compile(r"((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))"
+                    r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+def brute(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return sorted(out)
+
+
+def random_string(r, n, chars=secrets.ALPHABET[:62]):
+    return "".join(r.choice(chars) for _ in range(n))
+
+
+def corpus():
+    r = random.Random(3)
+    texts = [None, "", "token=short token = 'longenough1' é TOKEN:\"AbC/d+e=._-9\"", "password password=abcdefgh=ijk passwd  :  12345678", "api_key=\napi_key: x api-key=12345678 ApiKey='abcdefghij",
+             "toKen=12345678 ſecret=12345678 tokenK=12345678", "AKIA" + "A" * 12 + " AKIA" + "A" * 11 + " xAKIAAKIAAKIAAKIA1", "f" * 32 + "g" + "0" * 31 + " " + "a" * 100,
+             "secret=" + "0a" * 20, "😀 token=abcdefgh😀" + "ab12" * 10, "secret=token=abcdefghij", " ".join(words(20_000, 2)) + " passwd=longenough " + "c" * 40]
+    texts += [f"{' '.join(words(30, k))} token={random_string(r, 40)} {' '.join(words(5, k))}" for k in range(200)]
+    texts += [" ".join(["ordinary_identifier_name", "another_plain_long_word", "thisisasimplesentence", "some_module_function_call"] * 100) for _ in range(10)]
+    texts.append("found " + random_string(r, 40) + " here, and plain_identifier_names_here")
+    return texts + texts[-3:]
+
+
+def test_spans_equal_brute_force_and_the_model_adds(spark):
+    texts = corpus()
+    rows = secrets.find_secrets(clashing(docs_of(spark, texts, [*range(len(texts) - 3), None, None, None]))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        if r.doc_id is None:
+            continue
+        base = [tuple(x) for x in r.base]
+        assert base == brute(texts[r.doc_id]), texts[r.doc_id]
+        spans = [tuple(x) for x in r.spans]
+        assert set(base) <= set(spans) and spans == sorted(spans)
+    by = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert [s.kind for s in by[len(texts) - 4].spans if s.kind == 3] == [3]  # the random string, not the identifiers
+    assert not any(s.kind == 3 for k in range(212, 222) for s in by[k].spans)
+
+
+def test_without_a_base_match_there_is_no_model(spark):
+    rows = secrets.find_secrets(docs_of(spark, ["aB3dE6gH9jK2mN5pQ8sT1vW4yZ7 plain words", None])).collect()
+    assert [r.spans for r in rows] == [[], []]
+    assert secrets.find_secrets(docs_of(spark, [])).collect() == []
+
+
+def test_markov_ratio_on_held_out_strings():
+    r = random.Random(9)
+    ordinary = [" ".join(words(1, k)) + "_" + "".join(r.choice(["th", "er", "ing", "on", "an", "re"]) for _ in range(8)) for k in range(600)]
+    table = secrets.ratios(secrets.pair_counts([random_string(r, 32) for _ in range(600)]), secrets.pair_counts(ordinary[:500]))
+    assert all(secrets.score(x, table) < 0 for x in ordinary[500:])
+    assert all(secrets.score(random_string(r, 32), table) > secrets.RATIO for _ in range(100))
+
+
+def test_query(spark, tmp_path):
+    texts = corpus()
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op8_secret_scan(spark, str(tmp_path)).collect():
+        want = brute(texts[r.doc_id])
+        joined = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
