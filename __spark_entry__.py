@@ -12,11 +12,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera import (
-    IndexSpec, build_index, compact, ensure_local_dirs, index_stream, match_all, must, open_index, save,
+    IndexSpec, base_dir, build_index, compact, ensure_local_dirs, index_stream, match_all, must, open_index, save,
     search_many, should, term,
 )
 
@@ -38,13 +38,18 @@ BATCH_TERMS = ["the", "of", "de", "and", "to", "in", "zzzzqq"]
 # The int lookups of the reference's batch test (its string
 # lookups are a prefix followed by each of them).
 REF_INTS = [3, 100, 9999, 19999, 39999, 53245, 9876523]
-SPLIT = 500  # append tests write documents with doc_id < SPLIT first, then the rest
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _halves(spark, sf):
+    """Filters of the first and the second half of the documents by key."""
+    half = (_read(spark, sf, "documents").agg(F.max("doc_id")).first()[0] + 1) // 2
+    return F.col("doc_id") < half, F.col("doc_id") >= half
+
+
 def _by_key(df: DataFrame, spec: IndexSpec, key: str):
     return build_index(df, spec, shard_by=F.pmod(F.col(key), F.lit(3)), num_shards=3, order_by=[key])
 
@@ -253,12 +258,14 @@ def q_w4_doc_ids(spark, sf):
 
 
 def q_w5a_append(spark, sf):
-    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "append")])
+    first, second = _halves(spark, sf)
+    t = _saved_docs(spark, sf, [(first, "errorifexists"), (second, "append")])
     return open_index(spark, t).docs.select("shard", "doc", "doc_id")
 
 
 def q_w5b_overwrite(spark, sf):
-    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "overwrite")])
+    first, second = _halves(spark, sf)
+    t = _saved_docs(spark, sf, [(first, "errorifexists"), (second, "overwrite")])
     return open_index(spark, t).docs.select("shard", "doc", "doc_id")
 
 
@@ -283,9 +290,11 @@ def q_w6_row_count(spark, sf):
 
 
 def q_w7_compact(spark, sf):
-    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "append")])
+    first, second = _halves(spark, sf)
+    odd = F.col("n_chars") % 2 == 1
+    t = _saved_docs(spark, sf, [(first & odd, "errorifexists"), (first & ~odd, "append"), (second & odd, "append"), (second & ~odd, "append")])
     idx = compact(spark, t)
-    return idx.search(THE).hits().select("shard", "doc", "doc_id", _score())
+    return idx.search(THE).hits().select("shard", "doc_id", _score())
 
 
 def q_w8_postings(spark, sf):
@@ -298,7 +307,8 @@ def q_w8_term_stats(spark, sf):
 
 def q_w8_doc_freq(spark, sf):
     """The term dictionary of a saved index: documents per (shard, field, term)."""
-    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "append")])
+    first, second = _halves(spark, sf)
+    t = _saved_docs(spark, sf, [(first, "errorifexists"), (second, "append")])
     return open_index(spark, t).terms.groupBy("shard", "field", "term").agg(F.sum("df").cast("bigint").alias("df"))
 
 
@@ -322,7 +332,8 @@ def q_b1_batch_ints_strings(spark, sf):
 
 
 def _two_generations(spark, sf):
-    t = _saved_docs(spark, sf, [(F.col("doc_id") < SPLIT, "errorifexists"), (F.col("doc_id") >= SPLIT, "append")])
+    first, second = _halves(spark, sf)
+    t = _saved_docs(spark, sf, [(first, "errorifexists"), (second, "append")])
     return open_index(spark, t)
 
 
@@ -364,16 +375,152 @@ def q_s2_shards(spark, sf):
 
 def q_s3_fields(spark, sf):
     t = _saved_docs(spark, sf, [(None, "errorifexists")])
-    idx = open_index(spark, t)
-    return idx.search().field_names().select(F.explode("fields").alias("field")).distinct()
+    return spark.createDataFrame([(f,) for f in open_index(spark, t).fields()], "field string")
+
+
+def _ids(index, key="doc_id"):
+    """One row about the document ids of an index: rows, distinct ids, shards
+    whose ids are not 0 .. n - 1, rows out of key order inside their shard."""
+    before = F.lag(key).over(Window.partitionBy("shard").orderBy("doc"))
+    docs = index.docs.select("shard", "doc", (before > F.col(key)).alias("late"))
+    shards = docs.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc").alias("ids"), F.min("doc").alias("lo"),
+                                       F.max("doc").alias("hi"), F.count_if("late").alias("late"))
+    return shards.agg(F.sum("n").cast("bigint").alias("n_rows"), F.sum("ids").cast("bigint").alias("n_ids"),
+                      F.count_if((F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1)).cast("bigint").alias("not_dense"),
+                      F.sum("late").cast("bigint").alias("out_of_order"))
+
+
+def _shuffled_docs(spark, sf):
+    """Documents after a shuffle, so partitions and row order are not the file's."""
+    d = _read(spark, sf, "documents")
+    return d.groupBy("doc_id").agg(*(F.first(c).alias(c) for c in d.columns if c != "doc_id"))
+
+
+def _saved_ids(spark, sf, **placement):
+    ensure_local_dirs(spark)
+    t = _table("docs")
+    save(build_index(_shuffled_docs(spark, sf), DOC_SPEC, **placement), t)
+    return _ids(open_index(spark, t))
+
+
+def q_w4_order_only(spark, sf):
+    """Order without a shard key, on a shuffled input: no row lost, ids dense and in order."""
+    return _saved_ids(spark, sf, order_by=["doc_id"], num_partitions=8)
+
+
+def q_w4_shard_only(spark, sf):
+    """A shard key without an order, on a shuffled input: no id given twice."""
+    placed = _saved_ids(spark, sf, shard_by=F.pmod("doc_id", F.lit(3)), num_shards=3, num_partitions=8)
+    return placed.drop("out_of_order")
+
+
+def q_w3_default(spark, sf):
+    """Default placement (input partition, insertion order) of a shuffled input."""
+    return _saved_ids(spark, sf).drop("out_of_order")
+
+
+def q_w5a_two_streams(spark, sf):
+    """Two streams append to one table; their batch numbers are the same."""
+    ensure_local_dirs(spark)
+    t = _table("streams")
+    schema = _read(spark, sf, "documents").schema
+    for k, where in enumerate(_halves(spark, sf)):
+        stream = spark.readStream.schema(schema).parquet(f"{sf}/documents*.parquet").where(where)
+        index_stream(stream, t, DOC_SPEC, shard_by=F.pmod(F.col("doc_id"), F.lit(3)), num_shards=3, order_by=["doc_id"],
+                     trigger={"availableNow": True}, checkpoint_location=f"{base_dir(spark)}/{t}-checkpoint-{k}").awaitTermination()
+    return open_index(spark, t).docs.select("shard", "doc", "doc_id")
+
+
+def _saved(spark, sf, index_of):
+    ensure_local_dirs(spark)
+    t = _table("saved")
+    save(index_of(spark, sf), t)
+    return open_index(spark, t)
+
+
+def _orders_index(spark, sf):
+    return _by_key(_read(spark, sf, "orders"), IndexSpec(numeric=["o_custkey"], stored=["o_orderkey"]), "o_orderkey")
+
+
+def q_p2_saved(spark, sf):
+    idx = _saved(spark, sf, lambda s, f: _by_key(_read(s, f, "customer"), IndexSpec(keyword=["c_mktsegment"], stored=["c_custkey"]), "c_custkey"))
+    return idx.search(term("c_mktsegment", "BUILDING")).hits().select("shard", "doc", "c_custkey", _score())
+
+
+def q_p4_saved(spark, sf):
+    return _saved(spark, sf, _orders_index).search(term("o_custkey", 0)).hits().select("shard", "doc", "o_orderkey", _score())
+
+
+def q_p5_saved(spark, sf):
+    def prices(s, f):
+        part = _read(s, f, "part").select("p_partkey", F.col("p_retailprice").cast("float").alias("price_f"))
+        return _by_key(part, IndexSpec(numeric=["price_f"], stored=["p_partkey"]), "p_partkey")
+
+    return _saved(spark, sf, prices).search(term("price_f", 900.1)).hits().select("shard", "doc", "p_partkey", _score())
+
+
+def q_p6_saved(spark, sf):
+    return _saved(spark, sf, _part_index).search(term("p_retailprice", 900.1)).hits().select("shard", "doc", "p_partkey", _score())
+
+
+def q_p8_saved(spark, sf):
+    return _two_generations(spark, sf).search(must(term("lang", "en"), THE)).hits().select("shard", "doc", "doc_id", _score())
+
+
+def q_p9_saved(spark, sf):
+    return _two_generations(spark, sf).search(should(term("source", "src1"), DE)).hits().select("shard", "doc", "doc_id", _score())
+
+
+def q_r2_saved(spark, sf):
+    return _two_generations(spark, sf).search(THE).ranked().select("shard", "doc", _score(), "rank")
+
+
+def q_r4_saved(spark, sf):
+    return _two_generations(spark, sf).search(THE).take(10).select("shard", "doc", "doc_id", _score())
+
+
+def q_d1_saved(spark, sf):
+    return _two_generations(spark, sf).search(DE).project(
+        "shard", "doc", F.concat_ws(" -> ", F.col("doc").cast("string"), F.col("source")).alias("line"))
+
+
+def q_d2_saved(spark, sf):
+    return _two_generations(spark, sf).search(DE).doc_ids()
+
+
+def q_i1_saved(spark, sf):
+    return _two_generations(spark, sf).search(THE).hits().join(_read(spark, sf, "labels"), "doc_id").select(
+        "shard", "doc", "doc_id", "quality", "toxic", _score())
+
+
+def q_i2_saved(spark, sf):
+    return _two_generations(spark, sf).search(THE).hits().groupBy("lang").agg(
+        F.count(F.lit(1)).alias("hits"), F.round(F.max("score"), 6).alias("max_score"))
+
+
+def q_b1_repeated_id(spark, sf):
+    """One query id with a text and a keyword lookup, one of them given twice."""
+    lookups = spark.createDataFrame([(1, "text", "the"), (1, "lang", "fr"), (1, "lang", "fr"), (2, "text", "de")],
+                                    "query_id int, field string, term string")
+    return search_many(_two_generations(spark, sf), lookups).select("query_id", "shard", "doc", _score())
+
+
+def q_b1_array_ints(spark, sf):
+    """Lookups of a multi-valued int field: the parts of each order."""
+    parts = _read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_linenumber").cast("int")).alias("lines"))
+    idx = _by_key(parts, IndexSpec(numeric=["lines"], stored=["l_orderkey"]), "l_orderkey")
+    lookups = spark.createDataFrame([(1, "lines", "7"), (2, "lines", "6"), (3, "lines", "99"), (4, "lines", "x")],
+                                    "query_id int, field string, term string")
+    return search_many(idx, lookups).select("query_id", "shard", "doc", _score())
 
 
 def q_s5_snapshot(spark, sf):
     ensure_local_dirs(spark)
     t = _table("docs")
-    save(_docs_index(spark, sf, F.col("doc_id") < SPLIT), t)
+    first, second = _halves(spark, sf)
+    save(_docs_index(spark, sf, first), t)
     before = open_index(spark, t)
-    save(_docs_index(spark, sf, F.col("doc_id") >= SPLIT), t, mode="append")
+    save(_docs_index(spark, sf, second), t, mode="append")
     return before.search(THE).hits().select("shard", "doc", "doc_id", _score())
 
 
@@ -482,8 +629,11 @@ hits AS (
   SELECT bm.query_id, bm.shard, bm.doc, ln(1 + (bn.n - bq.df + 0.5) / (bq.df + 0.5)) AS s
   FROM bm JOIN bq USING (query_id, shard) JOIN bn USING (shard))"""
 
-_FIRST = f"doc_id < {SPLIT}"
-_SECOND = f"doc_id >= {SPLIT}"
+_BATCH_MIXED = f"""WITH {_docs_cte()}, {_text_leaf('a', 'the')}, {_kw_leaf('b', 'lang', 'fr')}, {_text_leaf('c', 'de')},
+hits AS (SELECT 1 AS query_id, shard, doc, s FROM a UNION ALL SELECT 1, shard, doc, s FROM b UNION ALL SELECT 2, shard, doc, s FROM c)"""
+
+_FIRST = "doc_id < (SELECT (max(doc_id) + 1) // 2 FROM documents)"
+_SECOND = "doc_id >= (SELECT (max(doc_id) + 1) // 2 FROM documents)"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -542,7 +692,7 @@ UNION ALL SELECT shard, doc, 'source' FROM hits WHERE source IS NOT NULL""",
         "w5b_overwrite": f"WITH {_docs_cte('WHERE ' + _SECOND)} SELECT shard, doc, doc_id FROM d",
         "w5a_stream_append": f"WITH {_docs_cte()} SELECT shard, doc, doc_id FROM d",
         "w6_row_count": "SELECT count(*) AS rows FROM lineitem",
-        "w7_compact": f"{the} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits",
+        "w7_compact": f"{the} SELECT shard, doc_id, round(s, 6) AS score FROM hits",
         "w8_postings": f"""WITH {_docs_cte()}, {_POSTINGS}
 SELECT shard, doc, 'text' AS field, term, tf, dl FROM post
 UNION ALL SELECT shard, doc, 'lang', lang, 1::BIGINT, NULL::BIGINT FROM d WHERE lang IS NOT NULL
@@ -567,15 +717,26 @@ UNION ALL SELECT shard, 'source', source, count(*) FROM d WHERE source IS NOT NU
         "a1_count_saved": f"{the} SELECT count(*) AS hits FROM hits",
         "a3_totals_saved": f"""WITH {_docs_cte()} SELECT shard, count(*) AS hits FROM d WHERE lang = 'fr' GROUP BY shard""",
         "r5_topk_saved": f"{_NESTED} SELECT shard, doc, doc_id, round(s, 6) AS score FROM hits ORDER BY s DESC, shard, doc LIMIT 10",
-        "s3_fields": """SELECT 'doc_id' AS field FROM documents WHERE doc_id IS NOT NULL
-UNION SELECT 'lang' FROM documents WHERE lang IS NOT NULL
-UNION SELECT 'source' FROM documents WHERE source IS NOT NULL""",
+        "s3_fields": "SELECT column_name AS field FROM (DESCRIBE documents) WHERE column_name IN ('doc_id', 'lang', 'source')",
+        "w4_order_only": "SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids, 0::BIGINT AS not_dense, 0::BIGINT AS out_of_order FROM documents",
+        "w4_shard_only": "SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids, 0::BIGINT AS not_dense FROM documents",
+        "w3_default": "SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids, 0::BIGINT AS not_dense FROM documents",
+        "b1_repeated_id": f"""{_BATCH_MIXED} SELECT query_id, shard, doc, round(s, 6) AS score FROM hits""",
+        "b1_array_ints": """WITH o AS (SELECT l_orderkey, list(l_linenumber) AS lines FROM lineitem GROUP BY l_orderkey),
+x AS (SELECT lines, CAST(l_orderkey % 3 AS INTEGER) AS shard, row_number() OVER (PARTITION BY l_orderkey % 3 ORDER BY l_orderkey) - 1 AS doc FROM o),
+lk AS (SELECT * FROM (VALUES (1, 7), (2, 6), (3, 99)) v(query_id, val))
+SELECT query_id, shard, doc, 1.0::DOUBLE AS score FROM x JOIN lk ON list_contains(lines, val)""",
         "s5_snapshot": f"""WITH {_docs_cte('WHERE ' + _FIRST)}, {_text_leaf('a', 'the')}
 SELECT d.shard, d.doc, d.doc_id, round(a.s, 6) AS score FROM d JOIN a USING (shard, doc)""",
         "i1_hits_join_labels": f"""{the} SELECT hits.shard, hits.doc, hits.doc_id, labels.quality, labels.toxic,
   round(hits.s, 6) AS score FROM hits JOIN labels USING (doc_id)""",
         "i2_hits_by_lang": f"{the} SELECT lang, count(*) AS hits, round(max(s), 6) AS max_score FROM hits GROUP BY lang",
     }
+    for key, same in {"p2_saved": "p2_term_string", "p4_saved": "p4_term_long", "p5_saved": "p5_term_float", "p6_saved": "p6_term_double",
+                      "p8_saved": "p8_must", "p9_saved": "p9_should", "r2_saved": "r2_rank", "r4_saved": "r4_take", "d1_saved": "d1_project",
+                      "d2_saved": "d2_doc_ids", "i1_saved": "i1_hits_join_labels", "i2_saved": "i2_hits_by_lang",
+                      "w5a_two_streams": "w5a_append"}.items():
+        o[key] = o[same]  # a saved index answers as one in memory
     if llm is not None:
         o |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL:

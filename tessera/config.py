@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_DIR_KEY = "spark.tessera.base.dir"
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
@@ -32,12 +33,31 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
+def staging_dir(spark: SparkSession) -> str:
+    """Shared folder for rows that are fixed once and read again: the
+    checkpoint folder, else the base directory.  Only a local session, whose
+    executors share the driver's disk, may fall back to a temporary folder."""
+    named = checkpoint_dir(spark) or spark.conf.get(BASE_DIR_KEY, None)
+    if named:
+        return f"{named.rstrip('/')}/tessera-staging"
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError(f"set {CHECKPOINT_DIR_KEY} or {BASE_DIR_KEY} to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-cp-"))
+    return f"{checkpoint_dir(spark).rstrip('/')}/tessera-staging"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once in the staging folder and read it back: from then on
+    every plan branch and every retry sees the same rows."""
+    spark = df.sparkSession
+    path = f"{staging_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_local_dirs(spark: SparkSession) -> None:
-    """For tests and local runs only: give the session a base and a
-    checkpoint folder when none is set.  On a cluster both are set by the
-    deployment to shared storage and this changes nothing."""
+    """Give the session a base directory when none is set: below the shared
+    checkpoint folder, or (local sessions only) below a temporary folder."""
     if not spark.conf.get(BASE_DIR_KEY, None):
-        cp = checkpoint_dir(spark)
-        spark.conf.set(BASE_DIR_KEY, f"{cp.rstrip('/')}/tessera-tables" if cp else tempfile.mkdtemp(prefix="tessera-"))
-    if not checkpoint_dir(spark):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-cp-"))
+        spark.conf.set(BASE_DIR_KEY, f"{staging_dir(spark).rsplit('/', 1)[0]}/tessera-tables")
+    staging_dir(spark)

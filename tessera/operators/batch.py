@@ -13,71 +13,47 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..plans.broadcast import bounded_broadcast, max_broadcast_rows
+from ..plans.broadcast import checked_broadcast
 from .build import Index, bucket_of
 from .search import _bm25
 
 
-# Lookup value lists up to this length are also pushed as literal IN filters.
-INLINE_VALUES = 1000
-
-
 def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataFrame:
     """Hits of every lookup: ``query_id, shard, doc, score`` (+ ``rank`` with
-    ``k``: the k best per lookup and shard, score descending then doc)."""
+    ``k``: the k best per ``query_id`` and shard, score descending then doc).
+
+    A ``query_id`` may have several lookups; each ``(query_id, field, term)``
+    is one, with its own document frequencies, and gives its own hits.
+    Repeated lookups count once.  Numeric arrays match by any element.
+    """
     spark = index.sparkSession
     spec = index.spec
     qid_type = lookups.schema["query_id"].dataType.simpleString()
-    lk = lookups.select("query_id", "field", F.col("term").cast("string").alias("term"))
-    limit = max_broadcast_rows(spark)
-    n = lk.limit(limit + 1).count()
-    small = n <= limit
-    shards = index.num_shards if index.num_shards is not None else 10 ** 12
-    # A short lookup list (at most INLINE_VALUES rows) is also read on the
-    # driver: fields without lookups get no branch, and the values become
-    # literal filters that prune buckets and row groups statically.  Longer
-    # lists rely on the broadcast join and dynamic partition pruning.
-    values: dict[str, list[str]] | None = None
-    if n <= INLINE_VALUES:
-        values = {}
-        for r in lk.select("field", "term").distinct().collect():
-            values.setdefault(r["field"], []).append(r["term"])
+    lk = lookups.select("query_id", "field", F.col("term").cast("string").alias("term")).distinct()
+    lk, _ = checked_broadcast(lk)
 
     parts = []
-    indexed = [f for f in spec.indexed if values is None or f in values]
-    if indexed:
-        lk_post = lk.where(F.col("field").isin(indexed)).withColumn("_text", F.col("field").isin(list(spec.text)))
+    if spec.indexed:
+        side = lk.where(F.col("field").isin(*spec.indexed)).withColumn("_text", F.col("field").isin(list(spec.text)))
         keys = ["field", "term"]
         if index.bucketed:
-            lk_post = lk_post.withColumn("bucket", bucket_of(F.col("term"), index.num_buckets))
+            # the bucket lets partition pruning skip directories at run time
+            side = side.withColumn("bucket", bucket_of(F.col("term"), index.num_buckets))
             keys.append("bucket")
-        side = F.broadcast(lk_post) if small else lk_post
-        postings = index.postings
-        terms = sorted({t for f in indexed for t in values[f] if t is not None}) if values is not None else None
-        if terms is not None:
-            cond = F.col("term").isin(terms)
-            if index.bucketed:
-                cond = F.col("bucket").isin(*[bucket_of(F.lit(t), index.num_buckets) for t in terms]) & cond
-            postings = postings.where(cond)
-        rows = postings.join(side, keys)
+        rows = index.postings.join(side, keys)
         stats = index.stats.where(F.col("field").isNotNull())
+        lookup = ["query_id", "field", "term", "shard"]
         if index.terms is not None:
             # Document frequencies from the term dictionary (same pruning).
-            dictionary = index.terms.where(cond) if terms is not None else index.terms
-            per_query = (dictionary.join(side, keys)
-                         .groupBy("query_id", "field", "shard").agg(F.sum("df").alias("_df")))
+            per_lookup = index.terms.join(side, keys).groupBy(*lookup).agg(F.sum("df").alias("_df"))
         else:
-            per_query = rows.groupBy("query_id", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))
-        dfs = (
-            per_query
-            .join(stats, ["shard", "field"])
-            .select("query_id", "shard", "_df", F.col("n_docs").alias("_n"),
-                    (F.col("sum_dl") / F.col("n_docs")).alias("_avgdl"))
-        )
-        dfs = bounded_broadcast(dfs, n * shards)
+            per_lookup = rows.groupBy(*lookup).agg(F.count(F.lit(1)).alias("_df"))
+        dfs = per_lookup.join(stats, ["shard", "field"]).select(
+            *lookup, "_df", F.col("n_docs").alias("_n"), (F.col("sum_dl") / F.col("n_docs")).alias("_avgdl"))
         parts.append(
-            rows.join(dfs, ["query_id", "shard"]).select(
+            rows.join(dfs, lookup).select(
                 "query_id", "shard", "doc",
                 _bm25(F.col("_text"), F.col("tf").cast("double"), F.col("dl").cast("double"),
                       F.col("_n").cast("double"), F.col("_df").cast("double"), F.col("_avgdl")).alias("score"),
@@ -85,21 +61,14 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
         )
     doc_types = {f.name: f.dataType for f in index.docs.schema.fields}
     for name in spec.numeric:
-        if values is not None and name not in values:
-            continue
         dtype = doc_types[name]
-        lk_num = lk.where(F.col("field") == name).select(
-            "query_id", F.expr(f"try_cast(term AS {dtype.simpleString()})").alias("_v"))
-        side = F.broadcast(lk_num) if small else lk_num
-        docs = index.docs.select("shard", "doc", name)
-        if values is not None:
-            nums = [r["_v"] for r in lk_num.select("_v").distinct().collect() if r["_v"] is not None]
-            docs = docs.where(F.col(name).isin(nums)) if nums else docs.where(F.lit(False))
-        parts.append(
-            docs
-            .join(side, F.col(name) == F.col("_v"))
-            .select("query_id", "shard", "doc", F.lit(1.0).alias("score"))
-        )
+        many = isinstance(dtype, T.ArrayType)
+        base = dtype.elementType if many else dtype
+        side = lk.where(F.col("field") == name).select(
+            "query_id", F.expr(f"try_cast(term AS {base.simpleString()})").alias("_v")).distinct()
+        value = F.explode(F.array_distinct(F.col(name))) if many else F.col(name)
+        docs = index.docs.select("shard", "doc", value.alias("_v"))
+        parts.append(docs.join(side, "_v").select("query_id", "shard", "doc", F.lit(1.0).alias("score")))
     if not parts:
         return spark.createDataFrame([], f"query_id {qid_type}, shard int, doc bigint, score double")
     hits = reduce(lambda a, b: a.unionByName(b), parts)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import stage
 from ..functions.text import tokens
 from .numbering import number_by_input_partition, number_within
 from .spec import IndexSpec
@@ -252,22 +253,27 @@ def number_docs(df: DataFrame, shard_by=None, num_shards: int | None = None, ord
 
     * no ``shard_by`` and no ``order_by``: shard = input partition, doc =
       insertion order (no shuffle);
-    * ``shard_by`` (a Column with values in ``[0, num_shards)``) and/or
-      ``order_by`` (column names, ascending): one shuffle, balanced
-      even when one shard holds most rows.
+    * ``shard_by`` (a Column with values in ``[0, num_shards)``, anything else
+      raises) and/or ``order_by`` (column names, ascending): one shuffle,
+      balanced even when one shard holds most rows.
+    Placement that follows the input's partitions or row order is written once
+    before anything else reads it, so every later pass sees the same ids.
     Returns the numbered frame and an upper bound on the shard count.
     """
     if shard_by is None and order_by is None:
-        bound = df.rdd.getNumPartitions()
-        return number_by_input_partition(df, "shard", "doc").withColumn("shard", F.col("shard").cast("int")), bound
+        placed = stage(number_by_input_partition(df, "shard", "doc").withColumn("shard", F.col("shard").cast("int")), "placement")
+        return placed, None
     if shard_by is None:
-        bound = df.rdd.getNumPartitions()
+        bound = None
         df = df.withColumn("shard", F.spark_partition_id().cast("int"))
     else:
         if isinstance(shard_by, str):
             shard_by = F.col(shard_by)
         bound = num_shards
-        df = df.withColumn("shard", shard_by.cast("int"))
+        shard = shard_by.cast("int")
+        wrong = F.raise_error(F.concat(F.lit(f"shard_by must be in [0, {num_shards}), got "),
+                                       F.coalesce(shard.cast("string"), F.lit("NULL"))))
+        df = df.withColumn("shard", F.when(shard.between(0, num_shards - 1), shard).otherwise(wrong.cast("int")))
     if order_by is None:
         df = df.withColumn("_ins", F.monotonically_increasing_id())
         order = ["_ins"]
@@ -275,7 +281,9 @@ def number_docs(df: DataFrame, shard_by=None, num_shards: int | None = None, ord
         order = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
         if not all(isinstance(c, str) for c in order):
             raise TypeError("order_by takes column names (ascending); add computed keys with withColumn first")
-    out = number_within(df, "shard", order, "doc", num_partitions=num_partitions, group_bound=bound)
+    if shard_by is None or order_by is None:
+        df = stage(df, "placement")  # range partitioning reads its input twice
+    out = number_within(df, "shard", order, "doc", num_partitions=num_partitions)
     return out.drop("_ins") if order_by is None else out, bound
 
 
@@ -288,7 +296,8 @@ def build_index(
     num_buckets: int = DEFAULT_BUCKETS,
     num_partitions: int | None = None,
 ) -> Index:
-    """Index ``df`` according to ``spec`` (lazy; nothing runs until used).
+    """Index ``df`` according to ``spec``.  Runs the job that fixes document
+    ids (see :func:`number_docs`); postings and stats are lazy.
 
     ``shard_by``/``num_shards`` place rows in shards (default: the input
     partition, as the reference does); ``order_by`` fixes the document order

@@ -2,70 +2,22 @@
 
 ``row_number().over(Window.partitionBy(g).orderBy(k))`` sends a whole group to
 one task.  When one shard holds a third of the rows, that task holds a third
-of the data.  Here the rows are cut into *slices*, ranges of ``(g, k)``
-with about equal row counts.  The cuts come from one small sample and become
-literals in the plan, so a row's slice is a pure function of its key: every
-branch of a plan and every recomputation after a lost executor gets the same
-answer.  Each ``(slice, group)`` block is numbered with ``row_number`` and a
-small table of block offsets (at most ``slices + groups`` rows, broadcast)
-turns local numbers into group-wide ones.
+of the data.  Here the rows are range-partitioned by ``(g, k)`` into *slices*
+of about equal size (as many as Spark's shuffle partitions, or as given) and
+written once with their slice number.  Everything after that reads the written
+rows, so a row's slice cannot differ between plan branches or retries.  Each
+``(slice, group)`` block is numbered with ``row_number`` and a small table of
+block offsets turns local numbers into group-wide ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import bounded_broadcast
+from ..config import stage
 
 _LOW_BITS = (1 << 33) - 1
-_SAMPLE_PER_SLICE = 20
-_SAMPLE_SEED = 7
-# Slices: about 250,000 rows each (a small input is one slice and needs no
-# sample), and at most 4096 so the slice expression (a comparison tree)
-# stays small.
-ROWS_PER_SLICE = 250_000
-MAX_SLICES = 4096
-
-
-def _slice_of(key: Column, bounds: list[Column]) -> Column:
-    """Index of the slice holding ``key``; ``bounds`` are sorted cut points.
-    A balanced tree of comparisons: depth log2(slices)."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < bounds[mid - 1], build(lo, mid - 1)).otherwise(build(mid, hi))
-
-    return build(0, len(bounds))
-
-
-def _cut_points(df: DataFrame, cols: list[str], slices: int, total: int) -> list[Column]:
-    """Sorted cut points of ``struct(cols)``: at most ``slices - 1`` literals.
-
-    Runs one sample job of about ``20 x slices`` keys, whatever
-    the input size; the sorted sample comes to the driver, which keeps
-    ``slices - 1`` evenly spaced keys.
-    """
-    if slices <= 1 or total == 0:
-        return []
-    fraction = min(1.0, _SAMPLE_PER_SLICE * slices / total)
-    key = F.struct(*[F.col(c) for c in cols]).alias("_k")
-    # About 20 keys per slice (binomial around that, so bounded in practice).
-    sample = (df.select(key).sample(withReplacement=False, fraction=fraction, seed=_SAMPLE_SEED)
-              .orderBy("_k").collect())
-    step = len(sample) / slices
-    rows = [sample[int(step * i)] for i in range(1, slices)] if sample else []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out, last = [], None
-    for r in rows[: slices - 1]:
-        values = tuple(r[0])
-        if values == last:
-            continue
-        last = values
-        out.append(F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, values)]))
-    return out
 
 
 def number_within(
@@ -74,33 +26,23 @@ def number_within(
     order: list[str],
     out: str,
     num_partitions: int | None = None,
-    group_bound: int | None = None,
 ) -> DataFrame:
-    """Add ``out``: 0-based position of each row inside its ``group``,
-    ascending by the ``order`` columns (non-null; unique for repeatable ids).
-
-    ``group_bound`` is a proven upper bound on the number of groups; it sizes
-    the broadcast of block offsets.
+    """Add ``out``: 0-based position of each row inside its ``group``
+    (non-null), ascending by the ``order`` columns (unique for repeatable ids;
+    NULL sorts first).  Runs one job: the write of the sliced rows.
     """
-    total = df.count()
-    if num_partitions:
-        slices = num_partitions
-    else:
-        slices = min(MAX_SLICES, max(1, -(-total // ROWS_PER_SLICE)))
     cols = [group, *order]
-    bounds = _cut_points(df, cols, slices, total)
-    key = F.struct(*[F.col(c) for c in cols])
-    sliced = df.withColumn("_slice", _slice_of(key, bounds))
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    sliced = stage(ranged.withColumn("_slice", F.spark_partition_id()), "numbering")
     local = Window.partitionBy("_slice", group).orderBy(*[F.col(c) for c in order])
     numbered = sliced.withColumn("_local", F.row_number().over(local) - 1)
 
+    # Slices are contiguous in (group, order): at most slices + groups - 1 blocks.
     blocks = sliced.groupBy("_slice", group).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_slice", group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    # Slices are contiguous in (group, order): at most slices + groups - 1 blocks.
-    bound = len(bounds) + 1 + (group_bound if group_bound is not None else 10 ** 12)
     return (
-        numbered.join(bounded_broadcast(offsets, bound), ["_slice", group])
+        numbered.join(offsets, ["_slice", group])
         .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
         .drop("_slice", "_local", "_offset")
     )

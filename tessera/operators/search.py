@@ -336,17 +336,12 @@ class Search:
         :func:`tessera.operators.numbering.number_within`, so a hot shard is
         spread over many tasks.
 
-        The numbering reads its input three times (row count, cut-point
-        sample, numbering).  When the session has a checkpoint folder (shared
-        storage on a cluster) the hits are checkpointed there once, so the
-        query itself runs once; this also cuts the lineage, so a lost
-        executor does not rerun the search."""
+        The numbering writes the hits once to the staging folder, so the query
+        itself runs once, and a lost executor does not rerun the search."""
         from .numbering import number_within
 
         scored = self.scored().withColumn("_neg", -F.col("score"))
-        if self.index.sparkSession.sparkContext.getCheckpointDir():
-            scored = scored.checkpoint(eager=True)
-        out = number_within(scored, "shard", ["_neg", "doc"], "_pos", group_bound=self.index.num_shards)
+        out = number_within(scored, "shard", ["_neg", "doc"], "_pos")
         return out.select("shard", "doc", "score", (F.col("_pos") + 1).cast("bigint").alias("rank"))
 
     def top_k_per_shard(self, k: int, fetch: bool = True) -> DataFrame:

@@ -28,7 +28,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..config import table_path
 from ..operators.build import Index, bucket_of, index_rows, stats_from_norms
@@ -42,20 +41,29 @@ NORMS_BUCKET = -1
 _POSTINGS_SCHEMA = "shard int, doc bigint, field string, term string, tf bigint, dl bigint, bucket int"
 
 _MANIFEST_SCHEMA = (
-    "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint"
+    "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint, "
+    "stream string, schema string"
 )
 
 
 def read_manifest(spark: SparkSession, path: str) -> list[dict]:
     """Published generations, oldest first (one small row per write)."""
-    if not _exists(spark, f"{path}/_manifest"):
+    gens = _subfolders(spark, f"{path}/_manifest", "gen=")
+    if not gens:
         return []
-    try:
-        rows = spark.read.parquet(f"{path}/_manifest").collect()
-    except AnalysisException:
+    # a manifest that cannot be read raises: taking it for "no table" would
+    # let an append publish a new base and hide earlier data
+    rows = spark.read.schema(_MANIFEST_SCHEMA + ", gen int").option("basePath", f"{path}/_manifest").parquet(*gens).collect()
+    return sorted((r.asDict() for r in rows), key=lambda r: r["gen"])
+
+
+def _subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Folders below ``path`` whose name starts with ``prefix``; none if it does not exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
         return []
-    out = [r.asDict() for r in rows]
-    return sorted(out, key=lambda r: r["gen"])
+    return [x.getPath().toString() for x in fs.listStatus(p) if x.isDirectory() and x.getPath().getName().startswith(prefix)]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -85,16 +93,17 @@ def _write_stats(stats: DataFrame, out: str, name: str) -> int:
     """Write the (tiny) stats and return the shard-count bound seen while
     writing (max shard + 1), without a second job."""
     obs = Observation(name)
-    (stats.observe(obs, F.max("shard").alias("top")).coalesce(1)
+    # the aggregate runs in parallel; only its (shards x fields) rows meet in one file
+    (stats.repartition(1).observe(obs, F.max("shard").alias("top"))
      .write.mode("errorifexists").parquet(out))
     top = obs.get["top"]
     return int(top) + 1 if top is not None else 0
 
 
 def _publish(spark: SparkSession, path: str, gen: int, kind: str, spec: IndexSpec, num_buckets: int,
-             num_shards: int, doc_rows: int, epoch: int | None) -> None:
+             num_shards: int, doc_rows: int, epoch: int | None, stream: str | None, schema: str) -> None:
     row = [(kind, json.dumps(spec.to_dict()), num_buckets, num_shards, doc_rows,
-            datetime.now(timezone.utc).isoformat(), epoch)]
+            datetime.now(timezone.utc).isoformat(), epoch, stream, schema)]
     (spark.createDataFrame(row, _MANIFEST_SCHEMA).coalesce(1)
      .write.mode("errorifexists").parquet(f"{path}/_manifest/gen={gen}"))
 
@@ -105,8 +114,10 @@ def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
     directory per bucket.  Lookups prune directories by bucket and row
     groups by term.  Norm rows (term NULL) go to ``bucket=-1``."""
     bucket = F.when(F.col("term").isNull(), F.lit(NORMS_BUCKET)).otherwise(bucket_of(F.col("term"), num_buckets))
-    (postings.withColumn("bucket", bucket)
-     .hint("rebalance", "bucket")
+    # norms are as many as documents x fields: their directory is one, but not their shuffle key
+    spread = F.when(F.col("term").isNull(), F.pmod(F.xxhash64("doc"), F.lit(num_buckets))).otherwise(F.lit(0))
+    (postings.withColumn("bucket", bucket).withColumn("_spread", spread)
+     .hint("rebalance", "bucket", "_spread").drop("_spread")
      .sortWithinPartitions("bucket", "field", "term", "shard", "doc")
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
@@ -140,6 +151,10 @@ _STATS_SCHEMA = "shard int, field string, n_docs bigint, sum_dl bigint"
 _SCHEMAS = {"postings": _POSTINGS_SCHEMA, "terms": _TERMS_SCHEMA, "stats": _STATS_SCHEMA}
 
 
+def _ddl(types: str) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in json.loads(types).items())
+
+
 def _read_gens(spark: SparkSession, path: str, dataset: str, gens: list[int]) -> DataFrame:
     """One dataset over the given generations only: nothing else is listed,
     and unpublished directories never take part in schema inference."""
@@ -150,6 +165,17 @@ def _read_gens(spark: SparkSession, path: str, dataset: str, gens: list[int]) ->
     return reader.parquet(*[f"{base}/gen={g}" for g in gens])
 
 
+def _read_docs(spark: SparkSession, path: str, live: list[dict], spec: IndexSpec) -> DataFrame:
+    """Documents of the live generations, with the types in the manifest."""
+    base, folders = f"{path}/docs", [f"{path}/docs/gen={m['gen']}" for m in live]
+    if live[-1]["schema"] is None:
+        docs = spark.read.option("basePath", base).parquet(*folders)
+    else:
+        types = _ddl(live[-1]["schema"])
+        docs = spark.read.schema(f"shard int, doc bigint{', ' + types if types else ''}").parquet(*folders)
+    return docs.select("shard", "doc", *spec.columns)
+
+
 def _shard_offsets(spark: SparkSession, path: str, live: list[dict]) -> DataFrame:
     """Next free doc id of every shard over the live generations."""
     gens = [m["gen"] for m in live]
@@ -159,13 +185,38 @@ def _shard_offsets(spark: SparkSession, path: str, live: list[dict]) -> DataFram
     )
 
 
-def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | None = None) -> int:
+def _column_types(df: DataFrame, spec: IndexSpec) -> str:
+    """Names and types of the spec's columns, as recorded in the manifest."""
+    return json.dumps({c: df.schema[c].dataType.simpleString() for c in spec.columns}, sort_keys=True)
+
+
+def _check_written(written: DataFrame, rows: int, offsets: DataFrame | None) -> None:
+    """Raise unless the written documents are ``rows`` rows numbered densely
+    in each shard (from the shard's offset): count, least, largest and sum of
+    the ids of a shard must be those of a gapless run.  Reads two columns."""
+    doc = F.col("doc").cast("decimal(20,0)")
+    shards = written.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min(doc).alias("lo"), F.max(doc).alias("hi"), F.sum(doc).alias("s"))
+    if offsets is not None:
+        shards = shards.join(offsets, "shard", "left")
+    first = F.coalesce(F.col("_offset"), F.lit(0)) if offsets is not None else F.lit(0)
+    gapless = (F.col("lo") == first) & (F.col("hi") == first + F.col("n") - 1) & (2 * F.col("s") == (F.col("lo") + F.col("hi")) * F.col("n"))
+    n, bad = shards.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.count_if(F.coalesce(~gapless, F.lit(True)) | F.col("shard").isNull()), F.lit(0))).first()
+    if n != rows or bad:
+        raise ValueError(f"not published: {n} rows written of {rows}, {bad} shards without dense document ids "
+                         "(the input gave other rows when it was read again)")
+
+
+def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | None = None, stream: str | None = None) -> int:
     """Write an index built by :func:`tessera.build_index`; returns the
     number of documents written (counted during the write, one pass).
 
     ``mode``: ``errorifexists`` (new table), ``append`` (create if missing;
     doc ids continue after each shard's last one), ``overwrite`` (new base
     generation; readers that opened earlier keep their snapshot).
+
+    ``stream`` and ``epoch`` name a micro-batch; one that a live generation
+    holds already is not written again.  Nothing is published unless as many
+    rows were written as the index has, with dense ids in every shard.
     """
     if mode not in ("errorifexists", "error", "append", "overwrite"):
         raise ValueError(f"unsupported mode: {mode}")
@@ -175,8 +226,8 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     if manifest and mode in ("errorifexists", "error"):
         raise ValueError(f"table {table} exists; use mode='append' or 'overwrite'")
     gen = _next_gen(spark, path, manifest)
-    docs = index.docs
-    kind = "base"
+    docs, types = index.docs, _column_types(index.docs, index.spec)
+    kind, offsets = "base", None
     if manifest and mode == "append":
         live = _live(manifest)
         old_spec = IndexSpec.from_dict(json.loads(live[-1]["spec"]))
@@ -184,7 +235,9 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
             raise ValueError("appended data must use the table's IndexSpec")
         if live[-1]["num_buckets"] != index.num_buckets:
             raise ValueError("appended data must use the table's bucket count")
-        if epoch is not None and any(m.get("epoch") == epoch for m in manifest):
+        if live[-1]["schema"] is not None and live[-1]["schema"] != types:
+            raise ValueError(f"appended data must have the table's column types: {live[-1]['schema']}, got {types}")
+        if epoch is not None and any(m["epoch"] == epoch and m["stream"] == stream for m in live):
             return 0  # this micro-batch was already published
         offsets, _ = checked_broadcast(_shard_offsets(spark, path, live))
         docs = (docs.join(offsets, "shard", "left")
@@ -200,7 +253,8 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("errorifexists").parquet(docs_path))
     rows = int(obs.get["rows"])
-    written = spark.read.parquet(docs_path)
+    written = spark.read.schema(f"shard int, doc bigint, {_ddl(types)}" if types != "{}" else "shard int, doc bigint").parquet(docs_path)
+    _check_written(written, docs.count(), offsets)
     # 2. postings and norms of the written documents, in one job (the text
     #    is tokenized once); 3. stats aggregated from the norms.
     postings_path = f"{path}/postings/gen={gen}"
@@ -209,7 +263,7 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     norms = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET)
     shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
     # 4. publish.
-    _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch)
+    _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch, stream, types)
     return rows
 
 
@@ -223,7 +277,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
     gens = [m["gen"] for m in live]
     spec = IndexSpec.from_dict(json.loads(live[-1]["spec"]))
     num_buckets = live[-1]["num_buckets"]
-    docs = _read_gens(spark, path, "docs", gens).drop("gen")
+    docs = _read_docs(spark, path, live, spec)
     postings = (_read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
                 .select("shard", "doc", "field", "term", "tf", "dl", "bucket"))
     terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", "df", "bucket")
@@ -253,6 +307,8 @@ def open_index(spark: SparkSession, table: str) -> Index:
 def compact(spark: SparkSession, table: str) -> Index:
     """Rewrite all live generations as one base generation; hits unchanged."""
     current = open_index(spark, table)
+    if len(current.generations) == 1:
+        return current  # nothing to merge
     path = table_path(spark, table)
     gen = _next_gen(spark, path, read_manifest(spark, path))
     obs = Observation(f"tessera_compact_{table}_{gen}")
@@ -270,5 +326,6 @@ def compact(spark: SparkSession, table: str) -> Index:
     _write_dictionary(current.terms.groupBy("bucket", "field", "term", "shard").agg(F.sum("df").alias("df")),
                       f"{path}/terms/gen={gen}")
     shards = _write_stats(current.stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
-    _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None)
+    _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None, None,
+             _column_types(current.docs, current.spec))
     return open_index(spark, table)

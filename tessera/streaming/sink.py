@@ -1,8 +1,10 @@
 """Keep an index up to date from a stream: append each micro-batch.
 
 This is the batch append (``save(mode='append')``) run inside
-``foreachBatch``.  The micro-batch id is recorded in the table's manifest, so a
-batch replayed after a failure is skipped instead of indexed twice.
+``foreachBatch``.  The stream's query id (kept in its checkpoint) and the
+micro-batch number are recorded in the table's manifest, so a batch replayed
+after a failure is skipped instead of indexed twice, and batches of another
+stream, or after an overwrite, are not mistaken for it.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def index_stream(
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         index = build_index(batch, spec, shard_by=shard_by, num_shards=num_shards, order_by=order_by,
                             num_buckets=num_buckets)
-        save(index, table, mode="append", epoch=epoch_id)
+        save(index, table, mode="append", epoch=epoch_id, stream=batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
 
     writer = stream.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint_location)
     if trigger:

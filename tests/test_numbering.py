@@ -10,7 +10,7 @@ def test_matches_row_number_with_hot_group(spark):
     # group 0 holds a third of the rows
     df = spark.range(0, 3000).select(F.col("id").alias("k"),
                                      F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 50).alias("g"))
-    got = number_within(df, "g", ["k"], "n", num_partitions=16, group_bound=51)
+    got = number_within(df, "g", ["k"], "n", num_partitions=16)
     ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
     bad = got.join(ref, ["k", "g"]).where(F.col("n") != F.col("r")).count()
     assert bad == 0

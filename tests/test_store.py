@@ -104,7 +104,8 @@ def test_stream_append_is_idempotent(spark, tmp_path):
     index_stream(stream, t, SPEC, **kw).awaitTermination()
     assert _rows(open_index(spark, t).search(Q[0])) == _rows(_docs(spark).search(Q[0]))
     # A replayed epoch is skipped.
-    assert save(_docs(spark), t, mode="append", epoch=0) == 0
+    stream = read_manifest(spark, table_path(spark, t))[-1]["stream"]
+    assert stream and save(_docs(spark), t, mode="append", epoch=0, stream=stream) == 0
     assert open_index(spark, t).docs.count() == 200
 
 
