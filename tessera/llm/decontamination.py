@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import arrow_tasks
+
 EDITS_PER = 5  # one edit for so many words
 BLOCK_ITEMS = 20_000
 _WORD = re.compile(r"[^\W_]+")
@@ -160,7 +162,7 @@ def _in_block(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame
                     [batch.column(0).take(pa.array(row)), pa.array(item, pa.int64()), pa.array(distance, pa.int32()),
                      pa.array(first, pa.int64()), pa.array(end, pa.int64())], ["doc_id", "item_id", "distance", "first_word", "end_word"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         task, "doc_id bigint, item_id bigint, distance int, first_word bigint, end_word bigint")
 
 
@@ -171,7 +173,7 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
     for k in range(blocks):
         block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        docs = docs.mapInArrow(_clean_task(block, at), docs.schema)
+        docs = arrow_tasks(docs).mapInArrow(_clean_task(block, at), docs.schema)
     return docs
 
 

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
-from .tokens import Encoder, read_vocabulary, text_runs
+from .shared import arrow_tasks, materialize
+from .tokens import ROWS, Encoder, read_vocabulary
 
 GROUP_ITEMS = 2000
 CARRY = 64
@@ -38,18 +38,18 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, en
     def encode(batches):
         encoder = Encoder.of(vocabulary)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for first, run in text_runs(texts):
-                raw = [x + tail for x in encoder.encode(run)]
+            for first in range(0, batch.num_rows, ROWS):
+                ids, texts = batch.column(0).slice(first, ROWS), batch.column(1).slice(first, ROWS)
+                raw = [x + tail for x in encoder.encode(texts)]
                 cut = [(i, k, x[a : a + step]) for i, x in enumerate(raw) for k, a in enumerate(range(0, len(x), step))]
                 rows, pieces, parts = zip(*cut)
                 pieces = np.array(pieces, np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(run)).take(pa.array(rows)), pa.array(pieces), pa.array(pieces.astype(np.int64) * capacity),
+                    [ids.take(pa.array(rows)), pa.array(pieces), pa.array(pieces.astype(np.int64) * capacity),
                      pa.array([len(x) // 4 for x in parts], pa.int64()), pa.array(parts, pa.binary())],
                     ["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         encode, "doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
 
@@ -80,14 +80,18 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def pack(items: DataFrame, capacity: int = 4096, size: str = "length") -> DataFrame:
-    """All columns of ``items`` and ``sequence_id``, ``offset``."""
-    items = materialize(items.withColumn("_row", F.monotonically_increasing_id()), "pieces")
-    names = [c for c in items.columns if c != "_row"]
+    """All columns of ``items`` and ``sequence_id``, ``offset`` (in place of columns of these names).
+
+    Names that begin with ``__pack_`` are the operator's own.
+    """
+    items = items.drop("sequence_id", "offset")
+    items = materialize(items.withColumn("__pack_row", F.monotonically_increasing_id()), "pieces")
+    names = [c for c in items.columns if c != "__pack_row"]
     n = items.count()
     groups = max(1, -(-n // GROUP_ITEMS))
 
     def place(table: pa.Table) -> pa.Table:
-        group, rows = table.column("_group")[0].as_py(), table.column("_row").to_numpy()
+        group, rows = table.column("__pack_group")[0].as_py(), table.column("__pack_row").to_numpy()
         if table.column(size).null_count:
             raise ValueError(f"an item has no {size}")
         lengths = table.column(size).to_numpy()
@@ -101,26 +105,26 @@ def pack(items: DataFrame, capacity: int = 4096, size: str = "length") -> DataFr
         open_[np.argsort(fill, kind="stable")[:CARRY]] = True
         open_ &= fill < capacity
         bins, offsets = bins[back], offsets[back]
-        return (table.drop_columns(["_group", "_row"]).append_column("_bin", pa.array((group << 20) + bins))
-                .append_column("offset", pa.array(offsets)).append_column("_fill", pa.array(fill[bins]))
-                .append_column("_open", pa.array(open_[bins])))
+        return (table.drop_columns(["__pack_group", "__pack_row"]).append_column("__pack_bin", pa.array((group << 20) + bins))
+                .append_column("offset", pa.array(offsets)).append_column("__pack_fill", pa.array(fill[bins]))
+                .append_column("__pack_open", pa.array(open_[bins])))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name != "_row")
-    dealt = items.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name != "__pack_row")
+    dealt = items.withColumn("__pack_group", F.pmod(F.xxhash64("__pack_row"), F.lit(groups)))
     placed = materialize(
-        dealt.groupBy("_group").applyInArrow(place, f"{kinds}, _bin bigint, offset bigint, _fill bigint, _open boolean"), "packed")
+        dealt.groupBy("__pack_group").applyInArrow(place, f"{kinds}, __pack_bin bigint, offset bigint, __pack_fill bigint, __pack_open boolean"), "packed")
     merged = merge_open(placed, groups, capacity)
     if merged is None:
-        return placed.select(*names, F.col("_bin").alias("sequence_id"), "offset")
-    return placed.join(merged, "_bin", "left").select(
-        *names, F.coalesce("_top", "_bin").alias("sequence_id"), (F.col("offset") + F.coalesce("_shift", F.lit(0))).alias("offset"))
+        return placed.select(*names, F.col("__pack_bin").alias("sequence_id"), "offset")
+    return placed.join(merged, "__pack_bin", "left").select(
+        *names, F.coalesce("__pack_top", "__pack_bin").alias("sequence_id"), (F.col("offset") + F.coalesce("__pack_shift", F.lit(0))).alias("offset"))
 
 
 def merge_open(placed: DataFrame, groups: int, capacity: int) -> DataFrame | None:
     """``_bin, _top, _shift`` of the open bins after the rounds above the first; a merged bin takes its first part's number."""
 
     def merge(table: pa.Table) -> pa.Table:
-        ids, fills = table.column("_bin").to_numpy(), table.column("_fill").to_numpy()
+        ids, fills = table.column("__pack_bin").to_numpy(), table.column("__pack_fill").to_numpy()
         order = np.argsort(ids, kind="stable")
         ids, fills = ids[order], fills[order]
         bins, shifts, total = best_fit(fills, capacity)
@@ -128,25 +132,25 @@ def merge_open(placed: DataFrame, groups: int, capacity: int) -> DataFrame | Non
         first[bins[shifts == 0]] = ids[shifts == 0]
         open_ = np.zeros(len(total), bool)
         open_[np.argsort(total, kind="stable")[:CARRY]] = True
-        return pa.table({"_bin": ids, "_top": first[bins], "_shift": shifts, "_fill": total[bins], "_open": open_[bins] & (total[bins] < capacity)})
+        return pa.table({"__pack_bin": ids, "__pack_top": first[bins], "__pack_shift": shifts, "__pack_fill": total[bins], "__pack_open": open_[bins] & (total[bins] < capacity)})
 
-    open_bins = placed.where("_open").groupBy("_bin").agg(F.first("_fill").alias("_fill"))
+    open_bins = placed.where("__pack_open").groupBy("__pack_bin").agg(F.first("__pack_fill").alias("__pack_fill"))
     rounds = []
     while groups > 1:
         groups = -(-groups // FAN)
         level = len(rounds) + 1
-        group = F.floor(F.shiftright("_bin", 20) / FAN**level)
-        done = materialize(open_bins.withColumn("_group", group).groupBy("_group").applyInArrow(
-            merge, "_bin bigint, _top bigint, _shift bigint, _fill bigint, _open boolean"), f"merge{level}")
+        group = F.floor(F.shiftright("__pack_bin", 20) / FAN**level)
+        done = materialize(open_bins.withColumn("__pack_group", group).groupBy("__pack_group").applyInArrow(
+            merge, "__pack_bin bigint, __pack_top bigint, __pack_shift bigint, __pack_fill bigint, __pack_open boolean"), f"merge{level}")
         rounds.append(done)
-        open_bins = done.where("_open AND _shift = 0").select(F.col("_top").alias("_bin"), "_fill")
+        open_bins = done.where("__pack_open AND __pack_shift = 0").select(F.col("__pack_top").alias("__pack_bin"), "__pack_fill")
     if not rounds:
         return None
-    whole = rounds.pop().select("_bin", "_top", "_shift")
+    whole = rounds.pop().select("__pack_bin", "__pack_top", "__pack_shift")
     for done in reversed(rounds):
-        up = whole.select(F.col("_bin").alias("_mid"), F.col("_top").alias("_up"), F.col("_shift").alias("_more"))
-        whole = done.join(up, done["_top"] == up["_mid"], "left").select(
-            "_bin", F.coalesce("_up", "_top").alias("_top"), (F.col("_shift") + F.coalesce("_more", F.lit(0))).alias("_shift"))
+        up = whole.select(F.col("__pack_bin").alias("__pack_mid"), F.col("__pack_top").alias("__pack_up"), F.col("__pack_shift").alias("__pack_more"))
+        whole = done.join(up, done["__pack_top"] == up["__pack_mid"], "left").select(
+            "__pack_bin", F.coalesce("__pack_up", "__pack_top").alias("__pack_top"), (F.col("__pack_shift") + F.coalesce("__pack_more", F.lit(0))).alias("__pack_shift"))
     return whole
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import checked_broadcast
-from .shared import materialize, with_facts
+from .shared import fresh, materialize, with_facts
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 LABELS = ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]"]
@@ -156,13 +156,12 @@ def sanitised(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, threshold: float = DISCLOSURE) -> DataFrame:
     """All documents, columns as in ``docs``, with personal data and disclosing terms replaced; ``n_chars`` follows the text."""
-    facts = find_personal(docs, threshold).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    joined = with_facts(docs, facts)
-    new = F.when(F.col("_spans").isNotNull(), sanitised(docs["text"], F.col("_spans"))).otherwise(docs["text"])
-    joined = joined.withColumn("_new", new)
-    columns = {c: docs[c] for c in docs.columns} | {"text": F.col("_new")}
+    facts = find_personal(docs, threshold).where(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
+    joined, about = with_facts(docs, facts)
+    (name,) = fresh("text")
+    joined = joined.withColumn(name, F.when(about["spans"].isNotNull(), sanitised(docs["text"], about["spans"])).otherwise(docs["text"]))
+    columns = {c: docs[c] for c in docs.columns} | {"text": F.col(name)}
     if "n_chars" in columns:
-        chars = F.length("_new").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(F.col("_spans").isNotNull(), chars).otherwise(docs["n_chars"])
+        chars = F.length(name).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(about["spans"].isNotNull(), chars).otherwise(docs["n_chars"])
     return joined.select(*(column.alias(c) for c, column in columns.items()))

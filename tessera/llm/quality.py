@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import materialize, with_facts
+from .shared import arrow_tasks, materialize, with_facts
 
 LINE_SHARE, LINE_DOCS = 0.02, 20
 MIN_WORDS, MIN_SHARE = 20, 0.2
@@ -97,7 +97,7 @@ def measure(docs: DataFrame) -> DataFrame:
                  pa.array([list(x.values()) for _, x in lines], pa.list_(pa.int64()))],
                 ["doc_id", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words"])
 
-    return docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+    return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         task, "doc_id bigint, source string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
               "n_dup_lines bigint, n_repeat_words bigint, lines array<bigint>, line_words array<bigint>")
 
@@ -132,9 +132,9 @@ def clean(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) ->
 
     ``n_chars`` follows the text where a line went.
     """
-    facts = judge(docs, share, least).where(~F.col("kept") | F.col("removed").isNotNull()).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"), F.col("removed").alias("_removed"))
-    kept = with_facts(docs, facts).where("_kept IS NULL OR _kept")
+    facts = judge(docs, share, least).where(~F.col("kept") | F.col("removed").isNotNull()).select("doc_id", "text_hash", "kept", "removed")
+    joined, about = with_facts(docs, facts)
+    kept = joined.where(about["kept"].isNull() | about["kept"])
     names, at = docs.columns, docs.columns.index("text")
 
     def strip(batches):
@@ -153,4 +153,4 @@ def clean(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) ->
                 columns = [batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return kept.select(*(docs[c] for c in names), "_removed").mapInArrow(strip, docs.schema)
+    return kept.select(*(docs[c] for c in names), about["removed"]).mapInArrow(strip, docs.schema)

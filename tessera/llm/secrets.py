@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import arrow_tasks, materialize
 
 # The base patterns.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -106,7 +106,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 ["doc_id", "base", "candidates", "random", "ordinary"])
 
     pairs = "array<struct<pair: int, n: bigint>>"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         task, f"doc_id bigint, base array<{_SPAN}>, candidates array<struct<start: int, string: string>>, random {pairs}, ordinary {pairs}")
 
 

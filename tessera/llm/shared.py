@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import checked_broadcast
@@ -38,18 +38,41 @@ def materialize(df: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = "4m"
+
+
+def arrow_tasks(docs: DataFrame) -> DataFrame:
+    """``docs``, to be handed to Python tasks.
+
+    Bounds the Arrow batches of the session by bytes (they are bounded by rows
+    otherwise, and rows may be long texts), unless a setting other than
+    Spark's own default was chosen.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, "64m").lower() in ("64m", "64mb", "67108864", "67108864b", "-1", "2147483647", "2147483647b"):
+        conf.set(key, BATCH_BYTES)
+    return docs
+
+
 MOST_FACTS = 200_000  # rows of facts sent to every task; of more, both sides are shuffled
 
 
-def with_facts(docs: DataFrame, facts: DataFrame) -> DataFrame:
-    """``docs`` and, where a row of ``facts(_id, _hash, ...)`` is about its ``doc_id`` and text, that row's columns (else null).
+def fresh(*names: str) -> list[str]:
+    """Column names that no table has."""
+    end = uuid.uuid4().hex
+    return [f"{name}_{end}" for name in names]
+
+
+def with_facts(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with ``facts(doc_id, text_hash, ...)`` about their ``doc_id`` and text (null where there are none).
 
-    Facts are about few documents.  Up to ``MOST_FACTS`` of them go to the
-    documents, which are then not shuffled; the join is the same either way.
-    A name that documents have too must not be among the facts.
+    Also returns the added columns by their names in ``facts``.  Facts are
+    about few documents.  Up to ``MOST_FACTS`` of them go to the documents,
+    which are then not shuffled; the join is the same either way.
     """
-    facts = materialize(facts.dropDuplicates(["_id", "_hash"]), "facts")
-    facts, _ = checked_broadcast(facts, MOST_FACTS)
-    # the hash of a null text is that of nothing, which no fact but its own has
-    about = docs["doc_id"].eqNullSafe(facts["_id"]) & (F.xxhash64(docs["text"]) == facts["_hash"])
-    return docs.join(facts, about, "left").drop("_id", "_hash")
+    facts = materialize(facts.dropDuplicates(["doc_id", "text_hash"]), "facts")
+    names = dict(zip(facts.columns, fresh(*facts.columns)))
+    facts, _ = checked_broadcast(facts.select(*(F.col(c).alias(new) for c, new in names.items())), MOST_FACTS)
+    about = docs["doc_id"].eqNullSafe(facts[names["doc_id"]]) & (F.xxhash64(docs["text"]) == facts[names["text_hash"]])
+    joined = docs.join(facts, about, "left")
+    return joined, {c: F.col(new) for c, new in names.items()}

@@ -15,7 +15,7 @@ import pyarrow as pa
 U64 = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
 _P_INV = pow(_P, -1, 1 << 64)
-_BLOCK = 1 << 21  # bytes hashed at a time
+_BLOCK = 1 << 19  # bytes hashed at a time
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -55,7 +55,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes (a longer row stands alone)."""
     i, n = 0, len(offsets) - 1
     while i < n:

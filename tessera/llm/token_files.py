@@ -30,8 +30,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import shared_dir
-from .tokens import Encoder, read_vocabulary, text_runs
+from ..plans.broadcast import checked_broadcast
+from .shared import arrow_tasks, shared_dir
+from .tokens import ROWS, Encoder, read_vocabulary
 
 EXAMPLES = 1000  # documents the dictionary is trained on, at most
 EXAMPLE_CHARS = 65_536  # a document longer than this is no example (a dictionary serves short ones)
@@ -39,7 +40,7 @@ DICTIONARY_BYTES = 112_640
 RANGE_DOCS = 20_000  # documents in a range of the sort
 BLOCK_DOCS, BLOCK_BYTES = 1024, 1 << 20
 
-_BLOCKS = ("part int, block int, first_doc bigint, last_doc bigint, dictionary string, doc_ids array<bigint>, "
+_BLOCKS = ("part int, block int, before bigint, first_doc bigint, last_doc bigint, dictionary string, doc_ids array<bigint>, "
            "n_tokens array<bigint>, offsets array<bigint>, payload binary")
 
 
@@ -87,7 +88,7 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
     """Encode every whole text of ``docs(doc_id, text)`` and write a store."""
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/llm-tokens-{uuid.uuid4().hex}"
-    docs = docs.select("doc_id", "text")
+    docs = arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text")
     vocabulary, tail = read_vocabulary(vocabulary_path), np.array([end_id], "<u4").tobytes()
     n = docs.count()
     content = train_dictionary([x + tail for x in _examples(docs, n, Encoder.of(vocabulary).encode, examples)])
@@ -101,10 +102,9 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
     def encode(batches):
         encoder, packer = Encoder.of(vocabulary), zstandard.ZstdCompressor(level=3, dict_data=_zstd(content))
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for first, run in text_runs(texts):
-                raw = [x + tail for x in encoder.encode(run)]
-                own = ids.slice(first, len(run))
+            for first in range(0, batch.num_rows, ROWS):
+                own, texts = batch.column(0).slice(first, ROWS), batch.column(1).slice(first, ROWS)
+                raw = [x + tail for x in encoder.encode(texts)]
                 part = np.searchsorted(cuts, own.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), "right")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part.astype(np.int32)), own, pa.array([len(x) // 4 for x in raw], pa.int64()),
@@ -113,29 +113,29 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
 
     def block(rows):
         """One row of ``_BLOCKS`` from documents of one range in order."""
-        part, number, ids, counts, frames = rows
+        part, number, before, ids, counts, frames = rows
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in frames])]).astype(np.int64)
         real = [x for x in ids if x is not None]
         return pa.RecordBatch.from_pylist([{
-            "part": part, "block": number, "first_doc": real[0] if real else None, "last_doc": real[-1] if real else None,
+            "part": part, "block": number, "before": before, "first_doc": real[0] if real else None, "last_doc": real[-1] if real else None,
             "dictionary": name, "doc_ids": ids, "n_tokens": counts, "offsets": offsets.tolist(), "payload": b"".join(frames)}],
-            schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first_doc", pa.int64()), ("last_doc", pa.int64()),
+            schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("first_doc", pa.int64()), ("last_doc", pa.int64()),
                               ("dictionary", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())),
                               ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())]))
 
     def assemble(batches):
-        part, number, ids, counts, frames, size = None, 0, [], [], [], 0
+        part, number, before, ids, counts, frames, size = None, 0, 0, [], [], [], 0
         for batch in batches:
             for p, d, c, x in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if ids and (p != part or len(ids) >= BLOCK_DOCS or size + len(x) > BLOCK_BYTES):
-                    yield block((part, number, ids, counts, frames))
-                    number, ids, counts, frames, size = number + 1, [], [], [], 0
+                    yield block((part, number, before, ids, counts, frames))
+                    number, before, ids, counts, frames, size = number + 1, before + sum(counts), [], [], [], 0
                 if p != part:
-                    part, number = p, 0
+                    part, number, before = p, 0, 0
                 ids.append(d), counts.append(c), frames.append(x)
                 size += len(x)
         if ids:
-            yield block((part, number, ids, counts, frames))
+            yield block((part, number, before, ids, counts, frames))
 
     frames = docs.mapInArrow(encode, "part int, doc_id bigint, n_tokens bigint, frame binary")
     (frames.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "n_tokens", "frame")
@@ -146,13 +146,12 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
 def read_tokens(spark: SparkSession, store: TokenStore) -> DataFrame:
     """Every document of a store: ``doc_id, start, n_tokens, ids`` (``start``: ids of all documents before it)."""
     name, content = store.dictionary(spark)
-    blocks = store.blocks(spark)
-    totals = blocks.groupBy("part", "block").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("t"))
-    # ranges are few (documents / RANGE_DOCS); blocks are summed inside their range
-    ranges = totals.groupBy("part").agg(F.sum("t").alias("t")).select(
-        "part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("before"))
-    places = totals.select("part", "block", (F.sum("t").over(Window.partitionBy("part").orderBy("block")) - F.col("t")).alias("inside"))
-    bases = places.join(ranges, "part").select("part", "block", (F.col("before") + F.col("inside")).alias("base"))
+    blocks = arrow_tasks(store.blocks(spark))
+    # the ranges are few (documents / RANGE_DOCS); inside a range a block knows how many ids are before it
+    last = F.struct("block", (F.col("before") + F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("t"))
+    ranges = blocks.groupBy("part").agg(F.max(last)["t"].alias("t")).select(
+        "part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("base"))
+    ranges, _ = checked_broadcast(ranges)
 
     def decode(batches):
         unpacker = zstandard.ZstdDecompressor(dict_data=_zstd(content))
@@ -167,7 +166,7 @@ def read_tokens(spark: SparkSession, store: TokenStore) -> DataFrame:
                     [pa.array(ids, pa.int64()), pa.array(starts), pa.array([len(x) // 4 for x in raw], pa.int64()),
                      pa.array(raw, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
-    return (blocks.join(bases, ["part", "block"]).select("base", "dictionary", "doc_ids", "n_tokens", "offsets", "payload")
+    return (blocks.join(ranges, "part").select((F.col("base") + F.col("before")).alias("base"), "dictionary", "doc_ids", "n_tokens", "offsets", "payload")
             .mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary"))
 
 

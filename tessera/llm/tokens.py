@@ -4,21 +4,28 @@ The vocabulary file is a parameter; the driver reads it and its content goes
 to the executors with the task, so executors need no copy of their own.
 
 White space is a hard boundary of the vocabularies used here (their
-pre-tokenizer drops it), so a text's ids are those of its pieces between
-spaces and newlines, one after another.  Each worker therefore encodes a
-distinct piece once and keeps its ids as bytes; ``exact_pieces`` checks that a
-vocabulary allows this (lower case, byte-level, words and marks apart), others
-encode whole texts.
+pre-tokenizer drops it), so a text's ids are those of its words, one after
+another.  Each worker therefore encodes a distinct word once and finds it again
+by a 64-bit hash; words are split, hashed and put together with numpy.
+``exact_pieces`` checks that a vocabulary allows this (lower case, byte-level,
+letters and marks apart); others encode whole texts.
 """
 
 from __future__ import annotations
 
-import gc
 import json
+
 import numpy as np
+import pyarrow as pa
+
+from . import textops
 
-KEEP = 1_000_000  # distinct pieces a worker remembers
+KEEP = 1_500_000  # distinct words a worker remembers (about 30 bytes each)
+RUN = 1 << 21  # bytes of text at a time
+ROWS = 2000  # rows whose ids are in memory at a time
 MARKS = frozenset(",.!?;:")
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in a byte-level model
+_AS_BYTES = dict(zip(_PLAIN, _PLAIN)) | {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in set(_PLAIN))}
 
 
 def read_vocabulary(path: str) -> str:
@@ -42,6 +49,46 @@ def exact_pieces(vocabulary: str) -> bool:
     )
 
 
+class Known:
+    """Ids of words by hash: a large sorted part, and a small one that new words are merged into."""
+
+    def __init__(self):
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.parts = [empty, empty]  # each: sorted hashes, place in the pool, number of ids
+
+    def __len__(self) -> int:
+        return sum(len(x[0]) for x in self.parts)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of ids; place -1 where a hash is new."""
+        place, number = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        for keys, at, n in self.parts:
+            if len(keys):
+                k = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                hit = keys[k] == hashes
+                place[hit], number[hit] = at[k[hit]], n[k[hit]]
+        return place, number
+
+    def add(self, hashes: np.ndarray, ids: list[bytes]) -> None:
+        new = np.frombuffer(b"".join(ids), "<u4")
+        if self.used + len(new) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(new)), np.uint32)])
+        self.pool[self.used : self.used + len(new)] = new
+        n = np.array([len(x) // 4 for x in ids], np.int32)
+        fresh = hashes, self.used + np.cumsum(n, dtype=np.int64) - n, n
+        self.used += len(new)
+        self.parts[1] = self._merged(self.parts[1], fresh)
+        if len(self.parts[1][0]) > 50_000 + len(self.parts[0][0]) // 4:
+            self.parts = [self._merged(*self.parts), tuple(x[:0] for x in fresh)]
+
+    @staticmethod
+    def _merged(a, b):
+        order = np.argsort(np.concatenate([a[0], b[0]]), kind="stable")
+        return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b))
+
+
 class Encoder:
     """Texts to ids; one per worker and vocabulary."""
 
@@ -52,7 +99,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.by_piece = exact_pieces(vocabulary)
-        self.ids: dict[str, bytes] = {"": b""}
+        self.known = Known()
+        self.id_bytes = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
 
     @classmethod
     def of(cls, vocabulary: str) -> Encoder:
@@ -61,55 +109,51 @@ class Encoder:
             cls._made[key] = cls(vocabulary)
         return cls._made[key]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of new pieces.  An ASCII word is one unit of the model (lower case); a mark behind a word is a unit of its own."""
-        known, parts, rest = self.ids, {}, []
-        for x in pieces:
+    def encode(self, texts) -> list[bytes]:
+        """The ids of each text (a list or an Arrow column) as little-endian unsigned 32-bit integers; a null is an empty text."""
+        column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())
+        if not self.by_piece:
+            done = self.tokenizer.encode_batch([x or "" for x in column.to_pylist()], add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in done]
+        data, offsets = textops.utf8(column)
+        out: list[bytes] = []
+        for i, j in textops.slices(offsets, RUN):
+            out += self._run(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        return out
+
+    def _run(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        starts, ends, first = textops.words(data, offsets)
+        hashes, at, which = np.unique(textops.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        place, number = self.known.find(hashes)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            if len(self.known) > KEEP:
+                self.known = Known()
+                place[:], new = -1, np.arange(len(hashes))
+            raw = data.tobytes()
+            self.known.add(hashes[new], self._words([raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]))
+            place, number = self.known.find(hashes)
+        counts = number[which]
+        until = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.known.pool[np.repeat(place[which] - until[:-1], counts) + np.arange(until[-1])]
+        raw, bounds = ids.astype("<u4").tobytes(), (4 * until[first]).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words.  Latin letters are one unit of the model (lower case, as bytes), a mark behind them a unit of its own."""
+        parts, rest = {}, []
+        for x in words:
             word, mark = (x[:-1], x[-1]) if x[-1] in MARKS else (x, "")
-            if word.isalpha() and word.isascii():
+            if word.isalpha() and max(word) <= "\xff":
                 parts[x] = (word.lower(), mark)
             else:
                 rest.append(x)
-        unit = self.tokenizer.model.tokenize
-        for word in {w for w, _ in parts.values() if w not in known}:
-            known[word] = np.array([t.id for t in unit(word)], "<u4").tobytes()
-        rest += [m for m in {m for _, m in parts.values()} if m not in known]
-        for x, done in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            known[x] = np.array(done.ids, "<u4").tobytes()
-        known.update((x, known[w] + known[m]) for x, (w, m) in parts.items())
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers; a null is an empty text."""
-        running = gc.isenabled()
-        gc.disable()  # many new strings, no cycles
-        try:
-            return self._encode(texts)
-        finally:
-            if running:
-                gc.enable()
-
-    def _encode(self, texts: list[str | None]) -> list[bytes]:
-        if not self.by_piece:
-            done = self.tokenizer.encode_batch([x or "" for x in texts], add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in done]
-        split = [(x or "").replace("\n", " ").split(" ") for x in texts]
-        if len(self.ids) > KEEP:
-            self.ids = {"": b""}
-        known = self.ids
-        fresh = {y for x in split for y in x if y not in known}
-        if fresh:
-            self._learn(fresh)
-        return [b"".join(map(known.__getitem__, x)) for x in split]
-
-
-def text_runs(texts: list[str | None], most: int = 4_000_000):
-    """Runs of texts of about ``most`` characters: ``(first, run)``."""
-    run, size, first = [], 0, 0
-    for i, x in enumerate(texts):
-        run.append(x)
-        size += len(x or "")
-        if size >= most:
-            yield first, run
-            run, size, first = [], 0, i + 1
-    if run:
-        yield first, run
+        known, unit, id_bytes = {"": b""}, self.tokenizer.model.tokenize, self.id_bytes
+        for word in {w for w, _ in parts.values()}:
+            as_bytes = word if word.isascii() else word.encode().decode("latin-1").translate(_AS_BYTES)
+            known[word] = b"".join([id_bytes[t.id] for t in unit(as_bytes)])
+        rest += {m for _, m in parts.values() if m}
+        whole = {x: b"".join([id_bytes[t] for t in done.ids])
+                 for x, done in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False))}
+        marks = whole | {"": b""}
+        return [known[parts[x][0]] + marks[parts[x][1]] if x in parts else whole[x] for x in words]

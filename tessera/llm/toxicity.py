@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import arrow_tasks
+
 TRAIN_ROWS = 24_000
 LEXICON = 1500  # terms at most
 STEM = range(4, 9)  # letters of a stem
@@ -265,7 +267,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Data
     out = "doc_id bigint, score double"
     rows = training_rows(docs, labels, most)
     lexicon = learn_lexicon(rows)
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    docs = arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text")
     if lexicon is None:
         scored = docs.select("doc_id", F.lit(0.0).alias("score"))
     else:
