@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.broadcast import checked_broadcast
-from .build import Index, bucket_of
+from .build import Index, bucket_of, points_of
 from .search import _bm25
 
 
@@ -66,9 +66,8 @@ def search_many(index: Index, lookups: DataFrame, k: int | None = None) -> DataF
         base = dtype.elementType if many else dtype
         side = lk.where(F.col("field") == name).select(
             "query_id", F.expr(f"try_cast(term AS {base.simpleString()})").alias("_v")).distinct()
-        value = F.explode(F.array_distinct(F.col(name))) if many else F.col(name)
-        docs = index.docs.select("shard", "doc", value.alias("_v"))
-        parts.append(docs.join(side, "_v").select("query_id", "shard", "doc", F.lit(1.0).alias("score")))
+        points = (index.points[name] if index.points is not None else points_of(index.docs, name)).withColumnRenamed("value", "_v")
+        parts.append(points.join(side, "_v").select("query_id", "shard", "doc", F.lit(1.0).alias("score")))
     if not parts:
         return spark.createDataFrame([], f"query_id {qid_type}, shard int, doc bigint, score double")
     hits = reduce(lambda a, b: a.unionByName(b), parts)

@@ -29,6 +29,9 @@ from .numbering import number_by_input_partition, number_within
 from .spec import IndexSpec
 
 DEFAULT_BUCKETS = 64
+# Saved documents lie in directories of this many consecutive ids of a shard.
+DOC_RANGE = "doc_range"
+DOCS_PER_RANGE = 100_000
 
 
 def bucket_of(term_col: Column, num_buckets: int) -> Column:
@@ -37,6 +40,11 @@ def bucket_of(term_col: Column, num_buckets: int) -> Column:
     return F.pmod(F.xxhash64(term_col), F.lit(num_buckets)).cast("int")
 
 
+def doc_range_of(doc: Column) -> Column:
+    """Directory of a document id within its shard."""
+    return F.floor(doc / DOCS_PER_RANGE).cast("bigint")
+
+
 @dataclass
 class Index:
     """An index as three DataFrames plus its spec.
@@ -60,6 +68,9 @@ class Index:
     # generation, partitioned by ``bucket`` like the postings (the term
     # dictionary).  None for an in-memory index: counted from postings.
     terms: DataFrame | None = None
+    # Saved indexes: ``value, shard, doc`` of each numeric field, sorted by
+    # value.  None for an in-memory index: numeric terms filter ``docs``.
+    points: dict[str, DataFrame] | None = None
 
     @property
     def sparkSession(self):
@@ -107,7 +118,8 @@ class Index:
         return self
 
     def _frames(self) -> list[DataFrame]:
-        return [df for df in (self.docs, self.postings, self.stats, self.terms) if df is not None]
+        points = list((self.points or {}).values())
+        return [df for df in (self.docs, self.postings, self.stats, self.terms, *points) if df is not None]
 
     def with_frames(self, **kw) -> "Index":
         return replace(self, **kw)
@@ -204,6 +216,15 @@ def index_rows(docs: DataFrame, spec: IndexSpec, norms: bool = False) -> DataFra
     return out
 
 
+def points_of(docs: DataFrame, name: str) -> DataFrame:
+    """``value, shard, doc`` of a numeric field; an array gives each distinct value."""
+    if isinstance(docs.schema[name].dataType, T.ArrayType):
+        rows = docs.select(F.explode(F.array_distinct(F.col(name))).alias("value"), "shard", "doc")
+    else:
+        rows = docs.select(F.col(name).alias("value"), "shard", "doc")
+    return rows.where(F.col("value").isNotNull())
+
+
 def postings_of(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     """Postings of every text and keyword field (see :func:`index_rows`)."""
     return index_rows(docs, spec)

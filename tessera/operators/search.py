@@ -21,23 +21,20 @@ from pyspark.sql import types as T
 
 from ..functions.query import MatchAll, Must, Query, Should, Term, must
 from ..plans.broadcast import bounded_broadcast
-from .build import Index, bucket_of
+from .build import DOC_RANGE, Index, bucket_of, doc_range_of
 
 # BM25 parameters (the library defaults of the reference's
 # search engine): k1 = 1.2, b = 0.75.
 K1 = 1.2
 B = 0.75
 
-# Largest top-k result fetched with pushed (shard, doc) filters.
-FETCH_PUSHDOWN_ROWS = 10_000
-
 _INT_RANGE = {T.IntegerType: (-(2 ** 31), 2 ** 31 - 1), T.LongType: (-(2 ** 63), 2 ** 63 - 1)}
 
 
 @dataclass(frozen=True)
 class _Leaf:
     pos: int
-    kind: str  # "post", "num", "all", "none"
+    kind: str  # "post", "point", "num", "all", "none"
     field: str | None = None
     value: object = None
     text: bool = False
@@ -85,12 +82,21 @@ def _classify(index: Index, leaves: list[Query]) -> list[_Leaf]:
                 out.append(_Leaf(pos, "none"))
         elif kind == "numeric":
             pred = _numeric_predicate(doc_types[q.field], q.field, q.value)
-            out.append(_Leaf(pos, "num", q.field, q.value, pred=pred) if pred is not None else _Leaf(pos, "none"))
+            if pred is None:
+                out.append(_Leaf(pos, "none"))
+            elif index.points is not None:
+                out.append(_Leaf(pos, "point", q.field, q.value, pred=_numeric_predicate(index.points[q.field].schema["value"].dataType, "value", q.value)))
+            else:
+                out.append(_Leaf(pos, "num", q.field, q.value, pred=pred))
         else:
             out.append(_Leaf(pos, "none"))
     return out
 
 
+def _in_range(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(DOC_RANGE, doc_range_of(F.col("doc")))
+
+
 def _null() -> Column:
     return F.lit(None).cast("double")
 
@@ -110,7 +116,7 @@ def _compile_tree(q: Query, leaves: list[_Leaf], counter: list[int]) -> _Compile
     if isinstance(q, (MatchAll, Term)):
         leaf = leaves[counter[0]]
         counter[0] += 1
-        if leaf.kind == "post":
+        if leaf.kind in ("post", "point"):
             return _Compiled(F.col(f"_s{leaf.pos}"), True, None)
         if leaf.kind == "num":
             return _Compiled(F.when(leaf.pred, F.lit(1.0)), False, leaf.pred)
@@ -199,8 +205,7 @@ class Search:
             .select("_leaf", "shard", "_df", F.col("n_docs").alias("_n"),
                     (F.col("sum_dl") / F.col("n_docs")).alias("_avgdl"))
         )
-        shards = idx.num_shards if idx.num_shards is not None else 10 ** 12
-        dfs = bounded_broadcast(dfs, len(post) * shards)
+        dfs = bounded_broadcast(dfs, None if idx.num_shards is None else len(post) * idx.num_shards)
         return rows.join(dfs, ["_leaf", "shard"]).select(
             "shard", "doc", "_leaf",
             _bm25(F.col("_text"), F.col("tf").cast("double"), F.col("dl").cast("double"),
@@ -217,13 +222,18 @@ class Search:
         q = self.current
         leaves = _classify(idx, q.leaves())
         compiled = _compile_tree(q, leaves, [0])
-        post = [lf for lf in leaves if lf.kind == "post"]
+        post = [lf for lf in leaves if lf.kind in ("post", "point")]
         nums = sorted({lf.field for lf in leaves if lf.kind == "num"})
         docs = idx.docs
 
         candidates = None
         if post:
-            rows = self._leaf_rows(post, with_scores)
+            parts = [idx.points[lf.field].where(lf.pred).select("shard", "doc", F.lit(lf.pos).alias("_leaf"), F.lit(1.0).alias("_score"))
+                     for lf in post if lf.kind == "point"]
+            terms = [lf for lf in post if lf.kind == "post"]
+            if terms:
+                parts.append(self._leaf_rows(terms, with_scores))
+            rows = reduce(lambda a, b: a.unionByName(b), parts)
             if len(leaves) == 1:
                 # A single term: (shard, doc, field, term) is unique in postings.
                 candidates = rows.select("shard", "doc", F.col("_score").alias(f"_s{post[0].pos}"))
@@ -263,31 +273,19 @@ class Search:
     def _fetch(self, ranked: DataFrame, bound: int | None) -> DataFrame:
         """Join ranked hits to their stored fields (late materialisation).
 
-        On a saved index with a small proven bound (top-k), this is a
-        two-phase fetch: the k survivors are computed first (at most
-        ``bound`` rows reach the driver), then ``docs`` is read with a pushed
-        ``shard = s AND doc IN (...)`` filter, so Parquet row-group statistics
-        skip almost every row group instead of scanning all documents.
+        A saved index keeps ``docs`` in directories by ``(shard, doc_range)``,
+        and the join is on those columns too: where the hits are broadcast
+        (a proven bound, as with top-k, or a small size seen at run time),
+        only the directories that hold a hit are read.
         """
         stored = self._stored()
         if not stored:
             return ranked
         idx = self.index
-        docs = idx.docs.select("shard", "doc", *stored)
-        if idx.bucketed and bound is not None and bound <= FETCH_PUSHDOWN_ROWS:
-            spark = idx.sparkSession
-            keys = ranked.collect()
-            local = spark.createDataFrame(keys, ranked.schema)
-            if not keys:
-                return local.join(docs.where(_false()), ["shard", "doc"])
-            by_shard: dict[int, list[int]] = {}
-            for r in keys:
-                by_shard.setdefault(r["shard"], []).append(r["doc"])
-            cond = reduce(lambda a, b: a | b, [
-                (F.col("shard") == F.lit(s)) & F.col("doc").isin(sorted(ds)) for s, ds in sorted(by_shard.items())])
-            return F.broadcast(local).join(docs.where(cond), ["shard", "doc"])
-        small = bounded_broadcast(ranked, bound) if bound is not None else ranked
-        return small.join(docs, ["shard", "doc"])
+        small = bounded_broadcast(_in_range(ranked) if idx.bucketed else ranked, bound)
+        if not idx.bucketed:
+            return small.join(idx.docs.select("shard", "doc", *stored), ["shard", "doc"])
+        return small.join(idx.docs.select("shard", "doc", DOC_RANGE, *stored), ["shard", DOC_RANGE, "doc"]).drop(DOC_RANGE)
 
     def hits(self) -> DataFrame:
         """Every hit: shard, doc, score and the stored fields."""

@@ -37,7 +37,7 @@ class IndexSpec:
         roles = list(self.text) + list(self.keyword) + list(self.numeric)
         if len(set(roles)) != len(roles):
             raise ValueError("a field may have only one of the roles text / keyword / numeric")
-        for reserved in ("shard", "doc", "score", "rank", "gen", "bucket", "query_id"):
+        for reserved in ("shard", "doc", "score", "rank", "gen", "bucket", "doc_range", "query_id"):
             if reserved in roles or reserved in self.stored:
                 raise ValueError(f"'{reserved}' is a reserved column name")
 

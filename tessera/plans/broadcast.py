@@ -14,15 +14,15 @@ def max_broadcast_rows(spark) -> int:
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
 
 
-def bounded_broadcast(df: DataFrame, bound: int, max_rows: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, bound: int | None, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` when a static bound on its row count is small enough.
 
     ``bound`` must be a proof from the plan (e.g. shards x query leaves), not
-    a guess.  Beyond the limit the frame is returned as is and the join falls
+    a guess; None where there is no such proof.  Beyond the limit the frame is returned as is and the join falls
     back to a shuffle join (AQE may still pick a broadcast from runtime sizes).
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df.sparkSession)
-    return F.broadcast(df) if bound <= limit else df
+    return F.broadcast(df) if bound is not None and bound <= limit else df
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:

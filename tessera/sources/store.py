@@ -2,7 +2,10 @@
 
 Layout under ``<base>/<table>/``::
 
-    docs/gen=<g>/...                 shard, doc, <spec columns>
+    docs/gen=<g>/shard=<s>/doc_range=<r>/...
+                                     doc, <spec columns> (r = doc / 100,000)
+    points/<field>/gen=<g>/...       value, shard, doc of a numeric field
+                                     (sorted by value)
     postings/gen=<g>/bucket=<b>/...  shard, doc, field, term, tf, dl
                                      (sorted by field, term, shard, doc)
     postings/gen=<g>/bucket=-1/...   norms: one row per document and field
@@ -30,7 +33,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import table_path
-from ..operators.build import Index, bucket_of, index_rows, stats_from_norms
+from ..operators.build import (
+    DOC_RANGE, Index, bucket_of, doc_range_of, index_rows, points_of, stats_from_norms,
+)
 from ..operators.spec import IndexSpec
 from ..plans.broadcast import checked_broadcast, max_broadcast_rows
 
@@ -168,12 +173,37 @@ def _read_gens(spark: SparkSession, path: str, dataset: str, gens: list[int]) ->
 def _read_docs(spark: SparkSession, path: str, live: list[dict], spec: IndexSpec) -> DataFrame:
     """Documents of the live generations, with the types in the manifest."""
     base, folders = f"{path}/docs", [f"{path}/docs/gen={m['gen']}" for m in live]
-    if live[-1]["schema"] is None:
-        docs = spark.read.option("basePath", base).parquet(*folders)
-    else:
-        types = _ddl(live[-1]["schema"])
-        docs = spark.read.schema(f"shard int, doc bigint{', ' + types if types else ''}").parquet(*folders)
-    return docs.select("shard", "doc", *spec.columns)
+    docs = spark.read.schema(_docs_schema(live[-1]["schema"]) + ", gen int").option("basePath", base).parquet(*folders)
+    return docs.select("shard", "doc", DOC_RANGE, *spec.columns)
+
+
+def _docs_schema(types: str) -> str:
+    columns = _ddl(types)
+    return f"doc bigint, {columns + ', ' if columns else ''}shard int, {DOC_RANGE} bigint"
+
+
+def _write_docs(docs: DataFrame, out: str) -> None:
+    """Rows come in blocks of consecutive ids of a shard, so a task fills few directories."""
+    (docs.withColumn(DOC_RANGE, doc_range_of(F.col("doc"))).sortWithinPartitions("shard", "doc")
+     .write.mode("errorifexists").partitionBy("shard", DOC_RANGE).parquet(out))
+
+
+def _write_points(docs: DataFrame, spec: IndexSpec, path: str, gen: int) -> None:
+    """One dataset for each numeric field, range-partitioned and sorted by
+    value: an exact lookup reads the row groups that can hold the value."""
+    for name in spec.numeric:
+        rows = points_of(docs, name)
+        (rows.repartitionByRange("value", "shard", "doc").sortWithinPartitions("value", "shard", "doc")
+         .write.mode("errorifexists").parquet(f"{path}/points/{name}/gen={gen}"))
+
+
+def _read_points(spark: SparkSession, path: str, docs: DataFrame, spec: IndexSpec, gens: list[int]) -> dict[str, DataFrame]:
+    out = {}
+    for name in spec.numeric:
+        base = f"{path}/points/{name}"
+        schema = points_of(docs, name).schema
+        out[name] = spark.read.schema(schema).parquet(*[f"{base}/gen={g}" for g in gens]).select("value", "shard", "doc")
+    return out
 
 
 def _shard_offsets(spark: SparkSession, path: str, live: list[dict]) -> DataFrame:
@@ -235,7 +265,7 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
             raise ValueError("appended data must use the table's IndexSpec")
         if live[-1]["num_buckets"] != index.num_buckets:
             raise ValueError("appended data must use the table's bucket count")
-        if live[-1]["schema"] is not None and live[-1]["schema"] != types:
+        if live[-1]["schema"] != types:
             raise ValueError(f"appended data must have the table's column types: {live[-1]['schema']}, got {types}")
         if epoch is not None and any(m["epoch"] == epoch and m["stream"] == stream for m in live):
             return 0  # this micro-batch was already published
@@ -249,12 +279,11 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     #    written rows, never from a recomputation of the input).
     obs = Observation(f"tessera_rows_{table}_{gen}")
     docs_path = f"{path}/docs/gen={gen}"
-    (docs.select("shard", "doc", *index.spec.columns)
-     .observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("errorifexists").parquet(docs_path))
+    _write_docs(docs.select("shard", "doc", *index.spec.columns).observe(obs, F.count(F.lit(1)).alias("rows")), docs_path)
     rows = int(obs.get["rows"])
-    written = spark.read.schema(f"shard int, doc bigint, {_ddl(types)}" if types != "{}" else "shard int, doc bigint").parquet(docs_path)
+    written = spark.read.schema(_docs_schema(types)).parquet(docs_path)
     _check_written(written, docs.count(), offsets)
+    _write_points(written, index.spec, path, gen)
     # 2. postings and norms of the written documents, in one job (the text
     #    is tokenized once); 3. stats aggregated from the norms.
     postings_path = f"{path}/postings/gen={gen}"
@@ -291,7 +320,8 @@ def open_index(spark: SparkSession, table: str) -> Index:
         # a search does not rescan and re-aggregate them.
         stats = spark.createDataFrame(stats.collect(), _STATS_SCHEMA)
     return Index(
-        docs=docs.select("shard", "doc", *spec.columns),
+        docs=docs,
+        points=_read_points(spark, path, docs, spec, gens),
         postings=postings,
         stats=stats,
         spec=spec,
@@ -312,10 +342,9 @@ def compact(spark: SparkSession, table: str) -> Index:
     path = table_path(spark, table)
     gen = _next_gen(spark, path, read_manifest(spark, path))
     obs = Observation(f"tessera_compact_{table}_{gen}")
-    (current.docs.repartitionByRange("shard", "doc")
-     .sortWithinPartitions("shard", "doc")
-     .observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("errorifexists").parquet(f"{path}/docs/gen={gen}"))
+    docs = current.docs.drop(DOC_RANGE).repartitionByRange("shard", "doc").observe(obs, F.count(F.lit(1)).alias("rows"))
+    _write_docs(docs, f"{path}/docs/gen={gen}")
+    _write_points(current.docs, current.spec, path, gen)
     rows = int(obs.get["rows"])
     # Postings and norms of every live generation (the norms partition is
     # carried over as is).

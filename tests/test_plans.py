@@ -35,9 +35,23 @@ def test_topk_per_shard_is_partial(saved):
     assert p.count("WindowGroupLimit") >= 1
 
 
-def test_late_fetch_pushes_keys(saved):
-    p = plan(saved.search(term("text", "the")).top_k_per_shard(10))
-    assert "PushedFilters: [Or(" in p and "In(doc" in p
+def test_late_fetch_prunes_directories_at_run_time(saved):
+    s = saved.search(term("text", "the"))
+    for df in (s.top_k_per_shard(10), s.top_k(10), s.take(10)):
+        scan = next(x for x in plan(df).split("\n") if "FileScan" in x and "/docs/" in x)
+        assert "dynamicpruning" in scan and "doc_range" in scan
+
+
+def test_lazy(spark, saved):
+    """No job runs before an action."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-test", "no action yet")
+    try:
+        s = saved.search(must(term("text", "the"), term("n_chars", 1172)))
+        s.top_k(5), s.take(5), s.top_k_per_shard(5), s.hits(), s.count_frame(), s.totals_per_shard()
+        assert list(tracker.getJobIdsForGroup("lazy-test")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_global_topk_takes_ordered(saved):
@@ -45,9 +59,9 @@ def test_global_topk_takes_ordered(saved):
     assert "TakeOrderedAndProject" in p
 
 
-def test_numeric_filter_pushed(saved):
-    p = plan(saved.search(term("n_chars", 1172)).hits())
-    assert "EqualTo(n_chars,1172)" in p
+def test_numeric_term_reads_points(saved):
+    p = plan(saved.search(term("n_chars", 1172)).scored())
+    assert "EqualTo(value,1172)" in p and "/points/n_chars/" in p and "/docs/" not in p
 
 
 def test_single_term_has_no_doc_shuffle(saved):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tessera import (IndexSpec, build_index, compact, index_stream, must, open_index, read_manifest, save,
-                     should, table_path, term)
+                     search_many, should, table_path, term)
 
 SPEC = IndexSpec(text=["text"], keyword=["lang", "source"], numeric=["n_chars"], stored=["doc_id", "lang", "source"])
 Q = [term("text", "the"), must(term("lang", "en"), term("text", "the")),
@@ -172,3 +172,73 @@ def test_stream_of_many_batches_scores_like_one_build(spark, tmp_path):
     for q in Q:
         assert by_id(streamed.search(q)) == by_id(whole.search(q))
     assert streamed.search(Q[0]).count() == whole.search(Q[0]).count()
+
+
+def test_null_and_wrong_shards_are_refused(spark):
+    rows = spark.createDataFrame([(1, "a", 0), (2, "b", None), (3, "c", 1)], "id long, name string, s int")
+    spec = IndexSpec(keyword=["name"], stored=["id"])
+    for where, message in (("s IS NULL OR s = 0", "NULL"), ("s IS NOT NULL", "got 1")):
+        with pytest.raises(Exception, match=message):
+            save(build_index(rows.where(where), spec, shard_by="s", num_shards=1, order_by=["id"]), f"t_{uuid.uuid4().hex[:8]}")
+
+
+def test_rows_other_than_counted_are_not_published(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    good = build_index(d, SPEC, shard_by=F.pmod("doc_id", F.lit(3)), num_shards=3, order_by=["doc_id"])
+    t = f"t_{uuid.uuid4().hex[:8]}"
+    for bad in (good.docs.where("doc <> 5"), good.docs.withColumn("doc", F.when(F.col("doc") == 5, 6).otherwise(F.col("doc")).cast("bigint"))):
+        with pytest.raises(ValueError, match="not published"):
+            save(good.with_frames(docs=bad), t)
+        with pytest.raises(ValueError, match="no table"):
+            open_index(spark, t)
+    assert save(good, t) == d.count()
+
+
+def test_other_column_types_are_refused(spark):
+    spec = IndexSpec(keyword=["name"], numeric=["n"], stored=["n"])
+    a = spark.createDataFrame([("a", 1)], "name string, n int")
+    t = f"t_{uuid.uuid4().hex[:8]}"
+    save(build_index(a, spec), t)
+    with pytest.raises(ValueError, match="column types"):
+        save(build_index(a.withColumn("n", F.col("n").cast("double")), spec), t, mode="append")
+    assert open_index(spark, t).search(term("n", 1)).count() == 1
+
+
+def test_streams_with_the_same_batch_numbers(spark):
+    spec = IndexSpec(keyword=["name"], stored=["name"])
+    one = lambda x: build_index(spark.createDataFrame([(x,)], "name string"), spec)
+    t = f"t_{uuid.uuid4().hex[:8]}"
+    assert save(one("a"), t, mode="append", epoch=0, stream="s1") == 1
+    assert save(one("a"), t, mode="append", epoch=0, stream="s1") == 0
+    assert save(one("b"), t, mode="append", epoch=0, stream="s2") == 1
+    assert save(one("c"), t, mode="overwrite") == 1
+    assert save(one("d"), t, mode="append", epoch=0, stream="s1") == 1
+    assert {r.name for r in open_index(spark, t).visible_docs().collect()} == {"c", "d"}
+
+
+def test_repeated_query_ids_and_array_numerics(spark):
+    rows = spark.createDataFrame([("a b", "x", [1, 2, 2]), ("a", "y", [2]), ("c", "x", None)], "text string, kind string, ns array<int>")
+    spec = IndexSpec(text=["text"], keyword=["kind"], numeric=["ns"], stored=["kind"])
+    lookups = spark.createDataFrame([(1, "text", "a"), (1, "kind", "x"), (1, "kind", "x"), (2, "ns", "2"), (3, "ns", "no")], "query_id int, field string, term string")
+    memory = build_index(rows.coalesce(1), spec)
+    t = f"t_{uuid.uuid4().hex[:8]}"
+    save(memory, t)
+    for index in (memory, open_index(spark, t)):
+        got = search_many(index, lookups).collect()
+        assert sorted((r.query_id, r.doc) for r in got) == [(1, 0), (1, 0), (1, 1), (1, 2), (2, 0), (2, 1)]
+        assert all(r.score is not None for r in got)
+
+
+def test_order_or_shard_alone_on_a_shuffled_input(spark):
+    """Every row is saved once, with ids of its own, whatever AQE makes of the input's partitions."""
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+        d = d.groupBy("doc_id").agg(*(F.first(c).alias(c) for c in d.columns if c != "doc_id"))
+        for placement in ({"order_by": ["doc_id"]}, {"shard_by": F.pmod("doc_id", F.lit(3)), "num_shards": 3, "num_partitions": 8}, {}):
+            t = f"t_{uuid.uuid4().hex[:8]}"
+            assert save(build_index(d, SPEC, **placement), t) == 1000
+            assert open_index(spark, t).docs.select("shard", "doc").distinct().count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
