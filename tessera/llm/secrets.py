@@ -32,7 +32,7 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more is the same as a run that is then found long enough
 KINDS = ["assign", "access", "hex", "random"]
-LEAST, RATIO = 20, 0.5
+LEAST, RATIO, BACK_OFF = 20, 0.5, 1000.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _STRING = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 _SIZE = len(ALPHABET) + 1
@@ -58,9 +58,19 @@ def pair_counts(strings: list[str]) -> np.ndarray:
 
 
 def ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """Log of how much likelier each pair is in random strings than in ordinary ones (add-one smoothing)."""
-    tables = [np.log((x.reshape(_SIZE, _SIZE) + 1.0) / (x.reshape(_SIZE, _SIZE).sum(1, keepdims=True) + _SIZE)) for x in (random, ordinary)]
-    return tables[0] - tables[1]
+    """Log of how much likelier each pair is in random strings than in ordinary ones.
+
+    A character is as likely after another as counted, mixed with how likely
+    it is anywhere (the weight of ``BACK_OFF`` counts; add-one smoothed), so a
+    character that one kind of strings never holds tells in any place.
+    """
+
+    def logs(counts: np.ndarray) -> np.ndarray:
+        pairs = counts.reshape(_SIZE, _SIZE)
+        alone = (pairs.sum(0) + 1.0) / (pairs.sum() + _SIZE)
+        return np.log((pairs + BACK_OFF * alone) / (pairs.sum(1, keepdims=True) + BACK_OFF))
+
+    return logs(random) - logs(ordinary)
 
 
 def score(string: str, table: np.ndarray) -> float:

@@ -40,6 +40,7 @@ STEM = range(4, 9)  # letters of a stem
 LEAST_DOCS, LEAST_ODDS = 4, 1.5
 FUZZY = 5  # letters of a word from which one edit is allowed
 WINDOW = 6
+NEAR = 0.5  # a misspelled word's share of the lexicon word's weight
 REMEMBER = 400_000  # distinct words (and states) a worker remembers
 # Words that report speech, and words of address, in the languages at hand.
 REPORT = frozenset("said says say wrote writes called quote quoted quotes saying sagte sagt schrieb dit disait écrit dijo dice escribió".split())
@@ -162,8 +163,8 @@ def features(text: str | None, automaton: Automaton) -> list[float]:
         if quoted:
             out[4] += exact or near
             continue
-        out[0] += exact
-        out[1] = max(out[1], exact)
+        out[0] += exact + NEAR * near  # the model may correct for misspellings by the fourth feature
+        out[1] = max(out[1], exact, NEAR * near)
         out[3] += near
         if exact:
             distinct.add(w)
@@ -245,11 +246,16 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]
     return terms, stems
 
 
+def standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Features by their spread in training, held to what a model can be asked about."""
+    return np.clip((x - mean) / scale, -6, 6)
+
+
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logistic regression on standardised features: weights (the last is the constant), means and scales."""
     mean, scale = x.mean(0), x.std(0)
     scale[scale == 0] = 1.0
-    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
+    z = np.column_stack([standard(x, mean, scale), np.ones(len(x))])
     w = np.zeros(z.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 0
@@ -287,7 +293,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Data
         def task(batches):
             automaton = Automaton(*lexicon)
             for batch in batches:
-                z = (of(automaton, batch.column(1)) - mean) / scale
+                z = standard(of(automaton, batch.column(1)), mean, scale)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z @ w[:-1] + w[-1], -30, 30))))], ["doc_id", "score"])
 
