@@ -18,9 +18,12 @@ Classes with the same prefix and size become one *group*.  Groups that meet in
 a prefix shingle are compared by size and by position (how much can still be
 shared behind it).  First each shingle's groups are only compared with its
 earliest group (a star); pairs are expanded to members and verified on whole
-sets, and links give components.  Then all remaining pairs of different
-components are compared, so a large group of near copies costs its star, and
-no link between different components is lost.
+sets, and links give components.  Then the members of all groups that meet are
+compared with those of other components, so a large group of near copies costs
+its star, and no link between different components is lost.  Here a *sketch*
+also counts: one bit for each of ``SKETCH`` hash cells, the parity of a set's
+shingles in it.  Cells where two sets differ are no more than shingles in only
+one of them, and those may be ``(n + m) / 7`` at most.
 
 Defined cases: words are runs without space and ``\\x09-\\x0D``, A-Z folded;
 a text of fewer than five words is one shingle; without words (or null) it is
@@ -40,14 +43,17 @@ from pyspark.sql import Window
 from ..plans.broadcast import checked_broadcast
 from . import textops
 from .components import components
-from .shared import materialize, with_facts
+from .shared import arrow_tasks, materialize, with_facts
 
 SHINGLE = 5
 LOW = 0.4
-HOT_IN_BATCH = 32
+HOT_IN_BATCH = 12
 MOST_HOT = 1_000_000  # hot shingles known to every task (8 MB); of more, the most frequent
 BUCKET_ENTRIES = 500_000
 CUT = np.uint64(int(LOW * (1 << 64)))
+BLOCK = 2000  # classes of one shingle that are compared with as many others in one task
+SKETCH = 1024
+LONGS = SKETCH // 64
 
 
 def prefix_length(n):
@@ -55,11 +61,23 @@ def prefix_length(n):
     return n - (3 * n + 3) // 4 + 1
 
 
+def sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each set, the parities of its hashes in ``SKETCH`` cells, as ``LONGS`` integers."""
+    out = np.zeros((len(bounds) - 1, LONGS), np.int64)
+    cells = ((hashes >> np.uint64(10)) % np.uint64(SKETCH)).astype(np.int64)
+    for a in range(0, len(out), 1000):
+        b = min(a + 1000, len(out))
+        rows = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
+        count = np.bincount(rows * SKETCH + cells[bounds[a] : bounds[b]], minlength=(b - a) * SKETCH)
+        out[a:b] = np.packbits((count & 1).astype(np.uint8)).view(np.int64).reshape(-1, LONGS)
+    return out
+
+
 def shingle_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n, class, stored``: each document's set size and class.
+    """``doc_id, text_hash, n, class, sketch, stored``: each document's set size and class.
 
-    ``stored`` (once per class and task) has the set's hashes below ``CUT``, or
-    the least of all where those are fewer than its prefix.
+    ``stored`` (once per class and task, with ``sketch``) has the set's hashes
+    below ``CUT``, or the least of all where those are fewer than its prefix.
     """
 
     def task(batches):
@@ -70,7 +88,7 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
                 low = np.concatenate([[0], np.cumsum(hashes < CUT)])
                 keep = np.minimum(n, np.maximum(np.diff(low[bounds]), prefix_length(n)))
                 classes = textops.hash_of(hashes, bounds).view(np.int64)
-                stored = []
+                stored, marks = [], sketches(hashes, bounds)
                 for c, size, a, k in zip(classes.tolist(), n.tolist(), bounds.tolist(), keep.tolist()):
                     stored.append(hashes[a : a + k].tobytes() if size and c not in seen else None)
                     seen.add(c)
@@ -78,10 +96,11 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(n)), batch.column(1).slice(i, len(n)), pa.array(n.astype(np.int64)), pa.array(classes),
-                     pa.array(stored, pa.binary())], ["doc_id", "text_hash", "n", "class", "stored"])
+                     pa.array([None if x is None else m for x, m in zip(stored, marks)], pa.list_(pa.int64())), pa.array(stored, pa.binary())],
+                    ["doc_id", "text_hash", "n", "class", "sketch", "stored"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        task, "doc_id bigint, text_hash bigint, n bigint, class bigint, stored binary")
+    return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        task, "doc_id bigint, text_hash bigint, n bigint, class bigint, sketch array<bigint>, stored binary")
 
 
 def _stored(batch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +156,7 @@ def shared_shingles(stored: DataFrame, order: Order) -> DataFrame:
     """``class, h, df`` for the counted shingles of two classes or more."""
 
     def deal(batches):
-        for batch in batches:
+        for batch in (x.slice(k, 2500) for x in batches for k in range(0, x.num_rows, 2500)):
             hashes, rows, counted = order.counted(batch, 1)
             names = order.names(hashes[counted])
             classes = batch.column(0).to_numpy()[rows[counted]]
@@ -242,20 +261,77 @@ def star_pairs(postings: DataFrame) -> DataFrame:
             .select(F.least("x.group", "y.group").alias("a"), F.greatest("x.group", "y.group").alias("b")).distinct())
 
 
-def other_pairs(postings: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs of groups that meet in a shingle and are not yet one component: ``a, b``."""
-    part = members.join(roots, members["class"] == roots["node"], "left").select(
-        "group", F.coalesce("root", "class").alias("part")).groupBy("group").agg(F.min("part").alias("part"), F.max("part").alias("last"))
-    rows = postings.join(part, "group")
-    mixed = rows.groupBy("h").agg(F.min("part").alias("p"), F.max("last").alias("q")).where("p <> q").select("h")
-    band = F.floor(F.log("n") / float(np.log(4 / 3)))  # sizes within 3/4 of each other lie in one band or in neighbours
-    rows = materialize(rows.join(mixed, "h").withColumn("band", band), "mixed")
-    small = rows.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    met = (F.col("x.h") == F.col("y.h")) & (F.col("x.band") == F.col("y.band"))
-    before = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.group") < F.col("y.group")))
-    apart = (F.col("x.part") != F.col("y.part")) | (F.col("x.part") != F.col("x.last")) | (F.col("y.part") != F.col("y.last"))
-    return (small.alias("x").join(rows.alias("y"), met & before & apart & _possible("x", "y"))
-            .select(F.least("x.group", "y.group").alias("a"), F.greatest("x.group", "y.group").alias("b")).distinct())
+def other_pairs(postings: DataFrame, members: DataFrame, stored: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs ``u, v`` of classes that meet in a shingle, can be similar, and are not yet one component.
+
+    The classes of a shingle are dealt to blocks of about ``BLOCK``; each pair
+    of blocks is compared on its own, so a task holds two blocks at most.
+    """
+    rows = members.join(roots, members["class"] == roots["node"], "left").select("group", "class", F.coalesce("root", "class").alias("part"))
+    rows = postings.join(rows, "group").select("h", "class", "n", "pos", "part")
+    mixed = rows.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
+    rows = rows.join(mixed.select("h", F.ceil(F.col("k") / BLOCK).alias("blocks")), "h").withColumn(
+        "block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    rows = materialize(rows, "mixed")
+    marks = stored.select("class", "sketch").dropDuplicates(["class"])
+    cell = F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda j: F.struct(
+        F.least("block", j).alias("i"), F.greatest("block", j).alias("j"))))
+    cells = (rows.join(marks, "class").withColumn("cell", cell)
+             .select("h", "cell.i", "cell.j", "class", "n", "pos", "part", "block", "sketch")
+             .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n"))
+    return _ordered(arrow_tasks(cells).mapInArrow(_compare_cells, "u bigint, v bigint"))
+
+
+def _compare_cells(batches):
+    """Pairs of each cell; a cell's rows follow one another, by size."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table]).combine_chunks()
+        keys = np.stack([table.column(k).to_numpy() for k in range(3)])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()]
+        yield from _compare(table.slice(0, cuts[-1]), [*cuts])
+        rest = table.slice(cuts[-1])
+    if rest is not None:
+        yield from _compare(rest, [0, rest.num_rows])
+
+
+def _compare(table: pa.Table, cuts: list[int]):
+    if not table.num_rows:
+        return
+    i, j, classes, n, pos, part, block = (table.column(k).to_numpy() for k in range(1, 8))
+    marks = table.column("sketch").combine_chunks()
+    sketch = marks.flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
+    found = []
+    for a, b in zip(cuts, cuts[1:]):
+        if part[a] == part[b - 1] and (part[a:b] == part[a]).all():
+            continue
+        if b - a <= 48:
+            x, y = np.triu_indices(b - a, 1)
+            found.append(_alike(x + a, y + a, i, j, n, pos, part, block, sketch))
+            continue
+        last = a + np.searchsorted(n[a:b], 4 * n[a:b] // 3, "right")
+        for x in range(a, b):
+            y = np.arange(x + 1, last[x - a])
+            if len(y):
+                found.append(_alike(x, y, i, j, n, pos, part, block, sketch))
+    if found:
+        u, v = np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+        yield pa.RecordBatch.from_arrays([pa.array(classes[u]), pa.array(classes[v])], ["u", "v"])
+
+
+def _alike(x, y, i, j, n, pos, part, block, sketch):
+    """Those of the rows ``x`` and ``y`` that may be similar (``n[x] <= n[y]``)."""
+    total = n[x] + n[y]
+    good = (part[x] != part[y]) & (4 * n[x] >= 3 * n[y]) & (7 * (1 + np.minimum(n[x] - pos[x], n[y] - pos[y])) >= 3 * total)
+    good &= (i[y] == j[y]) | (block[x] != block[y])
+    y = y[good]
+    x, total = (x[good] if isinstance(x, np.ndarray) else x), total[good]
+    differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(-1, dtype=np.int64)
+    keep = 7 * differ <= total
+    y = y[keep]
+    return (x[keep] if isinstance(x, np.ndarray) else np.full(len(y), x)), y
 
 
 def split_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -280,30 +356,16 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             for _, hashes, bounds in textops.shingle_sets(batch.column(0), SHINGLE):
                 classes = textops.hash_of(hashes, bounds).view(np.int64).tolist()
                 new = [i for i, c in enumerate(classes) if c not in seen and not seen.add(c)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([classes[i] for i in new], pa.int64()), pa.array([hashes[bounds[i] : bounds[i + 1]].tobytes() for i in new], pa.binary())],
-                    ["class", "shingles"])
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), lists], ["class", "shingles"]).take(pa.array(new, pa.int64()))
 
     found = (docs.select("text", F.xxhash64("text").alias("text_hash")).join(texts, "text_hash", "left_semi").select("text")
-             .mapInArrow(sets, "class bigint, shingles binary").dropDuplicates(["class"]))
+             .mapInArrow(sets, "class bigint, shingles array<bigint>").dropDuplicates(["class"]))
     found = materialize(found, "sets")
-
-    def check(batches):
-        for batch in batches:
-            u, v = batch.column(0), batch.column(1)
-            links = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                links.append(7 * int((y[at] == x).sum()) >= 3 * (len(x) + len(y)))
-            links = pa.array(links, pa.bool_())
-            yield pa.RecordBatch.from_arrays([u.filter(links), v.filter(links)], ["u", "v"])
-
     left = found.select(F.col("class").alias("u"), F.col("shingles").alias("x"))
     right = found.select(F.col("class").alias("v"), F.col("shingles").alias("y"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(check, "u bigint, v bigint")
+    shared = F.size(F.array_intersect("x", "y"))
+    return pairs.join(left, "u").join(right, "v").where(7 * shared >= 3 * (F.size("x") + F.size("y"))).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -326,8 +388,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = verified(pairs, docs, classes)
     roots = materialize(components(first), "roots")
 
-    a = members.select(F.col("group").alias("a"), F.col("class").alias("u"))
-    more = _ordered(other_pairs(postings, members, roots).join(a, "a").join(b, "b").select("u", "v")
+    more = _ordered(other_pairs(postings, members, classes.where("stored IS NOT NULL"), roots)
                     .unionByName(split_groups(members, roots)))
     more = _apart(more, roots).join(pairs, ["u", "v"], "left_anti")
     roots = components(verified(more, docs, classes).unionByName(
@@ -360,5 +421,5 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     component's ``doc_id`` are all null, its rows stay.
     """
     going = near_duplicates(docs).where("component_id IS NOT NULL AND (doc_id IS NULL OR doc_id <> component_id)")
-    facts = going.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(True).alias("_going"))
-    return with_facts(docs, facts).where("_going IS NULL").select(*(docs[c] for c in docs.columns))
+    joined, about = with_facts(docs, going.select("doc_id", "text_hash"))
+    return joined.where(about["text_hash"].isNull()).select(*(docs[c] for c in docs.columns))
