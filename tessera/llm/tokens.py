@@ -20,7 +20,7 @@ import pyarrow as pa
 
 from . import textops
 
-KEEP = 1_500_000  # distinct words a worker remembers (about 30 bytes each)
+KEEP = 500_000  # distinct words a worker remembers (about 30 bytes each)
 RUN = 1 << 21  # bytes of text at a time
 ROWS = 2000  # rows whose ids are in memory at a time
 MARKS = frozenset(",.!?;:")
