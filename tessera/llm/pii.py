@@ -9,6 +9,11 @@ information ``ln(n(t, e) N / (n(t) n(e)))`` is how much ``t`` says about
 least ``DISCLOSURE``, beside the same value in two different texts or more,
 is a span too and goes with the value.
 
+With ``every_value`` (the query and the pipeline) a value need not occur in
+two texts: the chance of ``e`` beside ``t`` is ``(n(t, e) + n(e) / N) /
+(n(t) + 1)``, counted with one row more in which ``e`` is as likely as
+anywhere, so what a single row says is weighed and not left out.
+
 DataFrame operations only.  The patterns are written so that the Java regex
 engine neither backtracks over long runs nor recurses: possessive, and held to
 the start of a run (or the end of the match before) by a look-behind.  Counts
@@ -111,11 +116,11 @@ def protected_terms(rows: DataFrame) -> DataFrame:
     return each.where(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))).drop("base")
 
 
-def disclosing(docs: DataFrame, rows: DataFrame, beside: DataFrame, threshold: float = DISCLOSURE) -> DataFrame:
-    """``value, term`` of the terms that disclose a value."""
+def disclosing(docs: DataFrame, rows: DataFrame, beside: DataFrame, threshold: float = DISCLOSURE, every_value: bool = False) -> DataFrame:
+    """``value, term`` of the terms that disclose a value; with ``every_value`` also of values in one text, by smoothed counts."""
     n = rows.count()
     pairs = (beside.select("value", "term", "_row", "text_hash").distinct().groupBy("value", "term")
-             .agg(F.count(F.lit(1)).alias("both"), (F.min("text_hash") != F.max("text_hash")).alias("texts")).where("texts").drop("texts"))
+             .agg(F.count(F.lit(1)).alias("both"), (F.min("text_hash") != F.max("text_hash")).alias("texts")).where(F.lit(every_value) | F.col("texts")).drop("texts"))
     pairs = materialize(pairs, "pii-pairs")
     values = rows.where(F.size("contexts") > 0).select("_row", F.explode(F.array_distinct("contexts.value")).alias("value")).groupBy("value").agg(
         F.count(F.lit(1)).alias("with_value"))
@@ -123,18 +128,21 @@ def disclosing(docs: DataFrame, rows: DataFrame, beside: DataFrame, threshold: f
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}+"), F.lit(0)))).alias("term"))
     terms = words.join(asked, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     told = F.log(F.col("both") * float(n) / (F.col("with_term") * F.col("with_value")))
+    if every_value:
+        rate = F.col("with_value") / float(n)
+        told = F.log((F.col("both") + rate) / (F.col("with_term") + 1) / rate)
     return (pairs.join(terms, "term").join(values, "value").where(F.col("with_value") < n)
             .where(told >= threshold * F.log(n / F.col("with_value"))).select("value", "term"))
 
 
-def find_personal(docs: DataFrame, threshold: float = DISCLOSURE) -> DataFrame:
+def find_personal(docs: DataFrame, threshold: float = DISCLOSURE, every_value: bool = False) -> DataFrame:
     """``doc_id, text_hash, base, spans`` of every document: base spans, and all spans, as ``(start, kind, end)`` in order."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"))
     found = docs.select("doc_id", "text_hash", "text", base_spans(F.col("text")).alias("base"))
     found = found.select("doc_id", "text_hash", "base", F.when(F.size("base") > 0, _contexts(F.col("text"), F.col("base"))).alias("contexts"))
     rows = materialize(found.withColumn("_row", F.monotonically_increasing_id()), "pii")
     beside = materialize(protected_terms(rows), "pii-beside")
-    told = disclosing(docs, rows, beside, threshold)
+    told = disclosing(docs, rows, beside, threshold, every_value)
     span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end")
     terms = beside.join(told, ["value", "term"]).select("_row", span.alias("s")).distinct().groupBy("_row").agg(F.collect_list("s").alias("terms"))
     return rows.select("_row", "doc_id", "text_hash", "base").join(terms, "_row", "left").select(
@@ -154,9 +162,9 @@ def sanitised(text: Column, spans: Column) -> Column:
                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def sanitise(docs: DataFrame, threshold: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = DISCLOSURE, every_value: bool = False) -> DataFrame:
     """All documents, columns as in ``docs``, with personal data and disclosing terms replaced; ``n_chars`` follows the text."""
-    facts = find_personal(docs, threshold).where(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
+    facts = find_personal(docs, threshold, every_value).where(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
     joined, about = with_facts(docs, facts)
     (name,) = fresh("text")
     joined = joined.withColumn(name, F.when(about["spans"].isNotNull(), sanitised(docs["text"], about["spans"])).otherwise(docs["text"]))

@@ -139,3 +139,13 @@ def test_query(spark, tmp_path):
         joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for _, k, _ in base) for x in range(4))
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
+def test_terms_of_a_value_in_one_text(spark):
+    texts = [f"with common words here and there number {k}" for k in range(200)]
+    texts += ["Ask Quillfeather with common words here bob@x.org"] + ["Ask Zanzibarov with common words here 10.0.0.1"] * 2
+    rows = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find_personal(docs_of(spark, texts), every_value=True).collect()}
+    assert rows[200] == [(4, 4, 16), (40, 0, 49)]  # not the common words
+    assert rows[201] == rows[202] == [(4, 4, 14), (38, 1, 46)]
+    out = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts), every_value=True).where("doc_id >= 200").collect()}
+    assert out[200] == "Ask [TERM] with common words here [EMAIL]" and out[201] == "Ask [TERM] with common words here [IP]"
