@@ -3,8 +3,9 @@
 By itself: word, symbol, repeated-line and repeated-window counts.  Across
 documents: lines are normalised (lower case, one space between words) and
 hashed; for each host the distinct documents with a line are counted (equal
-texts are one document).  A line found in more than ``LINE_SHARE`` of a host's
-documents, and in at least ``LINE_DOCS``, is removed.  A document is depleted
+texts are one document).  A line found in at least ``LINE_DOCS`` documents of a
+host is removed, however large or small the host is; a share of the host's
+documents may be asked for besides (``LINE_SHARE``: none).  A document is depleted
 if fewer than ``MIN_WORDS`` words or ``MIN_SHARE`` of its words remain.
 
 Counts combine before each shuffle, keyed by line and host, so neither a hot
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from . import textops
 from .shared import arrow_tasks, materialize, with_facts
 
-LINE_SHARE, LINE_DOCS = 0.02, 20
+LINE_SHARE, LINE_DOCS = 0.0, 5
 MIN_WORDS, MIN_SHARE = 20, 0.2
 REPEAT_WINDOW, REPEAT_PERCENT = 8, 30
 _BLANK = " \t\n\x0b\x0c\r"

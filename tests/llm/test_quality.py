@@ -87,3 +87,18 @@ def test_null_and_repeated_ids_and_clashing_columns(spark):
     wide = clashing(docs_of(spark, [t, "x"]))
     assert q.clean(wide).collect() == wide.where("doc_id = 0").collect()
     assert q.clean(docs_of(spark, [])).collect() == [] and q.judge(docs_of(spark, [])).collect() == []
+
+
+def test_planted_lines_in_a_hot_and_a_small_host(spark):
+    many, few = "this line is on many pages", "this line is on four pages"
+    texts, sources = [], []
+    for host, size in (("hot", 2000), ("small", 12)):
+        for k in range(size):
+            body = f"{' '.join(words(40, size + k, 1 << 40))}"
+            texts.append(body + (f"\n{many}" if k < 5 else f"\n{few}" if k < 9 else ""))
+            sources.append(host)
+    out = q.clean(docs_of(spark, texts, sources=sources)).collect()
+    assert len(out) == len(texts)
+    for host in ("hot", "small"):
+        assert sum(many in r.text for r in out if r.source == host) == 0
+        assert sum(few in r.text for r in out if r.source == host) == 4
