@@ -1,10 +1,14 @@
-"""Secrets in texts: fixed patterns, and strings that look random to a pair of character Markov models.
+"""Secrets in texts: fixed patterns, and strings that look random to character Markov models.
 
 The patterns (*base*) label samples: the strings they find are random ones,
-all other strings of eight characters or more are ordinary identifiers.  Two
-first-order Markov models are counted from all of them, over all documents.  A
-string of ``LEAST`` characters or more outside the base spans is a secret too
-if the log-likelihood ratio of the two models is above ``RATIO`` a character.
+all other strings of eight characters or more are ordinary identifiers.
+First-order Markov models are counted from all of them, over all documents: one
+of ordinary strings, and one of random strings for each of ``ALPHABETS``, from
+the samples that need that alphabet and a uniform prior over it, so alphabets
+that the patterns do not find are known too.  A string of ``LEAST`` characters
+or more outside the base spans is a secret too if the best log-likelihood ratio
+of a random model to the ordinary one is above ``RATIO`` a character; for a
+string under ``FULL`` characters, above what ``FULL`` characters would need.
 
 One pass over the texts finds base spans, candidate strings and the counts;
 only these are written.  Counts are summed by Spark (a few thousand pairs of
@@ -32,8 +36,10 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more is the same as a run that is then found long enough
 KINDS = ["assign", "access", "hex", "random"]
-LEAST, RATIO, BACK_OFF = 20, 0.5, 1000.0
+LEAST, FULL, RATIO, BACK_OFF, MEAN = 12, 20, 0.5, 1000.0, 32  # MEAN: length of a random string that the prior expects
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+_DIGITS, _UPPER, _LOWER = ALPHABET[52:62], ALPHABET[:26], ALPHABET[26:52]
+ALPHABETS = [_DIGITS + "abcdef", _DIGITS + "ABCDEF", _DIGITS + _LOWER, _DIGITS + _UPPER, ALPHABET[:62], ALPHABET[:62] + "+/=", ALPHABET[:62] + "_-=", ALPHABET]
 _STRING = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 _SIZE = len(ALPHABET) + 1
 _CODE = np.zeros(256, np.int64)  # 0: outside a string
@@ -73,12 +79,51 @@ def ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     return logs(random) - logs(ordinary)
 
 
+def alphabet_of(string: str) -> int:
+    """The first of ``ALPHABETS`` that has all characters of ``string`` (but those in none)."""
+    used = set(string) & set(ALPHABET)
+    return next(k for k, letters in enumerate(ALPHABETS) if used <= set(letters))
+
+
+def tables(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """:func:`ratios` for each alphabet: ``random`` has its counts, to which a uniform prior over the alphabet adds ``BACK_OFF`` counts."""
+    out = np.empty((len(ALPHABETS), _SIZE * _SIZE))
+    plain = ratios(np.zeros(_SIZE * _SIZE), ordinary)  # log of uniform over all, less that of ordinary strings
+    for k, letters in enumerate(ALPHABETS):
+        prior = np.zeros(_SIZE)
+        prior[_CODE[list(letters.encode())]] = (1 - 1 / MEAN) / len(letters)
+        prior[0] = 1 / MEAN
+        pairs = random[k].reshape(_SIZE, _SIZE)
+        chance = (pairs + BACK_OFF * prior) / (pairs.sum(1, keepdims=True) + BACK_OFF)
+        out[k] = (np.log(np.maximum(chance, 1e-12)) + plain + np.log(_SIZE)).reshape(-1)
+    return out
+
+
+def scores(strings: list[str], tables: np.ndarray) -> np.ndarray:
+    """The best log-likelihood ratio a character of each string."""
+    code = _CODE[np.frombuffer(("\n" + "\n".join(strings) + "\n").encode("ascii"), np.uint8)]
+    pairs = code[:-1] * _SIZE + code[1:]
+    lengths = np.array([len(x) for x in strings])
+    first = np.cumsum(lengths + 1) - lengths - 1
+    return np.max([np.add.reduceat(t[pairs], first) for t in tables], axis=0) / lengths
+
+
+def limits(lengths: np.ndarray) -> np.ndarray:
+    """The ratio a character above which strings of these lengths are secrets."""
+    return RATIO * np.maximum(1.0, FULL / lengths)
+
+
 def score(string: str, table: np.ndarray) -> float:
     """Log-likelihood ratio a character."""
     code = _CODE[np.frombuffer(f"\n{string}\n".encode(), np.uint8)]
     return float(table[code[:-1], code[1:]].sum()) / max(1, len(string))
 
 
+def _scored(string: str) -> bool:
+    """Whether a string is a candidate: digits alone, under ``FULL`` of them, are a number (a random string is so once in 300 or less)."""
+    return len(string) >= FULL or (len(string) >= LEAST and not string.isdigit())
+
+
 _SPAN = "struct<start: int, kind: int, end: int>"
 
 
@@ -99,13 +144,16 @@ def scan(docs: DataFrame) -> DataFrame:
                     text = f"{text[:a]}{' ' * (b - a)}{text[b:]}"
                 strings = _STRING.findall(text)
                 others += strings
-                if any(len(x) >= LEAST for x in strings):
-                    candidates.append([{"start": m.start(), "string": m.group()} for m in _STRING.finditer(text) if m.end() - m.start() >= LEAST])
+                if any(_scored(x) for x in strings):
+                    candidates.append([{"start": m.start(), "string": m.group()} for m in _STRING.finditer(text) if _scored(m.group())])
                 else:
                     candidates.append([])
-            counts = [pair_counts(x) for x in (hits, others)]
             if not len(base):
                 continue
+            by = [[] for _ in ALPHABETS]
+            for x in hits:
+                by[alphabet_of(x)].append(x)
+            counts = [np.concatenate([pair_counts(x) if x else np.zeros(_SIZE * _SIZE, np.int64) for x in by]), pair_counts(others)]
             pairs = [np.flatnonzero(x) for x in counts]
             first = [[{"pair": int(p), "n": int(c[p])} for p in ps] for c, ps in zip(counts, pairs)]
             kind = pa.list_(pa.struct([("pair", pa.int32()), ("n", pa.int64())]))
@@ -121,14 +169,14 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def model(scanned: DataFrame) -> np.ndarray | None:
-    """The table of ratios from all counts; None without a random string."""
+    """The tables of ratios from all counts; None without a random string."""
     sums = []
-    for name in ("random", "ordinary"):
+    for name, size in (("random", len(ALPHABETS) * _SIZE * _SIZE), ("ordinary", _SIZE * _SIZE)):
         rows = scanned.where(F.col(name).isNotNull()).select(F.inline(name)).groupBy("pair").agg(F.sum("n").alias("n")).collect()
-        counts = np.zeros(_SIZE * _SIZE, np.int64)
+        counts = np.zeros(size, np.int64)
         counts[[r[0] for r in rows]] = [r[1] for r in rows]
         sums.append(counts)
-    return ratios(*sums) if sums[0][1:].sum() else None
+    return tables(sums[0].reshape(len(ALPHABETS), -1), sums[1]) if sums[0].any() else None
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -141,10 +189,10 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     def task(batches):
         for batch in batches:
-            out = []
-            for row in batch.column(2).to_pylist():
-                out.append([{"start": c["start"], "kind": 3, "end": c["start"] + len(c["string"])}
-                            for c in row if score(c["string"], table) > RATIO])
+            rows = batch.column(2).to_pylist()
+            strings = [c["string"] for row in rows for c in row]
+            found = iter(scores(strings, table) > limits(np.array([len(x) for x in strings])) if strings else [])
+            out = [[{"start": c["start"], "kind": 3, "end": c["start"] + len(c["string"])} for c in row if next(found)] for row in rows]
             more = pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), more], ["doc_id", "base", "more"])
 

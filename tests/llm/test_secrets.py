@@ -72,3 +72,16 @@ def test_query(spark, tmp_path):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+def test_random_strings_of_alphabets_that_no_pattern_finds(spark):
+    r = random.Random(5)
+    letters = "etaoinshrdlu"
+    plain = [" ".join("".join(r.choice(letters) for _ in range(r.randrange(3, 16))) for _ in range(60)) for _ in range(60)]
+    texts = plain + [f"{' '.join(words(5, k))} {random_string(r, 40, '0123456789abcdef')}" for k in range(50)]
+    sets = [secrets.ALPHABET[:62], secrets.ALPHABET[26:62], secrets.ALPHABET[:64]]
+    planted = [f"see {random_string(r, n, chars)} there" for chars in sets for n in (16, 24, 40) for _ in range(20)]
+    rows = {x.doc_id: [s.kind for s in x.spans] for x in secrets.find_secrets(docs_of(spark, texts + planted)).collect()}
+    assert not any(rows[k] for k in range(60))
+    for case in range(9):
+        assert sum(rows[110 + 20 * case + k] == [3] for k in range(20)) >= 18, case
