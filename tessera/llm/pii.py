@@ -9,10 +9,12 @@ information ``ln(n(t, e) N / (n(t) n(e)))`` is how much ``t`` says about
 least ``DISCLOSURE``, beside the same value in two different texts or more,
 is a span too and goes with the value.
 
-With ``every_value`` (the query and the pipeline) a value need not occur in
-two texts: the chance of ``e`` beside ``t`` is ``(n(t, e) + n(e) / N) /
-(n(t) + 1)``, counted with one row more in which ``e`` is as likely as
-anywhere, so what a single row says is weighed and not left out.
+With ``every_value`` (the query and the pipeline) terms are those of the whole
+text, ``n(t, e)`` rows hold both, and all places of a disclosing term in the
+texts with the value are spans.  A value need not occur in two texts: the
+chance of ``e`` with ``t`` is ``(n(t, e) + n(e) / N) / (n(t) + 1)``, counted
+with one row more in which ``e`` is as likely as anywhere, so what a single row
+says is weighed and not left out.
 
 DataFrame operations only.  The patterns are written so that the Java regex
 engine neither backtracks over long runs nor recurses: possessive, and held to
@@ -26,7 +28,7 @@ value beside which every word is common gets no term; an empty table is empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import checked_broadcast
@@ -43,6 +45,7 @@ IP_PARTS = r"^0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])(\.0*(25[0-5]|2[0-4
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}++"
+WORD = r"\p{L}{4,}+"
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -116,11 +119,11 @@ def protected_terms(rows: DataFrame) -> DataFrame:
     return each.where(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))).drop("base")
 
 
-def disclosing(docs: DataFrame, rows: DataFrame, beside: DataFrame, threshold: float = DISCLOSURE, every_value: bool = False) -> DataFrame:
-    """``value, term`` of the terms that disclose a value; with ``every_value`` also of values in one text, by smoothed counts."""
+def disclosing(docs: DataFrame, rows: DataFrame, beside: DataFrame, threshold: float = DISCLOSURE) -> DataFrame:
+    """``value, term`` of the terms that disclose a value."""
     n = rows.count()
     pairs = (beside.select("value", "term", "_row", "text_hash").distinct().groupBy("value", "term")
-             .agg(F.count(F.lit(1)).alias("both"), (F.min("text_hash") != F.max("text_hash")).alias("texts")).where(F.lit(every_value) | F.col("texts")).drop("texts"))
+             .agg(F.count(F.lit(1)).alias("both"), (F.min("text_hash") != F.max("text_hash")).alias("texts")).where("texts").drop("texts"))
     pairs = materialize(pairs, "pii-pairs")
     values = rows.where(F.size("contexts") > 0).select("_row", F.explode(F.array_distinct("contexts.value")).alias("value")).groupBy("value").agg(
         F.count(F.lit(1)).alias("with_value"))
@@ -128,21 +131,57 @@ def disclosing(docs: DataFrame, rows: DataFrame, beside: DataFrame, threshold: f
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}+"), F.lit(0)))).alias("term"))
     terms = words.join(asked, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     told = F.log(F.col("both") * float(n) / (F.col("with_term") * F.col("with_value")))
-    if every_value:
-        rate = F.col("with_value") / float(n)
-        told = F.log((F.col("both") + rate) / (F.col("with_term") + 1) / rate)
     return (pairs.join(terms, "term").join(values, "value").where(F.col("with_value") < n)
             .where(told >= threshold * F.log(n / F.col("with_value"))).select("value", "term"))
 
 
+def _everywhere(docs: DataFrame, threshold: float) -> DataFrame:
+    """:func:`find_personal` with the terms of whole texts, for every value."""
+
+    def words(text):
+        return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+    found = docs.withColumn("base", base_spans(F.col("text")))
+    held = F.size("base") > 0
+    values = F.array_distinct(F.transform("base", lambda s: F.lower(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))))
+    found = found.select("doc_id", "text_hash", "base", *(F.when(held, c).alias(name) for name, c in (
+        ("text", F.col("text")), ("values", values), ("terms", words(F.col("text"))))))
+    rows = materialize(found.withColumn("_row", F.monotonically_increasing_id()), "pii")
+    n = rows.count()
+    holding = rows.where(held)
+    each = holding.select("_row", "terms", F.explode("values").alias("value")).select("_row", "value", F.explode("terms").alias("term"))
+    with_value = holding.select(F.explode("values").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("with_value"))
+    with_term = docs.select(F.explode(words(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    both = each.groupBy("value", "term").agg(F.count(F.lit(1)).alias("both"))
+    rate = F.col("with_value") / float(n)
+    chance = (F.col("both") + rate) / (F.col("with_term") + 1)
+    told = (both.join(with_term, "term").join(with_value, "value").where(F.col("with_value") < n)
+            .where(F.log(chance / rate) >= -threshold * F.log(rate)).select("value", "term"))
+    told = materialize(told, "pii-told")
+    asked = each.join(told, ["value", "term"]).select("_row", "term").distinct()
+    # places by running sums over the gaps and words of a text
+    parts = F.arrays_zip(F.transform(F.split("text", WORD, -1), F.length).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("hit"))
+    place = holding.select("_row", F.posexplode(parts).alias("pos", "part")).select("_row", "pos", "part.gap", "part.hit")
+    length = F.coalesce(F.length("hit"), F.lit(0))
+    place = place.withColumn("end", F.sum(F.col("gap") + length).over(Window.partitionBy("_row").orderBy("pos")).cast("int"))
+    place = place.where(F.col("hit").isNotNull()).select("_row", F.lower("hit").alias("term"), (F.col("end") - length).alias("start"), "end")
+    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end")
+    spans = place.join(asked, ["_row", "term"]).select("_row", span.alias("s")).groupBy("_row").agg(F.collect_list("s").alias("spans"))
+    free = F.filter("spans", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    return rows.select("_row", "doc_id", "text_hash", "base").join(spans, "_row", "left").select(
+        "doc_id", "text_hash", "base", F.array_sort(F.concat("base", F.coalesce(free, F.array().cast(_SPANS)))).alias("spans"))
+
+
 def find_personal(docs: DataFrame, threshold: float = DISCLOSURE, every_value: bool = False) -> DataFrame:
     """``doc_id, text_hash, base, spans`` of every document: base spans, and all spans, as ``(start, kind, end)`` in order."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"))
+    if every_value:
+        return _everywhere(docs, threshold)
     found = docs.select("doc_id", "text_hash", "text", base_spans(F.col("text")).alias("base"))
     found = found.select("doc_id", "text_hash", "base", F.when(F.size("base") > 0, _contexts(F.col("text"), F.col("base"))).alias("contexts"))
     rows = materialize(found.withColumn("_row", F.monotonically_increasing_id()), "pii")
     beside = materialize(protected_terms(rows), "pii-beside")
-    told = disclosing(docs, rows, beside, threshold, every_value)
+    told = disclosing(docs, rows, beside, threshold)
     span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end")
     terms = beside.join(told, ["value", "term"]).select("_row", span.alias("s")).distinct().groupBy("_row").agg(F.collect_list("s").alias("terms"))
     return rows.select("_row", "doc_id", "text_hash", "base").join(terms, "_row", "left").select(

@@ -149,3 +149,16 @@ def test_terms_of_a_value_in_one_text(spark):
     assert rows[201] == rows[202] == [(4, 4, 14), (38, 1, 46)]
     out = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts), every_value=True).where("doc_id >= 200").collect()}
     assert out[200] == "Ask [TERM] with common words here [EMAIL]" and out[201] == "Ask [TERM] with common words here [IP]"
+
+
+def test_terms_of_the_whole_text(spark):
+    filler = "with common words here and there number\n"
+    texts = [filler * 3 + str(k) for k in range(200)]
+    texts += ["Quillfeather\n" + filler * 2 + "bob@x.org\n" + filler + "é😀 quillfeather, Quillfeather"] * 2 + ["quillfeather@x.org " + filler]
+    found = pii.find_personal(docs_of(spark, texts), every_value=True)
+    rows = {r.doc_id: [tuple(x) for x in r.spans] for r in found.collect()}
+    t = texts[200]
+    want = sorted([(m.start(), 4, m.end()) for m in re.finditer("quillfeather", t, re.I)] + brute(t))
+    assert len(want) == 4 and rows[200] == rows[201] == want
+    assert rows[202] == brute(texts[202]) and not any(rows[k] for k in range(200))
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
