@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, packing, pii, quality, secrets, sharding, token_files, toxicity, url_filter
+from . import decontamination, ngram_join, packing, pii, quality, secrets, sharding, simhash, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY = 1, 4096
@@ -79,6 +79,10 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_simhash_near_dedup(spark, sf):
+    return simhash.near_duplicates(_read(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 

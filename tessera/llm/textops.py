@@ -64,12 +64,15 @@ def slices(offsets: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int]
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each row its first word (one more entry closes the last row)."""
+def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each row its first word (one more entry closes the last row).
+
+    ``separator`` tells for each byte whether it lies between words.
+    """
     if len(data) == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    space = _SPACE[data]
+    space = separator[data]
     edge = np.empty(len(data) + 1, bool)  # a word cannot cross this position
     edge[0] = edge[-1] = True
     edge[1:-1] = space[:-1]
