@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, packing, pii, quality, secrets, sharding, simhash, token_files, toxicity, url_filter
+from . import decontamination, lexical, ngram_join, packing, pii, quality, secrets, sharding, simhash, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY = 1, 4096
@@ -79,6 +79,10 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_ranked_search(spark, sf):
+    return lexical.search(lexical.build_index(_read(spark, sf, "documents")), _read(spark, sf, "benchmark"))
+
+
 def op13_simhash_near_dedup(spark, sf):
     return simhash.near_duplicates(_read(spark, sf, "documents"))
 
@@ -97,6 +101,19 @@ m AS (SELECT page_id, host, path, max_by(rhost || rpath, (length(rhost) + length
   GROUP BY page_id, host, path)
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM m"""
 
+_SEARCH_SQL = """WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}') AS t FROM documents),
+c AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0),
+m AS (SELECT doc_id, 25 + (75 * len(t) * docs) // terms AS m FROM d, c WHERE len(t) > 0),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY item_id, term),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term, docs),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": _URL_SQL.replace("{rules}", ", ".join(map(str, URL_RULES)))}
+    return {"op1_url_filters": _URL_SQL.replace("{rules}", ", ".join(map(str, URL_RULES))),
+            "op12_ranked_search": _SEARCH_SQL.replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")}
