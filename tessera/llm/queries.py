@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import permutations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, lexical, ngram_join, packing, pii, quality, secrets, sharding, simhash, token_files, toxicity, url_filter
+from . import decontamination, filter_audit, lexical, ngram_join, packing, pii, quality, secrets, sharding, simhash, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY = 1, 4096
@@ -79,6 +80,11 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(spark, f"{sf}/documents.parquet", _read(spark, sf, "labels")).select(
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
 def op12_ranked_search(spark, sf):
     return lexical.search(lexical.build_index(_read(spark, sf, "documents")), _read(spark, sf, "benchmark"))
 
@@ -101,6 +107,23 @@ m AS (SELECT page_id, host, path, max_by(rhost || rpath, (length(rhost) + length
   GROUP BY page_id, host, path)
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM m"""
 
+_AUDIT_SQL = """WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+f AS (SELECT doc_id, part, CAST(len(ws) < 50 AS INTEGER) + 2 * CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INTEGER)
+  + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) AS INTEGER) + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+  + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INTEGER) AS mask FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS docs, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+x(filter_order, step, own, gone) AS (VALUES {steps})
+SELECT part, filter_order, step, CAST(coalesce(sum(docs) FILTER (mask & (gone | own) = 0), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(docs) FILTER (mask & gone = 0 AND mask & own <> 0), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(docs) FILTER (mask & gone <> 0 AND mask & own <> 0), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(docs) FILTER (mask = own), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (mask & gone = 0 AND mask & own <> 0), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (mask & gone = 0 AND mask & own <> 0), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(docs * (120 // greatest(bit_count(mask), 1))) FILTER (mask & own <> 0), 0) AS BIGINT) AS shapley
+FROM c, x GROUP BY part, filter_order, step"""
+
 _SEARCH_SQL = """WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}') AS t FROM documents),
 c AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0),
 m AS (SELECT doc_id, 25 + (75 * len(t) * docs) // terms AS m FROM d, c WHERE len(t) > 0),
@@ -114,6 +137,14 @@ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY scor
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
 
 
+def _audit_steps():
+    """``(order, step, bit of its filter, bits of the filters before)``."""
+    for order in permutations("ABCDE"):
+        bits = [1 << "ABCDE".index(f) for f in order]
+        yield from (("".join(order), k + 1, bits[k], sum(bits[:k])) for k in range(5))
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_filters": _URL_SQL.replace("{rules}", ", ".join(map(str, URL_RULES))),
+            "op11_filter_audit": _AUDIT_SQL.replace("{steps}", ", ".join(map(str, _audit_steps()))),
             "op12_ranked_search": _SEARCH_SQL.replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")}
