@@ -128,17 +128,11 @@ def hot_shingles(stored: DataFrame) -> np.ndarray:
 
 
 class Order:
-    """The global order of shingles; a shingle is its 32 bits within its bucket, and the bucket."""
+    """The global order of shingles, and the bucket of each."""
 
     def __init__(self, hot: np.ndarray, buckets: int):
         self.hot = hot
         self.width = np.uint64(int(CUT) // buckets + 1)
-        self.shift = np.uint64(max(0, int(self.width).bit_length() - 32))
-
-    def names(self, hashes: np.ndarray) -> np.ndarray:
-        """Shorter names of hashes, in the same order."""
-        bucket = hashes // self.width
-        return (bucket << np.uint64(32)) | ((hashes - bucket * self.width) >> self.shift)
 
     def is_hot(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hot):
@@ -158,23 +152,21 @@ def shared_shingles(stored: DataFrame, order: Order) -> DataFrame:
     def deal(batches):
         for batch in (x.slice(k, 2500) for x in batches for k in range(0, x.num_rows, 2500)):
             hashes, rows, counted = order.counted(batch, 1)
-            names = order.names(hashes[counted])
+            names = hashes[counted]
             classes = batch.column(0).to_numpy()[rows[counted]]
             by = np.argsort(names, kind="stable")
             names, classes = names[by], classes[by]
-            bucket = (names >> np.uint64(32)).astype(np.int32)
+            bucket = (names // order.width).astype(np.int32)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             starts, ends = [0, *cuts.tolist()], [*cuts.tolist(), len(bucket)]
             if not len(bucket):
                 continue
-            short = names.astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts]), pa.array([short[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                [pa.array(bucket[starts]), pa.array([names[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                  pa.array([classes[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())], ["bucket", "names", "classes"])
 
     def count(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        names = np.frombuffer(b"".join(table.column("names").to_pylist()), np.uint32)
+        names = np.frombuffer(b"".join(table.column("names").to_pylist()), np.uint64)
         classes = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int64)
         by = np.argsort(names, kind="stable")
         names, classes = names[by], classes[by]
@@ -190,8 +182,7 @@ def shared_shingles(stored: DataFrame, order: Order) -> DataFrame:
         _, at, df = np.unique(names, return_inverse=True, return_counts=True)
         df = df[at]
         many = df > 1
-        h = (np.uint64(bucket) << np.uint64(32)) | names[many].astype(np.uint64)
-        return pa.table({"class": classes[many], "h": h.view(np.int64), "df": df[many].astype(np.int64)})
+        return pa.table({"class": classes[many], "h": names[many].view(np.int64), "df": df[many].astype(np.int64)})
 
     return (stored.select("class", "stored").mapInArrow(deal, "bucket int, names binary, classes binary")
             .groupBy("bucket").applyInArrow(count, "class bigint, h bigint, df bigint"))
@@ -210,7 +201,7 @@ def class_sizes(stored: DataFrame, order: Order) -> DataFrame:
             behind: list[list[int]] = [[] for _ in range(len(n))]
             for r in np.flatnonzero(need > 0):
                 left = hashes[bounds[r] : bounds[r + 1]][~counted[bounds[r] : bounds[r + 1]]]  # hot ones come first: they are below CUT
-                behind[r] = order.names(left[: need[r]]).view(np.int64).tolist()
+                behind[r] = left[: need[r]].view(np.int64).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.astype(np.int64)), pa.array(behind, pa.list_(pa.int64()))],
                                              ["class", "n", "counted", "behind"])
 

@@ -1,8 +1,9 @@
 """Word and shingle hashes of Arrow text columns with numpy.
 
 Texts stay UTF-8 bytes.  A word is a maximal run of bytes other than space and
-``\\x09-\\x0D``.  Hashes are 64 bits: a polynomial over the bytes of a word
-(mixed with its length), and a polynomial over the word hashes of a window.
+``\\x09-\\x0D``.  Hashes are 64 bits: a word's bytes are taken eight at a time,
+each scrambled with what came before, and a window's is a polynomial over the
+scrambled hashes of its words.
 """
 
 from __future__ import annotations
@@ -11,16 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
-_P, _Q = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
-_P_INV = pow(_P, -1, 1 << 64)
-_BLOCK = 1 << 19  # bytes hashed at a time
+_P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_LANES = 8  # a word of more than so many eight bytes is hashed on its own
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)  # keeps the first k of eight bytes
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,16 +31,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def _powers(base: int, n: int) -> list[np.uint64]:
     """``base ** 0 .. base ** (n - 1)`` modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, 1024), U64(base))
-        steps[0] = U64(1)
-        have = np.cumprod(steps, dtype=U64)
-        if n <= 2 * _BLOCK:
-            _powers[base] = have
-    return have[:n]
+    return [U64(pow(base, k, 1 << 64)) for k in range(n)]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,20 +78,26 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word; ``lower`` folds A-Z first."""
-    out = np.empty(len(starts), U64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _BLOCK, "right")))
-        a, b = int(starts[i]), int(ends[j - 1])
-        part = data[a:b]
-        part = (_LOWER[part] if lower else part).astype(U64) + U64(1)
-        sums = np.zeros(b - a + 1, U64)
-        np.cumsum(part * _power(_P, b - a), dtype=U64, out=sums[1:])
-        s, e = starts[i:j] - a, ends[i:j] - a
-        out[i:j] = mix((sums[e] - sums[s]) * _power(_P_INV, b - a)[s] + (e - s).astype(U64))
-        i = j
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word; ``lower`` folds A-Z first.
+
+    Words of up to eight bytes and the same length never share a hash.
+    """
+    if lower:
+        data = _LOWER[data]
+    room = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", room, strides=(1,))  # the eight bytes from each place on
+    size = ends - starts
+    out = mix(size.astype(U64) * U64(_P) + U64(seed))
+    at = np.flatnonzero(size <= 8 * _LANES)
+    for k in range(_LANES):
+        at = at[size[at] > 8 * k]
+        if not len(at):
+            break
+        lane = eight[starts[at] + 8 * k] & _TAIL[np.minimum(size[at] - 8 * k, 8)]
+        out[at] = mix(out[at] ^ lane) * U64(_P)
+    for i in np.flatnonzero(size > 8 * _LANES).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
     return out
 
 
@@ -113,13 +113,13 @@ def windows(hashes: np.ndarray, first: np.ndarray, size: int, short: bool = Fals
     begin = np.cumsum(full) - full
     at = np.arange(len(rows)) - begin[rows] + first[:-1][rows]
     sums = np.zeros(len(rows), U64)
-    for k, q in enumerate(_power(_Q, size)):
+    for k, q in enumerate(_powers(_Q, size)):
         sums += hashes[at + k] * q
     sums = mix(sums + U64(size))
     if short:
         few = np.flatnonzero((count > 0) & (count < size))
         less = np.zeros(len(few), U64)
-        for k, q in enumerate(_power(_Q, size - 1)):
+        for k, q in enumerate(_powers(_Q, size - 1)):
             has = count[few] > k
             less[has] += hashes[first[:-1][few[has]] + k] * q
         sums = np.concatenate([sums, mix(less + count[few].astype(U64))])

@@ -6,7 +6,9 @@ to the executors with the task, so executors need no copy of their own.
 White space is a hard boundary of the vocabularies used here (their
 pre-tokenizer drops it), so a text's ids are those of its words, one after
 another.  Each worker therefore encodes a distinct word once and finds it again
-by a 64-bit hash; words are split, hashed and put together with numpy.
+by a 64-bit hash, checked by a second one; a run of texts in which two words
+share the first but not the second is encoded text by text.  Words are split,
+hashed and put together with numpy.
 ``exact_pieces`` checks that a vocabulary allows this (lower case, byte-level,
 letters and marks apart); others encode whole texts.
 """
@@ -20,7 +22,8 @@ import pyarrow as pa
 
 from . import textops
 
-KEEP = 500_000  # distinct words a worker remembers (about 30 bytes each)
+KEEP = 500_000  # distinct words a worker remembers (about 40 bytes each)
+CHECK = 0x5851F42D4C957F2D  # seed of the second hash
 RUN = 1 << 21  # bytes of text at a time
 ROWS = 2000  # rows whose ids are in memory at a time
 MARKS = frozenset(",.!?;:")
@@ -55,29 +58,30 @@ class Known:
     def __init__(self):
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.parts = [empty, empty]  # each: sorted hashes, place in the pool, number of ids
+        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint64)
+        self.parts = [empty, empty]  # each: sorted hashes, place in the pool, number of ids, second hashes
 
     def __len__(self) -> int:
         return sum(len(x[0]) for x in self.parts)
 
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and numbers of ids; place -1 where a hash is new."""
-        place, number = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        for keys, at, n in self.parts:
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Places and numbers of ids, place -1 where a hash is new; and whether a hash is that of another word."""
+        place, number, other = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64), False
+        for keys, at, n, second in self.parts:
             if len(keys):
                 k = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
                 hit = keys[k] == hashes
                 place[hit], number[hit] = at[k[hit]], n[k[hit]]
-        return place, number
+                other |= bool((second[k[hit]] != checks[hit]).any())
+        return place, number, other
 
-    def add(self, hashes: np.ndarray, ids: list[bytes]) -> None:
+    def add(self, hashes: np.ndarray, checks: np.ndarray, ids: list[bytes]) -> None:
         new = np.frombuffer(b"".join(ids), "<u4")
         if self.used + len(new) > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(new)), np.uint32)])
         self.pool[self.used : self.used + len(new)] = new
         n = np.array([len(x) // 4 for x in ids], np.int32)
-        fresh = hashes, self.used + np.cumsum(n, dtype=np.int64) - n, n
+        fresh = hashes, self.used + np.cumsum(n, dtype=np.int64) - n, n, checks
         self.used += len(new)
         self.parts[1] = self._merged(self.parts[1], fresh)
         if len(self.parts[1][0]) > 50_000 + len(self.parts[0][0]) // 4:
@@ -113,26 +117,31 @@ class Encoder:
         """The ids of each text (a list or an Arrow column) as little-endian unsigned 32-bit integers; a null is an empty text."""
         column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())
         if not self.by_piece:
-            done = self.tokenizer.encode_batch([x or "" for x in column.to_pylist()], add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in done]
+            return self._whole([x or "" for x in column.to_pylist()])
         data, offsets = textops.utf8(column)
         out: list[bytes] = []
         for i, j in textops.slices(offsets, RUN):
             out += self._run(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         return out
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def _run(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         starts, ends, first = textops.words(data, offsets)
         hashes, at, which = np.unique(textops.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        place, number = self.known.find(hashes)
+        checks = textops.word_hashes(data, starts, ends, seed=CHECK)
+        place, number, other = self.known.find(hashes, checks[at])
+        if other or (checks[at][which] != checks).any():
+            return self._whole([data[a:b].tobytes().decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
         new = np.flatnonzero(place < 0)
         if len(new):
             if len(self.known) > KEEP:
                 self.known = Known()
                 place[:], new = -1, np.arange(len(hashes))
             raw = data.tobytes()
-            self.known.add(hashes[new], self._words([raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]))
-            place, number = self.known.find(hashes)
+            self.known.add(hashes[new], checks[at[new]], self._words([raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]))
+            place, number, _ = self.known.find(hashes, checks[at])
         counts = number[which]
         until = np.concatenate([[0], np.cumsum(counts)])
         ids = self.known.pool[np.repeat(place[which] - until[:-1], counts) + np.arange(until[-1])]

@@ -34,3 +34,9 @@ def clashing(docs):
 
 def lower_ascii(text: str) -> str:
     return re.sub("[A-Z]", lambda m: m.group().lower(), text)
+
+
+def twins(n: int = 1024) -> tuple[str, str]:
+    """Two words of two letters that every polynomial over their bytes modulo a power of two takes for one (Thue and Morse)."""
+    bits = [k.bit_count() & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import WORD, clashing, docs_of, lower_ascii, words
+from helpers import WORD, clashing, docs_of, lower_ascii, twins, words
 
 from tessera.llm import ngram_join as j
 from tessera.llm import textops
@@ -111,6 +111,12 @@ def test_null_and_repeated_ids(spark):
     assert sorted(str(r.doc_id) for r in j.first_of_each(docs).collect()) == ["3", "9", "None", "None"]
 
 
+def test_words_that_polynomials_confuse(spark):
+    a, b = twins()
+    texts = [a, b, f"{a} x", f"{b} x", " ".join([a] * 7), " ".join([b] * 7)]
+    assert [r.component_id for r in sorted(j.near_duplicates(docs_of(spark, texts)).collect())] == list(range(6))
+
+
 def test_empty(spark):
     assert j.near_duplicates(docs_of(spark, [])).collect() == []
     assert j.near_duplicates(docs_of(spark, [None, ""])).count() == 2

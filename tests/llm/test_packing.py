@@ -1,7 +1,7 @@
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import clashing, docs_of, words
+from helpers import clashing, docs_of, twins, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -61,7 +61,7 @@ def test_many_groups_and_rounds(spark, monkeypatch, shape):
 
 
 def test_documents(spark):
-    texts = [None, "", "a", " ".join(words(9000, 1)), *(" ".join(words(50 + 7 * s, s)) for s in range(60))]
+    texts = [None, "", "a", " ".join(words(9000, 1)), *twins(), *(" ".join(words(50 + 7 * s, s)) for s in range(60))]
     texts.append(texts[5])
     plain = Tokenizer.from_file(PATH)
     pieces = packing.token_pieces(clashing(docs_of(spark, texts, [*range(len(texts) - 2), None, 5])), PATH, 512)

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 import public_tokenizers
-from helpers import clashing, docs_of, words
+from helpers import clashing, docs_of, twins, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -43,6 +43,23 @@ def test_little_memory_gives_the_same(monkeypatch):
     assert len(encoder.known) < 1000
 
 
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_words_that_polynomials_confuse(n):
+    a, b = twins(n)
+    texts = [a, b, f"x {a} y", f"x {b} y", a + "a", f"{a}\n{b}"]
+    assert tokens.Encoder(VOCABULARY).encode(texts) == [ids_of(x)[:-1].tobytes() for x in texts]
+
+
+@pytest.mark.parametrize("bits", [0, 2, 6])
+def test_words_that_share_a_hash(monkeypatch, bits):
+    """With a first hash of very few bits every run has words that share it."""
+    strong = tokens.textops.word_hashes
+    monkeypatch.setattr(tokens.textops, "word_hashes", lambda *a, seed=0, **k: strong(*a, seed=seed, **k) if seed else strong(*a, **k) % np.uint64(1 << bits))
+    encoder = tokens.Encoder(VOCABULARY)
+    for texts in (["one"], ["two", "one two"], [" ".join(words(50, 1)), *ODD], ["one", None]):
+        assert encoder.encode(texts) == [ids_of(x)[:-1].tobytes() for x in texts]
+
+
 def test_another_vocabulary_encodes_whole_texts():
     vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     plain = Tokenizer.from_str(vocabulary)
@@ -51,7 +68,7 @@ def test_another_vocabulary_encodes_whole_texts():
 
 
 def corpus():
-    texts = [None, *ODD, " ".join(words(30_000, 1)), *(" ".join(words(40 + s, s)) for s in range(300))]
+    texts = [None, *ODD, " ".join(words(30_000, 1)), *twins(), *(" ".join(words(40 + s, s)) for s in range(300))]
     ids = [x * 7 for x in range(len(texts))][::-1]
     return texts + [texts[20]], ids + [ids[20]]
 
