@@ -5,15 +5,18 @@ documents: lines are normalised (lower case, one space between words) and
 hashed; for each host the distinct documents with a line are counted (equal
 texts are one document).  A line found in at least ``LINE_DOCS`` documents of a
 host is removed, however large or small the host is; a share of the host's
-documents may be asked for besides (``LINE_SHARE``: none).  A document is depleted
-if fewer than ``MIN_WORDS`` words or ``MIN_SHARE`` of its words remain.
+documents may be asked for besides (``LINE_SHARE``: none).  It stays in the text
+that holds it first (by ``doc_id``): boilerplate goes from all other documents,
+and of near copies, whose lines are all frequent, the first one stays whole.  A
+document is depleted if fewer than ``MIN_WORDS`` words or ``MIN_SHARE`` of its
+words remain.  The table's ``source`` is the host.
 
 Counts combine before each shuffle, keyed by line and host, so neither a hot
 host nor a line of every document meets in one task.
 
 Defined cases: a null text is empty (no words, so it fails); a null host is a
-host of its own; a null ``doc_id`` is kept as it is; equal rows give equal
-results; lines without a word are never counted or removed.
+host of its own; a null ``doc_id`` is kept as it is and comes last; equal texts
+of a host give equal results; lines without a word are never counted or removed.
 """
 
 from __future__ import annotations
@@ -37,8 +40,8 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 def line_hash(line: str) -> int | None:
     """Hash of a normalised line; None for a line without a word."""
-    words = line.lower().split()
-    return xxhash.xxh64_intdigest(" ".join(words)) - (1 << 63) if words else None
+    words = line.lower().encode().split()  # of bytes: at the six ASCII blanks
+    return xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63) if words else None
 
 
 def _lines(text: str) -> tuple[int, dict[int, int]]:
@@ -52,7 +55,7 @@ def _lines(text: str) -> tuple[int, dict[int, int]]:
         seen.add(line)
         h = line_hash(line)
         if h is not None:
-            counts[h] = counts.get(h, 0) + len(line.split())
+            counts[h] = counts.get(h, 0) + len(line.encode().split())
     return repeated, counts
 
 
@@ -104,22 +107,23 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(measured: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) -> DataFrame:
-    """``source, line`` of the lines above the limits."""
+    """``source, line, holder`` of the lines above the limits; ``holder`` is the hash of the text that holds a line first."""
     texts = measured.select("source", "text_hash").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("docs"))
-    each = measured.select("source", "text_hash", F.explode("lines").alias("line")).distinct()
-    counts = each.groupBy("source", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    first = F.min(F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("first")
+    each = measured.select("source", "text_hash", "doc_id", F.explode("lines").alias("line")).groupBy("source", "line", "text_hash").agg(first)
+    counts = each.groupBy("source", "line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "text_hash")).alias("holder")).where(F.col("n") >= least)
     same = F.col("c.source").eqNullSafe(F.col("t.source"))
     return (counts.alias("c").join(texts.alias("t"), same).where(F.col("n") > share * F.col("docs"))
-            .select("c.source", "line"))
+            .select("c.source", "line", F.col("holder.text_hash").alias("holder")))
 
 
 def judge(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) -> DataFrame:
     """Counts and verdicts of every document: ``base_failed``, ``kept``, and ``removed`` (its lines above the limits)."""
     rows = materialize(measure(docs).withColumn("_row", F.monotonically_increasing_id()), "quality")
-    frequent = frequent_lines(rows, share, least).select(F.col("source").alias("_host"), "line")
-    each = rows.select("_row", "source", F.inline(F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))))
+    frequent = frequent_lines(rows, share, least).select(F.col("source").alias("_host"), "line", "holder")
+    each = rows.select("_row", "source", "text_hash", F.inline(F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))))
     gone = (each.join(frequent, (each["source"].eqNullSafe(frequent["_host"])) & (each["line"] == frequent["line"]))
-            .groupBy("_row").agg(F.sum("words").alias("gone"), F.collect_list(each["line"]).alias("removed")))
+            .where(~F.col("text_hash").eqNullSafe(F.col("holder"))).groupBy("_row").agg(F.sum("words").alias("gone"), F.collect_list(each["line"]).alias("removed")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("gone", F.lit(0))
     depleted = F.col("gone").isNotNull() & ((left < MIN_WORDS) | (left < MIN_SHARE * F.col("n_words")))
