@@ -16,7 +16,12 @@ batch that is run again after a failure replaces its own.  State (RocksDB, with
 a log of changes) and progress lie in the shared folder: another run over the
 same folder takes up files that came since.
 
-Before the rows are keyed by text, each task finds the least id of each text
+A group of the stateful operator costs far more than a text, so it is keyed by
+*slices* of the texts' hashes and its state lists the texts of a slice.  There
+is a slice for every ``SLICE_ROWS`` rows that the table has when its folder is
+begun, so a state stays small whatever the table's size.
+
+Before the rows are keyed, each task finds the least id of each text
 among up to ``LOCAL_ROWS`` rows.  Rows behind that one fail E whatever comes,
 so they pass by the state, dealt over ``SALTS`` groups.  A text that is a third
 of all rows sends a row or two of each such stretch to its state.
@@ -36,6 +41,7 @@ import contextlib
 import uuid
 from itertools import permutations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,10 +57,11 @@ COPY = 1 << FILTERS.index("E")
 BATCHES = 4  # micro-batches that the files present are dealt to
 LOCAL_ROWS = 100_000
 SALTS = 1024
+SLICE_ROWS = 200
 MOST_LABELS = 200_000  # labelled documents sent to every task; of more, both sides are shuffled
-_FACTS = "key binary, salt int, mask int, part string, doc_id bigint, rows bigint"
+_FACTS = "slice int, key binary, mask int, part string, doc_id bigint, rows bigint"
 _DELTAS = "part string, mask int, doc_id bigint, delta bigint"
-_STATE = "least bigint, mask int, parts array<string>, rows array<bigint>"
+_STATE = "texts array<binary>, least array<bigint>, masks array<int>, parts array<string>, rows array<bigint>"
 _COUNTERS = "part string, mask int, docs bigint, good bigint, toxic bigint"
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -78,20 +85,24 @@ def masks(docs: DataFrame) -> DataFrame:
             .select(F.unhex(F.sha2("t", 256)).alias("key"), mask.cast("int").alias("mask"), "part", "doc_id"))
 
 
-def _local_task(batches):
-    """Rows that lead their text within a stretch, and the settled others."""
-    held, rows = [], 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= LOCAL_ROWS:
-            yield _led(pa.Table.from_batches(held))
-            held, rows = [], 0
-    if rows:
-        yield _led(pa.Table.from_batches(held))
+def _local_task(slices: int):
+    """Rows that lead their text within a stretch, by slice, and the settled others (negative slices)."""
+
+    def task(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= LOCAL_ROWS:
+                yield _led(pa.Table.from_batches(held), slices)
+                held, rows = [], 0
+        if rows:
+            yield _led(pa.Table.from_batches(held), slices)
+
+    return task
 
 
-def _led(table: pa.Table) -> pa.RecordBatch:
+def _led(table: pa.Table, slices: int) -> pa.RecordBatch:
     frame = table.to_pandas(integer_object_nulls=True)
     frame["text"] = pd.factorize(frame["key"])[0]
     ids = pd.Series(frame["doc_id"].array, dtype="Int64")
@@ -100,12 +111,14 @@ def _led(table: pa.Table) -> pa.RecordBatch:
     leads = (ids == least).fillna(False).astype(bool)
     behind = (ids > least).fillna(False).astype(bool)
     frame["mask"] += COPY * behind.astype(int)
-    frame["salt"] = (ids.fillna(0).astype("int64") % SALTS).where(~leads, -1)
+    keys = np.frombuffer(b"".join(frame["key"]), "<u8").reshape(len(frame), -1)[:, 0]
+    salt = -1 - ids.fillna(0).astype("int64") % SALTS
+    frame["slice"] = salt.where(~leads, (keys % np.uint64(slices)).astype(np.int64))
     frame.loc[~leads, "key"] = b""
-    out = frame.groupby(["salt", "text", "mask", "part", "doc_id"], dropna=False, sort=False).agg(key=("key", "first"), rows=("key", "size")).reset_index()
+    out = frame.groupby(["slice", "text", "mask", "part", "doc_id"], dropna=False, sort=False).agg(key=("key", "first"), rows=("key", "size")).reset_index()
     return pa.RecordBatch.from_arrays(
-        [pa.array(out["key"], pa.binary()), pa.array(out["salt"], pa.int32()), pa.array(out["mask"], pa.int32()), pa.array(out["part"], pa.string()),
-         pa.array(out["doc_id"], pa.int64()), pa.array(out["rows"], pa.int64())], ["key", "salt", "mask", "part", "doc_id", "rows"])
+        [pa.array(out["slice"], pa.int32()), pa.array(out["key"], pa.binary()), pa.array(out["mask"], pa.int32()), pa.array(out["part"], pa.string()),
+         pa.array(out["doc_id"], pa.int64()), pa.array(out["rows"], pa.int64())], ["slice", "key", "mask", "part", "doc_id", "rows"])
 
 
 def lead(known, arrived):
@@ -133,18 +146,25 @@ def lead(known, arrived):
 
 def _settle(key, frames, state):
     names = ["part", "mask", "doc_id", "delta"]
-    if key[1] >= 0:
+    if key[0] < 0:
         for frame in frames:
             yield frame[["part", "mask", "doc_id", "rows"]].set_axis(names, axis=1)
         return
-    arrived = [x for frame in frames for x in zip(frame["doc_id"].tolist(), frame["mask"].tolist(), frame["part"].tolist(), frame["rows"].tolist())]
-    known = None
+    arrived: dict[bytes, list] = {}
+    for frame in frames:
+        for text, *row in zip(*(frame[c].tolist() for c in ("key", "doc_id", "mask", "part", "rows"))):
+            arrived.setdefault(text, []).append(row)
+    known: dict[bytes, tuple] = {}
     if state.exists:
-        least, mask, parts, rows = state.get
-        known = least, mask, dict(zip(parts, rows))
-    (least, mask, own), deltas = lead(known, arrived)
-    state.update((least, mask, list(own), list(own.values())))
-    yield pd.DataFrame(deltas, columns=names)
+        for text, least, mask, part, rows in zip(*state.get):
+            known.setdefault(bytes(text), (least, mask, {}))[2][part] = rows
+    out = []
+    for text, rows in arrived.items():
+        known[text], deltas = lead(known.get(text), rows)
+        out += deltas
+    flat = [(text, least, mask, part, rows) for text, (least, mask, own) in known.items() for part, rows in own.items()]
+    state.update(tuple(list(x) for x in zip(*flat)))
+    yield pd.DataFrame(out, columns=names)
 
 
 def label_marks(labels: DataFrame) -> DataFrame:
@@ -191,10 +211,12 @@ def update(spark: SparkSession, path: str, labels: DataFrame, folder: str, files
         _count(batch, marks).write.mode("overwrite").parquet(f"{folder}/counters/batch={number}")
 
     spark.createDataFrame([], _COUNTERS).write.mode("overwrite").parquet(f"{folder}/counters/batch=-1")
+    spark.createDataFrame([(max(1, table.count() // SLICE_ROWS),)], "slices int").write.mode("ignore").parquet(f"{folder}/settings")
+    slices = spark.read.schema("slices int").parquet(f"{folder}/settings").first()[0]
     # a pattern, since a stream's plain path must be a folder and a table may be one file
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
-    rows = arrow_tasks(masks(stream)).mapInArrow(_local_task, _FACTS)
-    deltas = rows.groupBy("key", "salt").applyInPandasWithState(_settle, _DELTAS, _STATE, "append", GroupStateTimeout.NoTimeout)
+    rows = arrow_tasks(masks(stream)).mapInArrow(_local_task(slices), _FACTS)
+    deltas = rows.groupBy("slice").applyInPandasWithState(_settle, _DELTAS, _STATE, "append", GroupStateTimeout.NoTimeout)
     with _settings(spark, _SETTINGS):
         query = (deltas.writeStream.foreachBatch(add).outputMode("append").option("checkpointLocation", f"{folder}/progress")
                  .trigger(availableNow=True).start())

@@ -70,9 +70,10 @@ def result(df):
     return {tuple(r) for r in df.select(columns).collect()}
 
 
-@pytest.mark.parametrize("seed,local", [(1, 100_000), (2, 3)])
-def test_report_equals_brute_force(spark, tmp_path, monkeypatch, seed, local):
+@pytest.mark.parametrize("seed,local,slices", [(1, 100_000, 200), (2, 3, 2)])
+def test_report_equals_brute_force(spark, tmp_path, monkeypatch, seed, local, slices):
     monkeypatch.setattr(a, "LOCAL_ROWS", local)
+    monkeypatch.setattr(a, "SLICE_ROWS", slices)
     rows, labels = corpus(seed)
     path = str(tmp_path / "documents.parquet")
     write(spark, rows, path, 3)
