@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 
 from helpers import clashing, docs_of, words
@@ -55,48 +56,65 @@ def test_base_spans_of_random_texts(spark, texts):
         assert got[i] == brute(t), t
 
 
+def terms_of(text):
+    return [x.lower() for x in re.findall(r"[^\W\d_]{4,}", text or "")]
+
+
 def disclosed(texts):
-    """Terms beside values and what they tell, by counting over all rows."""
-    n, with_term, with_value, both, seen = len(texts), {}, {}, {}, {}
-    occurrences = []
-    for i, t in enumerate(texts):
-        t = t or ""
-        for w in {x for x in re.findall(r"[^\W\d_]{4,}", t.lower())}:
+    """Term spans of each text, by counting over all rows."""
+    with_term, held = {}, []
+    for t in texts:
+        for w in set(terms_of(t)):
             with_term[w] = with_term.get(w, 0) + 1
-        spans, pairs = brute(t), set()
-        for v in {t[a:b].lower() for a, _, b in spans}:
-            with_value[v] = with_value.get(v, 0) + 1
-        for a, _, b in spans:
-            left, right = t[max(0, a - pii.REACH) : a], t[b : b + pii.REACH]
-            l, r = left.split("\n")[-1], right.split("\n")[0]
-            for m in re.finditer(r"[^\W\d_]+", l):
-                if len(m.group()) >= 4 and not (m.start() == 0 and len(l) == pii.REACH and a > pii.REACH):
-                    pairs.add((t[a:b].lower(), m.group().lower(), a - len(l) + m.start(), a - len(l) + m.end()))
-            for m in re.finditer(r"[^\W\d_]+", r):
-                if len(m.group()) >= 4 and not (m.end() == len(r) == pii.REACH):
-                    pairs.add((t[a:b].lower(), m.group().lower(), b + m.start(), b + m.end()))
-        pairs = {p for p in pairs if not any(a < p[3] and b > p[2] for a, _, b in spans)}
-        for v, w in {p[:2] for p in pairs}:
-            both[v, w] = both.get((v, w), 0) + 1
-            seen.setdefault((v, w), set()).add(t)
-        occurrences.append(pairs)
-    told = {(v, w) for (v, w), k in both.items() if len(seen[v, w]) > 1 and with_value[v] < n
-            and math.log(k * n / (with_term[w] * with_value[v])) >= pii.DISCLOSURE * math.log(n / with_value[v]) - 1e-12}
-    return [sorted({(a, 4, b) for v, w, a, b in p if (v, w) in told}) for p in occurrences]
+        held.append({x for a, k, b in brute(t) for x in ((t or "")[a:b].lower(), pii.LABELS[k])})
+    both, witnesses, seen = {}, {}, {}
+    for t, entities in zip(texts, held):
+        w = terms_of(t)
+        near = frozenset(zip(w, w[1:])) or t  # texts here that share a neighbouring pair are copies
+        for e in entities:
+            seen.setdefault(e, set()).add(near)
+            for x in set(w):
+                both[e, x] = both.get((e, x), 0) + 1
+                witnesses.setdefault((e, x), set()).add(near)
+
+    def bound(k, n):
+        p, z2 = k / n, pii.Z**2
+        return (p + z2 / (2 * n) - pii.Z * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+    told = {(e, w) for (e, w), k in both.items() if len(seen[e]) >= 3 and k >= 3 and bound(k, with_term[w]) >= 0.5 and len(witnesses[e, w]) >= 3}
+    out = []
+    for t, entities in zip(texts, held):
+        spans = brute(t)
+        out.append(sorted((m.start(), 4, m.end()) for m in re.finditer(r"[^\W\d_]{4,}", t or "")
+                          if any((e, m.group().lower()) in told for e in entities) and not any(a < m.end() and b > m.start() for a, _, b in spans)))
+    return out
+
+
+def letters(k):
+    return "".join(chr(97 + int(c, 16)) for c in f"{k:06x}")
+
+
+def prose(seed, n=30):
+    r = random.Random(seed)
+    return " ".join(letters(r.randrange(1 << 24)) for _ in range(n))
 
 
 def corpus():
     texts = [*ODD, *(" ".join(words(40, k)) for k in range(40))]
-    texts += [f"Patient Quillfeather wrote with common words here jq{k % 3}@mail.org about number {k}\nQuillfeather again" for k in range(12)]
-    texts += [f"common words here and there {k}" for k in range(30)]
-    texts += [f"Ask common Zanzibarov at 10.0.0.{k % 2} or +1 555 123 4567 Zanzibarov" + " tail" * k for k in range(8)]
+    texts += [f"{prose(k)} Patient Quillfeather wrote common words jq{k % 3}@mail.org about number {k}\nQuillfeather again" for k in range(12)]
+    texts += [f"{prose(100 + k)} common words here and there {k}" for k in range(30)]
+    texts += [f"{prose(200 + k)} Ask common Zanzibarov at 10.0.0.{k % 2} Zanzibarov" + " tail" * k for k in range(8)]
+    texts += [f"{prose(300 + k)} two of Smallfry here me{k}@x.org" for k in range(2)]  # twice is no proof
+    texts += [f"{prose(400 + k)} mostly Elsewhere here you{k % 1}@y.org" for k in range(4)] + [f"{prose(500 + k)} Elsewhere" for k in range(4)]
     return texts + [texts[60]] * 3
 
 
 def test_terms_equal_brute_force(spark):
     texts = corpus()
     want = disclosed(texts)
-    assert sum(map(len, want)) > 10
+    assert sum(map(len, want)) > 30
+    masked = {t[a:b].lower() for t, spans in zip(texts, want) for a, _, b in spans}
+    assert {"quillfeather", "zanzibarov"} <= masked and not masked & {"common", "words", "smallfry", "elsewhere"}
     rows = pii.find_personal(clashing(docs_of(spark, texts))).collect()
     assert len(rows) == len(texts)
     for r in rows:
@@ -104,6 +122,46 @@ def test_terms_equal_brute_force(spark):
         assert [tuple(x) for x in r.spans] == sorted(brute(texts[r.doc_id]) + want[r.doc_id]), texts[r.doc_id][:100]
 
 
+def test_names_go_and_rare_words_stay_at_every_size(spark):
+    """Names that stand with their value in five texts, words of one or two texts, and unrelated documents added."""
+    names = [f"Name{letters(k)}" for k in range(20)]
+    texts = [f"{prose(1000 + 10 * k + i, 40)}\n{name} {prose(7000 + 10 * k + i, 20)} p{k}@mail{k}.org" for k, name in enumerate(names) for i in range(5)]
+    shares = []
+    for more in (0, 400):
+        every = texts + [prose(50_000 + k, 30) for k in range(more)]
+        rows = [r for r in pii.find_personal(docs_of(spark, every)).collect() if r.doc_id < len(texts)]
+        spans = {r.doc_id: {texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 4} for r in rows}
+        caught = sum(names[d // 5] in x for d, x in spans.items()) / len(texts)
+        innocent = sum(len(x - {names[d // 5]}) for d, x in spans.items()) / (60 * len(texts))
+        assert caught >= 0.9 and innocent <= 0.05
+        shares.append(sum(map(len, spans.values())))
+    assert shares[0] == shares[1]
+
+
+def test_near_copies_are_one_witness(spark):
+    base = prose(1, 80).split()
+    texts = []
+    for k in range(8):
+        near = list(base)
+        near[10 * k] = letters(90 + k)
+        texts.append(" ".join(near) + " same@value.org")
+    rows = pii.find_personal(docs_of(spark, texts + [prose(k) for k in range(2, 40)])).collect()
+    assert all(len(r.spans) == len(r.base) for r in rows)
+
+
+def test_hot_entity_empty_and_null(spark):
+    """A value of two thirds of all rows; its own name is a term, common words are not."""
+    texts = [f"{prose(k, 20)} common Hotperson hot@spot.org" for k in range(60)] + [f"{prose(100 + k, 20)} common" for k in range(30)] + [None, ""]
+    found = pii.find_personal(docs_of(spark, texts, [None, *range(1, 92)]))
+    rows = found.collect()
+    assert len(rows) == 92
+    for r in rows:
+        t = texts[r.doc_id or 0]
+        got = {t[s.start : s.end] for s in r.spans if s.kind == 4} if t else set()
+        assert ("Hotperson" in got) == ("Hotperson" in (t or "")), t
+    assert pii.find_personal(docs_of(spark, [])).collect() == []
+
+
 def test_sanitise(spark):
     texts = corpus()
     want = disclosed(texts)
@@ -139,26 +197,3 @@ def test_query(spark, tmp_path):
         joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for _, k, _ in base) for x in range(4))
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
-
-
-def test_terms_of_a_value_in_one_text(spark):
-    texts = [f"with common words here and there number {k}" for k in range(200)]
-    texts += ["Ask Quillfeather with common words here bob@x.org"] + ["Ask Zanzibarov with common words here 10.0.0.1"] * 2
-    rows = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find_personal(docs_of(spark, texts), every_value=True).collect()}
-    assert rows[200] == [(4, 4, 16), (40, 0, 49)]  # not the common words
-    assert rows[201] == rows[202] == [(4, 4, 14), (38, 1, 46)]
-    out = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts), every_value=True).where("doc_id >= 200").collect()}
-    assert out[200] == "Ask [TERM] with common words here [EMAIL]" and out[201] == "Ask [TERM] with common words here [IP]"
-
-
-def test_terms_of_the_whole_text(spark):
-    filler = "with common words here and there number\n"
-    texts = [filler * 3 + str(k) for k in range(200)]
-    texts += ["Quillfeather\n" + filler * 2 + "bob@x.org\n" + filler + "é😀 quillfeather, Quillfeather"] * 2 + ["quillfeather@x.org " + filler]
-    found = pii.find_personal(docs_of(spark, texts), every_value=True)
-    rows = {r.doc_id: [tuple(x) for x in r.spans] for r in found.collect()}
-    t = texts[200]
-    want = sorted([(m.start(), 4, m.end()) for m in re.finditer("quillfeather", t, re.I)] + brute(t))
-    assert len(want) == 4 and rows[200] == rows[201] == want
-    assert rows[202] == brute(texts[202]) and not any(rows[k] for k in range(200))
-    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
