@@ -7,13 +7,16 @@ least one piece in it unchanged; every exact hit of a piece is therefore a
 candidate, and only those are verified.  The passage around a hit is searched
 with Myers' algorithm (one machine word, or a long integer, per step).
 
-Items are the query set.  They are read in blocks of ``BLOCK_ITEMS``, each sent
+Items are the query set.  Rows that repeat an item are one, counted; items are
+read in blocks of ``BLOCK_ITEMS``, each sent
 to all tasks, so what is broadcast has a fixed bound; every block is run over
 all documents.  The documents are never shuffled.
 
 Defined cases: a null or wordless item matches nothing; items of fewer than
 ``EDITS_PER`` words must occur exactly; repeated items and documents are
-reported each; a null text holds nothing; ``doc_id`` may be null.
+reported each; a null text holds nothing; ``doc_id`` may be null; other columns
+are ignored, or kept by ``without_leaks``, whatever their names; very long items
+are searched like others; of an empty table nothing is found.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_tasks
+from .shared import arrow_tasks, tidy
 
 EDITS_PER = 5  # one edit for so many words
 BLOCK_ITEMS = 20_000
@@ -78,17 +81,19 @@ def best_match(item: list[int], text: list[int]) -> tuple[int, int]:
 class Matcher:
     """Finds a block of items in texts."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int, str | None, int]]):
         self.names: dict[str, int] = {}
         self.items: list[tuple[int, list[int]]] = []
+        self.rows: list[int] = []  # how often each item is asked
         table: dict[int, list[tuple[int, int]]] = {}  # hash of a piece -> (item, start)
         self.lengths: set[int] = set()
-        for item_id, text in items:
+        for item_id, text, rows in items:
             words = [self.names.setdefault(w, len(self.names) + 1) for w in words_of(text)]
             if not words:
                 continue
             at = len(self.items)
             self.items.append((item_id, words))
+            self.rows.append(rows)
             for start, length in pieces(len(words)):
                 h = int(self._hash(np.array(words[start : start + length], np.uint64), length)[0])
                 table.setdefault(h, []).append((at, start))
@@ -104,8 +109,8 @@ class Matcher:
             out ^= out >> np.uint64(29)
         return out
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """``(item_id, distance, first word, last word + 1)`` of each item that the text holds (its best place)."""
+    def find(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
+        """``(item_id, rows, distance, first word, last word + 1)`` of each item that the text holds (its best place)."""
         words = words_of(text)
         get = self.names.get
         ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
@@ -134,22 +139,27 @@ class Matcher:
             distance, end = best_match(item, ids[a:b].tolist())
             if distance <= k and (i not in best or distance < best[i][0]):
                 best[i] = (distance, max(a, a + end - len(item)), a + end)
-        return [(self.items[i][0], *x) for i, x in best.items()]
+        return [(self.items[i][0], self.rows[i], *x) for i, x in best.items()]
 
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id, item_id, distance, first_word, end_word``: one row for each document and item it holds."""
-    items = items.select(F.col("item_id").cast("bigint"), "text")
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     found = None
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        part = _in_block(docs, [tuple(r) for r in block.collect()])
+    for block in _blocks(items):
+        part = _in_block(docs, block)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _in_block(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
+def _blocks(items: DataFrame):
+    """Lists of ``(item_id, text, rows)``, each of about ``BLOCK_ITEMS`` different items; repeated rows are one item."""
+    items = items.groupBy(F.col("item_id").cast("bigint").alias("item_id"), "text").agg(F.count(F.lit(1)).alias("rows"))
+    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    for k in range(blocks):
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
+
+
+def _in_block(docs: DataFrame, items: list[tuple[int, str | None, int]]) -> DataFrame:
     def task(batches):
         matcher = Matcher(items)
         for batch in batches:
@@ -157,27 +167,25 @@ def _in_block(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame
             for r, text in enumerate(batch.column(1).to_pylist()):
                 rows += [(r, *x) for x in matcher.find(text)]
             if rows:
-                row, item, distance, first, end = zip(*rows)
+                row, item, asked, distance, first, end = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), pa.array(item, pa.int64()), pa.array(distance, pa.int32()),
-                     pa.array(first, pa.int64()), pa.array(end, pa.int64())], ["doc_id", "item_id", "distance", "first_word", "end_word"])
+                    [batch.column(0).take(pa.array(row)), pa.array(item, pa.int64()), pa.array(asked, pa.int64()), pa.array(distance, pa.int32()),
+                     pa.array(first, pa.int64()), pa.array(end, pa.int64())], ["doc_id", "item_id", "rows", "distance", "first_word", "end_word"])
 
     return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        task, "doc_id bigint, item_id bigint, distance int, first_word bigint, end_word bigint")
+        tidy(task), "doc_id bigint, item_id bigint, rows bigint, distance int, first_word bigint, end_word bigint").select(
+        "doc_id", "item_id", "distance", "first_word", "end_word", F.explode(F.sequence(F.lit(1), "rows")).alias("row")).drop("row")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item; columns as in ``docs``.  Rows are judged where they lie, without a shuffle."""
-    items = items.select(F.col("item_id").cast("bigint"), "text")
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     at = docs.columns.index("text")
-    for k in range(blocks):
-        block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        docs = arrow_tasks(docs).mapInArrow(_clean_task(block, at), docs.schema)
+    for block in _blocks(items):
+        docs = arrow_tasks(docs).mapInArrow(tidy(_clean_task(block, at)), docs.schema)
     return docs
 
 
-def _clean_task(items: list[tuple[int, str | None]], at: int):
+def _clean_task(items: list[tuple[int, str | None, int]], at: int):
     def task(batches):
         matcher = Matcher(items)
         for batch in batches:

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import arrow_tasks, materialize
+from .shared import arrow_tasks, materialize, tidy
 
 TOP = 10
 PART_BYTES = 16 << 20  # text of a task that builds blocks
@@ -164,7 +164,7 @@ def build_index(docs: DataFrame) -> LexicalIndex:
 
     # lengths by eighths of an octave: some hundred rows whatever the table
     octave = F.floor(8 * F.log2("n")).cast("int")
-    lengths = (arrow_tasks(docs).select("text").mapInArrow(size, "n bigint, bytes bigint").where("n > 0")
+    lengths = (arrow_tasks(docs).select("text").mapInArrow(tidy(size), "n bigint, bytes bigint").where("n > 0")
                .groupBy(octave.alias("octave")).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("terms"), F.sum("bytes").alias("bytes"))
                .orderBy("octave").collect())
     total, terms = sum(r.docs for r in lengths), sum(r.terms for r in lengths)
@@ -183,11 +183,11 @@ def build_index(docs: DataFrame) -> LexicalIndex:
             room -= r.bytes
     last = max(base)
     place = lambda known: F.element_at(F.array(*(F.lit(known.get(k, 0)) for k in range(last + 1))), octave + 1)
-    rows = arrow_tasks(docs).mapInArrow(count, "doc_id bigint, text string, n bigint").where("n > 0")
+    rows = arrow_tasks(docs).mapInArrow(tidy(count), "doc_id bigint, text string, n bigint").where("n > 0")
     part = place(base) + F.pmod(F.xxhash64(F.monotonically_increasing_id()), place(salts)).cast("int")
     rows = (rows.withColumn("part", part).withColumn("m", F.expr(f"25 + (75 * n * {total}L) div {terms}L"))
             .repartitionById(parts, "part").sortWithinPartitions("m").select("doc_id", "text", "m"))
-    blocks = rows.mapInArrow(_build_task, "block bigint, m bigint, doc_ids array<bigint>, postings binary")
+    blocks = rows.mapInArrow(tidy(_build_task), "block bigint, m bigint, doc_ids array<bigint>, postings binary")
     return LexicalIndex(materialize(blocks, "lexical", **{"parquet.block.size": 32 << 20}), total, terms)
 
 

@@ -43,7 +43,7 @@ from pyspark.sql import Window
 from ..plans.broadcast import checked_broadcast
 from . import textops
 from .components import components
-from .shared import arrow_tasks, materialize, with_facts
+from .shared import arrow_tasks, materialize, tidy, with_facts
 
 SHINGLE = 5
 LOW = 0.4
@@ -100,7 +100,7 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
                     ["doc_id", "text_hash", "n", "class", "sketch", "stored"])
 
     return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        task, "doc_id bigint, text_hash bigint, n bigint, class bigint, sketch array<bigint>, stored binary")
+        tidy(task), "doc_id bigint, text_hash bigint, n bigint, class bigint, sketch array<bigint>, stored binary")
 
 
 def _stored(batch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +184,7 @@ def shared_shingles(stored: DataFrame, order: Order) -> DataFrame:
         many = df > 1
         return pa.table({"class": classes[many], "h": names[many].view(np.int64), "df": df[many].astype(np.int64)})
 
-    return (stored.select("class", "stored").mapInArrow(deal, "bucket int, names binary, classes binary")
+    return (stored.select("class", "stored").mapInArrow(tidy(deal), "bucket int, names binary, classes binary")
             .groupBy("bucket").applyInArrow(count, "class bigint, h bigint, df bigint"))
 
 
@@ -205,7 +205,7 @@ def class_sizes(stored: DataFrame, order: Order) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.astype(np.int64)), pa.array(behind, pa.list_(pa.int64()))],
                                              ["class", "n", "counted", "behind"])
 
-    return (stored.select("class", "n", "stored").mapInArrow(task, "class bigint, n bigint, counted bigint, behind array<bigint>")
+    return (stored.select("class", "n", "stored").mapInArrow(tidy(task), "class bigint, n bigint, counted bigint, behind array<bigint>")
             .dropDuplicates(["class"]))
 
 
@@ -270,7 +270,7 @@ def other_pairs(postings: DataFrame, members: DataFrame, stored: DataFrame, root
     cells = (rows.join(marks, "class").withColumn("cell", cell)
              .select("h", "cell.i", "cell.j", "class", "n", "pos", "part", "block", "sketch")
              .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n"))
-    return _ordered(arrow_tasks(cells).mapInArrow(_compare_cells, "u bigint, v bigint"))
+    return _ordered(arrow_tasks(cells).mapInArrow(tidy(_compare_cells), "u bigint, v bigint"))
 
 
 def _compare_cells(batches):
@@ -325,15 +325,6 @@ def _alike(x, y, i, j, n, pos, part, block, sketch):
     return (x[keep] if isinstance(x, np.ndarray) else np.full(len(y), x)), y
 
 
-def split_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs ``u, v`` of classes of one group that are not yet one component."""
-    rows = members.join(roots, members["class"] == roots["node"], "left").select("group", "class", F.coalesce("root", "class").alias("part"))
-    mixed = rows.groupBy("group").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("group")
-    rows = rows.join(mixed, "group", "left_semi")
-    return rows.alias("x").join(rows.alias("y"), (F.col("x.group") == F.col("y.group")) & (F.col("x.part") < F.col("y.part"))).select(
-        F.col("x.class").alias("u"), F.col("y.class").alias("v"))
-
-
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links among ``pairs(u, v)`` of classes, by their whole sets."""
     pairs = materialize(pairs, "pairs")
@@ -351,7 +342,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), lists], ["class", "shingles"]).take(pa.array(new, pa.int64()))
 
     found = (docs.select("text", F.xxhash64("text").alias("text_hash")).join(texts, "text_hash", "left_semi").select("text")
-             .mapInArrow(sets, "class bigint, shingles array<bigint>").dropDuplicates(["class"]))
+             .mapInArrow(tidy(sets), "class bigint, shingles array<bigint>").dropDuplicates(["class"]))
     found = materialize(found, "sets")
     left = found.select(F.col("class").alias("u"), F.col("shingles").alias("x"))
     right = found.select(F.col("class").alias("v"), F.col("shingles").alias("y"))
@@ -379,8 +370,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = verified(pairs, docs, classes)
     roots = materialize(components(first), "roots")
 
-    more = _ordered(other_pairs(postings, members, classes.where("stored IS NOT NULL"), roots)
-                    .unionByName(split_groups(members, roots)))
+    more = other_pairs(postings, members, classes.where("stored IS NOT NULL"), roots)
     more = _apart(more, roots).join(pairs, ["u", "v"], "left_anti")
     roots = components(verified(more, docs, classes).unionByName(
         roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_tasks, materialize
+from .shared import arrow_tasks, materialize, tidy
 from .tokens import ROWS, Encoder, read_vocabulary
 
 GROUP_ITEMS = 2000
@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, en
                     ["doc_id", "piece", "start", "length", "ids"])
 
     return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        encode, "doc_id bigint, piece int, start bigint, length bigint, ids binary")
+        tidy(encode), "doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

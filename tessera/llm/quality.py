@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import arrow_tasks, materialize, with_facts
+from .shared import arrow_tasks, materialize, tidy, with_facts
 
 LINE_SHARE, LINE_DOCS = 0.0, 5
 MIN_WORDS, MIN_SHARE = 20, 0.2
@@ -102,7 +102,7 @@ def measure(docs: DataFrame) -> DataFrame:
                 ["doc_id", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words"])
 
     return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        task, "doc_id bigint, source string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
+        tidy(task), "doc_id bigint, source string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
               "n_dup_lines bigint, n_repeat_words bigint, lines array<bigint>, line_words array<bigint>")
 
 
@@ -158,4 +158,4 @@ def clean(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) ->
                 columns = [batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return kept.select(*(docs[c] for c in names), about["removed"]).mapInArrow(strip, docs.schema)
+    return kept.select(*(docs[c] for c in names), about["removed"]).mapInArrow(tidy(strip), docs.schema)

@@ -16,8 +16,9 @@ characters), and the ratio is then taken over the candidates alone.
 
 Spans are places in code points, the end exclusive, and stand by start, then
 kind.  Defined cases: a null text is empty; without a base match in the whole
-table there is no model and no further span; ``doc_id`` may be null; equal
-rows give equal results.
+table the random models are their priors; ``doc_id`` may be null; equal rows
+give equal results; other columns are ignored, whatever their names; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_tasks, materialize
+from .shared import arrow_tasks, materialize, tidy
 
 # The base patterns.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -57,6 +58,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
+def without(text: str, spans: list[tuple[int, int, int, int]]) -> str:
+    """``text`` with blanks in place of its spans."""
+    parts, at = [], 0
+    for a, _, b, _ in spans:
+        if b > at:
+            parts += [text[at:a], " " * (b - max(a, at))]
+            at = b
+    return "".join([*parts, text[at:]])
+
+
 def pair_counts(strings: list[str]) -> np.ndarray:
     """How often each character follows another (0: an end of a string)."""
     code = _CODE[np.frombuffer(("\n" + "\n".join(strings) + "\n").encode("ascii", "replace"), np.uint8)]
@@ -140,8 +151,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b, _ in spans])
                 hits += [text[s:b] for _, _, b, s in spans]
-                for a, _, b, _ in spans:
-                    text = f"{text[:a]}{' ' * (b - a)}{text[b:]}"
+                text = without(text, spans)
                 strings = _STRING.findall(text)
                 others += strings
                 if any(_scored(x) for x in strings):
@@ -165,18 +175,18 @@ def scan(docs: DataFrame) -> DataFrame:
 
     pairs = "array<struct<pair: int, n: bigint>>"
     return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        task, f"doc_id bigint, base array<{_SPAN}>, candidates array<struct<start: int, string: string>>, random {pairs}, ordinary {pairs}")
+        tidy(task), f"doc_id bigint, base array<{_SPAN}>, candidates array<struct<start: int, string: string>>, random {pairs}, ordinary {pairs}")
 
 
-def model(scanned: DataFrame) -> np.ndarray | None:
-    """The tables of ratios from all counts; None without a random string."""
+def model(scanned: DataFrame) -> np.ndarray:
+    """The tables of ratios from all counts; where the patterns found nothing, random strings are those of the prior."""
     sums = []
     for name, size in (("random", len(ALPHABETS) * _SIZE * _SIZE), ("ordinary", _SIZE * _SIZE)):
         rows = scanned.where(F.col(name).isNotNull()).select(F.inline(name)).groupBy("pair").agg(F.sum("n").alias("n")).collect()
         counts = np.zeros(size, np.int64)
         counts[[r[0] for r in rows]] = [r[1] for r in rows]
         sums.append(counts)
-    return tables(sums[0].reshape(len(ALPHABETS), -1), sums[1]) if sums[0].any() else None
+    return tables(sums[0].reshape(len(ALPHABETS), -1), sums[1])
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -184,9 +194,6 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     scanned = materialize(scan(docs), "secrets")
     table = model(scanned)
     rows = scanned.select("doc_id", "base", "candidates")
-    if table is None:
-        return rows.select("doc_id", "base", F.col("base").alias("spans"))
-
     def task(batches):
         for batch in batches:
             rows = batch.column(2).to_pylist()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +18,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    A session without that setting (local runs, tests) gets a folder of its
-    own, once.
+    A local session without that setting (tests), whose executors share the
+    driver's disk, gets a folder of its own, once; a cluster must name one.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tessera-llm-")
         spark.conf.set(CHECKPOINT_DIR, named)
     return named.rstrip("/")
@@ -54,6 +58,24 @@ def arrow_tasks(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def tidy(task):
+    """``task`` (a function of Arrow batches), giving the memory it freed back to the system.
+
+    Python workers live on from task to task, and what the C library keeps of
+    one stage would be missing in the next.
+    """
+
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run
+
+
 MOST_FACTS = 200_000  # rows of facts sent to every task; of more, both sides are shuffled
 
 

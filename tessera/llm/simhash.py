@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ..plans.broadcast import checked_broadcast
 from .components import components
-from .shared import arrow_tasks, materialize
+from .shared import arrow_tasks, materialize, tidy
 
 SHINGLE, SEED, RADIUS, PARTS = 3, 42, 3, 5
 BITS = 64
@@ -97,7 +97,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fingerprint"])
 
     return arrow_tasks(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        task, "doc_id bigint, fingerprint bigint")
+        tidy(task), "doc_id bigint, fingerprint bigint")
 
 
 def part_masks() -> list[int]:

@@ -14,14 +14,16 @@ every row's range is fixed by its id.  Spark writes the files, so a lost
 executor's part is written again.
 
 Defined cases: a null text has no ids but the end id; a null ``doc_id`` sorts
-first; equal ``doc_id`` rows are kept side by side in order of content; an
-empty table gives an empty store.
+first; rows of one ``doc_id`` are kept side by side, over several ranges where
+they are many; very long texts are a block of their own; other columns are
+ignored, whatever their names; an empty table gives an empty store.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,13 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import checked_broadcast
-from .shared import arrow_tasks, shared_dir
+from .shared import arrow_tasks, shared_dir, tidy
 from .tokens import ROWS, Encoder, read_vocabulary
 
 EXAMPLES = 1000  # documents the dictionary is trained on, at most
 EXAMPLE_CHARS = 65_536  # a document longer than this is no example (a dictionary serves short ones)
 DICTIONARY_BYTES = 112_640
-RANGE_DOCS = 20_000  # documents in a range of the sort
+RANGE_DOCS, MOST_RANGES = 20_000, 20_000  # documents in a range of the sort, and ranges (beyond, they grow and spill)
+_UNNAMED = -(1 << 63)  # a null ``doc_id`` among the others
 BLOCK_DOCS, BLOCK_BYTES = 1024, 1 << 20
 
 _BLOCKS = ("part int, block int, before bigint, first_doc bigint, last_doc bigint, dictionary string, doc_ids array<bigint>, "
@@ -96,8 +99,10 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
     spark.createDataFrame([(name, bytearray(content))], "dictionary string, content binary").write.parquet(f"{path}/dictionary")
 
     parts = max(1, -(-n // RANGE_DOCS))
-    cuts = docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
-    cuts = np.unique(np.array(cuts, np.float64)).astype(np.int64)
+    parts = min(parts, MOST_RANGES)
+    named = docs.select(F.coalesce("doc_id", F.lit(_UNNAMED)).alias("doc_id"))
+    cuts = named.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
+    cuts = np.sort(np.array(cuts, np.float64)).astype(np.int64)
 
     def encode(batches):
         encoder, packer = Encoder.of(vocabulary), zstandard.ZstdCompressor(level=3, dict_data=_zstd(content))
@@ -105,7 +110,10 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
             for first in range(0, batch.num_rows, ROWS):
                 own, texts = batch.column(0).slice(first, ROWS), batch.column(1).slice(first, ROWS)
                 raw = [x + tail for x in encoder.encode(texts)]
-                part = np.searchsorted(cuts, own.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), "right")
+                known = own.fill_null(_UNNAMED).to_numpy(zero_copy_only=False)
+                part, last = np.searchsorted(cuts, known, "left"), np.searchsorted(cuts, known, "right")
+                for k in np.flatnonzero(last > part):  # an id that is itself a cut, once or often: its rows fill all ranges it touches
+                    part[k] += zlib.crc32(raw[k]) % (last[k] - part[k] + 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part.astype(np.int32)), own, pa.array([len(x) // 4 for x in raw], pa.int64()),
                      pa.array([packer.compress(x) for x in raw], pa.binary())],
@@ -137,9 +145,9 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, path: s
         if ids:
             yield block((part, number, before, ids, counts, frames))
 
-    frames = docs.mapInArrow(encode, "part int, doc_id bigint, n_tokens bigint, frame binary")
-    (frames.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "n_tokens", "frame")
-     .mapInArrow(assemble, _BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
+    frames = docs.mapInArrow(tidy(encode), "part int, doc_id bigint, n_tokens bigint, frame binary")
+    (frames.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "n_tokens", "frame")
+     .mapInArrow(tidy(assemble), _BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
     return TokenStore(path)
 
 
@@ -167,7 +175,7 @@ def read_tokens(spark: SparkSession, store: TokenStore) -> DataFrame:
                      pa.array(raw, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     return (blocks.join(ranges, "part").select((F.col("base") + F.col("before")).alias("base"), "dictionary", "doc_ids", "n_tokens", "offsets", "payload")
-            .mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary"))
+            .mapInArrow(tidy(decode), "doc_id bigint, start bigint, n_tokens bigint, ids binary"))
 
 
 def read_document(spark: SparkSession, store: TokenStore, doc_id: int) -> list[np.ndarray]:

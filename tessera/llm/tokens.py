@@ -16,6 +16,7 @@ letters and marks apart); others encode whole texts.
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,7 @@ class Encoder:
     _made: dict[int, Encoder] = {}
 
     def __init__(self, vocabulary: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)

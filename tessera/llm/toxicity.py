@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_tasks
+from .shared import arrow_tasks, materialize
 
 TRAIN_ROWS = 24_000
 LEXICON = 1500  # terms at most
@@ -200,13 +200,19 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
-    """``text, toxic`` of at most about ``most`` labelled documents that are not held out."""
+    """``text, toxic`` of at most about ``most`` labelled documents that are not held out, one text for each ``doc_id``.
+
+    A ``doc_id`` is picked by its hash; of rows that repeat it, the text of the
+    least hash is taken before anything is counted or collected.
+    """
     labels = (labels.select(F.col("doc_id").alias("_id"), "toxic").dropna().where(~held_out(F.col("_id")))
               .groupBy("_id").agg(F.max("toxic").alias("toxic")))
     share = int(min(1.0, most / max(1, labels.count())) * (1 << 40))
     picked = labels.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) < share)
-    # at most about ``most`` rows, whatever the size of the tables
-    return docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("text", F.col("toxic").cast("int").alias("toxic"))
+    # at most about ``most`` ids, whatever the size of the tables
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text").join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    one = rows.groupBy("_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))
+    return materialize(one.select("row.text", F.col("toxic").cast("int").alias("toxic")), "labelled")
 
 
 def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]] | None:

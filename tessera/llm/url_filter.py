@@ -66,9 +66,11 @@ def longest_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
         F.struct(_key(F.col("path"), True).alias("key"), F.lit(2).alias("kind"), F.lit(-1).alias("delta"), none.cast(kind).alias("top")))),
     ).withColumn("_row", F.lit(-1).cast("bigint"))
 
+    # a node deeper than every rule's is under none but theirs
+    deepest = rules.agg(F.max(F.size(F.split("node", r"\.")))).first()[0] or 1
     labels = F.split("host", r"\.")
     points = urls.where("host <> ''").select("_row", "path", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: _node(F.slice(labels, i, F.size(labels))))).alias("node"))
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - deepest + 1), F.size(labels)), lambda i: _node(F.slice(labels, i, F.size(labels))))).alias("node"))
     points = points.join(rules.select("node").distinct(), "node", "left_semi").select(
         "node", _key(F.col("path")).alias("key"), F.lit(1).alias("kind"), F.lit(0).alias("delta"), none.cast(kind).alias("top"), "_row")
 

@@ -81,3 +81,17 @@ def test_empty(spark, none):
     bench = spark.createDataFrame([] if none == "items" else [(1, "a b c")], "item_id bigint, text string")
     assert d.leaks(docs, bench).count() == 0
     assert d.without_leaks(docs, bench).count() == docs.count()
+
+
+def test_repeated_items_are_matched_once_and_reported_each(spark, monkeypatch):
+    """An item of most rows is one item of its block."""
+    monkeypatch.setattr(d, "BLOCK_ITEMS", 2)
+    asked = []
+    monkeypatch.setattr(d, "_in_block", lambda docs, items, f=d._in_block: asked.append(len(items)) or f(docs, items))
+    item, other = " ".join(words(20, 1)), " ".join(words(20, 2))
+    items = spark.createDataFrame([(1, item)] * 50 + [(2, other), (None, item), (1, other)], "item_id bigint, text string")
+    docs = docs_of(spark, [f"x {item} y", other, "none", f"x {item} y"], [0, 1, 2, 0])
+    rows = d.leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id or 0) for r in rows) == sorted([(0, 1)] * 100 + [(0, 0)] * 2 + [(1, 2), (1, 1)])
+    assert sum(asked) == 4
+    assert [r.doc_id for r in d.without_leaks(docs, items).collect()] == [2]

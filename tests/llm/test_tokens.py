@@ -103,6 +103,25 @@ def test_null_ids_and_few_documents(spark):
     assert token_files.read_tokens(spark, store).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 5])
+def test_one_id_of_a_third_of_all_rows(spark, monkeypatch, hot):
+    """Its rows fill several ranges, still side by side and in order."""
+    monkeypatch.setattr(token_files, "RANGE_DOCS", 20)
+    ids = [hot] * 100 + [k for k in range(100, 300)]
+    texts = [f"text {k} of many" for k in range(len(ids))]
+    store = token_files.write_tokens(docs_of(spark, texts, ids), PATH)
+    rows = token_files.read_tokens(spark, store).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == ids
+    assert sorted(bytes(r.ids) for r in rows) == sorted(ids_of(t).tobytes() for t in texts)
+    before = 0
+    for r in rows:
+        assert r.start == before
+        before += r.n_tokens
+    blocks = store.blocks(spark).collect()
+    assert len({b.part for b in blocks if hot in b.doc_ids}) > 2
+    assert max(len([i for b in blocks if b.part == p for i in b.doc_ids]) for p in {b.part for b in blocks}) <= 60
+
+
 def test_a_block_of_another_dictionary_is_refused(spark):
     store = token_files.write_tokens(docs_of(spark, [" ".join(words(50, s)) for s in range(200)]), PATH)
     wrong = token_files.TokenStore(store.path + "-wrong")

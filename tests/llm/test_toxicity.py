@@ -100,3 +100,13 @@ def test_without_both_kinds_of_labels(spark, labels):
     rows = t.toxicity(docs_of(spark, ["a", None, "b"]), spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
     assert [r.score for r in rows] == [0.0] * 3
     assert t.toxicity(docs_of(spark, []), spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect() == []
+
+
+def test_rows_that_repeat_an_id_are_one_sample(spark):
+    """A labelled id of most rows brings one text."""
+    texts = ["first text"] * 300 + ["second text"] * 200 + [f"text {k}" for k in range(20)]
+    ids = [1] * 500 + list(range(2, 22))
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(22)] + [(1, 0, 1)] * 3, "doc_id bigint, quality int, toxic int")
+    rows = t.training_rows(docs_of(spark, texts, ids), labels).collect()
+    kept = [k for k in range(1, 22) if zlib.crc32(str(k).encode()) % 5]
+    assert len(rows) == len(kept) and sum(r.text in ("first text", "second text") for r in rows) == (1 in kept)
