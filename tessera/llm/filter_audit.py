@@ -66,6 +66,7 @@ _COUNTERS = "part string, mask int, docs bigint, good bigint, toxic bigint"
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no disk set aside for each
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
 }
