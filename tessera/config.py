@@ -46,12 +46,12 @@ def staging_dir(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tessera-staging"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` once in the staging folder and read it back: from then on
     every plan branch and every retry sees the same rows."""
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

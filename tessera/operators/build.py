@@ -64,10 +64,15 @@ class Index:
     num_shards: int | None = None
     table: str | None = None
     generations: tuple = field(default_factory=tuple)
-    # Saved indexes: document frequency per (shard, field, term), one row per
-    # generation, partitioned by ``bucket`` like the postings (the term
-    # dictionary).  None for an in-memory index: counted from postings.
+    # Saved indexes: document frequency per (shard, field, term, doc_range),
+    # with the greatest tf and least dl there, one row per generation,
+    # partitioned by ``bucket`` like the postings (the term dictionary).  None
+    # for an in-memory index: counted from postings.
     terms: DataFrame | None = None
+    # Saved indexes: documents of the snapshot, from the manifest, and the
+    # documents of terms that were asked for before (the snapshot never changes).
+    num_docs: int | None = None
+    known_sizes: dict[tuple[str, str], int] = field(default_factory=dict)
     # Saved indexes: ``value, shard, doc`` of each numeric field, sorted by
     # value.  None for an in-memory index: numeric terms filter ``docs``.
     points: dict[str, DataFrame] | None = None
@@ -122,7 +127,7 @@ class Index:
         return [df for df in (self.docs, self.postings, self.stats, self.terms, *points) if df is not None]
 
     def with_frames(self, **kw) -> "Index":
-        return replace(self, **kw)
+        return replace(self, known_sizes={}, **kw)
 
 
 def _field_tokens(df: DataFrame, name: str) -> Column:

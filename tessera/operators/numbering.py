@@ -3,11 +3,12 @@
 ``row_number().over(Window.partitionBy(g).orderBy(k))`` sends a whole group to
 one task.  When one shard holds a third of the rows, that task holds a third
 of the data.  Here the rows are range-partitioned by ``(g, k)`` into *slices*
-of about equal size (as many as Spark's shuffle partitions, or as given) and
-written once with their slice number.  Everything after that reads the written
-rows, so a row's slice cannot differ between plan branches or retries.  Each
-``(slice, group)`` block is numbered with ``row_number`` and a small table of
-block offsets turns local numbers into group-wide ones.
+of about equal size (as many as Spark's shuffle partitions, or as given), each
+sorted and written once as one file with its slice number.  A row's place in
+its file is then its place in the slice, so numbers need no second shuffle and
+no window: a small table of where each ``(slice, group)`` block begins, in its
+file and in its group, turns places into group-wide numbers.  Everything reads
+the written rows, so a number cannot differ between plan branches or retries.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import stage
+from ..plans.broadcast import checked_broadcast
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -29,22 +31,24 @@ def number_within(
 ) -> DataFrame:
     """Add ``out``: 0-based position of each row inside its ``group``
     (non-null), ascending by the ``order`` columns (unique for repeatable ids;
-    NULL sorts first).  Runs one job: the write of the sliced rows.
+    NULL sorts first).  Runs the write of the sliced rows, and a count of their
+    blocks that reads two columns.
     """
     cols = [group, *order]
     ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
-    sliced = stage(ranged.withColumn("_slice", F.spark_partition_id()), "numbering")
-    local = Window.partitionBy("_slice", group).orderBy(*[F.col(c) for c in order])
-    numbered = sliced.withColumn("_local", F.row_number().over(local) - 1)
+    sliced = stage(ranged.withColumn("_slice", F.spark_partition_id()).sortWithinPartitions(*cols), "numbering",
+                   maxRecordsPerFile=0)  # a slice is one file
+    placed = sliced.select("*", F.col("_metadata.row_index").alias("_place"))
 
     # Slices are contiguous in (group, order): at most slices + groups - 1 blocks.
-    blocks = sliced.groupBy("_slice", group).agg(F.count(F.lit(1)).alias("_rows"))
+    blocks = placed.groupBy("_slice", group).agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_slice", group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    starts = blocks.select("_slice", group, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    starts, _ = checked_broadcast(stage(starts, "blocks"))
     return (
-        numbered.join(offsets, ["_slice", group])
-        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
-        .drop("_slice", "_local", "_offset")
+        placed.join(starts, ["_slice", group])
+        .withColumn(out, (F.col("_start") + F.col("_place")).cast("bigint"))
+        .drop("_slice", "_place", "_start")
     )
 
 

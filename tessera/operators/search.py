@@ -8,6 +8,17 @@ Plan shape (see README):
   only when the tree has more than one leaf -> tree score -> filter.
 Numeric leaves and match-all read ``docs`` (numeric filters pushed to the
 scan).  Stored fields are joined last, after ranking and limits.
+
+On a saved index the term dictionary also tells, before the postings are read:
+* how many documents each clause of a ``Must`` has; the rarest clause's
+  documents, where few enough to broadcast, filter the postings of the others
+  as they are read, so what is shuffled is as large as the rarest clause;
+* what no document of a range of ids can exceed (its terms' greatest counts
+  and least lengths): top-k visits the most promising ranges first, and then
+  only ranges that can still reach the k-th score found there;
+* how many hits each shard has at least: ``take(n)`` reads no shard behind
+  those that surely fill ``n``.
+These run a small job on the dictionary when the query is planned.
 """
 
 from __future__ import annotations
@@ -20,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.query import MatchAll, Must, Query, Should, Term, must
-from ..plans.broadcast import bounded_broadcast
+from ..plans.broadcast import bounded_broadcast, max_broadcast_rows
+from . import build
 from .build import DOC_RANGE, Index, bucket_of, doc_range_of
 
 # BM25 parameters (the library defaults of the reference's
@@ -28,6 +40,13 @@ from .build import DOC_RANGE, Index, bucket_of, doc_range_of
 K1 = 1.2
 B = 0.75
 
+# A clause filters others that are so many times larger.
+NARROW_GAIN = 8
+# Ranges of documents from which on top-k and take plan with the dictionary,
+# bounds of ranges held by the driver at most, and runs of ranges in a filter.
+LEAST_RANGES, MOST_RANGES, MOST_RUNS = 8, 200_000, 500
+FIRST_RANGES = 2  # ranges visited first
+
 _INT_RANGE = {T.IntegerType: (-(2 ** 31), 2 ** 31 - 1), T.LongType: (-(2 ** 63), 2 ** 63 - 1)}
 
 
@@ -149,6 +168,77 @@ def _bm25(text: Column, tf: Column, dl: Column, n: Column, df: Column, avgdl: Co
     return F.when(text, idf * norm).otherwise(idf)
 
 
+def _size(q: Query, start: int, leaves: list[_Leaf], dfs: dict[int, int]) -> int | None:
+    """Documents that ``q``, whose leaves begin at ``start``, matches at most; None if unknown."""
+    if isinstance(q, (MatchAll, Term)):
+        return 0 if leaves[start].kind == "none" else dfs.get(leaves[start].pos)
+    sizes = [_size(c, at, leaves, dfs) for c, at in _clauses(q, start)]
+    known = [x for x in sizes if x is not None]
+    if isinstance(q, Must):
+        return min(known, default=None) if q.clauses else 0
+    return sum(known) if len(known) == len(sizes) else None
+
+
+def _least(q: Query, start: int, leaves: list[_Leaf], dfs: dict[int, int], docs: int) -> int:
+    """Documents of ``docs`` that ``q`` matches at least."""
+    if isinstance(q, (MatchAll, Term)):
+        return dfs.get(leaves[start].pos, 0) if leaves[start].kind == "post" else 0
+    sizes = [_least(c, at, leaves, dfs, docs) for c, at in _clauses(q, start)]
+    if not sizes:
+        return 0
+    return max(0, sum(sizes) - docs * (len(sizes) - 1)) if isinstance(q, Must) else max(sizes)
+
+
+def _clauses(q: Query, start: int):
+    """Clauses of ``q`` and where the leaves of each begin."""
+    for c in q.clauses:
+        yield c, start
+        start += len(c.leaves())
+
+
+@dataclass(frozen=True)
+class _Narrow:
+    """A clause of a ``Must`` that filters the leaves of its other clauses."""
+
+    size: int
+    clause: Query
+    start: int
+
+
+def _narrowings(q: Query, start: int, leaves: list[_Leaf], dfs: dict[int, int], outer: _Narrow | None = None) -> dict[int, _Narrow]:
+    """For each leaf, the smallest clause that all its matches must have, if one is known."""
+    if isinstance(q, (MatchAll, Term)):
+        return {} if outer is None else {leaves[start].pos: outer}
+    parts = [(c, at, _size(c, at, leaves, dfs) if isinstance(q, Must) else None) for c, at in _clauses(q, start)]
+    rarest = min((x for x in parts if x[2] is not None), key=lambda x: x[2], default=None)
+    out = {}
+    for c, at, _ in parts:
+        inner = outer
+        if rarest is not None and at != rarest[1] and (outer is None or rarest[2] < outer.size):
+            inner = _Narrow(rarest[2], rarest[0], rarest[1])
+        out |= _narrowings(c, at, leaves, dfs, inner)
+    return out
+
+
+def _may_narrow(q: Query, start: int, leaves: list[_Leaf]) -> bool:
+    """Whether some ``Must`` has two clauses with leaves in the dictionary."""
+    if isinstance(q, (MatchAll, Term)):
+        return False
+    held = sum(any(leaves[i].kind == "post" for i in range(at, at + len(c.leaves()))) for c, at in _clauses(q, start))
+    return (isinstance(q, Must) and held > 1) or any(_may_narrow(c, at, leaves) for c, at in _clauses(q, start))
+
+
+def _runs(ranges: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """``(shard, first range, last range + 1)`` of consecutive ranges."""
+    out: list[tuple[int, int, int]] = []
+    for shard, r in sorted(ranges):
+        if out and out[-1][0] == shard and out[-1][2] == r:
+            out[-1] = (shard, out[-1][1], r + 1)
+        else:
+            out.append((shard, r, r + 1))
+    return out
+
+
 class Search:
     """An immutable query over an index.  Every method returns a new object or
     a DataFrame; nothing is cached or mutated (limits never leak into a later
@@ -157,6 +247,8 @@ class Search:
     def __init__(self, index: Index, query: Query | None = None):
         self.index = index
         self._query = query
+        self._only: list[tuple[int, int]] | None = None  # ranges of documents to look at
+        self._shards_to: int | None = None  # last shard to look at
 
     # -- building the query (P11, P12, P13) ---------------------------------
     @property
@@ -174,21 +266,55 @@ class Search:
         return str(self.current)
 
     # -- core plan ----------------------------------------------------------
-    def _leaf_rows(self, post: list[_Leaf], with_scores: bool) -> DataFrame:
+    def _lookup(self, post: list[_Leaf]) -> tuple[Column, DataFrame]:
+        """The filter that finds the leaves' terms in postings or dictionary, and the leaves as a table."""
         idx = self.index
-        spark = idx.sparkSession
-        p = idx.postings
         terms = sorted({lf.value for lf in post})
         cond = F.col("term").isin(terms)
         if idx.bucketed:
             # bucket_of(literal) is constant-folded, so this is a partition filter.
             cond = F.col("bucket").isin(*[bucket_of(F.lit(t), idx.num_buckets) for t in terms]) & cond
-        leaves_df = spark.createDataFrame(
+        leaves_df = idx.sparkSession.createDataFrame(
             [(lf.pos, lf.field, lf.value, lf.text) for lf in post],
             "_leaf int, field string, term string, _text boolean",
         )
+        return cond, leaves_df
+
+    def _sizes(self, post: list[_Leaf]) -> dict[int, int]:
+        """Documents with each leaf, from the dictionary (a row for each leaf; remembered with the snapshot)."""
+        known = self.index.known_sizes
+        new = [lf for lf in post if (lf.field, lf.value) not in known]
+        if new:
+            cond, leaves_df = self._lookup(new)
+            found = dict(self.index.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"])
+                         .groupBy("_leaf").agg(F.sum("df")).collect())
+            known |= {(lf.field, lf.value): found.get(lf.pos, 0) for lf in new}
+        return {lf.pos: known[lf.field, lf.value] for lf in post}
+
+    def _in_only(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of the ranges and shards to look at: pushed to the scan where they are few runs."""
+        if self._shards_to is not None:
+            rows = rows.where(F.col("shard") <= self._shards_to)
+        if self._only is None:
+            return rows
+        runs = _runs(self._only)
+        if not runs:
+            return rows.where(_false())
+        if len(runs) <= MOST_RUNS:
+            per = build.DOCS_PER_RANGE
+            return rows.where(reduce(lambda a, b: a | b, [
+                (F.col("shard") == shard) & (F.col("doc") >= a * per) & (F.col("doc") < b * per) for shard, a, b in runs]))
+        kept = self.index.sparkSession.createDataFrame(self._only, f"shard int, {DOC_RANGE} bigint")
+        return _in_range(rows).join(F.broadcast(kept), ["shard", DOC_RANGE], "left_semi").drop(DOC_RANGE)
+
+    def _leaf_rows(self, post: list[_Leaf], with_scores: bool, within: DataFrame | None = None) -> DataFrame:
+        idx = self.index
+        cond, leaves_df = self._lookup(post)
         # The leaves table is the query itself: its size is the query's.
-        rows = p.where(cond).join(F.broadcast(leaves_df), ["field", "term"])
+        rows = self._in_only(idx.postings.where(cond)).join(F.broadcast(leaves_df), ["field", "term"])
+        if within is not None:
+            # documents of a clause whose size is known and within the broadcast limit
+            rows = rows.join(F.broadcast(within), ["shard", "doc"], "left_semi")
         if not with_scores:
             return rows.select("shard", "doc", "_leaf", F.lit(1.0).alias("_score"))
         stats = idx.stats.where(F.col("field").isNotNull())
@@ -212,6 +338,15 @@ class Search:
                   F.col("_n").cast("double"), F.col("_df").cast("double"), F.col("_avgdl")).alias("_score"),
         )
 
+    def _narrowed(self, leaves: list[_Leaf]) -> dict[int, _Narrow]:
+        """The clause that filters each leaf's postings, where one is worth it."""
+        if self.index.terms is None or not _may_narrow(self.current, 0, leaves):
+            return {}
+        dfs = self._sizes([lf for lf in leaves if lf.kind == "post"])
+        most = max_broadcast_rows(self.index.sparkSession)
+        found = _narrowings(self.current, 0, leaves, dfs)
+        return {pos: n for pos, n in found.items() if n.size <= most and dfs.get(pos, NARROW_GAIN * n.size) >= NARROW_GAIN * n.size}
+
     def _plan(self, with_scores: bool = True, keep: tuple = ()) -> tuple[DataFrame, bool]:
         """(shard, doc, score[, keep...]) of every match.
 
@@ -228,11 +363,22 @@ class Search:
 
         candidates = None
         if post:
-            parts = [idx.points[lf.field].where(lf.pred).select("shard", "doc", F.lit(lf.pos).alias("_leaf"), F.lit(1.0).alias("_score"))
-                     for lf in post if lf.kind == "point"]
-            terms = [lf for lf in post if lf.kind == "post"]
-            if terms:
-                parts.append(self._leaf_rows(terms, with_scores))
+            narrowed = self._narrowed(leaves)
+            filters: dict[_Narrow | None, DataFrame | None] = {None: None}
+            for n in set(narrowed.values()):
+                inner = Search(idx, n.clause)
+                inner._only, inner._shards_to = self._only, self._shards_to
+                filters[n] = inner._plan(False)[0].select("shard", "doc")
+            parts = []
+            for lf in post:
+                if lf.kind == "point":
+                    rows = self._in_only(idx.points[lf.field].where(lf.pred)).select("shard", "doc", F.lit(lf.pos).alias("_leaf"), F.lit(1.0).alias("_score"))
+                    within = filters[narrowed.get(lf.pos)]
+                    parts.append(rows if within is None else rows.join(F.broadcast(within), ["shard", "doc"], "left_semi"))
+            for n, within in filters.items():
+                terms = [lf for lf in post if lf.kind == "post" and narrowed.get(lf.pos) == n]
+                if terms:
+                    parts.append(self._leaf_rows(terms, with_scores, within))
             rows = reduce(lambda a, b: a.unionByName(b), parts)
             if len(leaves) == 1:
                 # A single term: (shard, doc, field, term) is unique in postings.
@@ -262,6 +408,90 @@ class Search:
         out = frame.select("shard", "doc", score.cast("double").alias("score"), *(keep if from_docs else ()))
         return out.where(F.col("score").isNotNull()), from_docs
 
+    # -- planning with the dictionary -----------------------------------------
+    def _by_ranges(self) -> list[_Leaf] | None:
+        """The leaves, if all are in the dictionary and the snapshot has ranges enough to choose from."""
+        idx = self.index
+        if idx.terms is None or self._only is not None or (idx.num_docs or 0) < LEAST_RANGES * build.DOCS_PER_RANGE:
+            return None
+        leaves = _classify(idx, self.current.leaves())
+        return leaves if leaves and {lf.kind for lf in leaves} <= {"post", "none"} and any(lf.kind == "post" for lf in leaves) else None
+
+    def range_bounds(self) -> DataFrame:
+        """``shard, doc_range, bound``: what no score in a range exceeds, of the ranges that can have a hit.
+
+        The score grows with a term's count and falls with the length, and the
+        tree's score with its leaves', so the tree over the leaves' bounds is
+        a bound.  Only for queries of text and keyword terms on a saved index.
+        """
+        idx = self.index
+        leaves = _classify(idx, self.current.leaves())
+        post = [lf for lf in leaves if lf.kind == "post"]
+        cond, leaves_df = self._lookup(post)
+        held = (idx.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"]).groupBy("_leaf", "_text", "field", "shard", DOC_RANGE)
+                .agg(F.sum("df").alias("df"), F.max("max_tf").alias("tf"), F.min("min_dl").alias("dl")))
+        stats = idx.stats.where(F.col("field").isNotNull())
+        dfs = held.groupBy("_leaf", "field", "shard").agg(F.sum("df").alias("_df")).join(stats, ["shard", "field"]).select(
+            "_leaf", "shard", "_df", F.col("n_docs").alias("_n"), (F.col("sum_dl") / F.col("n_docs")).alias("_avgdl"))
+        score = _bm25(F.col("_text"), F.col("tf").cast("double"), F.col("dl").cast("double"),
+                      F.col("_n").cast("double"), F.col("_df").cast("double"), F.col("_avgdl"))
+        each = held.join(dfs, ["_leaf", "shard"]).select("shard", DOC_RANGE, "_leaf", score.alias("_score"))
+        rows = each.groupBy("shard", DOC_RANGE).agg(
+            *[F.max(F.when(F.col("_leaf") == lf.pos, F.col("_score"))).alias(f"_s{lf.pos}") for lf in post])
+        bound = _compile_tree(self.current, leaves, [0]).score.cast("double")
+        return rows.select("shard", DOC_RANGE, bound.alias("bound")).where(F.col("bound").isNotNull())
+
+    def _bounded(self, k: int, per_shard: bool) -> "Search":
+        """This search over the ranges that can hold one of the ``k`` best (of each shard)."""
+        if self._by_ranges() is None:
+            return self
+        bounds = self.range_bounds().limit(MOST_RANGES + 1).collect()
+        if len(bounds) > MOST_RANGES:
+            return self
+        ordered = sorted(bounds, key=lambda r: (-r["bound"], r["shard"], r[DOC_RANGE]))
+        first: dict[int, list[tuple[int, int]]] = {}
+        for r in ordered:
+            own = first.setdefault(r["shard"] if per_shard else -1, [])
+            if len(own) < FIRST_RANGES:
+                own.append((r["shard"], r[DOC_RANGE]))
+        probe = self._over([x for own in first.values() for x in own])
+        if per_shard:
+            w = Window.partitionBy("shard").orderBy(F.desc("score"), F.asc("doc"))
+            rank = F.row_number().over(w)
+            floor = dict(probe.scored().withColumn("rank", rank).where(F.col("rank") == k).select("shard", "score").collect())
+        else:
+            best = [r["score"] for r in probe.scored().select("score").orderBy(F.desc("score")).limit(k).collect()]
+            floor = {-1: best[-1]} if len(best) == k and k else {}
+        slack = 1e-9  # sums may round otherwise than bounds
+        keep = [(r["shard"], r[DOC_RANGE]) for r in ordered
+                if r["bound"] * (1 + slack) + slack >= floor.get(r["shard"] if per_shard else -1, float("-inf"))]
+        return self._over(keep)
+
+    def _over(self, ranges: list[tuple[int, int]]) -> "Search":
+        out = Search(self.index, self._query)
+        out._only, out._shards_to = ranges, self._shards_to
+        return out
+
+    def _first_shards(self, n: int) -> "Search":
+        """This search over the first shards that surely have ``n`` hits."""
+        leaves = self._by_ranges()
+        if leaves is None or self.index.num_shards is None or self.index.num_shards > MOST_RANGES:
+            return self
+        cond, leaves_df = self._lookup([lf for lf in leaves if lf.kind == "post"])
+        held: dict[int, dict[int, int]] = {}
+        for shard, pos, df in (self.index.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"]).groupBy("shard", "_leaf")
+                               .agg(F.sum("df")).collect()):
+            held.setdefault(shard, {})[pos] = df
+        docs = dict(self.index.shards().collect())
+        total = 0
+        for shard in sorted(held):
+            total += _least(self.current, 0, leaves, held[shard], docs.get(shard, 0))
+            if total >= n:
+                out = Search(self.index, self._query)
+                out._only, out._shards_to = self._only, shard
+                return out
+        return self
+
     # -- results ------------------------------------------------------------
     def scored(self) -> DataFrame:
         """(shard, doc, score) of every hit, no stored fields."""
@@ -346,7 +576,7 @@ class Search:
         """At most k best hits per shard (``WindowGroupLimit`` keeps only k
         rows per shard in each task before the shuffle)."""
         w = Window.partitionBy("shard").orderBy(F.desc("score"), F.asc("doc"))
-        top = (self.scored().withColumn("rank", F.row_number().over(w).cast("bigint"))
+        top = (self._bounded(k, True).scored().withColumn("rank", F.row_number().over(w).cast("bigint"))
                .where(F.col("rank") <= k))
         if not fetch:
             return top
@@ -356,13 +586,13 @@ class Search:
     def take(self, n: int, fetch: bool = True) -> DataFrame:
         """The reference's ``take(n)``: best n of each shard, then the first n
         in shard order (not a global ranking)."""
-        top = self.scored().orderBy("shard", F.desc("score"), "doc").limit(n)
+        top = self._first_shards(n).scored().orderBy("shard", F.desc("score"), "doc").limit(n)
         out = self._fetch(top, n) if fetch else top
         return out.orderBy("shard", F.desc("score"), "doc")
 
     def top_k(self, k: int, fetch: bool = True) -> DataFrame:
         """Global top k over all shards (``TakeOrderedAndProject``)."""
-        top = self.scored().orderBy(F.desc("score"), "shard", "doc").limit(k)
+        top = self._bounded(k, False).scored().orderBy(F.desc("score"), "shard", "doc").limit(k)
         out = self._fetch(top, k) if fetch else top
         return out.orderBy(F.desc("score"), "shard", "doc")
 

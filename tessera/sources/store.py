@@ -10,29 +10,43 @@ Layout under ``<base>/<table>/``::
                                      (sorted by field, term, shard, doc)
     postings/gen=<g>/bucket=-1/...   norms: one row per document and field
                                      (term NULL, dl = field length)
-    terms/gen=<g>/bucket=<b>/...     shard, field, term, df (document frequency;
-                                     sorted by field, term, shard)
+    terms/gen=<g>/bucket=<b>/...     shard, field, term, doc_range, df, max_tf,
+                                     min_dl (the term dictionary: documents of a
+                                     range with the term, its greatest count and
+                                     the least length there; sorted by field,
+                                     term, shard, doc_range)
     stats/gen=<g>/...                shard, field, n_docs, sum_dl
     _manifest/gen=<g>/...            one row per published generation
+    _manifest/_claims/<g>            generation numbers that writers took
+    _manifest/_commits/<seq>         commits in order, one file each
 
 A generation is visible only once its manifest row exists, and the manifest
-row is written last with ``errorifexists``.  A reader lists the manifest once
-when it opens the table and keeps that set of generations (a snapshot); data
-of a failed or later write is filtered out by ``gen``.  Overwrite and compact
-publish a new *base* generation; older files stay for readers that opened
-before.  One writer per table at a time is the caller's duty: the manifest
-write catches a late second writer but is check-then-write, not a lock.
+row is written last.  A reader lists the manifest once when it opens the table
+and keeps that set of generations (a snapshot); data of a failed or later write
+is filtered out by ``gen``.  An overwrite publishes a new *base* generation; a
+compaction publishes one that ``replaces`` others.  Older files stay for
+readers that opened before, until :func:`vacuum`.
+
+Any number of writers may work on a table.  Each takes a generation number of
+its own by creating a file that must not exist, and commits by creating the
+file of the next commit.  A writer that finds it there has lost the race: an
+append numbers its rows again behind the winner's and writes them anew, an
+overwrite or a compaction takes the next commit.  The file system must create
+files exclusively (HDFS and local disks do; of object stores, those with
+conditional writes).
 """
 
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import table_path
+from ..config import staging_dir, table_path
 from ..operators.build import (
     DOC_RANGE, Index, bucket_of, doc_range_of, index_rows, points_of, stats_from_norms,
 )
@@ -47,8 +61,16 @@ _POSTINGS_SCHEMA = "shard int, doc bigint, field string, term string, tf bigint,
 
 _MANIFEST_SCHEMA = (
     "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint, "
-    "stream string, schema string"
+    "stream string, schema string, replaces string, seq bigint"
 )
+# A commit whose manifest row does not come within so many seconds is taken for dead.
+COMMIT_SECONDS = 60.0
+ATTEMPTS = 100
+_DATASETS = ("docs", "postings", "terms", "stats")
+
+
+class LostRace(Exception):
+    """Another writer committed first."""
 
 
 def read_manifest(spark: SparkSession, path: str) -> list[dict]:
@@ -59,7 +81,7 @@ def read_manifest(spark: SparkSession, path: str) -> list[dict]:
     # a manifest that cannot be read raises: taking it for "no table" would
     # let an append publish a new base and hide earlier data
     rows = spark.read.schema(_MANIFEST_SCHEMA + ", gen int").option("basePath", f"{path}/_manifest").parquet(*gens).collect()
-    return sorted((r.asDict() for r in rows), key=lambda r: r["gen"])
+    return sorted((r.asDict() for r in rows), key=lambda r: (r["gen"] if r["seq"] is None else r["seq"], r["gen"]))
 
 
 def _subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
@@ -77,23 +99,75 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists.  Of several writers one succeeds."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    try:
+        if fs.getScheme() == "file":
+            # the local file system's own create looks first and writes then
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(p.toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(
+                jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            fs.create(p, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _file_names(spark: SparkSession, path: str) -> list[str]:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def _next_gen(spark: SparkSession, path: str, manifest: list[dict]) -> int:
-    """First generation number not used by a published or a failed write."""
-    gen = (manifest[-1]["gen"] + 1) if manifest else 0
-    while any(_exists(spark, f"{path}/{d}/gen={gen}") for d in ("docs", "postings", "terms", "stats", "_manifest")):
+    """A generation number that no published, failed or running write has; it is this writer's from now on."""
+    gen = max((m["gen"] for m in manifest), default=-1) + 1
+    while any(_exists(spark, f"{path}/{d}/gen={gen}") for d in (*_DATASETS, "_manifest")) or not _create_new(spark, f"{path}/_manifest/_claims/{gen}"):
         gen += 1
     return gen
 
 
-def _live(manifest: list[dict]) -> list[dict]:
-    """Generations from the newest base onwards."""
+def _committed(spark: SparkSession, path: str) -> tuple[list[dict], int]:
+    """The manifest with all commits begun so far, and the number of the next one.
+
+    A commit is begun by its file and done with its row; in between its
+    writer only writes that row, which is waited for.
+    """
+    until = time.monotonic() + COMMIT_SECONDS
+    while True:
+        begun = {int(x) for x in _file_names(spark, f"{path}/_manifest/_commits") if x.isdigit()}
+        manifest = read_manifest(spark, path)
+        open_ = begun - {m["seq"] for m in manifest}
+        if not open_:
+            return manifest, max(begun, default=max((m["gen"] for m in manifest), default=-1)) + 1
+        if time.monotonic() > until:
+            raise RuntimeError(f"commit {min(open_)} of another writer did not finish; if that writer is gone, delete "
+                               f"{path}/_manifest/_commits/{min(open_)}")
+        time.sleep(0.1)
+
+
+def _since_base(manifest: list[dict]) -> list[dict]:
+    """Entries from the newest base on that did not come from a compaction."""
     start = 0
     for i, m in enumerate(manifest):
-        if m["kind"] == "base":
+        if m["kind"] == "base" and not m["replaces"]:
             start = i
     return manifest[start:]
 
 
+def _live(manifest: list[dict]) -> list[dict]:
+    """Generations from the newest base onwards that none has replaced."""
+    entries = _since_base(manifest)
+    gone = {g for m in entries if m["replaces"] for g in json.loads(m["replaces"])}
+    return [m for m in entries if m["gen"] not in gone]
+
+
 def _write_stats(stats: DataFrame, out: str, name: str) -> int:
     """Write the (tiny) stats and return the shard-count bound seen while
     writing (max shard + 1), without a second job."""
@@ -106,9 +180,13 @@ def _write_stats(stats: DataFrame, out: str, name: str) -> int:
 
 
 def _publish(spark: SparkSession, path: str, gen: int, kind: str, spec: IndexSpec, num_buckets: int,
-             num_shards: int, doc_rows: int, epoch: int | None, stream: str | None, schema: str) -> None:
+             num_shards: int, doc_rows: int, epoch: int | None, stream: str | None, schema: str, seq: int,
+             replaces: list[int] | None = None) -> None:
+    """Commit ``gen`` as commit ``seq``; raises :class:`LostRace` if that is another writer's."""
+    if not _create_new(spark, f"{path}/_manifest/_commits/{seq}"):
+        raise LostRace
     row = [(kind, json.dumps(spec.to_dict()), num_buckets, num_shards, doc_rows,
-            datetime.now(timezone.utc).isoformat(), epoch, stream, schema)]
+            datetime.now(timezone.utc).isoformat(), epoch, stream, schema, json.dumps(replaces) if replaces else None, seq)]
     (spark.createDataFrame(row, _MANIFEST_SCHEMA).coalesce(1)
      .write.mode("errorifexists").parquet(f"{path}/_manifest/gen={gen}"))
 
@@ -128,8 +206,9 @@ def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
 
 
 def _write_terms(spark: SparkSession, postings_path: str, out: str) -> None:
-    """The term dictionary of one generation: document frequency per
-    ``(field, term, shard)``, read from the written postings.
+    """The term dictionary of one generation: document frequency, greatest
+    count and least length per ``(field, term, shard, doc_range)``, read from
+    the written postings.
 
     The aggregate combines map-side (postings files are sorted by term, so
     each task emits about one row per term and shard), and only those rows
@@ -137,19 +216,26 @@ def _write_terms(spark: SparkSession, postings_path: str, out: str) -> None:
     matching postings a second time.
     """
     rows = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") != NORMS_BUCKET)
-    _write_dictionary(rows.groupBy("bucket", "field", "term", "shard").agg(F.count(F.lit(1)).alias("df")), out)
+    in_range = rows.groupBy("bucket", "field", "term", "shard", doc_range_of(F.col("doc")).alias(DOC_RANGE))
+    _write_dictionary(in_range.agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")), out)
 
 
 def _write_dictionary(terms: DataFrame, out: str) -> None:
-    """Write ``bucket, field, term, shard, df`` clustered by bucket like the
-    postings: one directory per bucket, sorted by term."""
-    (terms.select("bucket", "field", "term", "shard", F.col("df").cast("bigint").alias("df"))
+    """Write ``bucket, field, term, shard, doc_range, df, max_tf, min_dl``
+    clustered by bucket like the postings: one directory per bucket, sorted by term."""
+    (terms.select("bucket", "field", "term", "shard", DOC_RANGE, F.col("df").cast("bigint").alias("df"), "max_tf", "min_dl")
      .hint("rebalance", "bucket")
-     .sortWithinPartitions("bucket", "field", "term", "shard")
+     .sortWithinPartitions("bucket", "field", "term", "shard", DOC_RANGE)
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
 
-_TERMS_SCHEMA = "shard int, field string, term string, df bigint, bucket int"
+def _summed(terms: DataFrame) -> DataFrame:
+    """The dictionary of several generations as one."""
+    return terms.groupBy("bucket", "field", "term", "shard", DOC_RANGE).agg(
+        F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"))
+
+
+_TERMS_SCHEMA = "shard int, field string, term string, doc_range bigint, df bigint, max_tf bigint, min_dl bigint, bucket int"
 _STATS_SCHEMA = "shard int, field string, n_docs bigint, sum_dl bigint"
 # Fixed schemas of the datasets whose layout does not depend on the input (a
 # generation of an empty input has no files to infer them from).
@@ -250,9 +336,19 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     """
     if mode not in ("errorifexists", "error", "append", "overwrite"):
         raise ValueError(f"unsupported mode: {mode}")
+    path = table_path(index.sparkSession, table)
+    for _ in range(ATTEMPTS):
+        try:
+            return _save_once(index, table, path, mode, epoch, stream)
+        except LostRace:
+            continue
+    raise RuntimeError(f"gave up after {ATTEMPTS} lost races for {table}")
+
+
+def _save_once(index: Index, table: str, path: str, mode: str, epoch: int | None, stream: str | None) -> int:
+    """Write one generation and commit it, unless another commit came before it that matters."""
     spark = index.sparkSession
-    path = table_path(spark, table)
-    manifest = read_manifest(spark, path)
+    manifest, seq = _committed(spark, path)
     if manifest and mode in ("errorifexists", "error"):
         raise ValueError(f"table {table} exists; use mode='append' or 'overwrite'")
     gen = _next_gen(spark, path, manifest)
@@ -267,7 +363,7 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
             raise ValueError("appended data must use the table's bucket count")
         if live[-1]["schema"] != types:
             raise ValueError(f"appended data must have the table's column types: {live[-1]['schema']}, got {types}")
-        if epoch is not None and any(m["epoch"] == epoch and m["stream"] == stream for m in live):
+        if epoch is not None and any(m["epoch"] == epoch and m["stream"] == stream for m in _since_base(manifest)):
             return 0  # this micro-batch was already published
         offsets, _ = checked_broadcast(_shard_offsets(spark, path, live))
         docs = (docs.join(offsets, "shard", "left")
@@ -283,6 +379,8 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     rows = int(obs.get["rows"])
     written = spark.read.schema(_docs_schema(types)).parquet(docs_path)
     _check_written(written, docs.count(), offsets)
+    if mode != "overwrite" and _committed(spark, path)[1] != seq:
+        raise LostRace  # rather now than after the postings are written
     _write_points(written, index.spec, path, gen)
     # 2. postings and norms of the written documents, in one job (the text
     #    is tokenized once); 3. stats aggregated from the norms.
@@ -291,9 +389,15 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     _write_terms(spark, postings_path, f"{path}/terms/gen={gen}")
     norms = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET)
     shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
-    # 4. publish.
-    _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch, stream, types)
-    return rows
+    # 4. publish.  What an overwrite writes does not depend on other commits.
+    while True:
+        try:
+            _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch, stream, types, seq)
+            return rows
+        except LostRace:
+            if mode != "overwrite":
+                raise
+            _, seq = _committed(spark, path)
 
 
 def open_index(spark: SparkSession, table: str) -> Index:
@@ -309,7 +413,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
     docs = _read_docs(spark, path, live, spec)
     postings = (_read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
                 .select("shard", "doc", "field", "term", "tf", "dl", "bucket"))
-    terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", "df", "bucket")
+    terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", DOC_RANGE, "df", "max_tf", "min_dl", "bucket")
     stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
              .agg(F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl")))
@@ -331,30 +435,108 @@ def open_index(spark: SparkSession, table: str) -> Index:
         table=table,
         generations=tuple(gens),
         terms=terms,
+        num_docs=sum(m["doc_rows"] for m in live),
     )
 
 
-def compact(spark: SparkSession, table: str) -> Index:
-    """Rewrite all live generations as one base generation; hits unchanged."""
-    current = open_index(spark, table)
-    if len(current.generations) == 1:
-        return current  # nothing to merge
+def _tier(live: list[dict], parts: int) -> list[dict]:
+    """The smallest generations that must become one so that ``parts`` are left."""
+    if len(live) <= max(1, parts):
+        return []
+    return sorted(live, key=lambda m: (m["doc_rows"], m["gen"]))[: len(live) - max(1, parts) + 1]
+
+
+def _check_merged(written: DataFrame, sources: DataFrame) -> int:
+    """Raise unless the written documents have the ids of the sources: for each shard
+    their number, least, largest, sum and a sum of their hashes.  Reads two columns of
+    both.  Returns the rows."""
+    def ids(rows):
+        doc = F.col("doc").cast("decimal(38,0)")
+        return {r[0]: tuple(r)[1:] for r in rows.groupBy("shard").agg(
+            F.count(F.lit(1)), F.min("doc"), F.max("doc"), F.sum(doc), F.sum(F.xxhash64("doc").cast("decimal(38,0)"))).collect()}
+
+    a, b = ids(written), ids(sources)
+    if a != b:
+        raise ValueError(f"not published: the merged documents differ in shards {sorted(k for k in a.keys() | b.keys() if a.get(k) != b.get(k))[:5]}")
+    return sum(x[0] for x in a.values())
+
+
+def compact(spark: SparkSession, table: str, parts: int = 1) -> Index:
+    """Merge the smallest live generations so that at most ``parts`` are left; hits and ids unchanged.
+
+    Only the merged generations are read and rewritten; others stay as they
+    are.  Appends that are committed meanwhile stay too.  Raises if another
+    compaction or an overwrite took a merged generation away meanwhile.
+    """
     path = table_path(spark, table)
-    gen = _next_gen(spark, path, read_manifest(spark, path))
-    obs = Observation(f"tessera_compact_{table}_{gen}")
-    docs = current.docs.drop(DOC_RANGE).repartitionByRange("shard", "doc").observe(obs, F.count(F.lit(1)).alias("rows"))
-    _write_docs(docs, f"{path}/docs/gen={gen}")
-    _write_points(current.docs, current.spec, path, gen)
-    rows = int(obs.get["rows"])
-    # Postings and norms of every live generation (the norms partition is
-    # carried over as is).
-    entries = _read_gens(spark, path, "postings", list(current.generations)).select(
-        "shard", "doc", "field", "term", "tf", "dl")
-    _write_postings(entries, f"{path}/postings/gen={gen}", current.num_buckets)
-    # Dictionaries are additive: sum the live ones (no postings scan).
-    _write_dictionary(current.terms.groupBy("bucket", "field", "term", "shard").agg(F.sum("df").alias("df")),
-                      f"{path}/terms/gen={gen}")
-    shards = _write_stats(current.stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
-    _publish(spark, path, gen, "base", current.spec, current.num_buckets, shards, rows, None, None,
-             _column_types(current.docs, current.spec))
-    return open_index(spark, table)
+    manifest, seq = _committed(spark, path)
+    live = _live(manifest)
+    if not live:
+        raise ValueError(f"no table {table} under {path}")
+    tier = _tier(live, parts)
+    if not tier:
+        return open_index(spark, table)  # nothing to merge
+    gens = [m["gen"] for m in tier]
+    spec, num_buckets, types = IndexSpec.from_dict(json.loads(live[-1]["spec"])), live[-1]["num_buckets"], live[-1]["schema"]
+    gen = _next_gen(spark, path, manifest)
+    sources = _read_docs(spark, path, tier, spec).drop(DOC_RANGE)
+    _write_docs(sources.repartitionByRange("shard", "doc"), f"{path}/docs/gen={gen}")
+    written = spark.read.schema(_docs_schema(types)).parquet(f"{path}/docs/gen={gen}")
+    rows = _check_merged(written, sources)
+    _write_points(written, spec, path, gen)
+    # postings and norms are carried over; dictionaries and stats are additive
+    _write_postings(_read_gens(spark, path, "postings", gens).select("shard", "doc", "field", "term", "tf", "dl"),
+                    f"{path}/postings/gen={gen}", num_buckets)
+    _write_dictionary(_summed(_read_gens(spark, path, "terms", gens)), f"{path}/terms/gen={gen}")
+    stats = _read_gens(spark, path, "stats", gens).groupBy("shard", "field").agg(
+        F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl"))
+    shards = _write_stats(stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")
+    kind = "base" if len(tier) == len(live) else "merge"
+    while True:
+        try:
+            _publish(spark, path, gen, kind, spec, num_buckets, shards, rows, None, None, types, seq, replaces=gens)
+            return open_index(spark, table)
+        except LostRace:
+            manifest, seq = _committed(spark, path)
+            if not set(gens) <= {m["gen"] for m in _live(manifest)}:
+                raise RuntimeError(f"another writer replaced generations of {table} while they were merged") from None
+
+
+def vacuum(spark: SparkSession, table: str, older_than: float = 7 * 86_400.0) -> list[int]:
+    """Delete the data of generations that no reader can open any more; returns their numbers.
+
+    A generation that was replaced or overwritten, or never published, goes
+    ``older_than`` seconds after that, so a reader that opened the table
+    within that time still answers.  Staged rows of the session's staging
+    folder go by the same age: choose it above the longest build or job.
+    """
+    path = table_path(spark, table)
+    manifest, _ = _committed(spark, path)
+    live = {m["gen"] for m in _live(manifest)}
+    now = time.time()
+    died: dict[int, float] = {}
+    for i, m in enumerate(manifest):
+        at = datetime.fromisoformat(m["created"]).timestamp()
+        taken = json.loads(m["replaces"]) if m["replaces"] else [x["gen"] for x in manifest[:i]] if m["kind"] == "base" else []
+        for g in taken:
+            died.setdefault(g, at)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folders = [f"{path}/{d}" for d in _DATASETS]
+    points = hadoop(f"{path}/points")
+    fs = points.getFileSystem(conf)
+    folders += [x.getPath().toString() for x in fs.listStatus(points)] if fs.exists(points) else []
+    gone = set()
+    for folder in folders:
+        for child in _subfolders(spark, folder, "gen="):
+            gen, at = int(child.rsplit("=", 1)[1]), hadoop(child)
+            since = died.get(gen, fs.getFileStatus(at).getModificationTime() / 1000)
+            if gen not in live and now - since >= older_than:
+                fs.delete(at, True)
+                gone.add(gen)
+    staged = hadoop(staging_dir(spark))
+    other = staged.getFileSystem(conf)
+    for x in other.listStatus(staged) if other.exists(staged) else []:
+        if now - x.getModificationTime() / 1000 >= older_than:
+            other.delete(x.getPath(), True)
+    return sorted(gone)

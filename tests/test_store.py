@@ -242,3 +242,132 @@ def test_order_or_shard_alone_on_a_shuffled_input(spark):
             assert open_index(spark, t).docs.select("shard", "doc").distinct().count() == 1000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def _pieces(spark, t, cuts):
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        save(_docs(spark, (F.col("doc_id") >= a) & (F.col("doc_id") < b)), t, mode="append")
+
+
+def test_compact_to_parts_rewrites_the_smallest(spark):
+    t = _name()
+    _pieces(spark, t, [0, 100, 110, 115, 125, 200])
+    before = open_index(spark, t)
+    ids = sorted(tuple(r) for r in before.docs.select("shard", "doc", "doc_id").collect())
+    merged = compact(spark, t, parts=3)
+    assert merged.generations == (0, 4, 5)  # of 100, 75, and the small ones as one
+    last = read_manifest(spark, table_path(spark, t))[-1]
+    assert (last["kind"], last["replaces"], last["doc_rows"]) == ("merge", "[2, 1, 3]", 25)
+    assert sorted(tuple(r) for r in merged.docs.select("shard", "doc", "doc_id").collect()) == ids
+    whole = _docs(spark)
+    for q in Q[:3]:
+        assert _rows(merged.search(q)) == _rows(whole.search(q)), str(q)
+    assert merged.search(Q[0]).count() == whole.search(Q[0]).count()
+    assert compact(spark, t, parts=3).generations == (0, 4, 5)  # nothing to merge
+    save(_docs(spark, F.col("doc_id") < 30), t, mode="append")
+    assert open_index(spark, t).docs.count() == 230
+    one = compact(spark, t)
+    assert len(one.generations) == 1 and one.docs.count() == 230 and one.docs.select("shard", "doc").distinct().count() == 230
+    assert sorted(tuple(r) for r in before.docs.select("shard", "doc", "doc_id").collect()) == ids  # an open reader
+
+
+def test_a_merge_that_lost_rows_is_not_published(spark, monkeypatch):
+    from tessera.sources import store
+
+    t = _name()
+    _pieces(spark, t, [0, 100, 200])
+    real = store._write_docs
+    for bad in (lambda d: d.where("doc <> 5"), lambda d: d.withColumn("doc", F.when(F.col("doc") == 5, 6).otherwise(F.col("doc")).cast("bigint"))):
+        monkeypatch.setattr(store, "_write_docs", lambda docs, out, bad=bad: real(bad(docs), out))
+        with pytest.raises(ValueError, match="not published"):
+            compact(spark, t)
+    assert open_index(spark, t).generations == (0, 1)
+
+
+def test_a_stream_batch_is_remembered_through_a_compaction(spark):
+    t = _name()
+    for epoch in range(3):
+        assert save(_docs(spark, F.col("doc_id") < 20), t, mode="append", epoch=epoch, stream="s") == 20
+    compact(spark, t)
+    assert save(_docs(spark, F.col("doc_id") < 20), t, mode="append", epoch=1, stream="s") == 0
+    assert open_index(spark, t).docs.count() == 60
+
+
+def test_four_writers_and_a_reader_in_threads(spark):
+    """Every append lands once, ids are dense in every shard, and a reader that is open keeps its snapshot."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = _name()
+    save(_docs(spark, F.col("doc_id") < 40), t)
+    reader = open_index(spark, t)
+    was = _rows(reader.search(Q[0]))
+
+    def write(k):
+        part = (F.col("doc_id") >= 40 + 40 * k) & (F.col("doc_id") < 80 + 40 * k)
+        return save(_docs(spark, part), t, mode="append")
+
+    def read(_):
+        return _rows(reader.search(Q[0])) == was
+
+    with ThreadPoolExecutor(6) as pool:
+        written = [pool.submit(write, k) for k in range(4)]
+        seen = [pool.submit(read, k) for k in range(6)]
+        assert [x.result() for x in written] == [40] * 4 and all(x.result() for x in seen)
+    idx = open_index(spark, t)
+    rows = idx.docs.select("shard", "doc", "doc_id").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(200))
+    for shard in range(3):
+        ids = sorted(r.doc for r in rows if r.shard == shard)
+        assert ids == list(range(len(ids)))
+    assert [m["seq"] for m in read_manifest(spark, table_path(spark, t))] == list(range(5))
+    assert sorted(r["doc_id"] for r in idx.search(Q[0]).hits().collect()) == sorted(r["doc_id"] for r in _docs(spark).search(Q[0]).hits().collect())
+
+
+def test_a_lost_race_numbers_again(spark, monkeypatch):
+    """Another writer commits just before."""
+    from tessera.sources import store
+
+    t = _name()
+    save(_docs(spark, F.col("doc_id") < 50), t)
+    real, raced = store._publish, []
+
+    def publish(*args, **kw):
+        if not raced:
+            raced.append(1)
+            save(_docs(spark, (F.col("doc_id") >= 50) & (F.col("doc_id") < 90)), t, mode="append")
+        return real(*args, **kw)
+
+    monkeypatch.setattr(store, "_publish", publish)
+    assert save(_docs(spark, F.col("doc_id") >= 90), t, mode="append") == 110
+    rows = open_index(spark, t).docs.select("shard", "doc", "doc_id").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(200)) and len({(r.shard, r.doc) for r in rows}) == 200
+
+
+def test_a_commit_that_was_never_done_is_named(spark, monkeypatch):
+    from tessera.sources import store
+
+    t = _name()
+    save(_docs(spark, F.col("doc_id") < 20), t)
+    assert store._create_new(spark, f"{table_path(spark, t)}/_manifest/_commits/1")
+    assert not store._create_new(spark, f"{table_path(spark, t)}/_manifest/_commits/1")
+    monkeypatch.setattr(store, "COMMIT_SECONDS", 0.3)
+    with pytest.raises(RuntimeError, match="commit 1"):
+        save(_docs(spark, F.col("doc_id") >= 20), t, mode="append")
+    assert open_index(spark, t).docs.count() == 20  # readers are not held up
+
+
+def test_vacuum_frees_dead_generations(spark):
+    from tessera import vacuum
+    from tessera.sources.store import _subfolders
+
+    t = _name()
+    _pieces(spark, t, [0, 60, 100])
+    spark.range(3).write.parquet(f"{table_path(spark, t)}/docs/gen=9")  # of a write that died
+    reader = open_index(spark, t)
+    idx = compact(spark, t)
+    assert vacuum(spark, t, 3600) == [] and reader.search(Q[0]).count() > 0  # a reader within the age
+    assert vacuum(spark, t, 0) == [0, 1, 9]
+    left = _subfolders(spark, f"{table_path(spark, t)}/docs", "gen=")
+    assert [x.rsplit("=", 1)[1] for x in left] == [str(idx.generations[0])]
+    assert _rows(open_index(spark, t).search(Q[0])) == _rows(_docs(spark, F.col("doc_id") < 100).search(Q[0]))
+    assert save(_docs(spark, F.col("doc_id") >= 100), t, mode="append") == 100 and open_index(spark, t).docs.count() == 200
