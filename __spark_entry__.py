@@ -9,6 +9,7 @@ oracles can write ``key % 3`` and ``row_number() - 1``.  Scores are rounded to
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -20,10 +21,13 @@ from tessera import (
     search_many, should, term,
 )
 
-try:  # the training-data operators are a subpackage of their own, which may be absent
+# The training-data operators are a subpackage of their own, which may be absent; if it is there, whatever it
+# cannot import is an error.
+_llm_spec = importlib.util.find_spec("tessera.llm")
+if _llm_spec is not None and _llm_spec.origin is not None:
     import corpus_pipeline
     from tessera.llm import queries as llm
-except ImportError:
+else:
     corpus_pipeline = llm = None
 
 # ---------------------------------------------------------------------------
@@ -294,7 +298,17 @@ def q_w7_compact(spark, sf):
     odd = F.col("n_chars") % 2 == 1
     t = _saved_docs(spark, sf, [(first & odd, "errorifexists"), (first & ~odd, "append"), (second & odd, "append"), (second & ~odd, "append")])
     idx = compact(spark, t)
-    return idx.search(THE).hits().select("shard", "doc_id", _score())
+    return idx.search(THE).hits().select("shard", "doc", "doc_id", _score())
+
+
+def q_w7_compact_parts(spark, sf):
+    """Four generations merged to two: ids stay as they were appended."""
+    first, second = _halves(spark, sf)
+    odd = F.col("n_chars") % 2 == 1
+    t = _saved_docs(spark, sf, [(first & odd, "errorifexists"), (first & ~odd, "append"), (second & odd, "append"), (second & ~odd, "append")])
+    idx = compact(spark, t, parts=2)
+    assert len(idx.generations) == 2
+    return idx.search(THE).hits().select("shard", "doc", "doc_id", _score())
 
 
 def q_w8_postings(spark, sf):
@@ -632,6 +646,10 @@ hits AS (
 _BATCH_MIXED = f"""WITH {_docs_cte()}, {_text_leaf('a', 'the')}, {_kw_leaf('b', 'lang', 'fr')}, {_text_leaf('c', 'de')},
 hits AS (SELECT 1 AS query_id, shard, doc, s FROM a UNION ALL SELECT 1, shard, doc, s FROM b UNION ALL SELECT 2, shard, doc, s FROM c)"""
 
+# ids as the four generations were appended: first half odd and even, second half odd and even
+_COMPACTED = """{the}, g AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id % 3
+  ORDER BY doc_id >= (SELECT (max(doc_id) + 1) // 2 FROM documents), n_chars % 2 = 0, doc_id) - 1 AS place FROM documents)
+SELECT hits.shard, g.place AS doc, hits.doc_id, round(s, 6) AS score FROM hits JOIN g USING (doc_id)"""
 _FIRST = "doc_id < (SELECT (max(doc_id) + 1) // 2 FROM documents)"
 _SECOND = "doc_id >= (SELECT (max(doc_id) + 1) // 2 FROM documents)"
 
@@ -692,7 +710,8 @@ UNION ALL SELECT shard, doc, 'source' FROM hits WHERE source IS NOT NULL""",
         "w5b_overwrite": f"WITH {_docs_cte('WHERE ' + _SECOND)} SELECT shard, doc, doc_id FROM d",
         "w5a_stream_append": f"WITH {_docs_cte()} SELECT shard, doc, doc_id FROM d",
         "w6_row_count": "SELECT count(*) AS rows FROM lineitem",
-        "w7_compact": f"{the} SELECT shard, doc_id, round(s, 6) AS score FROM hits",
+        "w7_compact": _COMPACTED.replace("{the}", the),
+        "w7_compact_parts": _COMPACTED.replace("{the}", the),
         "w8_postings": f"""WITH {_docs_cte()}, {_POSTINGS}
 SELECT shard, doc, 'text' AS field, term, tf, dl FROM post
 UNION ALL SELECT shard, doc, 'lang', lang, 1::BIGINT, NULL::BIGINT FROM d WHERE lang IS NOT NULL

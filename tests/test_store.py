@@ -126,6 +126,7 @@ def test_large_lookup_sets_take_every_path_to_the_same_hits(spark):
     from functools import reduce
 
     from tessera import search_many
+    from tessera.operators.build import bucket_of
 
     mem = _docs(spark)
     t = _name()
@@ -144,10 +145,22 @@ def test_large_lookup_sets_take_every_path_to_the_same_hits(spark):
               for i in range(0, len(rows), 600)]
     assert big == sorted(reduce(lambda a, b: a + b, [got(idx, c) for c in chunks]))
     assert big == got(mem, lookups)
+    from tessera.operators import batch
+
     spark.conf.set("spark.tessera.broadcast.maxRows", "500")
+    old, batch.HEAVY_DOCS = batch.HEAVY_DOCS, 20
     try:
         assert big == got(idx, lookups)
+        side = lookups.where("field = 'text'").withColumn("bucket", bucket_of(F.col("term"), idx.num_buckets)).withColumn("_text", F.lit(True))
+        common, others = batch._by_weight(idx, side, ["field", "term", "bucket"])
+        heavy = {r.term for r in common.collect()}
+        df = dict(idx.terms.where("field = 'text'").groupBy("term").agg(F.sum("df")).collect())
+        assert heavy == {w for w in words if df[w] > 20} and 0 < len(heavy) < 500
+        assert others.count() == len(words) - len(heavy)
+        plan = common.join(idx.postings, ["field", "term", "bucket"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     finally:
+        batch.HEAVY_DOCS = old
         spark.conf.unset("spark.tessera.broadcast.maxRows")
     assert len({r[0] for r in big}) > 1000
 
