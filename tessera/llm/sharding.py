@@ -39,9 +39,13 @@ class Leaf:
     weight: float = 1.0
 
 
-def topology(shards: int) -> list[Leaf]:
-    """Four shards a region, two a rack, equal weights; a shard beyond a full region opens a region of its own."""
-    return [Leaf(f"g{s // 4}", f"g{s // 4}/k{s // 2}", s) for s in range(shards)]
+def topology(shards: int, base: int = 8) -> list[Leaf]:
+    """``base`` shards, four a region and two a rack, and every further shard in a region of its own; equal weights.
+
+    From ``base`` shards on, one more takes rows only into itself.
+    """
+    regions = [s // 4 if s < base else base // 4 + s - base for s in range(shards)]
+    return [Leaf(f"g{g}", f"g{g}/k{s // 2}", s) for s, g in enumerate(regions)]
 
 
 def _draw(key: Column, name: str, weight: float) -> Column:

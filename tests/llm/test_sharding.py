@@ -1,7 +1,9 @@
+import math
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from helpers import clashing, docs_of
 from pyspark.sql import functions as F
 
@@ -38,6 +40,33 @@ def test_movement_stays_in_subtrees_whose_weights_change(spark):
             assert new[i] == 0
 
 
+@pytest.mark.parametrize("shards", [8, 9, 12])
+def test_one_more_shard_takes_rows_only_into_itself(spark, shards):
+    old, new = placed(spark, 5_000, s.topology(shards)), placed(spark, 5_000, s.topology(shards + 1))
+    assert all(new[i] in (old[i], shards) for i in old) and any(new[i] == shards for i in old)
+
+
+def test_shards_equal_a_descent_in_python(spark):
+    """The draws themselves: XXH64 of the child's name, seeded by that of the key."""
+    leaves = [s.Leaf("a", "a1", 0, 1.0), s.Leaf("a", "a1", 1, 2.5), s.Leaf("a", "a2", 2, 1.0), s.Leaf("b", "b1", 3, 4.0), s.Leaf("c", "c1", 4, 0.5), s.Leaf("c", "c2", 5, 0.5)]
+
+    def draw(key, name, weight):
+        bits = xxhash.xxh64_intdigest(name, xxhash.xxh64_intdigest(key, 42)) >> 11
+        return -math.log((bits + 0.5) / 2**53) / weight
+
+    def descend(key, under, depth=0):
+        if depth == 3:
+            return under[0].shard
+        children = {}
+        for x in under:
+            children.setdefault((x.region, x.rack, f"{x.rack}/s{x.shard}")[depth], []).append(x)
+        best = min(children, key=lambda n: (draw(key, n, sum(x.weight for x in children[n])), n))
+        return descend(key, children[best], depth + 1)
+
+    got = placed(spark, 3_000, leaves)
+    assert got == {i: descend(str(i), leaves) for i in range(3_000)}
+
+
 def test_rows_and_slots(spark):
     texts = [None, "", "é😀", "x" * 100_000, *(f"text {k}" for k in range(500))]
     ids = [None, None, *range(len(texts) - 2)]
