@@ -10,6 +10,8 @@ builds and searches an index of the first 200 documents; its time is reported
 as ``warmup_sec`` and not counted.  Build, save, open and compaction run once.
 Each search is run ``$BENCH_RUNS`` times (default 3) and its median is
 reported; ``first_run`` holds the first (cold-cache) time of each search.
+Compaction merges a second table of six generations (written untimed): its
+smallest four as one, then all as one.
 """
 
 from __future__ import annotations
@@ -110,7 +112,15 @@ def main() -> None:
         "query_id int, field string, term string",
     )
     repeated("batch_lookups_top10", lambda: ts.search_many(index, lookups, k=10).collect())
-    timed("compact", lambda: ts.compact(spark, "documents"))
+
+    # Merging: a table of six generations, its smallest four as one, then all as one.
+    cuts = [0, 0.5, 0.8, 0.85, 0.9, 0.95, 1.0]
+    for a, b in zip(cuts, cuts[1:]):
+        part = docs.where((F.col("doc_id") >= int(a * rows)) & (F.col("doc_id") < int(b * rows)))
+        ts.save(ts.build_index(part, spec, shard_by=F.pmod(F.col("doc_id"), F.lit(n_shards)), num_shards=n_shards, order_by=["doc_id"]),
+                "generations", mode="append")
+    timed("compact_to_3", lambda: ts.compact(spark, "generations", parts=3))
+    timed("compact", lambda: ts.compact(spark, "generations"))
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": times,

@@ -523,7 +523,13 @@ class Search:
         frame, from_docs = self._plan(True, stored)
         if from_docs:
             return frame
-        return self._fetch(frame, None)
+        leaves = self._by_ranges()
+        bound = None
+        if leaves is not None:
+            # the dictionary tells how many hits there are at most: where those are few enough to be
+            # broadcast, the documents stay where they lie and only the hits' directories are read
+            bound = _size(self.current, 0, leaves, self._sizes([lf for lf in leaves if lf.kind == "post"]))
+        return self._fetch(frame, bound)
 
     def count(self) -> int:
         return self.count_frame().first()[0]

@@ -161,3 +161,15 @@ def test_take_reads_the_first_shards_only(ranges):
     assert re.search(r"LessThanOrEqual\(shard,0\)", plan)
     both = must(term("body", "the"), term("tag", "y"))  # their counts may overlap in little: the bound is not tight
     assert got(saved.search(both).take(10, fetch=False)) == got(memory.search(both).take(10, fetch=False))
+
+
+def test_few_hits_are_fetched_without_moving_documents(ranges):
+    memory, saved = ranges
+    q = must(term("body", "the"), term("body", "rare"))
+    hits = saved.search(q).hits()
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.split("\n") if "FileScan" in x and "/docs/" in x)
+    assert "dynamicpruning" in scan
+    assert re.search(r"BroadcastHashJoin \[shard#\d+, doc_range#", plan) and not re.search(r"SortMergeJoin \[shard#\d+, doc_range#", plan)
+    want = sorted((r["shard"], r["doc"], r["id"]) for r in memory.search(q).hits().collect())
+    assert sorted((r["shard"], r["doc"], r["id"]) for r in hits.collect()) == want
