@@ -18,7 +18,10 @@ a hash of ``doc_id``).  Scores read whole texts, one pass, without a shuffle.
 Defined cases: null, empty and wordless texts get the score of no hits; a null
 ``doc_id`` is scored as any other; labels that are null or whose document is
 missing are not used; without both kinds of labelled documents every score is
-0; repeated labels count once.
+0; repeated labels count once; rows that repeat a ``doc_id`` are one training
+text (that of the least hash) and are scored each; of terms with equal weight
+the first by name enters the lexicon; words over 24 letters are in no lexicon;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,7 +21,10 @@ Defined cases: a null url or one without ``://`` has empty host and path and
 fits no rule; of the rules that fit, the longest string wins, then the longest
 host, then block; a url that no rule fits gets ``default``; rules that are
 null in any column are left out; repeated rules count once (block before
-allow).  An empty rule path covers every path.
+allow).  An empty rule path covers every path.  A
+very long host has no nodes deeper than the deepest rule's.  Equal urls get
+equal verdicts; other columns are ignored, whatever their names; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
