@@ -1,4 +1,14 @@
-"""A corpus pipeline: each stage reads what the one before it wrote."""
+"""A corpus pipeline: each stage reads what the one before it wrote.
+
+Defined cases, for every stage: a null or empty text is a document without
+words, which the quality rules reject (later stages, given one, keep it); a
+null ``doc_id`` is kept as it is and is the last of its near copies; a null
+``source`` is a host of its own; equal rows are judged alike, and all rows of
+the ``doc_id`` that stays of a group stay; ties between near copies go to the
+least ``doc_id``; very long texts are worked on whole; all columns of the
+documents are kept but by packing, whatever their names; an empty table stays
+empty.
+"""
 
 from __future__ import annotations
 
