@@ -203,6 +203,7 @@ def update(spark: SparkSession, path: str, labels: DataFrame, folder: str, files
     Files that an earlier call took in are not read again.  Without
     ``files_per_batch`` the files present are dealt to ``BATCHES`` batches.
     """
+    path = path.rstrip("/")
     table = spark.read.parquet(path)
     if files_per_batch is None:
         files_per_batch = max(1, -(-len(table.inputFiles()) // BATCHES))
@@ -214,8 +215,9 @@ def update(spark: SparkSession, path: str, labels: DataFrame, folder: str, files
     spark.createDataFrame([], _COUNTERS).write.mode("overwrite").parquet(f"{folder}/counters/batch=-1")
     spark.createDataFrame([(max(1, table.count() // SLICE_ROWS),)], "slices int").write.mode("ignore").parquet(f"{folder}/settings")
     slices = spark.read.schema("slices int").parquet(f"{folder}/settings").first()[0]
-    # a pattern, since a stream's plain path must be a folder and a table may be one file
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
+    # a pattern, since a stream's plain path must be a folder and a table may be one file; files count however old they are
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).option(
+        "maxFileAge", "36500d").parquet(f"{path[:-1]}[{path[-1]}]")
     rows = arrow_tasks(masks(stream)).mapInArrow(_local_task(slices), _FACTS)
     deltas = rows.groupBy("slice").applyInPandasWithState(_settle, _DELTAS, _STATE, "append", GroupStateTimeout.NoTimeout)
     with _settings(spark, _SETTINGS):
