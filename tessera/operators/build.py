@@ -59,7 +59,7 @@ class Index:
     postings: DataFrame
     stats: DataFrame
     spec: IndexSpec
-    num_buckets: int = DEFAULT_BUCKETS
+    num_buckets: int | None = DEFAULT_BUCKETS
     bucketed: bool = False
     num_shards: int | None = None
     table: str | None = None
@@ -319,7 +319,7 @@ def build_index(
     shard_by=None,
     num_shards: int | None = None,
     order_by=None,
-    num_buckets: int = DEFAULT_BUCKETS,
+    num_buckets: int | None = None,
     num_partitions: int | None = None,
 ) -> Index:
     """Index ``df`` according to ``spec``.  Runs the job that fixes document
@@ -328,7 +328,8 @@ def build_index(
     ``shard_by``/``num_shards`` place rows in shards (default: the input
     partition, as the reference does); ``order_by`` fixes the document order
     inside a shard (default: insertion order).  Use a unique ordering key for
-    repeatable ids.
+    repeatable ids.  ``num_buckets`` is the number of postings directories of a
+    saved table; without it, saving derives it from the size of the documents.
     """
     spec.validate(df.schema)
     if shard_by is not None and num_shards is None:

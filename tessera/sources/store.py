@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from ..config import staging_dir, table_path
 from ..operators.build import (
-    DOC_RANGE, Index, bucket_of, doc_range_of, index_rows, points_of, stats_from_norms,
+    DEFAULT_BUCKETS, DOC_RANGE, Index, bucket_of, doc_range_of, index_rows, points_of, stats_from_norms,
 )
 from ..operators.spec import IndexSpec
 from ..plans.broadcast import checked_broadcast, max_broadcast_rows
@@ -63,6 +63,8 @@ _MANIFEST_SCHEMA = (
     "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint, "
     "stream string, schema string, replaces string, seq bigint"
 )
+# Documents of a postings directory, as written; a table has DEFAULT_BUCKETS of them at least.
+BUCKET_BYTES, MOST_BUCKETS = 2 << 30, 65_536
 # A commit whose manifest row does not come within so many seconds is taken for dead.
 COMMIT_SECONDS = 60.0
 ATTEMPTS = 100
@@ -119,6 +121,13 @@ def _create_new(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _bucket_count(spark: SparkSession, docs_path: str) -> int:
+    """Postings directories for documents of this size: postings take about as much room as these."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(docs_path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return min(MOST_BUCKETS, max(DEFAULT_BUCKETS, -(-size // BUCKET_BYTES)))
+
+
 def _file_names(spark: SparkSession, path: str) -> list[str]:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -353,14 +362,15 @@ def _save_once(index: Index, table: str, path: str, mode: str, epoch: int | None
         raise ValueError(f"table {table} exists; use mode='append' or 'overwrite'")
     gen = _next_gen(spark, path, manifest)
     docs, types = index.docs, _column_types(index.docs, index.spec)
-    kind, offsets = "base", None
+    kind, offsets, num_buckets = "base", None, index.num_buckets
     if manifest and mode == "append":
         live = _live(manifest)
         old_spec = IndexSpec.from_dict(json.loads(live[-1]["spec"]))
         if old_spec != index.spec:
             raise ValueError("appended data must use the table's IndexSpec")
-        if live[-1]["num_buckets"] != index.num_buckets:
+        if num_buckets not in (None, live[-1]["num_buckets"]):
             raise ValueError("appended data must use the table's bucket count")
+        num_buckets = live[-1]["num_buckets"]
         if live[-1]["schema"] != types:
             raise ValueError(f"appended data must have the table's column types: {live[-1]['schema']}, got {types}")
         if epoch is not None and any(m["epoch"] == epoch and m["stream"] == stream for m in _since_base(manifest)):
@@ -384,15 +394,16 @@ def _save_once(index: Index, table: str, path: str, mode: str, epoch: int | None
     _write_points(written, index.spec, path, gen)
     # 2. postings and norms of the written documents, in one job (the text
     #    is tokenized once); 3. stats aggregated from the norms.
+    num_buckets = num_buckets or _bucket_count(spark, docs_path)
     postings_path = f"{path}/postings/gen={gen}"
-    _write_postings(index_rows(written, index.spec, norms=True), postings_path, index.num_buckets)
+    _write_postings(index_rows(written, index.spec, norms=True), postings_path, num_buckets)
     _write_terms(spark, postings_path, f"{path}/terms/gen={gen}")
     norms = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET)
     shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
     # 4. publish.  What an overwrite writes does not depend on other commits.
     while True:
         try:
-            _publish(spark, path, gen, kind, index.spec, index.num_buckets, shards, rows, epoch, stream, types, seq)
+            _publish(spark, path, gen, kind, index.spec, num_buckets, shards, rows, epoch, stream, types, seq)
             return rows
         except LostRace:
             if mode != "overwrite":

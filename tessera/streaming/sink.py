@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import checkpoint_dir
-from ..operators.build import DEFAULT_BUCKETS, build_index
+from ..operators.build import build_index
 from ..operators.spec import IndexSpec
 from ..sources.store import save
 
@@ -25,7 +25,7 @@ def index_stream(
     shard_by=None,
     num_shards: int | None = None,
     order_by=None,
-    num_buckets: int = DEFAULT_BUCKETS,
+    num_buckets: int | None = None,
     checkpoint_location: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:

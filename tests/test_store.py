@@ -384,3 +384,23 @@ def test_vacuum_frees_dead_generations(spark):
     assert [x.rsplit("=", 1)[1] for x in left] == [str(idx.generations[0])]
     assert _rows(open_index(spark, t).search(Q[0])) == _rows(_docs(spark, F.col("doc_id") < 100).search(Q[0]))
     assert save(_docs(spark, F.col("doc_id") >= 100), t, mode="append") == 100 and open_index(spark, t).docs.count() == 200
+
+
+def test_bucket_count_follows_the_size(spark, monkeypatch):
+    from tessera.sources import store
+
+    t, u = _name(), _name()
+    save(_docs(spark, F.col("doc_id") < 100), u)
+    assert open_index(spark, u).num_buckets == store.DEFAULT_BUCKETS
+    monkeypatch.setattr(store, "BUCKET_BYTES", 500)
+    save(_docs(spark, F.col("doc_id") < 100), t)
+    first = open_index(spark, t).num_buckets
+    assert 64 < first < 5000
+    save(_docs(spark, F.col("doc_id") >= 100), t, mode="append")  # as the table has
+    idx, whole = open_index(spark, t), _docs(spark)
+    assert idx.num_buckets == first and compact(spark, t).num_buckets == first
+    for q in Q[:2]:
+        assert _rows(idx.search(q)) == _rows(whole.search(q))
+    other = build_index(spark.read.parquet(f"{SF}/documents.parquet"), SPEC, num_buckets=7)
+    with pytest.raises(ValueError, match="bucket count"):
+        save(other, t, mode="append")
