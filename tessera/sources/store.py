@@ -446,7 +446,8 @@ def open_index(spark: SparkSession, table: str) -> Index:
         table=table,
         generations=tuple(gens),
         terms=terms,
-        num_docs=sum(m["doc_rows"] for m in live),
+        # a dictionary without ranges (of a generation before commits had numbers) plans nothing by ranges
+        num_docs=sum(m["doc_rows"] for m in live) if all(m["seq"] is not None for m in live) else None,
     )
 
 
@@ -498,7 +499,10 @@ def compact(spark: SparkSession, table: str, parts: int = 1) -> Index:
     # postings and norms are carried over; dictionaries and stats are additive
     _write_postings(_read_gens(spark, path, "postings", gens).select("shard", "doc", "field", "term", "tf", "dl"),
                     f"{path}/postings/gen={gen}", num_buckets)
-    _write_dictionary(_summed(_read_gens(spark, path, "terms", gens)), f"{path}/terms/gen={gen}")
+    if all(m["seq"] is not None for m in tier):
+        _write_dictionary(_summed(_read_gens(spark, path, "terms", gens)), f"{path}/terms/gen={gen}")
+    else:
+        _write_terms(spark, f"{path}/postings/gen={gen}", f"{path}/terms/gen={gen}")
     stats = _read_gens(spark, path, "stats", gens).groupBy("shard", "field").agg(
         F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl"))
     shards = _write_stats(stats, f"{path}/stats/gen={gen}", f"tessera_cstats_{table}_{gen}")

@@ -1,5 +1,6 @@
 """Saved tables: round trips, append, overwrite, compaction, snapshots, streams."""
 
+import os
 import uuid
 
 import pytest
@@ -404,3 +405,23 @@ def test_bucket_count_follows_the_size(spark, monkeypatch):
     other = build_index(spark.read.parquet(f"{SF}/documents.parquet"), SPEC, num_buckets=7)
     with pytest.raises(ValueError, match="bucket count"):
         save(other, t, mode="append")
+
+
+def test_tables_of_before_commits_had_numbers(spark, monkeypatch):
+    """Their dictionary has no ranges: searches do without, and merging makes one."""
+    from tessera.operators import search
+
+    t = _name()
+    _pieces(spark, t, [0, 120, 200])
+    path = table_path(spark, t)
+    for folder, columns in ((f"{path}/_manifest", ["replaces", "seq"]), (f"{path}/terms", ["doc_range", "max_tf", "min_dl"])):
+        rows = spark.read.parquet(f"{folder}/gen=0").drop(*columns)
+        old = spark.createDataFrame(rows.collect(), rows.schema)
+        (old.write.partitionBy("bucket") if "bucket" in old.columns else old.write).mode("overwrite").parquet(f"{folder}/gen=0")
+    os.remove(f"{path}/_manifest/_commits/0")
+    monkeypatch.setattr(search, "LEAST_RANGES", 0)
+    whole = _docs(spark)
+    want = [(r["shard"], r["doc"], round(r["score"], 9)) for r in whole.search(Q[0]).top_k(5).collect()]
+    for idx in (open_index(spark, t), compact(spark, t)):
+        assert [(r["shard"], r["doc"], round(r["score"], 9)) for r in idx.search(Q[0]).top_k(5).collect()] == want
+    assert idx.num_docs == 200 and idx.terms.where("doc_range IS NULL OR max_tf IS NULL AND field = 'text'").count() == 0
