@@ -311,6 +311,19 @@ def q_w7_compact_parts(spark, sf):
     return idx.search(THE).hits().select("shard", "doc", "doc_id", _score())
 
 
+def q_w7_merge_tiers(spark, sf):
+    """Four appends, each followed by merges of generations of like size: hits and ids as if none had been merged."""
+    ensure_local_dirs(spark)
+    first, second = _halves(spark, sf)
+    odd = F.col("n_chars") % 2 == 1
+    t = _table("tiers")
+    for where in (first & odd, first & ~odd, second & odd, second & ~odd):
+        save(_docs_index(spark, sf, where), t, mode="append", merge_factor=2)
+    idx = open_index(spark, t)
+    assert len(idx.generations) < 4
+    return idx.search(THE).hits().select("shard", "doc", "doc_id", _score())
+
+
 def q_w8_postings(spark, sf):
     return _docs_index(spark, sf).postings.select("shard", "doc", "field", "term", "tf", "dl")
 
@@ -712,6 +725,7 @@ UNION ALL SELECT shard, doc, 'source' FROM hits WHERE source IS NOT NULL""",
         "w6_row_count": "SELECT count(*) AS rows FROM lineitem",
         "w7_compact": _COMPACTED.replace("{the}", the),
         "w7_compact_parts": _COMPACTED.replace("{the}", the),
+        "w7_merge_tiers": _COMPACTED.replace("{the}", the),
         "w8_postings": f"""WITH {_docs_cte()}, {_POSTINGS}
 SELECT shard, doc, 'text' AS field, term, tf, dl FROM post
 UNION ALL SELECT shard, doc, 'lang', lang, 1::BIGINT, NULL::BIGINT FROM d WHERE lang IS NOT NULL

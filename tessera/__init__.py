@@ -12,7 +12,7 @@ from .operators.batch import search_many
 from .operators.build import Index, build_index, postings_of, stats_of
 from .operators.search import Search
 from .operators.spec import IndexSpec
-from .sources.store import compact, open_index, read_manifest, save, vacuum
+from .sources.store import compact, merge_tiers, open_index, read_manifest, save, vacuum
 from .streaming.sink import index_stream
 
 __all__ = [
@@ -20,5 +20,5 @@ __all__ = [
     "MatchAll", "Must", "Query", "Should", "Term", "match_all", "must", "should", "term",
     "TOKEN_PATTERN", "tokens",
     "search_many", "Index", "build_index", "postings_of", "stats_of", "Search", "IndexSpec",
-    "compact", "open_index", "read_manifest", "save", "vacuum", "index_stream",
+    "compact", "merge_tiers", "open_index", "read_manifest", "save", "vacuum", "index_stream",
 ]

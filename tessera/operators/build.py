@@ -70,9 +70,10 @@ class Index:
     # for an in-memory index: counted from postings.
     terms: DataFrame | None = None
     # Saved indexes: documents of the snapshot, from the manifest, and the
-    # documents of terms that were asked for before (the snapshot never changes).
+    # documents and generations of terms that were asked for before (the
+    # snapshot never changes).
     num_docs: int | None = None
-    known_sizes: dict[tuple[str, str], int] = field(default_factory=dict)
+    known_sizes: dict[tuple[str, str], tuple[int, tuple[int, ...]]] = field(default_factory=dict)
     # Saved indexes: ``value, shard, doc`` of each numeric field, sorted by
     # value.  None for an in-memory index: numeric terms filter ``docs``.
     points: dict[str, DataFrame] | None = None

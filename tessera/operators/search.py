@@ -17,7 +17,9 @@ On a saved index the term dictionary also tells, before the postings are read:
   and least lengths): top-k visits the most promising ranges first, and then
   only ranges that can still reach the k-th score found there;
 * how many hits each shard has at least: ``take(n)`` reads no shard behind
-  those that surely fill ``n``.
+  those that surely fill ``n``;
+* which generations hold a term: of a table with many of them only those
+  postings are opened.
 These run a small job on the dictionary when the query is planned.
 """
 
@@ -46,6 +48,8 @@ NARROW_GAIN = 8
 # bounds of ranges held by the driver at most, and runs of ranges in a filter.
 LEAST_RANGES, MOST_RANGES, MOST_RUNS = 8, 200_000, 500
 FIRST_RANGES = 2  # ranges visited first
+# Generations from which on the dictionary tells which of them hold a term, before their postings are opened.
+LEAST_GENERATIONS = 8
 
 _INT_RANGE = {T.IntegerType: (-(2 ** 31), 2 ** 31 - 1), T.LongType: (-(2 ** 63), 2 ** 63 - 1)}
 
@@ -281,16 +285,28 @@ class Search:
         return cond, leaves_df
 
     def _sizes(self, post: list[_Leaf]) -> dict[int, int]:
-        """Documents with each leaf, from the dictionary (a row for each leaf; remembered with the snapshot)."""
+        """Documents with each leaf, from the dictionary."""
+        return {pos: size for pos, (size, _) in self._held(post).items()}
+
+    def _held(self, post: list[_Leaf]) -> dict[int, tuple[int, tuple[int, ...]]]:
+        """Documents and generations with each leaf (a row of the dictionary's job for each leaf; remembered with the snapshot)."""
         known = self.index.known_sizes
         new = [lf for lf in post if (lf.field, lf.value) not in known]
         if new:
             cond, leaves_df = self._lookup(new)
-            found = dict(self.index.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"])
-                         .groupBy("_leaf").agg(F.sum("df")).collect())
-            known |= {(lf.field, lf.value): found.get(lf.pos, 0) for lf in new}
+            held = (self.index.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"])
+                    .groupBy("_leaf").agg(F.sum("df"), F.sort_array(F.collect_set("gen"))).collect())
+            found = {pos: (size, tuple(gens)) for pos, size, gens in held}
+            known |= {(lf.field, lf.value): found.get(lf.pos, (0, ())) for lf in new}
         return {lf.pos: known[lf.field, lf.value] for lf in post}
 
+    def _in_generations(self, rows: DataFrame, post: list[_Leaf]) -> DataFrame:
+        """``rows`` of postings or dictionary, of the generations that hold one of the terms where there are many to choose from."""
+        idx = self.index
+        if idx.terms is None or len(idx.generations) < LEAST_GENERATIONS:
+            return rows
+        return rows.where(F.col("gen").isin(sorted({g for _, gens in self._held(post).values() for g in gens})))
+
     def _in_only(self, rows: DataFrame) -> DataFrame:
         """``rows`` of the ranges and shards to look at: pushed to the scan where they are few runs."""
         if self._shards_to is not None:
@@ -311,7 +327,7 @@ class Search:
         idx = self.index
         cond, leaves_df = self._lookup(post)
         # The leaves table is the query itself: its size is the query's.
-        rows = self._in_only(idx.postings.where(cond)).join(F.broadcast(leaves_df), ["field", "term"])
+        rows = self._in_only(self._in_generations(idx.postings.where(cond), post)).join(F.broadcast(leaves_df), ["field", "term"])
         if within is not None:
             # documents of a clause whose size is known and within the broadcast limit
             rows = rows.join(F.broadcast(within), ["shard", "doc"], "left_semi")
@@ -321,7 +337,7 @@ class Search:
         if idx.terms is not None:
             # Term dictionary: the same pruned lookup on a small dataset, so
             # the matching postings are read once (for scoring) only.
-            per_leaf = (idx.terms.where(cond).join(F.broadcast(leaves_df), ["field", "term"])
+            per_leaf = (self._in_generations(idx.terms.where(cond), post).join(F.broadcast(leaves_df), ["field", "term"])
                         .groupBy("_leaf", "field", "shard").agg(F.sum("df").alias("_df")))
         else:
             per_leaf = rows.groupBy("_leaf", "field", "shard").agg(F.count(F.lit(1)).alias("_df"))

@@ -38,6 +38,8 @@ conditional writes).
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import json
 import time
 from datetime import datetime, timezone
@@ -75,6 +77,10 @@ class LostRace(Exception):
     """Another writer committed first."""
 
 
+class Superseded(RuntimeError):
+    """Another writer replaced what was being merged."""
+
+
 def read_manifest(spark: SparkSession, path: str) -> list[dict]:
     """Published generations, oldest first (one small row per write)."""
     gens = _subfolders(spark, f"{path}/_manifest", "gen=")
@@ -331,7 +337,8 @@ def _check_written(written: DataFrame, rows: int, offsets: DataFrame | None) ->
                          "(the input gave other rows when it was read again)")
 
 
-def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | None = None, stream: str | None = None) -> int:
+def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | None = None, stream: str | None = None,
+         merge_factor: int | None = None) -> int:
     """Write an index built by :func:`tessera.build_index`; returns the
     number of documents written (counted during the write, one pass).
 
@@ -342,15 +349,23 @@ def save(index: Index, table: str, mode: str = "errorifexists", epoch: int | Non
     ``stream`` and ``epoch`` name a micro-batch; one that a live generation
     holds already is not written again.  Nothing is published unless as many
     rows were written as the index has, with dense ids in every shard.
+
+    With ``merge_factor`` an append is followed by :func:`merge_tiers`; if
+    another writer is at the same generations, they are left to it.
     """
     if mode not in ("errorifexists", "error", "append", "overwrite"):
         raise ValueError(f"unsupported mode: {mode}")
+    _check_factor(merge_factor)
     path = table_path(index.sparkSession, table)
     for _ in range(ATTEMPTS):
         try:
-            return _save_once(index, table, path, mode, epoch, stream)
+            rows = _save_once(index, table, path, mode, epoch, stream)
         except LostRace:
             continue
+        if merge_factor is not None and mode == "append":
+            with contextlib.suppress(Superseded):  # the rows are published; the merge is another writer's
+                merge_tiers(index.sparkSession, table, merge_factor)
+        return rows
     raise RuntimeError(f"gave up after {ATTEMPTS} lost races for {table}")
 
 
@@ -423,8 +438,8 @@ def open_index(spark: SparkSession, table: str) -> Index:
     num_buckets = live[-1]["num_buckets"]
     docs = _read_docs(spark, path, live, spec)
     postings = (_read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
-                .select("shard", "doc", "field", "term", "tf", "dl", "bucket"))
-    terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", DOC_RANGE, "df", "max_tf", "min_dl", "bucket")
+                .select("shard", "doc", "field", "term", "tf", "dl", "bucket", "gen"))
+    terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", DOC_RANGE, "df", "max_tf", "min_dl", "bucket", "gen")
     stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
              .agg(F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("sum_dl").cast("bigint").alias("sum_dl")))
@@ -458,6 +473,29 @@ def _tier(live: list[dict], parts: int) -> list[dict]:
     return sorted(live, key=lambda m: (m["doc_rows"], m["gen"]))[: len(live) - max(1, parts) + 1]
 
 
+def _size_class(rows: int, factor: int) -> int:
+    """How often ``rows`` can be divided by ``factor``."""
+    out = 0
+    while rows >= factor:
+        rows //= factor
+        out += 1
+    return out
+
+
+def _full_tier(live: list[dict], factor: int) -> list[dict]:
+    """Of the size classes with ``factor`` generations or more, those of the smallest; empty if there is none."""
+    classes: dict[int, list[dict]] = {}
+    for m in live:
+        classes.setdefault(_size_class(m["doc_rows"], factor), []).append(m)
+    full = [k for k, members in classes.items() if len(members) >= factor]
+    return classes[min(full)] if full else []
+
+
+def _check_factor(factor: int | None) -> None:
+    if factor is not None and factor < 2:
+        raise ValueError(f"merge_factor must be 2 or more: {factor}")
+
+
 def _check_merged(written: DataFrame, sources: DataFrame) -> int:
     """Raise unless the written documents have the ids of the sources: for each shard
     their number, least, largest, sum and a sum of their hashes.  Reads two columns of
@@ -486,8 +524,37 @@ def compact(spark: SparkSession, table: str, parts: int = 1) -> Index:
     if not live:
         raise ValueError(f"no table {table} under {path}")
     tier = _tier(live, parts)
-    if not tier:
-        return open_index(spark, table)  # nothing to merge
+    if tier:
+        _merge(spark, path, table, manifest, seq, tier)
+    return open_index(spark, table)
+
+
+def merge_tiers(spark: SparkSession, table: str, factor: int = 10) -> int:
+    """Merge generations of like size wherever there are ``factor`` of them; returns the number of merges.
+
+    A generation's size class is the number of times its rows can be divided
+    by ``factor``.  A class with ``factor`` members becomes one generation of
+    a higher class, so at most ``(factor - 1) * (log_factor(rows) + 1)``
+    generations are left, and a row is rewritten at most once for each class,
+    however many appends there are.  Hits and ids are unchanged.  Of writers
+    that merge the same generations one succeeds; the others raise
+    :class:`Superseded`.
+    """
+    _check_factor(factor)
+    path = table_path(spark, table)
+    for merges in itertools.count():
+        manifest, seq = _committed(spark, path)
+        if not manifest:
+            raise ValueError(f"no table {table} under {path}")
+        tier = _full_tier(_live(manifest), factor)
+        if not tier:
+            return merges
+        _merge(spark, path, table, manifest, seq, tier)
+
+
+def _merge(spark: SparkSession, path: str, table: str, manifest: list[dict], seq: int, tier: list[dict]) -> None:
+    """Write the generations of ``tier`` as one and commit it in their place."""
+    live = _live(manifest)
     gens = [m["gen"] for m in tier]
     spec, num_buckets, types = IndexSpec.from_dict(json.loads(live[-1]["spec"])), live[-1]["num_buckets"], live[-1]["schema"]
     gen = _next_gen(spark, path, manifest)
@@ -510,11 +577,11 @@ def compact(spark: SparkSession, table: str, parts: int = 1) -> Index:
     while True:
         try:
             _publish(spark, path, gen, kind, spec, num_buckets, shards, rows, None, None, types, seq, replaces=gens)
-            return open_index(spark, table)
+            return
         except LostRace:
             manifest, seq = _committed(spark, path)
             if not set(gens) <= {m["gen"] for m in _live(manifest)}:
-                raise RuntimeError(f"another writer replaced generations of {table} while they were merged") from None
+                raise Superseded(f"another writer replaced generations of {table} while they were merged") from None
 
 
 def vacuum(spark: SparkSession, table: str, older_than: float = 7 * 86_400.0) -> list[int]:

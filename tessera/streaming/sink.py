@@ -28,11 +28,14 @@ def index_stream(
     num_buckets: int | None = None,
     checkpoint_location: str | None = None,
     trigger: dict | None = None,
+    merge_factor: int | None = None,
 ) -> StreamingQuery:
     """Start a streaming query that appends every micro-batch of ``stream``
     to ``table``.  ``trigger`` is passed to ``writeStream.trigger`` (e.g.
     ``{"availableNow": True}``).  The checkpoint goes to the cluster's shared
-    checkpoint folder unless given."""
+    checkpoint folder unless given.  With ``merge_factor`` small generations
+    are merged as they become so many (:func:`tessera.merge_tiers`), so a
+    stream of many micro-batches leaves few."""
     spark = stream.sparkSession
     if checkpoint_location is None:
         base = checkpoint_dir(spark)
@@ -43,7 +46,8 @@ def index_stream(
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         index = build_index(batch, spec, shard_by=shard_by, num_shards=num_shards, order_by=order_by,
                             num_buckets=num_buckets)
-        save(index, table, mode="append", epoch=epoch_id, stream=batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+        save(index, table, mode="append", epoch=epoch_id, merge_factor=merge_factor,
+             stream=batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
 
     writer = stream.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint_location)
     if trigger:

@@ -64,6 +64,25 @@ def test_random_trees_narrowed_and_not(pair, monkeypatch):
     assert filtered >= 2
 
 
+def test_only_generations_that_hold_a_term_are_opened(spark, monkeypatch):
+    """Three appends, one with the word: its postings and no others are scanned, and hits are those of all generations."""
+    monkeypatch.setattr(search, "LEAST_GENERATIONS", 3)
+    data, t = rows(60), f"t_{uuid.uuid4().hex[:8]}"
+    data = [(k, body.replace(" rare", "") + (" rare" if k in (31, 35) else ""), tag, n) for k, body, tag, n in data]
+    for k in range(0, 60, 20):
+        save(made(spark, data[k:k + 20]), t, mode="append")
+    memory, saved = made(spark, data), open_index(spark, t)
+    assert len(saved.generations) == 3
+    rare = term("body", "rare")
+    plan = saved.search(rare).scored()._jdf.queryExecution().optimizedPlan().toString()
+    assert saved.known_sizes["body", "rare"] == (2, (1,))
+    assert len(re.findall(r"gen#\d+ (?:=|IN) \(?1\b", plan)) >= 2, plan  # postings and dictionary
+    r = random.Random(5)
+    for q in [rare, term("body", "none"), term("body", "the"), must(term("body", "the"), rare), should(rare, term("tag", "y")), tree(r), tree(r), tree(r)]:
+        assert sorted(got(saved.search(q).scored())) == sorted(got(memory.search(q).scored())), str(q)
+        assert saved.search(q).count() == memory.search(q).count()
+
+
 def exchanged(df):
     """Rows written to shuffles when ``df`` runs."""
     df.collect()

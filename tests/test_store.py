@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from tessera import (IndexSpec, build_index, compact, index_stream, must, open_index, read_manifest, save,
+from tessera import (IndexSpec, build_index, compact, index_stream, merge_tiers, must, open_index, read_manifest, save,
                      search_many, should, table_path, term)
 
 SPEC = IndexSpec(text=["text"], keyword=["lang", "source"], numeric=["n_chars"], stored=["doc_id", "lang", "source"])
@@ -218,6 +218,20 @@ def test_other_column_types_are_refused(spark):
     assert open_index(spark, t).search(term("n", 1)).count() == 1
 
 
+def test_a_stream_that_merges_is_not_indexed_twice(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 20")
+    for k in range(2):
+        docs.where(f"doc_id div 10 = {k}").coalesce(1).write.parquet(str(tmp_path / "in" / f"part={k}"))
+    t = _name()
+    for _ in range(2):  # the second run finds every batch done
+        stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "part=*"))
+        index_stream(stream, t, SPEC, shard_by=F.pmod("doc_id", F.lit(3)), num_shards=3, order_by=["doc_id"], trigger={"availableNow": True},
+                     checkpoint_location=str(tmp_path / "checkpoint"), merge_factor=2).awaitTermination()
+    idx = open_index(spark, t)
+    assert len(idx.generations) == 1
+    assert sorted(r[0] for r in idx.docs.select("doc_id").collect()) == list(range(20))
+
+
 def test_streams_with_the_same_batch_numbers(spark):
     spec = IndexSpec(keyword=["name"], stored=["name"])
     one = lambda x: build_index(spark.createDataFrame([(x,)], "name string"), spec)
@@ -285,6 +299,68 @@ def test_compact_to_parts_rewrites_the_smallest(spark):
     assert sorted(tuple(r) for r in before.docs.select("shard", "doc", "doc_id").collect()) == ids  # an open reader
 
 
+def test_appends_that_merge_leave_few_generations(spark):
+    t = _name()
+    counts, before = [], None
+    for k in range(4):
+        save(_docs(spark, (F.col("doc_id") >= 10 * k) & (F.col("doc_id") < 10 * k + 10)), t, mode="append", merge_factor=2)
+        idx = open_index(spark, t)
+        counts.append(len(idx.generations))
+        assert idx.docs.count() == 10 * (k + 1)
+        before = before or idx
+    assert counts == [1, 1, 2, 1]  # 10; 20; 20 and 10; 40 rows
+    assert before.docs.count() == 10  # an open reader
+    whole = _docs(spark, F.col("doc_id") < 40)
+    for q in Q[:3]:
+        assert _rows(idx.search(q)) == _rows(whole.search(q)), str(q)
+    assert merge_tiers(spark, t, factor=2) == 0
+    for factor in (1, 0):
+        with pytest.raises(ValueError, match="merge_factor"):
+            save(_docs(spark), t, mode="append", merge_factor=factor)
+    with pytest.raises(ValueError, match="no table"):
+        merge_tiers(spark, _name())
+
+
+def test_size_classes_bound_generations_and_rewrites():
+    from tessera.sources.store import _full_tier
+
+    for factor, sizes in ((2, [1] * 64), (3, [0, 5, 1, 900, 17, 0, 0] * 20), (10, [7] * 500)):
+        live, rewritten, gen = [], 0, 0
+        for rows in sizes:
+            live.append({"gen": gen, "doc_rows": rows})
+            gen += 1
+            while tier := _full_tier(live, factor):
+                total = sum(m["doc_rows"] for m in tier)
+                rewritten += total
+                live = [m for m in live if m not in tier] + [{"gen": gen, "doc_rows": total}]
+                gen += 1
+        total, classes = sum(sizes), 0
+        while factor ** classes <= total:
+            classes += 1
+        assert sum(m["doc_rows"] for m in live) == total
+        assert len(live) <= (factor - 1) * classes
+        assert rewritten <= total * classes
+
+
+def test_a_merge_that_another_writer_did_is_left_to_it(spark, monkeypatch):
+    from tessera.sources import store
+
+    t = _name()
+    _pieces(spark, t, [0, 10])
+    real, others = store._check_merged, []
+
+    def beaten(written, sources):
+        if not others:
+            others.append(True)
+            compact(spark, t)  # the same generations, committed first
+        return real(written, sources)
+
+    monkeypatch.setattr(store, "_check_merged", beaten)
+    assert save(_docs(spark, (F.col("doc_id") >= 10) & (F.col("doc_id") < 20)), t, mode="append", merge_factor=2) == 10
+    idx = open_index(spark, t)
+    assert others and len(idx.generations) == 1 and sorted(r[0] for r in idx.docs.select("doc_id").collect()) == list(range(20))
+
+
 def test_a_merge_that_lost_rows_is_not_published(spark, monkeypatch):
     from tessera.sources import store
 
