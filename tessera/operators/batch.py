@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..config import stage
 from ..plans.broadcast import checked_broadcast
+from .blocks import posting_rows
 from .build import Index, bucket_of, points_of
 from .search import _bm25
 
@@ -80,7 +81,7 @@ def _by_weight(index: Index, side: DataFrame, keys: list[str]) -> list[DataFrame
 
 def _scored(index: Index, side: DataFrame, keys: list[str]) -> DataFrame:
     """``query_id, shard, doc, score`` of the hits of text and keyword lookups."""
-    rows = index.postings.join(side, keys)
+    rows = index.postings.join(side, keys) if index.blocks is None else posting_rows(index.blocks.join(side, keys))
     stats = index.stats.where(F.col("field").isNotNull())
     lookup = ["query_id", "field", "term", "shard"]
     if index.terms is not None:

@@ -77,6 +77,10 @@ class Index:
     # Saved indexes: ``value, shard, doc`` of each numeric field, sorted by
     # value.  None for an in-memory index: numeric terms filter ``docs``.
     points: dict[str, DataFrame] | None = None
+    # Saved indexes: the postings as they are stored, a row per term and block
+    # of documents (see :mod:`tessera.operators.blocks`); ``postings`` are
+    # their rows.  None for an in-memory index.
+    blocks: DataFrame | None = None
 
     @property
     def sparkSession(self):
@@ -146,6 +150,11 @@ def _keyword_values(df: DataFrame, name: str) -> Column:
     return F.when(F.col(name).isNotNull(), F.array(F.col(name)))
 
 
+def field_values(df: DataFrame, spec: IndexSpec, name: str) -> Column:
+    """``array<string>`` of a text field's tokens or a keyword field's distinct values."""
+    return _field_tokens(df, name) if name in spec.text else _keyword_values(df, name)
+
+
 def _bind(value: Column, fn) -> Column:
     """``fn(v)`` with ``v`` bound to ``value`` once per row.
 
@@ -198,9 +207,8 @@ def index_rows(docs: DataFrame, spec: IndexSpec, norms: bool = False) -> DataFra
 
     With ``norms`` the frame also holds one *norm* row per document and
     field it has (``term`` and ``tf`` NULL, ``dl`` = field length) and one per
-    document with ``field`` NULL.  Saving writes them beside the postings in
-    the same job, and the per-shard stats are aggregated from them, so the
-    text is tokenized once per build.
+    document with ``field`` NULL.  Saving writes these rows by way of
+    :func:`tessera.operators.blocks.index_blocks`.
     """
     parts = []
     for name in spec.text:

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from ..functions.query import MatchAll, Must, Query, Should, Term, must
 from ..plans.broadcast import bounded_broadcast, max_broadcast_rows
 from . import build
+from .blocks import posting_rows
 from .build import DOC_RANGE, Index, bucket_of, doc_range_of
 
 # BM25 parameters (the library defaults of the reference's
@@ -327,7 +328,11 @@ class Search:
         idx = self.index
         cond, leaves_df = self._lookup(post)
         # The leaves table is the query itself: its size is the query's.
-        rows = self._in_only(self._in_generations(idx.postings.where(cond), post)).join(F.broadcast(leaves_df), ["field", "term"])
+        if idx.blocks is None:
+            rows = self._in_only(idx.postings.where(cond)).join(F.broadcast(leaves_df), ["field", "term"])
+        else:
+            # all documents of a block lie in the range of its ``doc``
+            rows = posting_rows(self._in_only(self._in_generations(idx.blocks.where(cond), post)).join(F.broadcast(leaves_df), ["field", "term"]))
         if within is not None:
             # documents of a clause whose size is known and within the broadcast limit
             rows = rows.join(F.broadcast(within), ["shard", "doc"], "left_semi")

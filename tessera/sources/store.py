@@ -6,9 +6,11 @@ Layout under ``<base>/<table>/``::
                                      doc, <spec columns> (r = doc / 100,000)
     points/<field>/gen=<g>/...       value, shard, doc of a numeric field
                                      (sorted by value)
-    postings/gen=<g>/bucket=<b>/...  shard, doc, field, term, tf, dl
-                                     (sorted by field, term, shard, doc)
-    postings/gen=<g>/bucket=-1/...   norms: one row per document and field
+    postings/gen=<g>/bucket=<b>/...  shard, field, term, doc, n, tf, dl, docs, tfs, dls:
+                                     the postings of a term in a block of
+                                     documents (see ``operators/blocks.py``;
+                                     sorted by field, term, shard, doc)
+    postings/gen=<g>/bucket=-1/...   norms: a posting per document and field
                                      (term NULL, dl = field length)
     terms/gen=<g>/bucket=<b>/...     shard, field, term, doc_range, df, max_tf,
                                      min_dl (the term dictionary: documents of a
@@ -49,8 +51,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import staging_dir, table_path
+from ..operators.blocks import BLOCK_SCHEMA, as_blocks, index_blocks, posting_rows
 from ..operators.build import (
-    DEFAULT_BUCKETS, DOC_RANGE, Index, bucket_of, doc_range_of, index_rows, points_of, stats_from_norms,
+    DEFAULT_BUCKETS, DOC_RANGE, Index, bucket_of, doc_range_of, points_of, stats_from_norms,
 )
 from ..operators.spec import IndexSpec
 from ..plans.broadcast import checked_broadcast, max_broadcast_rows
@@ -59,7 +62,7 @@ from ..plans.broadcast import checked_broadcast, max_broadcast_rows
 LOCAL_STATS_ROWS = 100_000
 # Partition of the postings directory holding the norm rows.
 NORMS_BUCKET = -1
-_POSTINGS_SCHEMA = "shard int, doc bigint, field string, term string, tf bigint, dl bigint, bucket int"
+_POSTINGS_SCHEMA = f"{BLOCK_SCHEMA}, bucket int"
 
 _MANIFEST_SCHEMA = (
     "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint, "
@@ -206,15 +209,15 @@ def _publish(spark: SparkSession, path: str, gen: int, kind: str, spec: IndexSpe
      .write.mode("errorifexists").parquet(f"{path}/_manifest/gen={gen}"))
 
 
-def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
-    """Cluster postings by term: rebalance on ``bucket`` (AQE splits a hot
-    bucket and coalesces small ones), sort inside each task, and write one
-    directory per bucket.  Lookups prune directories by bucket and row
-    groups by term.  Norm rows (term NULL) go to ``bucket=-1``."""
+def _write_postings(blocks: DataFrame, out: str, num_buckets: int) -> None:
+    """Cluster postings by term: rebalance their blocks on ``bucket`` (AQE
+    splits a hot bucket and coalesces small ones), sort inside each task, and
+    write one directory per bucket.  Lookups prune directories by bucket and
+    row groups by term.  Norm rows (term NULL) go to ``bucket=-1``."""
     bucket = F.when(F.col("term").isNull(), F.lit(NORMS_BUCKET)).otherwise(bucket_of(F.col("term"), num_buckets))
     # norms are as many as documents x fields: their directory is one, but not their shuffle key
-    spread = F.when(F.col("term").isNull(), F.pmod(F.xxhash64("doc"), F.lit(num_buckets))).otherwise(F.lit(0))
-    (postings.withColumn("bucket", bucket).withColumn("_spread", spread)
+    spread = F.when(F.col("term").isNull(), F.pmod(F.xxhash64("shard", "doc"), F.lit(num_buckets))).otherwise(F.lit(0))
+    (blocks.withColumn("bucket", bucket).withColumn("_spread", spread)
      .hint("rebalance", "bucket", "_spread").drop("_spread")
      .sortWithinPartitions("bucket", "field", "term", "shard", "doc")
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
@@ -223,33 +226,25 @@ def _write_postings(postings: DataFrame, out: str, num_buckets: int) -> None:
 def _write_terms(spark: SparkSession, postings_path: str, out: str) -> None:
     """The term dictionary of one generation: document frequency, greatest
     count and least length per ``(field, term, shard, doc_range)``, read from
-    the written postings.
-
-    The aggregate combines map-side (postings files are sorted by term, so
-    each task emits about one row per term and shard), and only those rows
-    are shuffled.  A search looks up its terms here instead of counting
-    matching postings a second time.
+    the written postings: the blocks tell them without their arrays.  A
+    search looks up its terms here instead of counting matching postings a
+    second time.
     """
     rows = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") != NORMS_BUCKET)
-    in_range = rows.groupBy("bucket", "field", "term", "shard", doc_range_of(F.col("doc")).alias(DOC_RANGE))
-    _write_dictionary(in_range.agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")), out)
+    _write_dictionary(rows.select("bucket", "field", "term", "shard", doc_range_of(F.col("doc")).alias(DOC_RANGE), F.coalesce("n", F.lit(1)).alias("df"),
+                                  F.col("tf").alias("max_tf"), F.col("dl").alias("min_dl")), out)
 
 
 def _write_dictionary(terms: DataFrame, out: str) -> None:
-    """Write ``bucket, field, term, shard, doc_range, df, max_tf, min_dl``
-    clustered by bucket like the postings: one directory per bucket, sorted by term."""
-    (terms.select("bucket", "field", "term", "shard", DOC_RANGE, F.col("df").cast("bigint").alias("df"), "max_tf", "min_dl")
-     .hint("rebalance", "bucket")
+    """Write dictionary rows, summed, clustered by bucket like the postings: one
+    directory per bucket, sorted by term.  Terms are spread over buckets by
+    their hash, so dealing by bucket is even and one shuffle serves the sums too."""
+    (terms.repartition("bucket").groupBy("bucket", "field", "term", "shard", DOC_RANGE)
+     .agg(F.sum("df").cast("bigint").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"))
      .sortWithinPartitions("bucket", "field", "term", "shard", DOC_RANGE)
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
 
-def _summed(terms: DataFrame) -> DataFrame:
-    """The dictionary of several generations as one."""
-    return terms.groupBy("bucket", "field", "term", "shard", DOC_RANGE).agg(
-        F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"))
-
-
 _TERMS_SCHEMA = "shard int, field string, term string, doc_range bigint, df bigint, max_tf bigint, min_dl bigint, bucket int"
 _STATS_SCHEMA = "shard int, field string, n_docs bigint, sum_dl bigint"
 # Fixed schemas of the datasets whose layout does not depend on the input (a
@@ -411,9 +406,9 @@ def _save_once(index: Index, table: str, path: str, mode: str, epoch: int | None
     #    is tokenized once); 3. stats aggregated from the norms.
     num_buckets = num_buckets or _bucket_count(spark, docs_path)
     postings_path = f"{path}/postings/gen={gen}"
-    _write_postings(index_rows(written, index.spec, norms=True), postings_path, num_buckets)
+    _write_postings(index_blocks(written, index.spec), postings_path, num_buckets)
     _write_terms(spark, postings_path, f"{path}/terms/gen={gen}")
-    norms = spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET)
+    norms = posting_rows(spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET))
     shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
     # 4. publish.  What an overwrite writes does not depend on other commits.
     while True:
@@ -437,8 +432,7 @@ def open_index(spark: SparkSession, table: str) -> Index:
     spec = IndexSpec.from_dict(json.loads(live[-1]["spec"]))
     num_buckets = live[-1]["num_buckets"]
     docs = _read_docs(spark, path, live, spec)
-    postings = (_read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
-                .select("shard", "doc", "field", "term", "tf", "dl", "bucket", "gen"))
+    blocks = _read_gens(spark, path, "postings", gens).where(F.col("bucket") != NORMS_BUCKET)
     terms = _read_gens(spark, path, "terms", gens).select("shard", "field", "term", DOC_RANGE, "df", "max_tf", "min_dl", "bucket", "gen")
     stats = (_read_gens(spark, path, "stats", gens)
              .groupBy("shard", "field")
@@ -452,7 +446,8 @@ def open_index(spark: SparkSession, table: str) -> Index:
     return Index(
         docs=docs,
         points=_read_points(spark, path, docs, spec, gens),
-        postings=postings,
+        postings=posting_rows(blocks).select("shard", "doc", "field", "term", "tf", "dl", "bucket", "gen"),
+        blocks=blocks,
         stats=stats,
         spec=spec,
         num_buckets=num_buckets,
@@ -564,10 +559,9 @@ def _merge(spark: SparkSession, path: str, table: str, manifest: list[dict], seq
     rows = _check_merged(written, sources)
     _write_points(written, spec, path, gen)
     # postings and norms are carried over; dictionaries and stats are additive
-    _write_postings(_read_gens(spark, path, "postings", gens).select("shard", "doc", "field", "term", "tf", "dl"),
-                    f"{path}/postings/gen={gen}", num_buckets)
+    _write_postings(as_blocks(_read_gens(spark, path, "postings", gens)).drop("gen"), f"{path}/postings/gen={gen}", num_buckets)
     if all(m["seq"] is not None for m in tier):
-        _write_dictionary(_summed(_read_gens(spark, path, "terms", gens)), f"{path}/terms/gen={gen}")
+        _write_dictionary(_read_gens(spark, path, "terms", gens), f"{path}/terms/gen={gen}")
     else:
         _write_terms(spark, f"{path}/postings/gen={gen}", f"{path}/terms/gen={gen}")
     stats = _read_gens(spark, path, "stats", gens).groupBy("shard", "field").agg(
