@@ -6,17 +6,17 @@ Layout under ``<base>/<table>/``::
                                      doc, <spec columns> (r = doc / 100,000)
     points/<field>/gen=<g>/...       value, shard, doc of a numeric field
                                      (sorted by value)
-    postings/gen=<g>/bucket=<b>/...  shard, field, term, doc, n, tf, dl, docs, tfs, dls:
+    postings/gen=<g>/bucket=<b>/...  shard, field, term, doc, n, tf, dl, docs, tfs, dls, entries:
                                      the postings of a term in a block of
                                      documents (see ``operators/blocks.py``;
-                                     sorted by field, term, shard, doc)
+                                     sorted by term, field, shard, doc)
     postings/gen=<g>/bucket=-1/...   norms: a posting per document and field
                                      (term NULL, dl = field length)
     terms/gen=<g>/bucket=<b>/...     shard, field, term, doc_range, df, max_tf,
                                      min_dl (the term dictionary: documents of a
                                      range with the term, its greatest count and
-                                     the least length there; sorted by field,
-                                     term, shard, doc_range)
+                                     the least length there; sorted by term,
+                                     field, shard, doc_range)
     stats/gen=<g>/...                shard, field, n_docs, sum_dl
     _manifest/gen=<g>/...            one row per published generation
     _manifest/_claims/<g>            generation numbers that writers took
@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import staging_dir, table_path
-from ..operators.blocks import BLOCK_SCHEMA, as_blocks, index_blocks, posting_rows
+from ..operators.blocks import BLOCK_SCHEMA, posting_rows, stored_blocks
 from ..operators.build import (
     DEFAULT_BUCKETS, DOC_RANGE, Index, bucket_of, doc_range_of, points_of, stats_from_norms,
 )
@@ -68,8 +68,12 @@ _MANIFEST_SCHEMA = (
     "kind string, spec string, num_buckets int, num_shards int, doc_rows bigint, created string, epoch bigint, "
     "stream string, schema string, replaces string, seq bigint"
 )
+# Shuffle keys of the norms, and shuffle partitions of postings where the session does not have more.
+NORMS_KEYS, MOST_PARTITIONS = 8, 1024
 # Documents of a postings directory, as written; a table has DEFAULT_BUCKETS of them at least.
 BUCKET_BYTES, MOST_BUCKETS = 2 << 30, 65_536
+# Documents that a task gathers postings of at least, as written: about a block (files are often split smaller).
+GATHER_BYTES = 32 << 20
 # A commit whose manifest row does not come within so many seconds is taken for dead.
 COMMIT_SECONDS = 60.0
 ATTEMPTS = 100
@@ -130,11 +134,19 @@ def _create_new(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _bytes_below(spark: SparkSession, path: str) -> int:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def _bucket_count(spark: SparkSession, docs_path: str) -> int:
     """Postings directories for documents of this size: postings take about as much room as these."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(docs_path)
-    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    return min(MOST_BUCKETS, max(DEFAULT_BUCKETS, -(-size // BUCKET_BYTES)))
+    return min(MOST_BUCKETS, max(DEFAULT_BUCKETS, -(-_bytes_below(spark, docs_path) // BUCKET_BYTES)))
+
+
+def _gather_tasks(spark: SparkSession, docs_path: str) -> int:
+    """Most tasks that gather postings: the more documents one has, the fewer rows hold a term, but no core is left idle."""
+    return max(2 * spark.sparkContext.defaultParallelism, _bytes_below(spark, docs_path) // GATHER_BYTES)
 
 
 def _file_names(spark: SparkSession, path: str) -> list[str]:
@@ -213,13 +225,18 @@ def _write_postings(blocks: DataFrame, out: str, num_buckets: int) -> None:
     """Cluster postings by term: rebalance their blocks on ``bucket`` (AQE
     splits a hot bucket and coalesces small ones), sort inside each task, and
     write one directory per bucket.  Lookups prune directories by bucket and
-    row groups by term.  Norm rows (term NULL) go to ``bucket=-1``."""
+    row groups by term.  Norm rows (term NULL) go to ``bucket=-1``.
+
+    Blocks come in the order of their terms, so what a shuffle partition of one bucket
+    gets from a task is a sorted run: there are enough partitions for most to
+    have one bucket, and the sort compares the term before the field."""
     bucket = F.when(F.col("term").isNull(), F.lit(NORMS_BUCKET)).otherwise(bucket_of(F.col("term"), num_buckets))
     # norms are as many as documents x fields: their directory is one, but not their shuffle key
-    spread = F.when(F.col("term").isNull(), F.pmod(F.xxhash64("shard", "doc"), F.lit(num_buckets))).otherwise(F.lit(0))
+    spread = F.when(F.col("term").isNull(), F.pmod(F.xxhash64("shard", "doc"), F.lit(NORMS_KEYS))).otherwise(F.lit(0))
+    partitions = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(4 * num_buckets, MOST_PARTITIONS))
     (blocks.withColumn("bucket", bucket).withColumn("_spread", spread)
-     .hint("rebalance", "bucket", "_spread").drop("_spread")
-     .sortWithinPartitions("bucket", "field", "term", "shard", "doc")
+     .hint("rebalance", partitions, "bucket", "_spread").drop("_spread")
+     .sortWithinPartitions("bucket", "term", "field", "shard", "doc")
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
 
@@ -241,7 +258,7 @@ def _write_dictionary(terms: DataFrame, out: str) -> None:
     their hash, so dealing by bucket is even and one shuffle serves the sums too."""
     (terms.repartition("bucket").groupBy("bucket", "field", "term", "shard", DOC_RANGE)
      .agg(F.sum("df").cast("bigint").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"))
-     .sortWithinPartitions("bucket", "field", "term", "shard", DOC_RANGE)
+     .sortWithinPartitions("bucket", "term", "field", "shard", DOC_RANGE)
      .write.mode("errorifexists").partitionBy("bucket").parquet(out))
 
 
@@ -406,7 +423,7 @@ def _save_once(index: Index, table: str, path: str, mode: str, epoch: int | None
     #    is tokenized once); 3. stats aggregated from the norms.
     num_buckets = num_buckets or _bucket_count(spark, docs_path)
     postings_path = f"{path}/postings/gen={gen}"
-    _write_postings(index_blocks(written, index.spec), postings_path, num_buckets)
+    _write_postings(stored_blocks(written.coalesce(_gather_tasks(spark, docs_path)), index.spec), postings_path, num_buckets)
     _write_terms(spark, postings_path, f"{path}/terms/gen={gen}")
     norms = posting_rows(spark.read.schema(_POSTINGS_SCHEMA).parquet(postings_path).where(F.col("bucket") == NORMS_BUCKET))
     shards = _write_stats(stats_from_norms(norms), f"{path}/stats/gen={gen}", f"tessera_stats_{table}_{gen}")
@@ -559,7 +576,7 @@ def _merge(spark: SparkSession, path: str, table: str, manifest: list[dict], seq
     rows = _check_merged(written, sources)
     _write_points(written, spec, path, gen)
     # postings and norms are carried over; dictionaries and stats are additive
-    _write_postings(as_blocks(_read_gens(spark, path, "postings", gens)).drop("gen"), f"{path}/postings/gen={gen}", num_buckets)
+    _write_postings(_read_gens(spark, path, "postings", gens).drop("gen"), f"{path}/postings/gen={gen}", num_buckets)
     if all(m["seq"] is not None for m in tier):
         _write_dictionary(_read_gens(spark, path, "terms", gens), f"{path}/terms/gen={gen}")
     else:

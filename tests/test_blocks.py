@@ -63,3 +63,50 @@ def test_saved_postings_are_fewer_rows_and_merge_as_blocks(spark):
     norms = spark.read.schema(f"{blocks.BLOCK_SCHEMA}, bucket int").parquet(f"{path}/postings/gen={merged.generations[0]}").where("bucket = -1")
     want = index_rows(memory.docs, SPEC, norms=True).where("term is null")
     assert _rows(blocks.posting_rows(norms)) == _rows(want)
+
+
+@pytest.mark.parametrize("docs", [blocks.BLOCK_DOCS, 1])
+def test_stored_rows_hold_one_number_per_posting(spark, monkeypatch, docs):
+    """Several postings of a term are one array of numbers, a single one none; terms come in order from each task."""
+    monkeypatch.setattr(blocks, "BLOCK_DOCS", docs)
+    index = _index(spark)
+    stored = blocks.stored_blocks(index.docs, SPEC).withColumn("task", F.spark_partition_id()).collect()
+    assert {len(r.entries) if r.entries is not None else 1 for r in stored} == {r.n for r in stored}
+    assert all((r.entries is None) == (r.n == 1) for r in stored)
+    assert any(r.n > 10 for r in stored)
+    for task in {r.task for r in stored}:
+        terms = [r.term for r in stored if r.task == task and r.field == "body" and r.term is not None]
+        assert terms == sorted(terms, key=str.encode) or docs == 1
+
+
+def test_batches_of_a_block_are_gathered_together(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        docs = _index(spark).docs.coalesce(1)
+        made = blocks.stored_blocks(docs, SPEC).where("field = 'body' and term = 'the'").collect()
+        assert sorted(r.shard for r in made) == [0, 1]
+        assert _rows(blocks.posting_rows(blocks.index_blocks(docs, SPEC))) == _rows(index_rows(docs, SPEC, norms=True))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_great_counts_and_earlier_generations(spark):
+    """A tf beyond an entry's bits, and generations stored as three arrays, keep their postings; merges do too."""
+    most = 1 << blocks.TF_BITS
+    data = [(k, "z " * (most + k - 2) if k < 4 else "z y", None, "t", None, k) for k in range(8)]
+    t = f"t_{uuid.uuid4().hex[:8]}"
+    save(_index(spark, data[:4]), t)
+    save(_index(spark, data[4:]), t, mode="append")
+    path, want = table_path(spark, t), _rows(_index(spark, data).postings)
+    assert max(r[4] for r in want) == most + 1 and _rows(open_index(spark, t).postings) == want
+    stored = spark.read.schema(f"{blocks.BLOCK_SCHEMA}, bucket int").parquet(f"{path}/postings/gen=1")
+    arrays = blocks.as_blocks(stored).localCheckpoint()
+    assert set(arrays.columns) >= {"docs", "tfs", "dls"} and "entries" not in arrays.columns
+    arrays.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/gen=1")
+    assert _rows(open_index(spark, t).postings) == want
+    df = {r[0]: r[1] for r in open_index(spark, t).terms.where("field = 'body'").groupBy("term").agg(F.sum("df")).collect()}
+    assert df == {"z": 8, "y": 4}
+    merged = compact(spark, t)
+    assert _rows(merged.postings) == want
+    assert sorted((r.shard, r.field or "", r.n_docs, r.sum_dl or 0) for r in merged.stats.collect()) == sorted(
+        (r.shard, r.field or "", r.n_docs, r.sum_dl or 0) for r in _index(spark, data).stats.collect())
